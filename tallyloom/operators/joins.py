@@ -45,6 +45,18 @@ def lookup(
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 
+def packed_lookup(
+    facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, name: str, keep: Sequence[str], limit: int | None = None
+) -> DataFrame:
+    """Left join that brings a dimension's columns as one struct column.
+
+    In a long chain of lookups every join copies one field per role, not one
+    per attribute; the attributes are unpacked once, at the end.
+    """
+    right = broadcast_if_small(dim.select(F.col(dim_key).alias("_pk"), F.struct(*keep).alias(name)), limit)
+    return facts.join(right, facts[fact_key] == right["_pk"], "left").drop("_pk")
+
+
 def effective_dated_join(
     facts: DataFrame,
     dim: DataFrame,

@@ -11,7 +11,7 @@ BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 
 def planned_bytes(df: DataFrame) -> int:
     """Size of a frame as the optimizer estimates it (huge where unknown)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:

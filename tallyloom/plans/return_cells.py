@@ -37,8 +37,8 @@ MEMO_CLASSES = (
 MEASURE_KEYS = (
     "year_month",
     "reporting_regulator_code",
-    "risk_taker_ll_rru",
-    "risk_on_ll_rru",
+    "risk_taker_rru",
+    "risk_on_rru",
     "internal_transaction_flag",
     "ig_exclusion_flag",
     "division",
@@ -59,8 +59,8 @@ MEASURE_KEYS = (
 CELL_KEYS = (
     "year_month",
     "reporting_regulator_code",
-    "risk_taker_ll_rru",
-    "risk_on_ll_rru",
+    "risk_taker_rru",
+    "risk_on_rru",
     "internal_transaction_flag",
     "ig_exclusion_flag",
 )
@@ -181,7 +181,7 @@ def report_rows() -> list[CellRow]:
     transitional = equals("transitional_portfolio_flag", "Y") | equals("division", K.OVERRIDE_DIVISION)
     residential = equals("reg_exposure_type", K.RESIDENTIAL_MORTGAGE)
     weight = F.round(F.col("std_act_risk_weight"), 3)
-    not_germany = equals("reporting_regulator_code", K.GERMANY)
+    germany = equals("reporting_regulator_code", K.GERMANY)
     counterparty_list = _columns(200, 210, 211, *_WEIGHTED)
     qualifying_list = _columns(200, 210, *_WEIGHTED)
     on_list = _columns(*_BALANCE, 200, *_WEIGHTED, suffix="_onbal")
@@ -194,8 +194,8 @@ def report_rows() -> list[CellRow]:
         CellRow("R0030", SHORT_LIST, equals("b3_sme_discount_flag", "Y")),
         CellRow("R0035", SHORT_LIST, equals("crr2_501a_discount_flag", "Y")),
         CellRow("R0040", SHORT_LIST, residential),
-        CellRow("R0050", SHORT_LIST, ~transitional, blank=(SHORT_LIST, not_germany)),
-        CellRow("R0060", SHORT_LIST, transitional, blank=(SHORT_LIST, not_germany)),
+        CellRow("R0050", SHORT_LIST, ~transitional, blank=(SHORT_LIST, germany)),
+        CellRow("R0060", SHORT_LIST, transitional, blank=(SHORT_LIST, germany)),
         CellRow("R0070", on_list),
         CellRow("R0080", off_list),
         CellRow("R0090", counterparty_list, financing),
@@ -252,8 +252,8 @@ def entity_cells(cells: DataFrame, group_map: DataFrame, categories: Sequence[st
     )
     joined = cells.join(
         mapping,
-        (cells["risk_taker_ll_rru"] == mapping["_t"])
-        & (cells["risk_on_ll_rru"] == mapping["_o"])
+        (cells["risk_taker_rru"] == mapping["_t"])
+        & (cells["risk_on_rru"] == mapping["_o"])
         & (cells["year_month"] == mapping["_m"])
         & (cells["internal_transaction_flag"] == mapping["_f"]),
         "inner",

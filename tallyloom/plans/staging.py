@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import codes as K
 from tallyloom.functions.columns import equals, first_match, first_valid_key, one_of, pick, z
-from tallyloom.functions.periods import month_key
 from tallyloom.operators.filters import RegimeRule, latest_snapshot, regime_value, valid_on
-from tallyloom.operators.joins import band_join, effective_dated_join, fan_out, join_on_expression, lookup, scalar_lookup
+from tallyloom.operators.joins import band_join, effective_dated_join, lookup, packed_lookup, scalar_lookup
 from tallyloom.operators.setops import union_branches
 from tallyloom.operators.sizing import broadcast_if_small
 from tallyloom.sources.tables import parameter_month, parameter_value
@@ -173,129 +172,162 @@ def is_in_run(df: DataFrame, month: int, day: int) -> DataFrame:
     )
 
 
-# Role of a dimension: prefix, table, dimension key, fact key, columns kept.
+# Role of a dimension: name, table, dimension key, fact key, columns kept.
+CLASS_COLUMNS = ("type", "reg_exposure_type", "basel_exposure_type", "basel_exposure_sub_type")
 DIMENSION_ROLES = (
-    ("industry_", "industry", "industry_rk", "party_ec92_industry_rk", ("sector_type", "uk_sic_code")),
-    (
-        "irb_",
-        "asset_class",
-        "asset_class_rk",
-        "b2_irb_asset_class_rk",
-        (
-            "type",
-            "valid_flag",
-            "asset_class_rk",
-            "reg_exposure_type",
-            "reg_exposure_sub_type",
-            "basel_exposure_type",
-            "basel_exposure_sub_type",
-        ),
-    ),
-    (
-        "std_",
-        "asset_class",
-        "asset_class_rk",
-        "b2_std_asset_class_rk",
-        ("type", "reg_exposure_type", "basel_exposure_type", "basel_exposure_sub_type"),
-    ),
-    ("corep_", "asset_class", "asset_class_rk", "corep_asset_class_rk", ("basel_exposure_type", "basel_exposure_sub_type")),
-    (
-        "pre_",
-        "asset_class",
-        "asset_class_rk",
-        "b2_std_pre_dflt_asset_class_rk",
-        ("type", "reg_exposure_type", "basel_exposure_type", "basel_exposure_sub_type"),
-    ),
-    ("div_", "division", "division_rk", "division_rk", ("sub1", "sub2", "sub3", "sub4", "sub5", "division")),
-    ("pd_model_", "model", "model_rk", "pd_model_rk", ("model_code",)),
-    ("ead_model_", "model", "model_rk", "ead_model_rk", ("model_code",)),
-    ("prod_", "product", "product_rk", "product_rk", ("aiml_product_type", "regulatory_product_type", "high_prod")),
-    ("on_unit_", "unit", "rru_rk", "risk_on_rru_rk", ("ll_rru", "ll_rru_desc")),
-    ("incorp_", "country", "country_rk", "incorp_country_rk", ("p3_country_desc", "country_desc")),
-    ("op_", "country", "country_rk", "op_country_rk", ("p3_country_desc", "country_desc")),
-    ("ledger_", "ledger", "gl_rk", "gl_account_rk", ("bspl_900_gl_code", "bspl_60_gl_code", "bspl_800_gl_code")),
-    ("ind_", "industry", "industry_rk", "industry_rk", ("sector_type", "sector", "sector_cluster", "sub_sector")),
+    ("irb", "asset_class", "asset_class_rk", "b2_irb_asset_class_rk",
+     (*CLASS_COLUMNS, "reg_exposure_sub_type", "valid_flag", "asset_class_rk")),
+    ("std", "asset_class", "asset_class_rk", "b2_std_asset_class_rk", CLASS_COLUMNS),
+    ("corep", "asset_class", "asset_class_rk", "corep_asset_class_rk", CLASS_COLUMNS),
+    ("pre", "asset_class", "asset_class_rk", "b2_std_pre_dflt_asset_class_rk", CLASS_COLUMNS),
+    ("div", "division", "division_rk", "division_rk", ("sub1", "sub2", "sub3", "sub4", "sub5", "division")),
+    ("pd_model", "model", "model_rk", "pd_model_rk", ("model_code",)),
+    ("ead_model", "model", "model_rk", "ead_model_rk", ("model_code",)),
+    ("prod", "product", "product_rk", "product_rk", ("aiml_product_type", "regulatory_product_type", "high_prod")),
+    ("on_unit", "unit", "rru_rk", "risk_on_rru_rk", ("ll_rru", "ll_rru_desc")),
+    ("incorp", "country", "country_rk", "incorp_country_rk", ("p3_country_desc", "country_desc")),
+    ("op", "country", "country_rk", "op_country_rk", ("p3_country_desc", "country_desc")),
+    ("ind", "industry", "industry_rk", "industry_rk", ("sector_type", "sector", "sector_cluster", "sub_sector")),
+)
+REC_COLUMNS = ("mortgages_flag", "product_family_code", "b2_std_ccf_less_than_year", "b2_std_ccf_more_than_year")
+LEDGER_COLUMNS = ("bspl_900_gl_code", "bspl_60_gl_code", "ias39_class")
+CENTRE_COLUMNS = ("cost_centre", "cost_centre_type", "le")
+PARTY_COLUMNS = (
+    "own_rk",
+    "own_cis_code",
+    "own_risk_entity_class",
+    "own_qccp",
+    "own_sys_id",
+    "own_sys_code",
+    "own_fi_avc_category",
+    "bsd_marker",
+    "branch_ciscode",
+    "branch_risk_class",
+    "industry_sector_type",
+    "ec92_code",
+    "ler_child_counterparty",
+    "dim_ctrpty_risk_entity_class",
+    "override_value",
+)
+JOIN_KEYS = (
+    *dict.fromkeys(role[3] for role in DIMENSION_ROLES),
+    "gl_account_rk",
+    "cost_centre_rk",
+    "counterparty_rk",
+    "corep_product_category_rk",
+    "std_rw_priority_order_rule_rk",
 )
 
 
-def attach_dimensions(
-    facts: DataFrame, tables: Mapping[str, DataFrame], date: str, month: int, day: int
-) -> DataFrame:
-    """All dimension lookups of the staging job, as one chain."""
-    party_facts = is_in_run(tables["counterparties"], month, day).select(
-        "counterparty_rk",
-        F.col("ec92_industry_rk").alias("party_ec92_industry_rk"),
-        F.col("branch_parent_counterparty_rk").alias("party_parent_rk"),
-        "bsd_marker",
-    )
-    rec = is_in_run(tables["exposures_rec"], month, day).select(
-        "deal_id", "mortgages_flag", "product_family_code", "b2_std_ccf_less_than_year", "b2_std_ccf_more_than_year"
-    )
-    rows = facts.join(rec.withColumnRenamed("deal_id", "_rec_deal"), F.col("_fact_deal_id") == F.col("_rec_deal"), "left")
-    rows = lookup(rows.drop("_rec_deal"), party_facts, ["counterparty_rk"])
-    for prefix, table, dim_key, fact_key, keep in DIMENSION_ROLES:
-        rows = effective_dated_join(rows, tables[table], {fact_key: dim_key}, date, keep, prefix=prefix)
-    centres = valid_on(tables["cost_centre"], date)
-    rows = effective_dated_join(
-        rows,
-        tables["cost_centre"],
-        {"cost_centre_rk": "cost_centre_rk"},
-        date,
-        ("cost_centre", "cost_centre_type", "le_counterparty_rk"),
-        prefix="cc_",
-        where=F.col("valid_flag") == "Y",
-    )
+def party_profile(tables: Mapping[str, DataFrame], date: str, month: int, day: int) -> DataFrame:
+    """Everything a deal takes from its counterparty, one row per counterparty.
+
+    Parents, industry, the counterparty that answers for the group and its
+    exclusion all depend on the counterparty alone, so they are looked up per
+    counterparty and not per deal.
+    """
     parties = latest_snapshot(tables["counterparty"], "snap_dt", date)
-    whole_book = (
-        centres.where(F.col("wbu_counterparty_rk") != -1)
-        .groupBy("wbu_counterparty_rk")
-        .agg(F.max("le_counterparty_rk").alias("le_of_wbu_rk"))
+    monthly = is_in_run(tables["counterparties"], month, day).select(
+        F.col("counterparty_rk").alias("party_rk"),
+        F.col("ec92_industry_rk").alias("_industry"),
+        F.col("branch_parent_counterparty_rk").alias("_parent"),
+        "bsd_marker",
     )
     own = parties.select(
-        "counterparty_rk",
         F.col("counterparty_rk").alias("own_rk"),
         *[
             F.col(c).alias("own_" + c)
             for c in ("cis_code", "risk_entity_class", "qccp", "sys_id", "sys_code", "fi_avc_category")
         ],
     )
-    rows = lookup(rows, own, ["counterparty_rk"])
+    rows = monthly.join(own, F.col("party_rk") == F.col("own_rk"), "full").withColumn(
+        "party_rk", F.coalesce(F.col("party_rk"), F.col("own_rk"))
+    )
+    industry = valid_on(tables["industry"], date).select(
+        F.col("industry_rk").alias("_ik"),
+        F.col("sector_type").alias("industry_sector_type"),
+        F.nullif(F.col("uk_sic_code"), F.lit("UNKNOWN")).alias("ec92_code"),
+    )
+    rows = lookup(rows, industry, {"_industry": "_ik"})
+    whole_book = (
+        valid_on(tables["cost_centre"], date)
+        .where(F.col("wbu_counterparty_rk") != -1)
+        .groupBy("wbu_counterparty_rk")
+        .agg(F.max("le_counterparty_rk").alias("_le_of_wbu"))
+    )
     rows = lookup(rows, whole_book, {"own_rk": "wbu_counterparty_rk"})
-    internal = parties.where(F.col("group_internal_flag") == "Y").select(F.col("counterparty_rk").alias("wbu_parent_rk"))
-    rows = lookup(rows, internal.withColumn("_w", F.col("wbu_parent_rk")), {"le_of_wbu_rk": "_w"})
+    internal = parties.where(F.col("group_internal_flag") == "Y").select(
+        F.col("counterparty_rk").alias("_w"), F.col("counterparty_rk").alias("_wbu_parent")
+    )
+    rows = lookup(rows, internal, {"_le_of_wbu": "_w"})
     parent = parties.select(
-        F.col("counterparty_rk").alias("parent_rk"),
+        F.col("counterparty_rk").alias("_p"),
+        F.col("counterparty_rk").alias("_parent_rk"),
         F.col("cis_code").alias("branch_ciscode"),
         F.col("risk_entity_class").alias("branch_risk_class"),
     )
-    rows = lookup(rows, parent.withColumn("_p", F.col("parent_rk")), {"party_parent_rk": "_p"})
-    legal = parties.select("counterparty_rk", F.col("cis_code").alias("le"))
-    rows = lookup(rows, legal.withColumnRenamed("counterparty_rk", "_l"), {"cc_le_counterparty_rk": "_l"})
-    categories = tables["product_category"]
+    rows = lookup(rows, parent, {"_parent": "_p"})
+    rows = rows.withColumn("ler_child_counterparty", first_valid_key("_wbu_parent", "_parent_rk", "own_rk"))
+    child = parties.select(
+        F.col("counterparty_rk").alias("_c"),
+        F.col("risk_entity_class").alias("dim_ctrpty_risk_entity_class"),
+        F.col("cis_code").alias("_child_cis"),
+    )
+    rows = lookup(rows, child, {"ler_child_counterparty": "_c"})
+    exclusions = (
+        valid_on(tables["override"], date)
+        .where(equals("override_rule", "EXC_IG_CIS") & equals("override_reason", "CIS EXCLUSION"))
+        .select(F.col("overridden_value").alias("_ov"), "override_value")
+    )
+    return lookup(rows, exclusions, {"_child_cis": "_ov"}).select("party_rk", *PARTY_COLUMNS)
+
+
+def attach_dimensions(
+    facts: DataFrame, tables: Mapping[str, DataFrame], date: str, month: int, day: int
+) -> DataFrame:
+    """All lookups of the staging job as one chain over packed columns."""
     normal_product = F.when(F.upper("aclm_product_type") == "N/A", F.lit("UNKNOWN")).otherwise(F.upper("aclm_product_type"))
-    rows = join_on_expression(
+    rows = facts.select(
+        *JOIN_KEYS,
+        F.col("_fact_deal_id").alias("_deal"),
+        normal_product.alias("_product"),
+        F.col("b2_irb_effective_maturity_yrs").alias("_years"),
+        F.col("b2_app_adjusted_pd_ratio").alias("_pd"),
+        F.struct("*").alias("fact"),
+    )
+    rec = is_in_run(tables["exposures_rec"], month, day)
+    rows = packed_lookup(rows, rec, "_deal", "deal_id", "rec", REC_COLUMNS)
+    rows = packed_lookup(rows, party_profile(tables, date, month, day), "counterparty_rk", "party_rk", "party", PARTY_COLUMNS)
+    for name, table, dim_key, fact_key, keep in DIMENSION_ROLES:
+        rows = packed_lookup(rows, valid_on(tables[table], date), fact_key, dim_key, name, keep)
+    legal = latest_snapshot(tables["counterparty"], "snap_dt", date).select(
+        F.col("counterparty_rk").alias("_l"), F.col("cis_code").alias("le")
+    )
+    centres = lookup(
+        valid_on(tables["cost_centre"], date).where(F.col("valid_flag") == "Y"), legal, {"le_counterparty_rk": "_l"}
+    )
+    rows = packed_lookup(rows, centres, "cost_centre_rk", "cost_centre_rk", "cc", CENTRE_COLUMNS)
+    ledgers = lookup(
+        valid_on(tables["ledger"], date),
+        tables["ledger_map"].select(F.col("bspl800_code").alias("_bc"), "ias39_class"),
+        {"bspl_800_gl_code": "_bc"},
+    )
+    rows = packed_lookup(rows, ledgers, "gl_account_rk", "gl_rk", "ledger", LEDGER_COLUMNS)
+    categories = tables["product_category"]
+    rows = packed_lookup(
+        rows, categories, "_product", "aclm_product_type", "cat", ("corep_product_category", "corep_product_category_rk")
+    )
+    rows = packed_lookup(
         rows,
-        normal_product,
-        categories.select(
-            "aclm_product_type",
-            F.col("corep_product_category").alias("cat_name"),
-            F.col("corep_product_category_rk").alias("cat_rk"),
-        ).withColumnRenamed("aclm_product_type", "_cat_product"),
-        "_cat_product",
-        ["cat_name", "cat_rk"],
-    )
-    by_key = categories.select(
-        F.col("corep_product_category_rk").alias("_ck"),
-        F.col("corep_product_category").alias("corep_exposure_category"),
-        F.col("aclm_product_type").alias("exposure_product"),
-    )
-    rows = lookup(rows, by_key, {"corep_product_category_rk": "_ck"})
-    ledger_map = tables["ledger_map"].select(F.col("bspl800_code").alias("_bc"), "ias39_class")
-    rows = lookup(rows, ledger_map, {"ledger_bspl_800_gl_code": "_bc"})
-    rule = tables["rule"].select(F.col("rule_rk").alias("_rk"), "rule_desc")
-    rows = lookup(rows, rule, {"std_rw_priority_order_rule_rk": "_rk"})
+        categories,
+        "corep_product_category_rk",
+        "corep_product_category_rk",
+        "exposure_cat",
+        ("corep_product_category", "aclm_product_type"),
+    )
+    rows = packed_lookup(rows, tables["rule"], "std_rw_priority_order_rule_rk", "rule_rk", "rule", ("rule_desc",))
     maturity = valid_on(tables["maturity_band"].where(F.col("type") == "S"), date)
-    rows = band_join(rows, maturity, "b2_irb_effective_maturity_yrs", ["maturity_band_desc"])
+    rows = band_join(rows, maturity, "_years", ["maturity_band_desc"])
     grades = valid_on(tables["pd_band"].where(F.col("type") == "MGS"), date).select(
         "lower_value",
         "upper_value",
@@ -304,7 +336,20 @@ def attach_dimensions(
         F.col("mgs").alias("dim_mgs"),
         F.col("pd_band_code").alias("dim_pd_band_code"),
     )
-    return band_join(rows, grades, "b2_app_adjusted_pd_ratio", ["dim_mgs", "dim_pd_band_code"], default=K.DEFAULT_PD)
+    return band_join(rows, grades, "_pd", ["dim_mgs", "dim_pd_band_code"], default=K.DEFAULT_PD)
+
+
+def unpack(rows: DataFrame) -> DataFrame:
+    """The packed columns as flat ones, prefixed by their role."""
+    roles = [(name, keep) for name, _, _, _, keep in DIMENSION_ROLES]
+    roles += [
+        ("cat", ("corep_product_category", "corep_product_category_rk")),
+        ("exposure_cat", ("corep_product_category", "aclm_product_type")),
+    ]
+    flat = [F.col(f"{name}.{c}").alias(f"{name}_{c}") for name, keep in roles for c in keep]
+    plain = (("party", PARTY_COLUMNS), ("rec", REC_COLUMNS), ("ledger", LEDGER_COLUMNS), ("cc", CENTRE_COLUMNS), ("rule", ("rule_desc",)))
+    own_names = [F.col(f"{name}.{c}").alias(c) for name, keep in plain for c in keep]
+    return rows.select("fact.*", *flat, *own_names, "maturity_band_desc", "dim_mgs", "dim_pd_band_code")
 
 
 def retail_sub_class() -> Column:
@@ -357,7 +402,7 @@ def approach_method() -> Column:
 
 def deal_type() -> Column:
     """Kind of a non-credit deal, from a token in its id (underscore literal)."""
-    other = equals("exposure_product", "NCA")
+    other = equals("exposure_cat_aclm_product_type", "NCA")
     return first_match(
         [
             (other & F.col("deal_id").contains("_SI"), F.lit("SI")),
@@ -397,7 +442,9 @@ def derive_columns(rows: DataFrame, other_items_key: Column, parameters: Mapping
                 F.col("std_basel_exposure_type")
             ),
             "corep_std_asset_class_rk": F.when(non_credit, other_items_key).otherwise(F.col("b2_std_asset_class_rk")),
-            "corep_product_category": F.when(F.col("cat_rk") == -1, F.lit("UNKNOWN")).otherwise(F.col("cat_name")),
+            "corep_product_category": F.when(
+                F.col("cat_corep_product_category_rk") == -1, F.lit("UNKNOWN")
+            ).otherwise(F.col("cat_corep_product_category")),
             "corep_irb_exposure_sub_type": retail_sub_class(),
             "aclm_product_type": F.upper("aclm_product_type"),
             "rwa_calc_method": approach_method(),
@@ -413,8 +460,7 @@ def derive_columns(rows: DataFrame, other_items_key: Column, parameters: Mapping
             "std_sme_discount_app_flag": F.when(
                 equals("approved_approach_code", K.STD), F.col("b3_sme_discount_flag")
             ),
-            "ec92_code": F.nullif(F.col("industry_uk_sic_code"), F.lit("UNKNOWN")),
-            "ler_child_counterparty": first_valid_key("wbu_parent_rk", "parent_rk", "own_rk"),
+            "ler_child_counterparty": F.coalesce(F.col("ler_child_counterparty"), F.lit(-1)),
             "obligor_type": first_match(
                 [(z("b2_app_ead_post_crm_amt") == 0, F.lit("NULL EAD")), (equals("counterparty_rk", -1), F.lit("RETAIL"))],
                 F.lit("CORP"),
@@ -457,38 +503,29 @@ STAGED_NAMES = {
     "on_unit_ll_rru": "risk_on_ll_rru",
     "on_unit_ll_rru_desc": "risk_on_ll_rru_desc",
     "op_country_desc": "op_country_name",
-    "ledger_bspl_900_gl_code": "bspl_900_gl_code",
-    "ledger_bspl_60_gl_code": "bspl_60_gl_code",
     "ind_sector_type": "sector_type",
     "ind_sector": "sector",
     "ind_sector_cluster": "sector_cluster",
     "ind_sub_sector": "sub_sector",
-    "industry_sector_type": "industry_sector_type",
     "own_cis_code": "external_counterparty_id_temp",
     "own_risk_entity_class": "external_counterparty_risk_class",
     "own_qccp": "external_counterparty_qccp_flag",
     "own_sys_id": "csys_id",
     "own_sys_code": "csys_code",
     "own_fi_avc_category": "fi_avc_category",
-    "cc_cost_centre": "cost_centre",
-    "cc_cost_centre_type": "cost_centre_type",
+    "exposure_cat_corep_product_category": "corep_exposure_category",
 }
 WORK_COLUMNS = (
     "_source",
     "_branch",
     "_fact_deal_id",
     "b2_std_ccf",
-    "cat_name",
-    "cat_rk",
-    "wbu_parent_rk",
-    "parent_rk",
     "own_rk",
-    "le_of_wbu_rk",
-    "party_parent_rk",
-    "party_ec92_industry_rk",
-    "ledger_bspl_800_gl_code",
-    "industry_uk_sic_code",
-    "cc_le_counterparty_rk",
+    "cat_corep_product_category",
+    "cat_corep_product_category_rk",
+    "exposure_cat_aclm_product_type",
+    "corep_type",
+    "corep_reg_exposure_type",
     "corep_basel_exposure_type",
     "corep_basel_exposure_sub_type",
 )
@@ -554,23 +591,41 @@ def internal_report_class(rows: DataFrame, tables: Mapping[str, DataFrame]) -> D
     return work.drop("_key_sub", "_reg_sub")
 
 
+SOURCE_OPTIONAL = ("deal_id_prefix", "jurisdiction_flag", "reporting_regulator_code")
+
+
+def unite_sources(tables: Mapping[str, DataFrame], names: Sequence[str]) -> DataFrame:
+    """The source facts as one frame, tagged with their source."""
+    tagged = []
+    for name in names:
+        source = tables[name]
+        absent = {c: F.lit(None).cast("string") for c in SOURCE_OPTIONAL if c not in source.columns}
+        source = source.withColumns(absent) if absent else source
+        tagged.append(source.withColumn("_source", F.lit(name)))
+    return union_branches(tagged)
+
+
+def run_keys(date: str) -> tuple[int, int]:
+    """Month and day key of a reporting date."""
+    return int(date[:4] + date[5:7]), int(date[:10].replace("-", ""))
+
+
 def stage_exposures(
-    tables: Mapping[str, DataFrame], date: str, branches: Sequence[Branch] | None = None
+    tables: Mapping[str, DataFrame],
+    date: str,
+    branches: Sequence[Branch] | None = None,
+    facts: DataFrame | None = None,
 ) -> DataFrame:
-    """Exposure staging for one reporting date (ISO text)."""
+    """Exposure staging for one reporting date (ISO text).
+
+    ``facts`` may hold the united sources already (see ``unite_sources``).
+    """
     branches = default_branches() if branches is None else branches
-    month, day = int(date[:4] + date[5:7]), int(date[:10].replace("-", ""))
-    sources = []
-    for name in dict.fromkeys(b.source for b in branches):
-        source = is_in_run(tables[name], month, day).where(F.col("adjust_flag").isin("U", "A"))
-        if "deal_id_prefix" not in source.columns:
-            source = source.withColumn("deal_id_prefix", F.lit(None).cast("string"))
-        if "jurisdiction_flag" not in source.columns:
-            source = source.withColumn("jurisdiction_flag", F.lit(None).cast("string"))
-        if "reporting_regulator_code" not in source.columns:
-            source = source.withColumn("reporting_regulator_code", F.lit(None).cast("string"))
-        sources.append(source.withColumns({"_source": F.lit(name), "_fact_deal_id": F.col("deal_id")}))
-    facts = union_branches(sources)
+    month, day = run_keys(date)
+    if facts is None:
+        facts = unite_sources(tables, list(dict.fromkeys(b.source for b in branches)))
+    facts = is_in_run(facts, month, day).where(F.col("adjust_flag").isin("U", "A"))
+    facts = facts.withColumn("_fact_deal_id", F.col("deal_id"))
     facts = effective_dated_join(
         facts, tables["unit"], {"rru_rk": "rru_rk"}, date, ("ll_rru", "ll_rru_desc", "llp_rru"), prefix="unit_"
     )
@@ -578,7 +633,11 @@ def stage_exposures(
         "divergence": parameter_month(tables["etl_parameter"], DIVERGENCE_PARAMETER),
         "dual": parameter_month(tables["etl_parameter"], DUAL_REPORTING_PARAMETER),
     }
-    rows = attach_dimensions(route_branches(facts, branches, months), tables, date, month, day)
+    routed = route_branches(facts, branches, months)
+    # Only rows whose internal class is known are reported.
+    known = tables["asset_class"].select(F.col("asset_class_rk").alias("_ak")).distinct()
+    routed = routed.join(broadcast_if_small(known), F.col("b2_irb_asset_class_rk") == F.col("_ak"), "left_semi")
+    rows = unpack(attach_dimensions(routed, tables, date, month, day))
     other_items = (
         valid_on(tables["asset_class"], date)
         .where((F.col("type") == "B2_STD") & (F.col("basel_exposure_type") == K.OTHER_ITEMS))
@@ -602,27 +661,12 @@ def stage_exposures(
             "risk_on_rru": F.col("risk_on_rru_rk"),
         }
     )
-    child = latest_snapshot(tables["counterparty"], "snap_dt", date).select(
-        F.col("counterparty_rk").alias("_child"),
-        F.col("risk_entity_class").alias("dim_ctrpty_risk_entity_class"),
-        F.col("cis_code").alias("child_cis_code"),
-    )
-    rows = lookup(rows, child, {"ler_child_counterparty": "_child"})
-    exclusions = valid_on(tables["override"], date).where(
-        equals("override_rule", "EXC_IG_CIS") & equals("override_reason", "CIS EXCLUSION")
-    )
-    rows = lookup(
-        rows, exclusions.select(F.col("overridden_value").alias("_ov"), "override_value"), {"child_cis_code": "_ov"}
-    ).drop("child_cis_code")
-    # Only rows whose internal class is known are reported.
-    known = tables["asset_class"].select(F.col("asset_class_rk").alias("_ak")).distinct()
-    rows = rows.join(broadcast_if_small(known), F.col("b2_irb_asset_class_rk") == F.col("_ak"), "left_semi")
     return internal_report_class(rows, tables)
 
 
 def stage_sub_exposures(tables: Mapping[str, DataFrame], date: str) -> DataFrame:
     """Sub-exposure staging: two sources, then copies for the other regulators."""
-    month, day = int(date[:4] + date[5:7]), int(date[:10].replace("-", ""))
+    month, day = run_keys(date)
     uk = is_in_run(tables["sub_exposures"], month, day).withColumn("reporting_regulator_code", F.lit(K.UK))
     german = is_in_run(tables["sub_exposures_oth"], month, day).where(
         F.col("reporting_regulator_code") == K.GERMANY

@@ -16,6 +16,9 @@ RUNTIME_SETTINGS = {
     # when a later aggregation then needs its own exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Staged layers are about 200 columns wide; without this, every operator
+    # on them leaves whole-stage code generation.
+    "spark.sql.codegen.maxFields": "1000",
     # Month overwrites touch only the partitions that are written.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
