@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-PARTS = ("rows",)
+PARTS = ("rows", "linked", "sums")
 
 
 def load():
