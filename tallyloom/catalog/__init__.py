@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-PARTS = ("rows", "linked", "sums")
+PARTS = ("rows", "linked", "sums", "jobs")
 
 
 def load():

@@ -32,8 +32,13 @@ _WEIGHT = (
 )
 
 
+# Amounts are whole numbers, so that their sums do not depend on the order of rows.
+_PRICE = "CAST(floor(o_totalprice) AS DOUBLE)"
+_BALANCE = "CAST(floor(c_acctbal) AS DOUBLE)"
+
+
 def _share(factor: str) -> str:
-    return f"o_totalprice * CAST({factor} AS DOUBLE)"
+    return f"CAST(floor(o_totalprice * CAST({factor} AS DOUBLE)) AS DOUBLE)"
 
 
 FACT_COLUMNS: dict[str, str] = {
@@ -98,12 +103,12 @@ FACT_COLUMNS: dict[str, str] = {
     "sme_discount_factor": "CAST(CASE o_orderkey % 4 WHEN 0 THEN 0.0 WHEN 1 THEN NULL ELSE 0.7619 END AS DOUBLE)",
     "b2_std_ccf": "CAST(CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 0 WHEN 2 THEN 20 WHEN 3 THEN 50 ELSE 100 END AS DOUBLE)",
     "b2_irb_ccf": "CAST(0.75 AS DOUBLE)",
-    "b2_std_ead_post_crm_amt": "CASE WHEN o_orderkey % 23 = 0 THEN c_acctbal ELSE o_totalprice END",
-    "b2_app_ead_post_crm_amt": "CASE o_orderkey % 19 WHEN 0 THEN NULL WHEN 1 THEN CAST(0 AS DOUBLE) WHEN 2 THEN c_acctbal ELSE o_totalprice - 100 END",
+    "b2_std_ead_post_crm_amt": f"CASE WHEN o_orderkey % 23 = 0 THEN {_BALANCE} ELSE {_PRICE} END",
+    "b2_app_ead_post_crm_amt": f"CASE o_orderkey % 19 WHEN 0 THEN NULL WHEN 1 THEN CAST(0 AS DOUBLE) WHEN 2 THEN {_BALANCE} ELSE {_PRICE} - 100 END",
     "b2_std_ead_pre_crm_amt": _share("1.1"),
     "b2_app_ead_pre_crm_amt": _share("1.05"),
-    "b2_std_rwa_post_crm_amt": f"o_totalprice * {_WEIGHT}",
-    "b2_app_rwa_post_crm_amt": f"CASE o_orderkey % 21 WHEN 0 THEN NULL WHEN 1 THEN -o_totalprice ELSE (o_totalprice - 100) * {_WEIGHT} END",
+    "b2_std_rwa_post_crm_amt": f"{_PRICE} * {_WEIGHT}",
+    "b2_app_rwa_post_crm_amt": f"CASE o_orderkey % 21 WHEN 0 THEN NULL WHEN 1 THEN -{_PRICE} ELSE ({_PRICE} - 100) * {_WEIGHT} END",
     "b2_irb_rwa_post_crm_amt": _share("0.4"),
     "b2_std_drawn_rwa": f"CASE WHEN o_orderkey % 4 = 0 THEN CAST(0 AS DOUBLE) ELSE {_share('0.75')} END",
     "b2_std_undrawn_rwa": f"CASE WHEN o_orderkey % 2 = 0 THEN CAST(0 AS DOUBLE) ELSE {_share('0.25')} END",
@@ -199,7 +204,7 @@ def _always(select: str) -> str:
 _BOOK_JOIN = "{orders} LEFT JOIN {customer} ON o_custkey = c_custkey LEFT JOIN {nation} ON c_nationkey = n_nationkey"
 _SEGMENT_KEY = FACT_COLUMNS["industry_rk"]
 _CIS = "CASE WHEN c_custkey % 37 = 0 THEN 'Z6VROIT' WHEN c_custkey % 41 = 0 THEN 'Z6VR0IT' WHEN c_custkey % 31 = 0 THEN 'UnKnown' WHEN c_custkey % 23 = 0 THEN NULL ELSE 'CIS' || CAST(c_custkey AS STRING) END"
-_LINE_SHARE = "l_extendedprice * CAST({f} AS DOUBLE)"
+_LINE_SHARE = "CAST(floor(l_extendedprice * CAST({f} AS DOUBLE)) AS DOUBLE)"
 
 INPUTS: dict[str, str] = {
     "facts": "SELECT " + ", ".join(f"{e} AS {n}" for n, e in FACT_COLUMNS.items()) + f" FROM {_BOOK_JOIN}",
@@ -355,7 +360,7 @@ INPUTS: dict[str, str] = {
           ELSE CASE WHEN l_linestatus = 'O' THEN '' END END AS corep_crm_category,
         CASE WHEN l_quantity > 20 THEN 'WG' ELSE 'SG' END AS type,
         CASE CAST(l_quantity AS INT) % 5 WHEN 0 THEN 'Y' WHEN 1 THEN NULL ELSE 'N' END AS double_default_flag,
-        CASE WHEN l_linestatus = 'F' THEN l_extendedprice END AS b2_std_eff_gtee_amt,
+        CASE WHEN l_linestatus = 'F' THEN {_LINE_SHARE.format(f='1')} END AS b2_std_eff_gtee_amt,
         CASE WHEN l_returnflag = 'A' THEN {_LINE_SHARE.format(f='0.5')} END AS b2_std_eff_cds_amt,
         {_LINE_SHARE.format(f='0.25')} AS b2_std_gtee_cds_rwa,
         {_LINE_SHARE.format(f='0.6')} AS b2_irb_gtee_amt,
@@ -404,6 +409,11 @@ INPUTS: dict[str, str] = {
             "param_code, parameter1_value, parameter2_value",
         )
     ),
+    "unit_versions": """SELECT n_nationkey AS unit_rk, CASE WHEN n_nationkey % 9 = 8 THEN NULL ELSE n_name END AS unit_name, n_regionkey AS unit_region,
+        DATE '1990-01-01' AS valid_from_date, DATE '2001-08-01' AS valid_to_date FROM {nation}
+        UNION ALL SELECT n_nationkey + 1000, CASE WHEN n_nationkey % 9 = 8 THEN NULL ELSE n_name END, n_regionkey, DATE '2001-08-01', DATE '9999-12-31' FROM {nation} WHERE n_nationkey <> 12""",
+    "calendar": """SELECT year_month_rk, year, year_quarter_number, month_end_date FROM (VALUES (200106, 2001, 2, DATE '2001-06-30'), (200107, 2001, 3, DATE '2001-07-31'),
+        (200108, 2001, 3, DATE '2001-08-31'), (200109, 2001, 3, DATE '2001-09-30')) AS t(year_month_rk, year, year_quarter_number, month_end_date)""",
     "group_map": f"""SELECT a.n_nationkey AS risk_taker_rru_rk, b.n_nationkey AS risk_on_rru_rk, {RUN_MONTH} AS year_month_rk,
         f.flag AS internal_transaction_flag,
         CASE WHEN a.n_nationkey % 13 = 12 THEN 'UNIT DECON' ELSE 'UNIT' || CAST(a.n_nationkey AS STRING) END AS risk_taker_ll_rru,

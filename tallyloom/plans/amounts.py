@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import codes as K
-from tallyloom.functions.columns import amount_if, equals, first_match, is_blank, one_of, pick, text, z
+from tallyloom.functions.columns import amount_if, equals, first_match, one_of, pick, text, z
 
 # --- fixed values: provisions and accounting exposure -----------------------
 LEGACY_PROVISION_COUNTERPARTY = "Z6VROIT"
@@ -245,11 +245,6 @@ def add_amounts(exposures: DataFrame) -> DataFrame:
             "std_orig_exp_pre_conv_onbal": amount_if(
                 _on_balance(), z("b2_std_orig_exp_pre_con_factor_exp") - z("std_orig_exp_pre_conv_ofbal")
             ),
-            "irb_orig_exp_pre_conv_onbal": amount_if(
-                equals("corep_exposure_category", K.ON)
-                | one_of("aclm_product_type", K.OTHER_ON_BALANCE_PRODUCTS),
-                z("b2_irb_orig_exp_pre_con_factor") - z("irb_orig_exp_pre_conv_ofbal"),
-            ),
             "b2_std_ccf": conversion_factor(),
             "ra_ad_exp": accounting_exposure(),
         }
@@ -291,7 +286,6 @@ AMOUNT_COLUMNS = (
     "ead_mat_years_numerator_on",
     "ead_mat_years_numerator_off",
     "std_orig_exp_pre_conv_onbal",
-    "irb_orig_exp_pre_conv_onbal",
     "b2_std_ccf",
     "ra_ad_exp",
     "b2_std_fully_adj_exp_ccf_0",
