@@ -461,6 +461,12 @@ class JobInputs(dict):
         self[name] = derive(self.spark, self.folder, INPUTS[name])
         return self[name]
 
+    def layer(self, name: str, build) -> DataFrame:
+        """A derived layer, built when it is first asked for."""
+        if name not in self:
+            self[name] = build()
+        return self[name]
+
 
 @lru_cache(maxsize=None)
 def oracle_inputs(names: tuple[str, ...]) -> str:

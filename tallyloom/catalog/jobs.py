@@ -28,29 +28,47 @@ DEAL = ("year_month", "reporting_regulator_code", "deal_id")
 
 
 class Job(JobInputs):
-    """The layers of one run, each built from the one before it."""
+    """The layers of one run, each built from the one before it.
+
+    Layers are plans, not data: each is built once per session and folder.
+    """
 
     def staged(self):
-        return stage_exposures(self, RUN_DATE, facts=self["facts"])
+        return self.layer("_staged", lambda: stage_exposures(self, RUN_DATE, facts=self["facts"]))
 
     def with_prior(self):
         previous = previous_quarter_key(F.to_date(F.lit(RUN_DATE)))
         return mart_plan.with_prior_quarter(self.staged(), self["history"], previous)
 
     def subs(self):
-        return stage_sub_exposures(self, RUN_DATE)
+        return self.layer("_subs", lambda: stage_sub_exposures(self, RUN_DATE))
 
     def mitigants(self):
-        return add_mitigant_amounts(mart_plan.filled(self.subs(), K.SUB_EXPOSURE_DEFAULTS))
+        return self.layer(
+            "_mitigants", lambda: add_mitigant_amounts(mart_plan.filled(self.subs(), K.SUB_EXPOSURE_DEFAULTS))
+        )
 
     def enriched(self):
-        return mart_plan.enrich_exposures(self.with_prior())
+        return self.layer("_enriched", lambda: mart_plan.enrich_exposures(self.with_prior()))
 
     def deals(self):
-        return mart_plan.enrich_deals(self.enriched(), mitigant_totals(self.mitigants()))
+        return self.layer(
+            "_deals", lambda: mart_plan.enrich_deals(self.enriched(), mitigant_totals(self.mitigants()))
+        )
 
     def mart(self):
-        return mart_plan.build_mart(self.with_prior(), self.subs())
+        return self.layer("_mart", lambda: mart_plan.unite_flows(self.deals(), self.mitigants()))
+
+
+_JOBS: dict[tuple[str, str], Job] = {}
+
+
+def job_of(spark, folder: str) -> Job:
+    """The job of a session and folder."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _JOBS:
+        _JOBS[key] = Job(spark, folder)
+    return _JOBS[key]
 
 
 STAGED = (
@@ -72,13 +90,13 @@ def _names(columns) -> str:
 @query("pipeline_staging", f"{chain('staged')} SELECT {_names(STAGED)} FROM staged")
 def pipeline_staging(spark, folder):
     """Exposure staging: four branches, all dimension roles, bands and overrides."""
-    return Job(spark, folder).staged().select(*STAGED)
+    return job_of(spark, folder).staged().select(*STAGED)
 
 
 @query("rules_flags", f"{chain('pa')} SELECT {_names((*DEAL, *FLAG_COLUMNS))} FROM pa")
 def rules_flags(spark, folder):
     """Pack A on staged exposures with their prior quarter."""
-    return Job(spark, folder).enriched().select(*DEAL, *FLAG_COLUMNS)
+    return job_of(spark, folder).enriched().select(*DEAL, *FLAG_COLUMNS)
 
 
 _CCF = ("b2_std_ccf", "b2_std_fully_adj_exp_ccf_0", "irb_orig_exp_pre_conv_ofbal", "std_orig_exp_pre_conv_ofbal", "std_orig_exp_pre_conv_onbal", "b2_std_orig_exp_pre_con_factor_exp")
@@ -88,13 +106,13 @@ _SPLIT = tuple(c for c in AMOUNT_COLUMNS if c not in _CCF)
 @query("rules_split_onoff", f"{chain('pb')} SELECT {_names((*DEAL, *_SPLIT))} FROM pb")
 def rules_split_onoff(spark, folder):
     """Pack B: on and off balance parts, provisions, numerators, accounting exposure."""
-    return Job(spark, folder).enriched().select(*DEAL, *_SPLIT)
+    return job_of(spark, folder).enriched().select(*DEAL, *_SPLIT)
 
 
 @query("rules_ccf_bucket", f"{chain('pb')} SELECT {_names((*DEAL, *_CCF))} FROM pb")
 def rules_ccf_bucket(spark, folder):
     """Pack B: conversion factor steps and original exposures."""
-    return Job(spark, folder).enriched().select(*DEAL, *_CCF)
+    return job_of(spark, folder).enriched().select(*DEAL, *_CCF)
 
 
 _MITIGANT_ROW = ("year_month", "reporting_regulator_code", "deal_id", "mitigant_id", "mitigant_type", "corep_crm_category", *MITIGANT_COLUMNS)
@@ -103,7 +121,7 @@ _MITIGANT_ROW = ("year_month", "reporting_regulator_code", "deal_id", "mitigant_
 @query("rules_mitigant", f"{chain('pc')} SELECT {_names(_MITIGANT_ROW)} FROM pc WHERE reporting_regulator_code IN ('UK-FSA', 'DE-BBK')")
 def rules_mitigant(spark, folder):
     """Pack C on sub-exposures of the reporting regulator and of one copy."""
-    rows = Job(spark, folder).mitigants().where(F.col("reporting_regulator_code").isin(K.UK, K.GERMANY))
+    rows = job_of(spark, folder).mitigants().where(F.col("reporting_regulator_code").isin(K.UK, K.GERMANY))
     return rows.select(*_MITIGANT_ROW)
 
 
@@ -120,7 +138,7 @@ _NOISY = "b2_std_coll_fx_haircut_amt_agg"
 )
 def rules_cap_allocate(spark, folder):
     """Mitigant totals per deal, caps, allocation and exposure values (packs C and D)."""
-    return Job(spark, folder).deals().select(*DEAL, *_CAPS).withColumn(_NOISY, F.round(_NOISY, 2))
+    return job_of(spark, folder).deals().select(*DEAL, *_CAPS).withColumn(_NOISY, F.round(_NOISY, 2))
 
 
 _SUPPORT = tuple(c for c in EXPOSURE_VALUE_COLUMNS if "pre_sprt" in c)
@@ -129,7 +147,7 @@ _SUPPORT = tuple(c for c in EXPOSURE_VALUE_COLUMNS if "pre_sprt" in c)
 @query("rules_support_factor", f"{chain('pd')} SELECT {_names((*DEAL, *_SUPPORT))} FROM pd")
 def rules_support_factor(spark, folder):
     """Support factors undone on the total, on and off balance amounts."""
-    return Job(spark, folder).deals().select(*DEAL, *_SUPPORT)
+    return job_of(spark, folder).deals().select(*DEAL, *_SUPPORT)
 
 
 @query(
@@ -138,7 +156,7 @@ def rules_support_factor(spark, folder):
 )
 def rules_risk_weight(spark, folder):
     """Risk weights and the final rules of pack F on exposures."""
-    rows = Job(spark, folder).mart().where(F.col("flow_type") == K.EXPOSURE)
+    rows = job_of(spark, folder).mart().where(F.col("flow_type") == K.EXPOSURE)
     return rows.select(*DEAL, "std_act_risk_weight", *FINAL_COLUMNS)
 
 
@@ -148,10 +166,8 @@ _INFLOW_ROW = (*DEAL, "mitigant_id", "mitigant_type", "risk_taker_rru", "risk_on
 @query("rules_inflow", f"{chain('pe')} SELECT {_names(_INFLOW_ROW)} FROM pe")
 def rules_inflow(spark, folder):
     """Pack E: protected parts as inflow rows."""
-    job = Job(spark, folder)
-    mitigants = job.mitigants()
-    deals = mart_plan.enrich_deals(job.enriched(), mitigant_totals(mitigants))
-    return mart_plan.inflow_rows(deals, mitigants).select(*_INFLOW_ROW)
+    job = job_of(spark, folder)
+    return mart_plan.inflow_rows(job.deals(), job.mitigants()).select(*_INFLOW_ROW)
 
 
 _MART_ROW = (
@@ -166,7 +182,7 @@ _MART_ROW = (
 @query("pipeline_mart", f"{chain('mart')} SELECT {_names(_MART_ROW)} FROM mart")
 def pipeline_mart(spark, folder):
     """The mart: exposures and inflow with all packs."""
-    return Job(spark, folder).mart().select(*_MART_ROW)
+    return job_of(spark, folder).mart().select(*_MART_ROW)
 
 
 # Keys of the two levels that the derived mart has.
@@ -189,7 +205,7 @@ _ROUNDED = ", ".join(f"round({m}, {_SCALE.get(m, 2)}) AS {m}" for m in K.AGGREGA
 @query("pipeline_agg_mart", f"{chain('mart')}, {_TWO_LEVELS} SELECT {_names(LEVEL_ONE)}, {_ROUNDED} FROM l1")
 def pipeline_agg_mart(spark, folder):
     """Aggregate mart and its coarser level, from the mart of the run."""
-    rows = Job(spark, folder).mart().where(equals("adjust_flag", "A"))
+    rows = job_of(spark, folder).mart().where(equals("adjust_flag", "A"))
     fine = agg.aggregate_mart(rows, (*LEVEL_ONE, *FINER))
     coarse = agg.aggregate_level_one(fine, LEVEL_ONE)
     return coarse.withColumns({m: F.round(m, _SCALE.get(m, 2)) for m in K.AGGREGATE_MEASURES})
@@ -211,7 +227,7 @@ _NEW_DEFAULT = """nd AS (SELECT *, CASE WHEN rwa_approach_code = 'STD' AND b2_st
 def quarter_default_amounts(spark, folder):
     """Amounts of new defaults per regulator, approach and class."""
     keys = ["reporting_regulator_code", "rwa_approach_code", "b2_irb_asset_class_reg_exposure_type"]
-    sums = quarter_plan.quarter_sums(Job(spark, folder).mart(), keys)
+    sums = quarter_plan.quarter_sums(job_of(spark, folder).mart(), keys)
     return sums.withColumns({c: F.round(c, 2) for c in quarter_plan.NEW_DEFAULT_AMOUNTS})
 
 
@@ -237,7 +253,7 @@ _PLAIN_KEYS = ", ".join(k for k in QUARTER_KEYS if k not in ("year_month", "risk
 )
 def pipeline_quarter(spark, folder):
     """Quarter aggregate: two months of the quarter, re-keyed units, merged into the target."""
-    job = Job(spark, folder)
+    job = job_of(spark, folder)
     mart = job.mart()
     rows = fan_out(mart, "year_month", (200106, 200107, 200108))
     roles = {"risk_taker_rru": "risk_taker_rru", "risk_on_rru": "risk_on_rru"}
@@ -377,7 +393,7 @@ SELECT 70 AS return_rk, row_id, column_id, reporting_regulator_code, risk_taker_
 @query("pipeline_return", _RETURN_SQL)
 def pipeline_return(spark, folder):
     """Return cells of both categories with totals and skeleton."""
-    job = Job(spark, folder)
+    job = job_of(spark, folder)
     mart = job.mart().withColumn("b2_std_coll_fx_haircut_amt", F.lit(None).cast("double"))
     rows = cells_plan.select_input(mart, job["asset_class"], job["dpm_parameter"], RUN_MONTH, RUN_DATE)
     cells = cells_plan.report_cells(cells_plan.measures_by_attributes(rows))

@@ -189,12 +189,15 @@ def inflow_rows(deals: DataFrame, sub_exposures: DataFrame) -> DataFrame:
     )
 
 
-def build_mart(exposures: DataFrame, sub_exposures: DataFrame) -> DataFrame:
-    """The mart of staged exposures (with prior-quarter columns) and sub-exposures."""
-    mitigants = add_mitigant_amounts(filled(sub_exposures, K.SUB_EXPOSURE_DEFAULTS))
-    deals = enrich_deals(enrich_exposures(exposures), mitigant_totals(mitigants))
+def unite_flows(deals: DataFrame, mitigants: DataFrame) -> DataFrame:
+    """Deals and their inflow rows as one layer, with pack F."""
     inflow = inflow_rows(deals, mitigants)
     internal = ~equals("rwa_approach_code", K.STD)
     shown = deals.withColumns({c: F.when(internal, z(c)).otherwise(F.lit(0.0)) for c in INTERNAL_TOTALS})
-    both = align_union(shown.drop("_plain_deal"), inflow, ZERO_ON_EXPOSURES)
-    return add_final_columns(both)
+    return add_final_columns(align_union(shown.drop("_plain_deal"), inflow, ZERO_ON_EXPOSURES))
+
+
+def build_mart(exposures: DataFrame, sub_exposures: DataFrame) -> DataFrame:
+    """The mart of staged exposures (with prior-quarter columns) and sub-exposures."""
+    mitigants = add_mitigant_amounts(filled(sub_exposures, K.SUB_EXPOSURE_DEFAULTS))
+    return unite_flows(enrich_deals(enrich_exposures(exposures), mitigant_totals(mitigants)), mitigants)

@@ -33,7 +33,12 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 def build_session(app_name: str = "tallyloom", master: str | None = None, **conf: str) -> SparkSession:
     """Build (or get) a session; ``conf`` uses underscores for dots."""
-    builder = SparkSession.builder.appName(app_name)
+    builder = SparkSession.builder.appName(app_name).config(
+        # Recording the Python call site of every column call costs more than
+        # building the plans of the wide layers.
+        "spark.python.sql.dataFrameDebugging.enabled",
+        "false",
+    )
     if master:
         builder = builder.master(master)
     for name, value in conf.items():
