@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.catalog.inputs import RUN_DATE, RUN_MONTH, JobInputs
@@ -23,41 +26,64 @@ from tallyloom.plans.flags import FLAG_COLUMNS
 from tallyloom.plans.inflow import INFLOW_COLUMNS
 from tallyloom.plans.mitigants import MITIGANT_COLUMNS, add_mitigant_amounts, mitigant_totals
 from tallyloom.plans.staging import stage_exposures, stage_sub_exposures
+from tallyloom.session import checkpoint_folder
+from tallyloom.sources.sinks import write_layer
 
 DEAL = ("year_month", "reporting_regulator_code", "deal_id")
+# Sums of doubles differ in their last digits with the order of rows. Both
+# sides round after the same small shift, so that an exact half in the last
+# kept digit cannot fall either way.
+NUDGE = 0.000001
+
+
+def rounded(df: DataFrame, names, scale: int = 2) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c) + F.lit(NUDGE), scale) for c in names})
+
+
+def rounded_sql(expression: str, scale: int = 2) -> str:
+    return f"round({expression} + CAST({NUDGE:.6f} AS DOUBLE), {scale})"
 
 
 class Job(JobInputs):
     """The layers of one run, each built from the one before it.
 
-    Layers are plans, not data: each is built once per session and folder.
+    A layer is written once per session and folder, under the shared
+    checkpoint folder, and later layers read it back, as the jobs of a
+    month-end run do.
     """
 
-    def staged(self):
-        return self.layer("_staged", lambda: stage_exposures(self, RUN_DATE, facts=self["facts"]))
+    def written(self, name: str, df: DataFrame) -> DataFrame:
+        path = f"{checkpoint_folder(self.spark).rstrip('/')}/{name}-{uuid4().hex}"
+        return write_layer(df, path, ["reporting_regulator_code"])
 
-    def with_prior(self):
-        previous = previous_quarter_key(F.to_date(F.lit(RUN_DATE)))
-        return mart_plan.with_prior_quarter(self.staged(), self["history"], previous)
+    def staging_plan(self):
+        return stage_exposures(self, RUN_DATE, facts=self["facts"])
+
+    def staged(self):
+        return self.layer("_staged", lambda: self.written("staged", self.staging_plan()))
 
     def subs(self):
-        return self.layer("_subs", lambda: stage_sub_exposures(self, RUN_DATE))
+        return self.layer("_subs", lambda: self.written("sub_exposures", stage_sub_exposures(self, RUN_DATE)))
 
     def mitigants(self):
-        return self.layer(
-            "_mitigants", lambda: add_mitigant_amounts(mart_plan.filled(self.subs(), K.SUB_EXPOSURE_DEFAULTS))
-        )
+        return add_mitigant_amounts(mart_plan.filled(self.subs(), K.SUB_EXPOSURE_DEFAULTS))
 
     def enriched(self):
-        return self.layer("_enriched", lambda: mart_plan.enrich_exposures(self.with_prior()))
+        previous = previous_quarter_key(F.to_date(F.lit(RUN_DATE)))
+        exposures = mart_plan.with_prior_quarter(self.staged(), self["history"], previous)
+        return self.layer("_enriched", lambda: mart_plan.enrich_exposures(exposures))
+
+    def deals_plan(self):
+        return mart_plan.enrich_deals(self.enriched(), mitigant_totals(self.mitigants()))
 
     def deals(self):
-        return self.layer(
-            "_deals", lambda: mart_plan.enrich_deals(self.enriched(), mitigant_totals(self.mitigants()))
-        )
+        return self.layer("_deals", lambda: self.written("deals", self.deals_plan()))
+
+    def mart_plan(self):
+        return mart_plan.unite_flows(self.deals(), self.mitigants())
 
     def mart(self):
-        return self.layer("_mart", lambda: mart_plan.unite_flows(self.deals(), self.mitigants()))
+        return self.layer("_mart", lambda: self.written("mart", self.mart_plan()))
 
 
 _JOBS: dict[tuple[str, str], Job] = {}
@@ -90,7 +116,7 @@ def _names(columns) -> str:
 @query("pipeline_staging", f"{chain('staged')} SELECT {_names(STAGED)} FROM staged")
 def pipeline_staging(spark, folder):
     """Exposure staging: four branches, all dimension roles, bands and overrides."""
-    return job_of(spark, folder).staged().select(*STAGED)
+    return job_of(spark, folder).staging_plan().select(*STAGED)
 
 
 @query("rules_flags", f"{chain('pa')} SELECT {_names((*DEAL, *FLAG_COLUMNS))} FROM pa")
@@ -138,7 +164,7 @@ _NOISY = "b2_std_coll_fx_haircut_amt_agg"
 )
 def rules_cap_allocate(spark, folder):
     """Mitigant totals per deal, caps, allocation and exposure values (packs C and D)."""
-    return job_of(spark, folder).deals().select(*DEAL, *_CAPS).withColumn(_NOISY, F.round(_NOISY, 2))
+    return job_of(spark, folder).deals_plan().select(*DEAL, *_CAPS).withColumn(_NOISY, F.round(_NOISY, 2))
 
 
 _SUPPORT = tuple(c for c in EXPOSURE_VALUE_COLUMNS if "pre_sprt" in c)
@@ -147,7 +173,7 @@ _SUPPORT = tuple(c for c in EXPOSURE_VALUE_COLUMNS if "pre_sprt" in c)
 @query("rules_support_factor", f"{chain('pd')} SELECT {_names((*DEAL, *_SUPPORT))} FROM pd")
 def rules_support_factor(spark, folder):
     """Support factors undone on the total, on and off balance amounts."""
-    return job_of(spark, folder).deals().select(*DEAL, *_SUPPORT)
+    return job_of(spark, folder).deals_plan().select(*DEAL, *_SUPPORT)
 
 
 @query(
@@ -182,7 +208,7 @@ _MART_ROW = (
 @query("pipeline_mart", f"{chain('mart')} SELECT {_names(_MART_ROW)} FROM mart")
 def pipeline_mart(spark, folder):
     """The mart: exposures and inflow with all packs."""
-    return job_of(spark, folder).mart().select(*_MART_ROW)
+    return job_of(spark, folder).mart_plan().select(*_MART_ROW)
 
 
 # Keys of the two levels that the derived mart has.
@@ -196,10 +222,9 @@ _ABSENT = (
 )
 LEVEL_ONE = tuple(k for k in agg.LEVEL_ONE_KEYS if k not in _ABSENT)
 FINER = tuple(k for k in agg.FINER_KEYS if k not in _ABSENT)
-_SCALE = {"ead_pd_numerator": 4}
 _TWO_LEVELS = f"""l0 AS (SELECT {_names((*LEVEL_ONE, *FINER))}, {', '.join(f'sum({m}) AS {m}' for m in K.AGGREGATE_MEASURES)} FROM mart WHERE adjust_flag = 'A' GROUP BY {_names((*LEVEL_ONE, *FINER))}),
 l1 AS (SELECT {_names(LEVEL_ONE)}, {', '.join(f'sum(coalesce({m}, 0)) AS {m}' for m in K.AGGREGATE_MEASURES)} FROM l0 GROUP BY {_names(LEVEL_ONE)})"""
-_ROUNDED = ", ".join(f"round({m}, {_SCALE.get(m, 2)}) AS {m}" for m in K.AGGREGATE_MEASURES)
+_ROUNDED = ", ".join(f"{rounded_sql(m)} AS {m}" for m in K.AGGREGATE_MEASURES)
 
 
 @query("pipeline_agg_mart", f"{chain('mart')}, {_TWO_LEVELS} SELECT {_names(LEVEL_ONE)}, {_ROUNDED} FROM l1")
@@ -208,7 +233,7 @@ def pipeline_agg_mart(spark, folder):
     rows = job_of(spark, folder).mart().where(equals("adjust_flag", "A"))
     fine = agg.aggregate_mart(rows, (*LEVEL_ONE, *FINER))
     coarse = agg.aggregate_level_one(fine, LEVEL_ONE)
-    return coarse.withColumns({m: F.round(m, _SCALE.get(m, 2)) for m in K.AGGREGATE_MEASURES})
+    return rounded(coarse, K.AGGREGATE_MEASURES)
 
 
 _NEW_DEFAULT = """nd AS (SELECT *, CASE WHEN rwa_approach_code = 'STD' AND b2_std_obsrvd_new_default_flag = 'Y' THEN coalesce(b2_std_exposure_value, 0) + coalesce(b2_std_fully_adj_exp_ccf_50, 0) * 0.5
@@ -222,13 +247,13 @@ _NEW_DEFAULT = """nd AS (SELECT *, CASE WHEN rwa_approach_code = 'STD' AND b2_st
 @query(
     "quarter_default_amounts",
     f"""{chain('mart')}, {_NEW_DEFAULT} SELECT reporting_regulator_code, rwa_approach_code, b2_irb_asset_class_reg_exposure_type,
-    round(sum(exp_amt), 2) AS obsrvd_new_default_exp_amt, round(sum(adj_amt), 2) AS obsrvd_new_default_cr_adj FROM nd GROUP BY ALL""",
+    {rounded_sql('sum(exp_amt)')} AS obsrvd_new_default_exp_amt, {rounded_sql('sum(adj_amt)')} AS obsrvd_new_default_cr_adj FROM nd GROUP BY ALL""",
 )
 def quarter_default_amounts(spark, folder):
     """Amounts of new defaults per regulator, approach and class."""
     keys = ["reporting_regulator_code", "rwa_approach_code", "b2_irb_asset_class_reg_exposure_type"]
     sums = quarter_plan.quarter_sums(job_of(spark, folder).mart(), keys)
-    return sums.withColumns({c: F.round(c, 2) for c in quarter_plan.NEW_DEFAULT_AMOUNTS})
+    return rounded(sums, quarter_plan.NEW_DEFAULT_AMOUNTS)
 
 
 QUARTER_KEYS = ("year_month", "reporting_regulator_code", "risk_taker_rru", "risk_on_rru", "corep_std_asset_class_rk", "rwa_approach_code", "basel_data_flag", "sme_flag", "division")
@@ -248,7 +273,7 @@ _PLAIN_KEYS = ", ".join(k for k in QUARTER_KEYS if k not in ("year_month", "risk
       FROM sums LEFT JOIN um t ON risk_taker_rru = t.old_key LEFT JOIN um w ON risk_on_rru = w.old_key WHERE year_month <> 200108),
     src AS (SELECT {_QK}, sum(e) AS e, sum(a) AS a FROM both_parts GROUP BY {_QK}),
     tgt AS (SELECT DISTINCT {_QK} FROM mart)
-    SELECT {', '.join(f'CASE WHEN t.is_target THEN t.{k} ELSE s.{k} END AS {k}' for k in QUARTER_KEYS)}, round(s.e, 2) AS obsrvd_new_default_exp_amt, round(s.a, 2) AS obsrvd_new_default_cr_adj
+    SELECT {', '.join(f'CASE WHEN t.is_target THEN t.{k} ELSE s.{k} END AS {k}' for k in QUARTER_KEYS)}, {rounded_sql('s.e')} AS obsrvd_new_default_exp_amt, {rounded_sql('s.a')} AS obsrvd_new_default_cr_adj
     FROM (SELECT *, true AS is_target FROM tgt) t FULL JOIN src s ON {' AND '.join(f't.{k} IS NOT DISTINCT FROM s.{k}' for k in QUARTER_KEYS)}""",
 )
 def pipeline_quarter(spark, folder):
@@ -268,7 +293,7 @@ def pipeline_quarter(spark, folder):
     empty = {c: F.lit(None).cast("double") for c in quarter_plan.NEW_DEFAULT_AMOUNTS}
     target = mart.select(*QUARTER_KEYS).distinct().withColumns(empty)
     merged = quarter_plan.merge_quarter(target, quarter, QUARTER_KEYS)
-    return merged.withColumns({c: F.round(c, 2) for c in quarter_plan.NEW_DEFAULT_AMOUNTS})
+    return rounded(merged, quarter_plan.NEW_DEFAULT_AMOUNTS)
 
 
 def _z(c: str) -> str:
@@ -379,8 +404,8 @@ mapped AS (SELECT c.*, g.risk_taker_group, g.reporting_desc FROM long_cells c JO
   WHERE g.risk_taker_ll_rru NOT LIKE '%DECON%' AND g.risk_taker_group IS NOT NULL),
 chosen AS (SELECT 'INTRA' AS reportable_category, * FROM mapped WHERE reporting_desc = 'Inter Group' AND coalesce(ig_exclusion_flag, 'N') <> 'Y' AND reporting_regulator_code IN ('UK-FSA', 'CBI', 'NL-DNB')
   UNION ALL SELECT 'ALL', * FROM mapped WHERE reporting_desc = 'External' OR (reporting_desc = 'Inter Group' AND coalesce(ig_exclusion_flag, 'N') <> 'Y' AND reporting_regulator_code IN ('UK-FSA', 'CBI', 'NL-DNB'))),
-cells AS (SELECT year_month, reporting_regulator_code, risk_taker_group, reportable_category, row_id, column_id, sheet_id, round(sum(value), 2) AS value, CAST(NULL AS VARCHAR) AS for_adjust_flag FROM chosen GROUP BY ALL
-  UNION ALL SELECT year_month, reporting_regulator_code, risk_taker_group, reportable_category, row_id, column_id, 'STD0001', round(sum(value), 2), NULL FROM chosen GROUP BY ALL
+cells AS (SELECT year_month, reporting_regulator_code, risk_taker_group, reportable_category, row_id, column_id, sheet_id, {rounded_sql('sum(value)')} AS value, CAST(NULL AS VARCHAR) AS for_adjust_flag FROM chosen GROUP BY ALL
+  UNION ALL SELECT year_month, reporting_regulator_code, risk_taker_group, reportable_category, row_id, column_id, 'STD0001', {rounded_sql('sum(value)')}, NULL FROM chosen GROUP BY ALL
   UNION ALL SELECT 200108, t.reporting_regulator_code, e.member_code, k.category, t.row_id, t.column_id, s.member_code, CASE WHEN t.appl_data_point_flag = 'Y' THEN 0.0 END, 'A'
   FROM template_cells t, members r, members e, sheets s, returns x, templates tm, dpm_parameter p, (VALUES ('INTRA'), ('ALL')) AS k(category)
   WHERE x.return_rk = 70 AND x.template_rk = tm.template_rk AND tm.template_rk = t.template_rk AND x.return_code = 'C 07.00' AND t.reporting_regulator_code = 'UK-FSA' AND t.reporting_regulator_code = r.member_code AND t.year_month_rk = 200108
@@ -397,7 +422,7 @@ def pipeline_return(spark, folder):
     mart = job.mart().withColumn("b2_std_coll_fx_haircut_amt", F.lit(None).cast("double"))
     rows = cells_plan.select_input(mart, job["asset_class"], job["dpm_parameter"], RUN_MONTH, RUN_DATE)
     cells = cells_plan.report_cells(cells_plan.measures_by_attributes(rows))
-    entities = cells_plan.entity_cells(cells, job["group_map"]).withColumn("value", F.round("value", 2))
+    entities = rounded(cells_plan.entity_cells(cells, job["group_map"]), ["value"])
     skeleton = cells_plan.cell_skeleton(
         job["template_cells"], job["members"], job["sheets"], job["domains"], job["dpm_parameter"], job["returns"], job["templates"],
         70, "C 07.00", RUN_MONTH, RUN_DATE,

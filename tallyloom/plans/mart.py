@@ -7,6 +7,8 @@ columns of the frame that already holds their inputs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -197,7 +199,11 @@ def unite_flows(deals: DataFrame, mitigants: DataFrame) -> DataFrame:
     return add_final_columns(align_union(shown.drop("_plain_deal"), inflow, ZERO_ON_EXPOSURES))
 
 
-def build_mart(exposures: DataFrame, sub_exposures: DataFrame) -> DataFrame:
-    """The mart of staged exposures (with prior-quarter columns) and sub-exposures."""
+def build_mart(exposures: DataFrame, sub_exposures: DataFrame, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The mart of staged exposures (with prior-quarter columns) and sub-exposures.
+
+    The deals feed both flows; ``keep`` may write them as a layer in between.
+    """
     mitigants = add_mitigant_amounts(filled(sub_exposures, K.SUB_EXPOSURE_DEFAULTS))
-    return unite_flows(enrich_deals(enrich_exposures(exposures), mitigant_totals(mitigants)), mitigants)
+    deals = enrich_deals(enrich_exposures(exposures), mitigant_totals(mitigants))
+    return unite_flows(keep(deals) if keep else deals, mitigants)

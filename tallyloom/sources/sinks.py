@@ -24,6 +24,16 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], cluster: bool
     )
 
 
+def write_layer(df: DataFrame, path: str, by: Sequence[str]) -> DataFrame:
+    """Write a layer and continue from what was written.
+
+    Later steps then start from files on shared storage: a lost executor costs
+    a rescan of its split, not the chain of joins behind the layer.
+    """
+    write_partitioned(df, path, by)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def insert_overwrite(df: DataFrame, table: str) -> None:
     """Replace the written partitions of a table, matching columns by name."""
     spark = df.sparkSession
