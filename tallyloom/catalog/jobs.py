@@ -13,7 +13,6 @@ from tallyloom.catalog.registry import query
 from tallyloom.functions import codes as K
 from tallyloom.functions.columns import equals
 from tallyloom.functions.periods import previous_quarter_key
-from tallyloom.operators.aggregates import group_sum
 from tallyloom.operators.joins import fan_out
 from tallyloom.plans import aggregate_mart as agg
 from tallyloom.plans import mart as mart_plan

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.catalog.inputs import derive
 from tallyloom.catalog.registry import query
-from tallyloom.catalog.rows import MONTHLY_ORDERS, VERSIONS, plain
+from tallyloom.catalog.rows import VERSIONS, plain
 from tallyloom.functions import periods
 from tallyloom.functions.columns import equals, without_prefix
 from tallyloom.operators import joins

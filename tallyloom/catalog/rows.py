@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyloom.catalog.inputs import INPUTS, RUN_DATE, derive, values
+from tallyloom.catalog.inputs import INPUTS, RUN_DATE, derive
 from tallyloom.catalog.registry import query
 from tallyloom.functions import codes as K
 from tallyloom.functions import periods
@@ -18,10 +18,9 @@ from tallyloom.functions.columns import (
     is_blank,
     one_of,
     pick,
-    text,
     z,
 )
-from tallyloom.operators.filters import RegimeColumns, is_valid_on, latest_snapshot, regime_value, valid_on
+from tallyloom.operators.filters import RegimeColumns, is_valid_on, latest_snapshot, regime_value
 from tallyloom.operators.joins import lookup
 from tallyloom.operators.setops import align_union
 from tallyloom.plans.staging import DUTCH_RULES, IRISH_RULES, OTHER_RULES, UK_RULES, basel_rules

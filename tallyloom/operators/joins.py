@@ -12,7 +12,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.columns import column
 from tallyloom.operators.filters import valid_on
 from tallyloom.operators.sizing import broadcast_if_small, fits_broadcast
 

@@ -11,7 +11,6 @@ from tallyloom.functions.columns import (
     equals,
     first_match,
     limited_to,
-    one_of,
     pick,
     pro_rata,
     support_divisor,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import codes as K
-from tallyloom.functions.columns import amount_if, equals, factor_or_one, first_match, one_of, z
+from tallyloom.functions.columns import amount_if, equals, one_of, z
 from tallyloom.plans.amounts import internal_on_balance
 from tallyloom.plans.exposures import support_factor
 from tallyloom.plans.flags import counterparty_sector

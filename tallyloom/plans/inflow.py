@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import codes as K
-from tallyloom.functions.columns import amount_if, equals, first_match, limited_to, pro_rata, support_divisor, text, z
+from tallyloom.functions.columns import amount_if, equals, first_match, limited_to, pro_rata, support_divisor, z
 from tallyloom.plans.exposures import actual_risk_weight, by_conversion_factor
 
 # --- fixed values: deal attributes an inflow row takes, with their defaults --

@@ -22,7 +22,6 @@ from tallyloom.plans.final import add_final_columns
 from tallyloom.plans.flags import add_flags
 from tallyloom.plans.inflow import DEAL_ATTRIBUTE_DEFAULTS, add_inflow_values
 from tallyloom.plans.mitigants import (
-    DEAL_KEYS,
     MITIGANT_TOTALS,
     add_deal_caps,
     add_mitigant_amounts,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -36,8 +36,7 @@ def write_layer(df: DataFrame, path: str, by: Sequence[str]) -> DataFrame:
 
 def insert_overwrite(df: DataFrame, table: str) -> None:
     """Replace the written partitions of a table, matching columns by name."""
-    spark = df.sparkSession
-    target = [f.name for f in spark.table(table).schema.fields]
+    target = [f.name for f in df.sparkSession.table(table).schema.fields]
     have = {c.lower(): c for c in df.columns}
     missing = [c for c in target if c.lower() not in have]
     extra = set(have) - {c.lower() for c in target}
