@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyloom.catalog.inputs import INPUTS, RUN_DATE, derive
+from tallyloom.catalog.inputs import INPUTS, ORACLE_FAN, RUN_DATE, derive
 from tallyloom.catalog.registry import query
 from tallyloom.functions import codes as K
 from tallyloom.functions import periods
@@ -27,10 +27,11 @@ from tallyloom.plans.staging import DUTCH_RULES, IRISH_RULES, OTHER_RULES, UK_RU
 from tallyloom.sources.tables import literal_rows, parameter_month, parameter_value, scan, table
 
 # Three versions per customer, with a one-day gap and an open end.
-VERSIONS = """SELECT c_custkey, c_nationkey, v.version, v.valid_from_date, v.valid_to_date,
-    CASE v.version WHEN 1 THEN c_mktsegment ELSE c_mktsegment || ' V' || CAST(v.version AS STRING) END AS segment
-    FROM {customer} CROSS JOIN (VALUES (1, DATE '1995-01-01', DATE '1997-06-30'), (2, DATE '1997-07-01', DATE '1999-01-01'),
-    (3, DATE '1999-01-01', DATE '9999-12-31')) AS v(version, valid_from_date, valid_to_date)"""
+VERSIONS = """SELECT c_custkey, c_nationkey, version,
+    CASE version WHEN 1 THEN DATE '1995-01-01' WHEN 2 THEN DATE '1997-07-01' ELSE DATE '1999-01-01' END AS valid_from_date,
+    CASE version WHEN 1 THEN DATE '1997-06-30' WHEN 2 THEN DATE '1999-01-01' ELSE DATE '9999-12-31' END AS valid_to_date,
+    CASE version WHEN 1 THEN c_mktsegment ELSE c_mktsegment || ' V' || CAST(version AS STRING) END AS segment
+    FROM (SELECT c_custkey, c_nationkey, c_mktsegment, {fan}(1, 2, 3)) AS version FROM {customer}) AS v"""
 
 MONTHLY_ORDERS = """SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, o_orderpriority, CAST(o_orderdate AS DATE) AS order_date,
     CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INT) AS year_month,
@@ -40,7 +41,7 @@ MONTHLY_ORDERS = """SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, o
 def plain(text_: str) -> str:
     """A shared text with plain table names, for the oracle."""
     names = ("orders", "lineitem", "customer", "nation", "part", "supplier", "region", "events", "documents")
-    return text_.format(**{n: n for n in names})
+    return text_.format(**{n: n for n in names}, fan=ORACLE_FAN)
 
 
 @query(
@@ -89,9 +90,8 @@ def scalar_param_lookup(spark, folder):
     CAST(o_orderdate AS DATE) <= DATE '2001-06-30' AS before_quarter_end FROM orders""",
 )
 def run_vars_crossjoin(spark, folder):
-    variables = periods.run_variables(spark, RUN_DATE)
     orders = table(spark, folder, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
-    return orders.crossJoin(F.broadcast(variables)).select(
+    return orders.withColumns(periods.run_variables(RUN_DATE)).select(
         "o_orderkey",
         "run_month",
         "run_day",

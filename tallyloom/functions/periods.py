@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.columns import ColumnOrName, column
@@ -84,11 +84,14 @@ def calendar_from_months(months: DataFrame, key: str = "year_month") -> DataFram
     )
 
 
-def run_variables(spark: SparkSession, reporting_date: str) -> DataFrame:
-    """One row with the month key, day key and date of a run."""
+def run_variables(reporting_date: str) -> dict[str, Column]:
+    """Month key, day key and date of a run, as columns for ``withColumns``.
+
+    They fold to literals, so no one-row table is joined.
+    """
     d = F.to_date(F.lit(reporting_date))
-    return spark.range(1).select(
-        month_key(d).alias("run_month"),
-        F.date_format(d, "yyyyMMdd").cast("int").alias("run_day"),
-        d.alias("run_date"),
-    )
+    return {
+        "run_month": month_key(d),
+        "run_day": F.date_format(d, "yyyyMMdd").cast("int"),
+        "run_date": d,
+    }

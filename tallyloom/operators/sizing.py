@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,9 @@ BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 
 
 def planned_bytes(df: DataFrame) -> int:
-    """Size of a frame as the optimizer estimates it (huge where unknown)."""
+    """Size of a frame as the optimizer estimates it; unknown counts as too large."""
+    if not hasattr(df, "_jdf"):
+        return sys.maxsize
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
