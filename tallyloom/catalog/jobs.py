@@ -112,8 +112,8 @@ def _names(columns) -> str:
     return ", ".join(dict.fromkeys(columns))
 
 
-@query("pipeline_staging", f"{chain('staged')} SELECT {_names(STAGED)} FROM staged")
-def pipeline_staging(spark, folder):
+@query("job_staging", f"{chain('staged')} SELECT {_names(STAGED)} FROM staged")
+def job_staging(spark, folder):
     """Exposure staging: four branches, all dimension roles, bands and overrides."""
     return job_of(spark, folder).staging_plan().select(*STAGED)
 
@@ -204,8 +204,8 @@ _MART_ROW = (
 )
 
 
-@query("pipeline_mart", f"{chain('mart')} SELECT {_names(_MART_ROW)} FROM mart")
-def pipeline_mart(spark, folder):
+@query("job_mart", f"{chain('mart')} SELECT {_names(_MART_ROW)} FROM mart")
+def job_mart(spark, folder):
     """The mart: exposures and inflow with all packs."""
     return job_of(spark, folder).mart_plan().select(*_MART_ROW)
 
@@ -226,8 +226,8 @@ l1 AS (SELECT {_names(LEVEL_ONE)}, {', '.join(f'sum(coalesce({m}, 0)) AS {m}' fo
 _ROUNDED = ", ".join(f"{rounded_sql(m)} AS {m}" for m in K.AGGREGATE_MEASURES)
 
 
-@query("pipeline_agg_mart", f"{chain('mart')}, {_TWO_LEVELS} SELECT {_names(LEVEL_ONE)}, {_ROUNDED} FROM l1")
-def pipeline_agg_mart(spark, folder):
+@query("job_agg_mart", f"{chain('mart')}, {_TWO_LEVELS} SELECT {_names(LEVEL_ONE)}, {_ROUNDED} FROM l1")
+def job_agg_mart(spark, folder):
     """Aggregate mart and its coarser level, from the mart of the run."""
     rows = job_of(spark, folder).mart().where(equals("adjust_flag", "A"))
     fine = agg.aggregate_mart(rows, (*LEVEL_ONE, *FINER))
@@ -261,7 +261,7 @@ _PLAIN_KEYS = ", ".join(k for k in QUARTER_KEYS if k not in ("year_month", "risk
 
 
 @query(
-    "pipeline_quarter",
+    "job_quarter",
     f"""{chain('mart', ('unit_versions',))}, {_NEW_DEFAULT},
     months AS (SELECT nd.* REPLACE (m.k AS year_month) FROM nd CROSS JOIN (VALUES (200106), (200107), (200108)) AS m(k) WHERE m.k IN (200107, 200108)),
     sums AS (SELECT {_QK}, sum(exp_amt) AS e, sum(adj_amt) AS a FROM months GROUP BY {_QK}),
@@ -275,7 +275,7 @@ _PLAIN_KEYS = ", ".join(k for k in QUARTER_KEYS if k not in ("year_month", "risk
     SELECT {', '.join(f'CASE WHEN t.is_target THEN t.{k} ELSE s.{k} END AS {k}' for k in QUARTER_KEYS)}, {rounded_sql('s.e')} AS obsrvd_new_default_exp_amt, {rounded_sql('s.a')} AS obsrvd_new_default_cr_adj
     FROM (SELECT *, true AS is_target FROM tgt) t FULL JOIN src s ON {' AND '.join(f't.{k} IS NOT DISTINCT FROM s.{k}' for k in QUARTER_KEYS)}""",
 )
-def pipeline_quarter(spark, folder):
+def job_quarter(spark, folder):
     """Quarter aggregate: two months of the quarter, re-keyed units, merged into the target."""
     job = job_of(spark, folder)
     mart = job.mart()
@@ -414,8 +414,8 @@ SELECT 70 AS return_rk, row_id, column_id, reporting_regulator_code, risk_taker_
   CAST(NULL AS VARCHAR) AS division, CAST(NULL AS VARCHAR) AS appl_data_point_flag, CAST(NULL AS VARCHAR) AS extract_row_id, year_month AS year_month_rk, 'C 07.00' AS return_code FROM cells"""
 
 
-@query("pipeline_return", _RETURN_SQL)
-def pipeline_return(spark, folder):
+@query("job_return", _RETURN_SQL)
+def job_return(spark, folder):
     """Return cells of both categories with totals and skeleton."""
     job = job_of(spark, folder)
     mart = job.mart().withColumn("b2_std_coll_fx_haircut_amt", F.lit(None).cast("double"))
