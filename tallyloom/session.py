@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings only: each can be set on a session that already exists.
 RUNTIME_SETTINGS = {
@@ -64,3 +66,43 @@ def checkpoint_folder(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="tallyloom-")
     context.setCheckpointDir(folder)
     return folder
+
+
+# Folders of intermediate tables, by application id: (session, path).
+_SCRATCH: dict[str, list[tuple[SparkSession, str]]] = {}
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new folder for one intermediate table, removed by ``drop_scratch``."""
+    path = f"{checkpoint_folder(spark).rstrip('/')}/{label}-{uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append((spark, path))
+    return path
+
+
+def scratch_table(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    This cuts the lineage: a lost executor costs a rescan of the files, not
+    the work behind them.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this application."""
+    for session, path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        target = session._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(session._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@atexit.register
+def _drop_all_scratch() -> None:
+    for tables in list(_SCRATCH.values()):
+        session = tables[0][0]
+        if session.sparkContext._jsc is not None:
+            try:
+                drop_scratch(session)
+            except Exception:  # noqa: BLE001  the session may be gone already
+                return
