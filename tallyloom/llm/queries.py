@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import exact_dedup, pii, secrets
+from tallyloom.llm import exact_dedup, language_id, line_dedup, mixing, pii, quality, secrets, toxicity
+from tallyloom.llm.language_id import held_out
 from tallyloom.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +127,60 @@ SELECT doc_id, keep_id, group_size, keep_id = doc_id AS kept, text_sha256 FROM p
 @query("op10_exact_dedup", OP10_SQL)
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.in_two_batches(table(spark, folder, "documents")).drop("in_snapshot")
+
+
+def _labelled(spark: SparkSession, folder: str, label: str) -> DataFrame:
+    """Rows that labels may be learned from."""
+    documents = table(spark, folder, "documents").where(~held_out(table(spark, folder, "documents"), 3, 1)).select("doc_id", "text")
+    return documents.join(table(spark, folder, "labels").where(F.col(label).isNotNull()).select("doc_id", label), "doc_id")
+
+
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = language_id.learn(documents.where(~held_out(documents)))
+    predicted = language_id.predict(documents, model)
+    return predicted.withColumn("held_out", held_out(predicted))
+
+
+OP3_SQL = r"""
+WITH s AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w FROM s GROUP BY source),
+room AS (SELECT *, CAST(sum(source_size) OVER () AS DOUBLE) * 1.5 AS pool,
+    CAST(sum(source_size) OVER () AS DOUBLE) * 1.5 - coalesce(sum(2 * source_size) OVER before, 0) AS rest,
+    sum(w) OVER (ORDER BY CAST(source_size AS DOUBLE) / w, coalesce('=' || source, '') ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS sharing
+    FROM src WINDOW before AS (ORDER BY CAST(source_size AS DOUBLE) / w, coalesce('=' || source, '') ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+filled AS (SELECT *, w * rest > 2 * source_size * sharing AS is_full FROM room),
+aims AS (SELECT source, source_size, CASE WHEN is_full THEN CAST(2 * source_size AS DOUBLE)
+    ELSE (pool - coalesce(sum(2 * source_size) FILTER (is_full) OVER (), 0)) * w / sum(w) FILTER (NOT is_full) OVER () END AS target FROM filled),
+placed AS (SELECT s.doc_id, s.size, a.source_size, a.target, CAST(floor(a.target + 0.5) AS BIGINT) AS goal,
+    CAST(sum(s.size) OVER (PARTITION BY s.source ORDER BY md5(CAST(s.doc_id AS VARCHAR)), s.doc_id, s.size ROWS UNBOUNDED PRECEDING) AS BIGINT) - s.size AS first
+    FROM s JOIN aims a ON s.source IS NOT DISTINCT FROM a.source)
+SELECT doc_id, size, source_size, target, CAST(greatest(least(goal - first, size), 0) + greatest(least(goal - first - source_size, size), 0) AS BIGINT) AS taken
+FROM placed
+"""
+
+
+@query("op3_mixing", OP3_SQL)
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op5_quality")
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    scored = quality.score(documents, quality.learn(_labelled(spark, folder, "quality")))
+    return scored.withColumn("held_out", held_out(scored, 3, 1))
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    scored = toxicity.score(documents, toxicity.learn(_labelled(spark, folder, "toxic")))
+    return scored.withColumn("held_out", held_out(scored, 3, 1))
+
+
+@query("op8_line_dedup")
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.removals(table(spark, folder, "documents"))
