@@ -51,13 +51,13 @@ def dictionary_bytes(texts: Sequence[str], bound: SampleBound) -> bytes:
 class Sizer:
     """Compressed sizes of a text under several dictionaries; None is no dictionary."""
 
-    def __init__(self, dictionaries: Sequence[bytes | None]):
+    def __init__(self, dictionaries: Sequence[bytes | None], level: int = LEVEL):
         self.compressors = []
         for raw in dictionaries:
-            options = {"level": LEVEL, "write_checksum": False, "write_content_size": False, "write_dict_id": False}
+            options = {"level": level, "write_checksum": False, "write_content_size": False, "write_dict_id": False}
             if raw:
                 loaded = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                loaded.precompute_compress(level=LEVEL)
+                loaded.precompute_compress(level=level)
                 options["dict_data"] = loaded
             self.compressors.append(zstandard.ZstdCompressor(**options))
 

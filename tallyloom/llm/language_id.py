@@ -2,17 +2,22 @@
 
 Each language has a dictionary of raw text from a bounded sample of labelled
 rows (``SampleBound``). A text is compressed under each; the smallest total
-names the language. The margin to the second smallest gives the score, and a
+names the language. Texts and dictionaries are reduced to lower-case letters
+with single spaces first, so that capitals, digits and punctuation do not hide
+the words. The margin to the second smallest total gives the score, and a
 margin below ``min_margin`` marks the answer as rejected.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0;
-ties go to the language that sorts first; with one language learned every text
-with a letter has it; with none every text is ``und``; repeated rows are
-answered each; an empty table gives no rows.
+ties (very short texts) go to the language with more labelled rows, then to the
+one that sorts first; with one language learned every text with a letter has
+it; with none every text is ``und``; repeated rows are answered each; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,13 +25,20 @@ from pyspark.sql import functions as F
 from tallyloom.llm.compression import SampleBound, Sizer, bounded_sample, dictionary_bytes, texts_of
 
 UNKNOWN = "und"
-BOUND = SampleBound(rows=300, characters=800, bytes=131072)
+BOUND = SampleBound(rows=300, characters=800, bytes=65536)
+LEVEL = 6
+NO_LETTER = re.compile(r"[\W\d_]+")
 # Share of the best size by which the second must be larger.
 MIN_MARGIN = 0.02
 
 
+def letters(text: str) -> str:
+    """Lower-case letters of a text, its words between single spaces."""
+    return f" {NO_LETTER.sub(' ', text.lower())} "
+
+
 def learn(rows: DataFrame, bound: SampleBound = BOUND) -> dict[str, bytes]:
-    """Dictionary of each language from rows (doc_id, text, lang).
+    """Dictionary of each language from rows (doc_id, text, lang), the frequent ones first.
 
     What comes to the driver is bounded by the number of languages.
     """
@@ -36,7 +48,9 @@ def learn(rows: DataFrame, bound: SampleBound = BOUND) -> dict[str, bytes]:
     sample: dict[str, list] = {}
     for row in bounded_sample(labelled, "lang", F.struct("order", "text"), bound).select("lang", "place", "text").collect():
         sample.setdefault(row.lang, []).append((row.place, row.text))
-    return {lang: dictionary_bytes([t for _, t in sorted(found)], bound) for lang, found in sorted(sample.items())}
+    often = {row.lang: row["count"] for row in labelled.groupBy("lang").count().collect()}
+    order = sorted(sample, key=lambda lang: (-often[lang], lang))
+    return {lang: dictionary_bytes([letters(t) for _, t in sorted(sample[lang])], bound) for lang in order}
 
 
 def predict(documents: DataFrame, model: dict[str, bytes], min_margin: float = MIN_MARGIN) -> DataFrame:
@@ -47,13 +61,13 @@ def predict(documents: DataFrame, model: dict[str, bytes], min_margin: float = M
     def answer(sizer, text):
         if text is None or not languages or not any(c.isalpha() for c in text):
             return UNKNOWN, 0.0, True
-        sizes, _ = sizer.sizes(text)
+        sizes, _ = sizer.sizes(letters(text))
         best, *rest = sorted((size, k) for k, size in enumerate(sizes))
         margin = (rest[0][0] - best[0]) / best[0] if rest else 1.0
         return languages[best[1]], margin / (margin + MIN_MARGIN) if margin else 0.0, margin < min_margin
 
     def run(batches):
-        sizer = Sizer(shared.value)
+        sizer = Sizer(shared.value, LEVEL)
         for batch in batches:
             found = [answer(sizer, text) for text in texts_of(batch["text"])]
             lang, score, rejected = zip(*found) if found else ((), (), ())
