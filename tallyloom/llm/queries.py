@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import exact_dedup, language_id, line_dedup, mixing, pii, quality, secrets, toxicity
+from tallyloom.llm import exact_dedup, language_id, line_dedup, mixing, ngram_join, pii, quality, secrets, toxicity
 from tallyloom.llm.language_id import held_out
 from tallyloom.sources.tables import table
 
@@ -184,3 +184,8 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_line_dedup")
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.removals(table(spark, folder, "documents"))
+
+
+@query("op1_ngram_join")
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, folder, "documents"))
