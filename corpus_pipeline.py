@@ -1,4 +1,71 @@
-STAGES = []
+"""Training-data pipeline over ``documents``: five stages, each on all that the one before kept.
+
+1. quality classifier: documents it rejects go;
+2. exact duplicates: the longest of equal texts stays;
+3. n-gram Jaccard join: the smallest id of each group of near copies stays;
+4. benchmark decontamination: documents that hold a benchmark item go;
+5. mixing: one row per reading of a document, in training order.
+
+A stage's result is written and read back, so a lost executor costs no earlier
+stage. Ids to be dropped are broadcast only up to a checked size.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyloom.llm import decontamination, exact_dedup, mixing, ngram_join, quality
+from tallyloom.llm.compression import sampled_labels, with_texts
+from tallyloom.llm.language_id import held_out
+from tallyloom.operators.sizing import broadcast_if_small
+from tallyloom.session import scratch_table
+from tallyloom.sources.tables import table
+
+
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    return docs.join(broadcast_if_small(scratch_table(dropped.select("doc_id").distinct(), "dropped")), "doc_id", "left_anti").select(*docs.columns)
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The model learns from the labelled rows of the whole table, but for the held-out third."""
+    labels = table(spark, sf_dir, "labels")
+    labels = labels.where(~held_out(labels, 3, 1))
+    sample = with_texts(table(spark, sf_dir, "documents"), sampled_labels(labels, "quality", quality.sample_rows()))
+    share = labels.where(F.col("quality").isin(0, 1)).agg(F.avg("quality")).first()[0]
+    return quality.accepted(docs, quality.learn(sample, share=share))
+
+
+def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.kept_documents(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _without(docs, ngram_join.near_duplicates(docs).where("component_id <> doc_id"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _without(docs, decontamination.leaks(docs, table(spark, sf_dir, "benchmark")))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.training_order(mixing.mix(docs))
+
+
+STAGES = [
+    ("quality", quality_filter),
+    ("exact_dedup", exact_duplicates),
+    ("ngram_join", near_duplicates),
+    ("decontamination", decontaminate),
+    ("mixing", mix),
+]
+
+# Compression and singular vectors have no SQL form; tests hold the stages against plain versions.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = scratch_table(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -42,6 +42,21 @@ def bounded_sample(rows: DataFrame, label: str, order: Column, bound: SampleBoun
     return rows.withColumn("place", place).where(F.col("place") <= bound.rows)
 
 
+def sampled_labels(labels: DataFrame, label: str, rows: int) -> DataFrame:
+    """(doc_id, label) of at most ``rows`` rows of each label 0 and 1.
+
+    Ids are sampled before any text is read, so that only the sampled texts
+    are moved.
+    """
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", label)
+    return bounded_sample(known, label, F.struct(F.xxhash64("doc_id"), "doc_id"), SampleBound(rows=rows)).drop("place")
+
+
+def with_texts(documents: DataFrame, sample: DataFrame) -> DataFrame:
+    """The sampled rows with their texts; the sample is bounded, so it is broadcast."""
+    return documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+
+
 def dictionary_bytes(texts: Sequence[str], bound: SampleBound) -> bytes:
     """Raw content of one dictionary; what comes last is found cheapest."""
     raw = "\n".join(t[: bound.characters] for t in texts).encode("utf-8", "surrogatepass")

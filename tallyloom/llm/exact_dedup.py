@@ -288,3 +288,14 @@ def in_two_batches(documents: DataFrame) -> DataFrame:
     """
     half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
     return exact_dedup(documents.where(half == 1), documents.where(half == 0))
+
+
+def kept_documents(documents: DataFrame) -> DataFrame:
+    """The rows, whole, that stay; of rows with equal id and text, one."""
+    found = scratch_table(in_two_batches(documents).where("group_size > 1").select("doc_id", "kept"), "decided")
+    dropped = found.where("NOT kept").select("doc_id")
+    repeated = found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    rest = documents.join(broadcast_if_small(dropped), "doc_id", "left_anti")
+    repeated = broadcast_if_small(scratch_table(repeated, "repeated"))
+    once = rest.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return rest.join(repeated, "doc_id", "left_anti").unionByName(once)

@@ -53,14 +53,23 @@ def features(sizer: Sizer, text: str | None) -> list[float] | None:
     return [(bad - good) / plain, plain / (size + 1), good / (size + 1), float(np.log1p(size)) / 10]
 
 
-def learn(rows: DataFrame, label: str = "quality", bound: SampleBound = DICTIONARY) -> Model:
-    """Fit on rows (doc_id, text, label); the sample is bounded on its way to the driver."""
+def sample_rows(bound: SampleBound = DICTIONARY) -> int:
+    """Rows of each label that ``learn`` uses."""
+    return bound.rows + CALIBRATION_ROWS
+
+
+def learn(rows: DataFrame, label: str = "quality", bound: SampleBound = DICTIONARY, share: float | None = None) -> Model:
+    """Fit on rows (doc_id, text, label); the sample is bounded on its way to the driver.
+
+    ``share`` is the share of label 1 among all labelled rows, where ``rows``
+    were sampled by label already.
+    """
     labelled = rows.where(F.col(label).isin(0, 1) & (F.length("text") > 0)).select(
         F.col(label).cast("int").alias("label"),
         F.substring("text", 1, CALIBRATION_CHARACTERS).alias("text"),
         F.xxhash64("doc_id").alias("order"),
     )
-    wanted = SampleBound(rows=bound.rows + CALIBRATION_ROWS)
+    wanted = SampleBound(rows=sample_rows(bound))
     sample = bounded_sample(labelled, "label", F.struct("order", "text"), wanted)
     # The dictionary takes every second row until it is full.
     found = sorted(tuple(r) for r in sample.select("label", "place", "text").collect())
@@ -71,7 +80,8 @@ def learn(rows: DataFrame, label: str = "quality", bound: SampleBound = DICTIONA
     sizer = Sizer([*parts, None])
     rest = [(y, t) for y, p, t in found if not in_dictionary(p)]
     # The sample is bounded for each label, so the share of labels comes from all rows.
-    share = labelled.agg(F.avg("label")).first()[0]
+    if share is None:
+        share = labelled.agg(F.avg("label")).first()[0]
     x = np.array([features(sizer, t) for _, t in rest])
     y = np.array([y for y, _ in rest])
     if len(set(y)) < 2:
@@ -83,21 +93,43 @@ def learn(rows: DataFrame, label: str = "quality", bound: SampleBound = DICTIONA
     return Model(*parts, (means, scales, weights), share)
 
 
+class Scorer:
+    """Scores of the texts of an Arrow column."""
+
+    def __init__(self, model: Model):
+        self.model, self.sizer = model, Sizer([model.good, model.bad, None])
+
+    def scores(self, texts) -> np.ndarray:
+        found = [features(self.sizer, text) for text in texts_of(texts)]
+        scores = np.full(len(found), self.model.prior)
+        some = [k for k, f in enumerate(found) if f is not None]
+        if some and self.model.logistic:
+            scores[some] = logistic(np.array([found[k] for k in some]), self.model.logistic)
+        return scores
+
+
 def score(documents: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """(doc_id, score, predicted) of whole texts; reads nothing else of a row."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        fitted = shared.value
-        sizer = Sizer([fitted.good, fitted.bad, None])
+        scorer = Scorer(shared.value)
         for batch in batches:
-            found = [features(sizer, text) for text in texts_of(batch["text"])]
-            scores = np.full(len(found), fitted.prior)
-            some = [k for k, f in enumerate(found) if f is not None]
-            if some and fitted.logistic:
-                scores[some] = logistic(np.array([found[k] for k in some]), fitted.logistic)
+            scores = scorer.scores(batch["text"])
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(scores)], names=["doc_id", "score"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scored = rows.mapInArrow(run, "doc_id long, score double")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def accepted(documents: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows, whole, whose score is not below the threshold; nothing is shuffled."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            yield batch.filter(pa.array(scorer.scores(batch["text"]) >= threshold))
+
+    return documents.mapInArrow(run, documents.schema)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import exact_dedup, language_id, line_dedup, mixing, ngram_join, pii, quality, secrets, toxicity
+from tallyloom.llm import decontamination, exact_dedup, language_id, line_dedup, mixing, ngram_join, pii, quality, secrets, toxicity
+from tallyloom.llm.compression import sampled_labels, with_texts
 from tallyloom.llm.language_id import held_out
 from tallyloom.sources.tables import table
 
@@ -129,10 +130,10 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.in_two_batches(table(spark, folder, "documents")).drop("in_snapshot")
 
 
-def _labelled(spark: SparkSession, folder: str, label: str) -> DataFrame:
-    """Rows that labels may be learned from."""
-    documents = table(spark, folder, "documents").where(~held_out(table(spark, folder, "documents"), 3, 1)).select("doc_id", "text")
-    return documents.join(table(spark, folder, "labels").where(F.col(label).isNotNull()).select("doc_id", label), "doc_id")
+def _labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels that may be learned from."""
+    labels = table(spark, folder, "labels")
+    return labels.where(~held_out(labels, 3, 1))
 
 
 @query("op2_language_id")
@@ -170,14 +171,18 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_quality")
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
-    scored = quality.score(documents, quality.learn(_labelled(spark, folder, "quality")))
+    labels = _labels(spark, folder)
+    sample = with_texts(documents, sampled_labels(labels, "quality", quality.sample_rows()))
+    share = labels.where(F.col("quality").isin(0, 1)).agg(F.avg("quality")).first()[0]
+    scored = quality.score(documents, quality.learn(sample, share=share))
     return scored.withColumn("held_out", held_out(scored, 3, 1))
 
 
 @query("op7_toxicity")
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
-    scored = toxicity.score(documents, toxicity.learn(_labelled(spark, folder, "toxic")))
+    sample = with_texts(documents, sampled_labels(_labels(spark, folder), "toxic", toxicity.LABELLED.rows))
+    scored = toxicity.score(documents, toxicity.learn(sample))
     return scored.withColumn("held_out", held_out(scored, 3, 1))
 
 
@@ -189,3 +194,8 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_ngram_join")
 def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op6_decontamination")
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
