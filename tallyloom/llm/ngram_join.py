@@ -20,7 +20,8 @@ more than ``LONG_RUN`` sets share (or many within one batch) is hot: its sets
 are linked to the smallest of them only, and it no longer counts for the
 sum above. Any other run of sets is kept as a list.
 
-What is verified: pairs of every set with the smallest of its runs; then, when
+What is verified, first by sizes and parity sketches (a lower bound of the
+difference), then by the sets: pairs of every set with the smallest of its runs; then, when
 these links have been joined to components, pairs of a list that are still in
 different components. Sets whose remaining values do not suffice (short, or
 made of common passages) are joined among themselves by their rarest shingles,
@@ -49,11 +50,11 @@ from tallyloom.session import scratch_table
 
 # Similarity of at least NUMERATOR / DENOMINATOR.
 NUMERATOR, DENOMINATOR = 3, 4
-SEGMENTS_PER_SHINGLE = 0.45
+SEGMENTS_PER_SHINGLE = 0.5
 # Allocation is by cost up to this band; beyond it all values are 0.
 COSTED_BANDS = 14
 MEETING_COST = 8.0
-SPARE = 1.15
+SPARE = 1.04
 LONG_RUN = 48
 HOT_IN_BATCH = 16
 SIGNATURES_PER_BUCKET = 1 << 20
@@ -135,7 +136,7 @@ def subsets(shingles: np.ndarray, sizes: np.ndarray, members: np.ndarray, bands:
 
 # --- allocation ---------------------------------------------------------------
 
-# Stands for all segments of a scheme, or for all schemes.
+# Stands for all segments of all schemes.
 WHOLE = -1
 
 
@@ -146,12 +147,8 @@ def _measure(batches):
         for piece in pieces(batch):
             shingles, sizes = shingle_sets(piece["text"])
             sums.setdefault((WHOLE, WHOLE), np.zeros(3))[0] += len(shingles)
-            for members, bands, differ in roles(sizes):
+            for members, bands, _ in roles(sizes):
                 keep = bands < COSTED_BANDS
-                for k in np.unique(bands[keep]):
-                    of_band = bands == k
-                    at = sums.setdefault((int(k), WHOLE), np.zeros(3))
-                    at += (of_band.sum(), (differ[of_band] + 1).sum(), 0)
                 which, band, segment, signature, count, _, _ = subsets(shingles, sizes, members[keep], bands[keep])
                 if not len(which):
                     continue
@@ -171,18 +168,16 @@ def _measure(batches):
     )
 
 
-def allocate(scheme: Scheme, sets: float, need: float, seen: np.ndarray, met: np.ndarray, held: np.ndarray) -> np.ndarray:
+def allocate(scheme: Scheme, seen: np.ndarray, met: np.ndarray, held: np.ndarray) -> np.ndarray:
     """Values of the segments of a scheme, by cost.
 
-    ``sets`` use the scheme and need a sum of ``need`` together. Values decide
-    what is indexed; whether they suffice is tested for each set.
+    They are to suffice for the largest sets of the band, which need most of
+    them; whether they do is tested for each set.
     """
     values = np.zeros(scheme.segments, dtype=np.int8)
-    if not sets:
-        return values
-    filled = seen / sets
+    filled = np.full(scheme.segments, 1 - np.exp(-scheme.upper / scheme.segments))
     share = met / np.maximum(seen, 1)
-    need = SPARE * need / sets
+    need = SPARE * (scheme.differ + 1) + 2
     have = filled.sum()
     # Cheapest to raise: segments that meet seldom and hold few shingles.
     raise_cost = held / np.maximum(seen, 1)
@@ -211,16 +206,14 @@ def allocation(documents: DataFrame) -> tuple[dict[int, np.ndarray], int]:
     out, total = {}, 0
     for band in sorted({r[0] for r in rows}):
         mine = [r for r in rows if r[0] == band]
-        whole = next(r for r in mine if r[1] == WHOLE)
         if band == WHOLE:
-            total = int(whole[2])
+            total = int(mine[0][2])
             continue
         scheme = Scheme(band)
         seen, met, held = (np.zeros(scheme.segments) for _ in range(3))
         for _, segment, s, m, h in mine:
-            if segment != WHOLE:
-                seen[segment], met[segment], held[segment] = s, m, h
-        out[band] = allocate(scheme, whole[2], whole[3], seen, met, held)
+            seen[segment], met[segment], held[segment] = s, m, h
+        out[band] = allocate(scheme, seen, met, held)
     return out, total
 
 
@@ -253,7 +246,11 @@ def _signatures(values: dict[int, np.ndarray], buckets: int):
             gone = (value[subset] == 1) & (count[subset] > 1)
             # What the sets of this piece can still sum up to, by set.
             reach = np.bincount(which[full], weights=1.0 + ((value == 1) & (count > 1))[full], minlength=len(members)).astype(np.int64)
-            yield _plain(REACH, buckets, ids[members], sizes[members], bands, reach - differ - 1)
+            own = None
+            if len(members) and (bands == np.floor(np.log2(sizes[members]))).all():
+                ends = np.cumsum(sizes)
+                own = [parity_sketch(shingles[ends[k] - sizes[k] : ends[k]]) for k in members]
+            yield _plain(REACH, buckets, ids[members], sizes[members], bands, reach - differ - 1, own)
             doc = np.concatenate([ids[members][which[full]], ids[members][which[subset[gone]]]])
             role = np.concatenate([bands[which[full]], bands[which[subset[gone]]]])
             mark = np.concatenate([signature[full] & ~np.uint64(1), without[gone] | np.uint64(1)])
@@ -308,13 +305,14 @@ EMITTED = (
 PACKED, REACH, STAR = 0, 1, 2
 
 
-def _plain(kind, buckets, a, b, band, amount) -> pa.RecordBatch:
-    """Rows that pass through a bucket unchanged: REACH (set, size, scheme, sum to spare) or STAR."""
+def _plain(kind, buckets, a, b, band, amount, sketch=None) -> pa.RecordBatch:
+    """Rows that pass through a bucket unchanged: REACH (set, size, scheme, sum to spare, sketch) or STAR."""
     n = len(a)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.full(n, kind, dtype=np.int8)), pa.array(a.astype(np.int64) % buckets),
-            pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()),
+            pa.nulls(n, pa.binary()) if sketch is None else pa.array(sketch, pa.binary()),
+            pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()),
             pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64)),
             pa.array(band.astype(np.int32)), pa.array(amount.astype(np.int64)),
         ],
@@ -328,14 +326,15 @@ def _star(buckets, doc, centre, band, weight):
     return _plain(STAR, buckets, *unique, np.bincount(back.ravel(), weights=weight))
 
 
-GROUPED = "kind byte, a long, b long, band int, amount long, list array<long>"
+GROUPED = "kind byte, sketch binary, a long, b long, band int, amount long, list array<long>"
 LIST = 3
 
 
 def _runs(table):
     """Runs of equal signatures in one bucket; other rows pass."""
     kinds = table["kind"].to_numpy()
-    passed = table.filter(pa.array(kinds != PACKED)).select(["kind", "a", "b", "band", "amount"])
+    passed = table.filter(pa.array(kinds != PACKED)).select(["kind", "signatures", "a", "b", "band", "amount"])
+    passed = passed.rename_columns(["kind", "sketch", "a", "b", "band", "amount"])
     passed = passed.append_column("list", pa.nulls(passed.num_rows, pa.list_(pa.int64())))
     table = table.filter(pa.array(kinds == PACKED))
     if not table.num_rows:
@@ -374,6 +373,7 @@ def _runs(table):
     found = pa.table(
         {
             "kind": pa.array([STAR] * n + [LIST] * k, pa.int8()),
+            "sketch": pa.nulls(n + k, pa.binary()),
             "a": pa.array(list(out_a) + [None] * k, pa.int64()),
             "b": pa.array(list(out_b) + [None] * k, pa.int64()),
             "band": pa.array(list(out_band) + [None] * k, pa.int32()),
@@ -387,6 +387,30 @@ def _runs(table):
 # --- verification ---------------------------------------------------------------
 
 
+def parity_sketch(shingles: np.ndarray) -> bytes:
+    """Parity of the shingles in each of about two slots per shingle, packed.
+
+    A shingle that two sets do not share changes one slot of one of them, so
+    sketches differ in no more slots than the sets in shingles.
+    """
+    slots = 1 << max(6, int(2 * len(shingles) - 1).bit_length())
+    count = np.bincount((mix64(shingles ^ np.uint64(0x5DEECE66D)) & np.uint64(slots - 1)).astype(np.int64), minlength=slots)
+    return np.packbits((count & 1).astype(np.uint8)).tobytes()
+
+
+def _may_link(batches):
+    """Pairs whose sketches do not differ by more than linked sets can."""
+    for batch in batches:
+        keep = []
+        for k, (x, y, na, nb) in enumerate(zip(batch["x"], batch["y"], batch["na"].to_pylist(), batch["nb"].to_pylist())):
+            a, b = sorted((np.frombuffer(x.as_buffer(), dtype=np.uint8), np.frombuffer(y.as_buffer(), dtype=np.uint8)), key=len)
+            while len(b) > len(a):
+                b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+            if int(np.bitwise_count(a ^ b).sum()) <= allowed(na, nb):
+                keep.append(k)
+        yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+
+
 def _pack_sets(batches):
     """(doc_id, n, shingles) with sorted shingles as packed bytes."""
     for batch in batches:
@@ -409,16 +433,24 @@ def _linked(batches):
         yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are linked; sizes that cannot be are not joined further."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("y"))
+def verify(pairs: DataFrame, about: DataFrame, documents: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are linked.
+
+    Sizes and sketches rule out most pairs for certain; only the sets of the
+    others are built and moved. ``about`` is (doc_id, n, sketch).
+    """
+    sides = [about.select(F.col("doc_id").alias(k), F.col("n").alias(f"n{k}"), F.col("sketch").alias(v)) for k, v in (("a", "x"), ("b", "y"))]
     sizes = F.least("na", "nb") * DENOMINATOR >= F.greatest("na", "nb") * NUMERATOR
-    fitting = (
-        pairs.join(left.drop("x"), "a").join(right.drop("y"), "b").where(sizes).select("a", "b").distinct()
-    )
-    joined = fitting.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return scratch_table(joined.mapInArrow(_linked, "a long, b long").distinct(), "links")
+    sized = pairs.join(sides[0].drop("x"), "a").join(sides[1].drop("y"), "b").where(sizes).select("a", "b").distinct()
+    sketched = sized.join(sides[0], "a").join(sides[1], "b")
+    close = scratch_table(sketched.mapInArrow(_may_link, "a long, b long").distinct(), "close")
+    nodes = scratch_table(close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "nodes")
+    chosen = documents.join(broadcast_if_small(nodes), "doc_id", "left_semi")
+    sets = scratch_table(chosen.mapInArrow(_pack_sets, "doc_id long, n long, shingles binary"), "sets")
+    joined = close
+    for side, value in (("a", "x"), ("b", "y")):
+        joined = joined.join(sets.select(F.col("doc_id").alias(side), F.col("shingles").alias(value)), side)
+    return scratch_table(joined.select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long").distinct(), "links")
 
 
 def _rare(documents: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -475,10 +507,10 @@ def links(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         reach.join(lost, ["a", "band"], "left").where(F.col("amount") < F.coalesce("lost", F.lit(0))).select(F.col("a").alias("doc_id")).distinct(),
         "short",
     )
-    nodes = first.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(short).distinct()
-    chosen = documents.join(broadcast_if_small(scratch_table(nodes, "nodes")), "doc_id", "left_semi")
-    sets = scratch_table(chosen.mapInArrow(_pack_sets, "doc_id long, n long, shingles binary"), "sets")
-    found = verify(first, sets)
+    about = scratch_table(
+        runs.where((F.col("kind") == REACH) & F.col("sketch").isNotNull()).select(F.col("a").alias("doc_id"), F.col("b").alias("n"), "sketch"), "about"
+    )
+    found = verify(first, about, documents)
     labels = components(found)
     # Second round: what is still apart after the first.
     listed = lists.withColumn("id", F.xxhash64("list")).select("id", F.explode("list").alias("doc_id"))
@@ -488,9 +520,9 @@ def links(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     crossing = one.where("m.component < o.component").select(F.col("m.doc_id").alias("a"), F.col("o.doc_id").alias("b"))
     again = crossing.unionByName(_rare(documents, labels, short)).distinct()
     known = first.select("a", "b").unionByName(first.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    second = verify(scratch_table(again.join(known, ["a", "b"], "left_anti"), "second"), sets)
+    second = verify(scratch_table(again.join(known, ["a", "b"], "left_anti"), "second"), about, documents)
     every = found.unionByName(second)
-    sizes = reach.groupBy(F.col("a").alias("doc_id")).agg(F.max("b").alias("n_shingles"))
+    sizes = about.groupBy("doc_id").agg(F.max("n").alias("n_shingles"))
     return every, components(every), sizes
 
 

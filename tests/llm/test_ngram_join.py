@@ -109,8 +109,8 @@ def test_raised_values_lose_nothing(spark, monkeypatch):
         rows.append((i, " ".join(text)))
     real = ngram_join.allocate
 
-    def raised(scheme, sets, need, seen, met, held):
-        values = real(scheme, sets, need, seen, met, held)
+    def raised(scheme, seen, met, held):
+        values = real(scheme, seen, met, held)
         values[::2], values[1::5] = 1, -1
         return values
 
@@ -126,6 +126,19 @@ def test_allowed_difference_is_exact():
             assert not fits or b <= ngram_join.largest_partner(a)
 
 
+def test_sketches_never_differ_more_than_sets():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        pool = rng.integers(0, 2**63, 400).astype(np.uint64)
+        a, b = (np.unique(rng.choice(pool, rng.integers(1, 300))) for _ in range(2))
+        x, y = sorted((np.frombuffer(ngram_join.parity_sketch(s), dtype=np.uint8) for s in (a, b)), key=len)
+        while len(y) > len(x):
+            y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+        assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(100)] + [(500, i) for i in range(501, 700)] + [(800, 800), (900, 901), (902, 901)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
