@@ -2,8 +2,8 @@
 
 A text is cut into units at line ends and sentence ends. Units are normalised
 (lower case, runs of white space as one space) and hashed to 128 bits; a unit
-of less than ``min_words`` words is hashed together with the unit before it, so
-a short phrase alone is no duplicate. Digests are grouped globally, the
+of less than ``min_words`` words is hashed together with the words before it, up
+to that many, so a short phrase alone is no duplicate. Digests are grouped globally, the
 occurrence in the smallest document id, at its smallest offset, is kept, and
 every other one is removed, with the offsets of the original text retained.
 
@@ -37,16 +37,16 @@ WORD = re.compile(r"\S+")
 
 def units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[bytes, int, int, int]]:
     """(digest, start, end, words) of every unit with a word; offsets in code points."""
-    before = ""
+    tail: list[str] = []
     for match in UNIT.finditer(text):
         words = match[0].lower().split()
         if not words:
             continue
         start = match.start() + len(match[0]) - len(match[0].lstrip())
         end = match.end() - (len(match[0]) - len(match[0].rstrip()))
-        own = " ".join(words)
-        key = own if len(words) >= min_words else f"{before}\n{own}"
-        before = own
+        tail = (tail + words)[-max(min_words, len(words)) :]
+        key = " ".join(tail) if len(words) >= min_words else f"{len(words)}\n{' '.join(tail)}"
+        tail = tail[-min_words:]
         yield hashlib.blake2b(key.encode("utf-8", "surrogatepass"), digest_size=16).digest(), start, end, len(words)
 
 
