@@ -230,7 +230,7 @@ class Searcher:
         vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
         size = len(self.items.vocabulary)
         table = (self.basis * self.weights[:size, None]).astype(np.float32)
-        return {w: (np.array(ks), vectors[ks].T.copy()) for w, ks in sorted(by_width.items())}, table
+        return {w: (np.array(ks), vectors[ks].T.copy()) for w, ks in sorted(by_width.items())}, table, [c[self.content[c]] for c in self.items.codes]
 
     def windows(self, documents: list[np.ndarray], table: np.ndarray, widths: list[int]):
         """(width, document, start, similarity vectors) of all windows, half a width apart."""
@@ -252,7 +252,7 @@ class Searcher:
             # Words outside the vocabulary have no vector.
             inside = np.flatnonzero(part < len(table))
             if len(inside):
-                row = np.searchsorted(at, inside, side="right") - 1
+                row = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(part))))[inside]
                 new = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
                 sums[a + row[new]] = np.add.reduceat(table[part[inside]], new, axis=0)
             mass[a:b, 0] = np.add.reduceat(known[part], at)
@@ -278,7 +278,8 @@ class Searcher:
 
     def search(self, documents: list[np.ndarray], prepared):
         """(document, item, start, end, subsequence, ratio, similarity, answer) of every leak."""
-        vectors, table = prepared
+        vectors, table, words = prepared
+        seen = np.zeros(len(self.items.vocabulary) + 1, dtype=bool)
         best: dict[tuple[int, int], tuple] = {}
         for w, owner, start, joined in self.windows(documents, table, list(vectors)):
             ks, items = vectors[w]
@@ -287,20 +288,28 @@ class Searcher:
                 likeness = joined[a : a + rows] @ items
                 for r, c in zip(*np.nonzero(likeness >= self.candidate)):
                     d, k = int(owner[a + r]), int(ks[c])
-                    found = self.verified(documents[d], int(start[a + r]), w, k)
+                    found = self.verified(documents[d], int(start[a + r]), w, k, words, seen)
                     if found and found[3] > best.get((d, k), (0, 0, 0, 0.0))[3]:
                         best[d, k] = (*found, float(likeness[r, c]))
         return [(d, k, *v) for (d, k), v in sorted(best.items())]
 
-    def verified(self, document: np.ndarray, start: int, w: int, k: int):
+    def verified(self, document: np.ndarray, start: int, w: int, k: int, prepared_words: list, seen: np.ndarray):
         item = self.items.codes[k]
         a, b = max(0, start - len(item)), min(len(document), start + w + len(item))
         region = document[a:b]
-        words = item[self.content[item]]
+        words, held = prepared_words[k], region
         if len(words) >= 4:
-            common, total = subsequence(words, region[self.content[region]]), len(words)
+            held = region[self.content[region]]
         else:
-            common, total = subsequence(item, region), len(item)
+            words = item
+        # Words of the item that are there at all bound what can be in order.
+        total = len(words)
+        seen[held] = True
+        there = np.count_nonzero(seen[words])
+        seen[held] = False
+        if there < LEAK_WITH_ANSWER * total:
+            return None
+        common = subsequence(words, held)
         ratio = common / total
         if ratio < LEAK_WITH_ANSWER:
             return None
