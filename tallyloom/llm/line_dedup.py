@@ -88,15 +88,15 @@ def removals(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     first = rows.where("NOT again")
     several = (
         first.groupBy("digest")
-        .agg(F.min("doc_id").alias("keep_id"), F.max("doc_id").alias("other"), F.count(F.lit(1)).alias("documents"))
+        .agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("documents"))
         .where(F.col("documents") > 1)
         .select("digest", "keep_id")
     )
-    across = first.join(scratch_table(several, "repeated"), "digest").where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    # One join: a hot digest is on its left side, where its partition can be split.
+    named = rows.join(scratch_table(several, "repeated"), "digest", "left")
     # A repeat within one document goes wherever the kept occurrence is.
-    within = rows.where("again").join(several, "digest", "left").withColumn("keep_id", F.coalesce("keep_id", "doc_id"))
-    columns = ("doc_id", "start", "end", "words", "keep_id")
-    return across.select(*columns).unionByName(within.select(*columns))
+    gone = F.col("again") | (F.col("keep_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    return named.where(gone).select("doc_id", "start", "end", "words", F.coalesce("keep_id", "doc_id").alias("keep_id"))
 
 
 def passages(removed: DataFrame, gap: int = 3) -> DataFrame:
