@@ -54,7 +54,7 @@ FACT_COLUMNS: dict[str, str] = {
     "rru_rk": "c_nationkey",
     "risk_on_rru_rk": f"(c_nationkey + {_PRIORITY}) % 25",
     "b2_irb_asset_class_rk": "CAST(100 + (o_custkey + o_orderkey) % 9 AS INT)",
-    "b2_std_asset_class_rk": "CAST(200 + o_orderkey % 16 AS INT)",
+    "b2_std_asset_class_rk": "CAST(200 + o_orderkey % 18 AS INT)",
     "corep_asset_class_rk": "CAST(300 + o_orderkey % 3 AS INT)",
     "b2_std_pre_dflt_asset_class_rk": "CAST(200 + o_custkey % 18 AS INT)",
     "division_rk": "c_nationkey",
@@ -144,6 +144,26 @@ FACT_COLUMNS: dict[str, str] = {
     "unsettled_price_difference_amt": f"CASE WHEN o_orderkey % 7 = 0 THEN {_share('0.0005')} END",
     "unsettled_period_code": "CASE WHEN o_orderkey % 7 = 0 THEN 'D1' END",
     "trading_book_flag": "CASE WHEN o_orderkey % 11 = 0 THEN 'Y' ELSE 'N' END",
+    "irb_sme_discount_app_flag": "CASE o_orderkey % 3 WHEN 0 THEN 'Y' WHEN 1 THEN 'N' END",
+    "sts_securitisation": "CASE WHEN o_custkey % 5 = 0 THEN 'STS' END",
+    "sts_sec_qual_cap_trtmnt": "CASE o_custkey % 4 WHEN 0 THEN 'Y' WHEN 1 THEN 'N' END",
+    "sts_sec_approach_code": "CASE WHEN o_custkey % 5 = 0 THEN 'SEC-SA' WHEN o_custkey % 7 = 0 THEN 'SEC-IRBA' END",
+    "ifrs9_final_stage": "'STAGE ' || CAST(o_orderkey % 3 + 1 AS STRING)",
+    "ifrs9_stage_3_type": "CASE WHEN o_orderkey % 3 = 2 THEN 'INDIVIDUAL' END",
+    "ifrs9_ecl_currency_code": "CASE c_nationkey % 3 WHEN 0 THEN 'GBP' WHEN 1 THEN 'EUR' ELSE 'USD' END",
+    "ile_counterparty_ciscode": "CASE WHEN o_custkey % 9 = 0 THEN NULL ELSE 'ILE' || CAST(o_custkey AS STRING) END",
+    "ile_risk_class": "CASE WHEN o_custkey % 9 = 0 THEN NULL ELSE 'RC' || CAST(o_custkey % 4 AS STRING) END",
+    "unsettled_factor_code": "CASE WHEN o_orderkey % 7 = 0 THEN 'F1' END",
+    "b3_cva_cc_adv_flag": "CASE WHEN o_orderkey % 5 = 0 THEN 'Y' ELSE 'N' END",
+    "crd4_sov_substitution_flag": "CASE WHEN o_orderkey % 12 = 0 THEN 'Y' ELSE 'N' END",
+    "unlikely_pay_flag": "CASE WHEN o_orderkey % 14 = 0 THEN 'Y' END",
+    "std_exposure_default_flag": "CASE WHEN o_orderkey % 15 = 0 THEN 'Y' ELSE 'N' END",
+    "crd4_std_rp_sme_flag": "CASE WHEN o_custkey % 8 = 0 THEN 'Y' END",
+    "crd4_irb_rp_sme_flag": "CASE WHEN o_custkey % 8 = 1 THEN 'Y' END",
+    "corep_crm_reporting_flag": "CASE WHEN o_orderkey % 4 = 3 THEN 'Y' ELSE 'N' END",
+    "new_in_default_flag": "CASE WHEN o_orderkey % 16 = 0 THEN 'Y' ELSE 'N' END",
+    "cs_proxy_used_flag": "CASE WHEN o_orderkey % 18 = 0 THEN 'Y' END",
+    "market_risk_sub_type": "CASE WHEN o_orderkey % 20 = 0 THEN 'FX' END",
 }
 
 _ASSET_CLASSES = [
@@ -168,11 +188,12 @@ _ASSET_CLASSES = [
     (209, "B2_STD", "In default", None, "Exposures in default", "S9"),
     (210, "B2_STD", "High risk", None, "Exposures associated with particularly high risk", "S10"),
     (211, "B2_STD", "Covered bonds", None, "Exposures in the form of covered bonds", "S11"),
-    (212, "B2_STD", "Collective Investment Undertakings", None, "Exposures in the form of units or shares in collective investment undertakings", "S12"),
+    (212, "B2_STD", "Collective Investment Undertakings", None, "Exposures in the form of units or shares in collective investment undertakings ('CIUs')", "S12"),
     (213, "B2_STD", "Equity", None, "Equity Claims", "S13"),
     (214, "B2_STD", "Other", None, "Other items", "S14"),
     (215, "B2_STD", "Securitisation", None, "Items representing securitisation positions", "S15"),
     (216, "B2_STD", "Not applicable", None, "N/A", "S16"),
+    (217, "B2_STD", "Short-term", None, "Exposures to institutions and corporates with a  short-term credit assessment", "S17"),
     (300, "COREP", "Retail", None, "Retail", "N/A"),
     (301, "COREP", "Retail", None, "Retail", "Other"),
     (302, "COREP", "Corporates", None, "Corporate", "Corporate - SME"),
@@ -188,7 +209,8 @@ _ASSET_CLASSES = [
 def _literal(value) -> str:
     if value is None:
         return "CAST(NULL AS STRING)"
-    return f"'{value}'" if isinstance(value, str) else str(value)
+    quoted = str(value).replace("'", "''")
+    return f"'{quoted}'" if isinstance(value, str) else quoted
 
 
 def values(rows, names: str) -> str:
@@ -388,7 +410,7 @@ INPUTS: dict[str, str] = {
         CAST(NULL AS DOUBLE) AS b2_std_coll_mty_mismatch_amt, CAST(0.5 AS DOUBLE) AS b2_std_gtor_rw_ratio, CAST(NULL AS DOUBLE) AS b2_irb_colltrl_amt_ttc,
         CAST(NULL AS DOUBLE) AS b2_irb_garntee_amt_ttc, CAST(NULL AS DOUBLE) AS sec_discnt_b2_irb_coll_amt_ttc,
         CAST(NULL AS DOUBLE) AS sec_discnt_b2_irb_gtee_amt_ttc, 'DE-BBK' AS reporting_regulator_code
-        FROM {{orders}} WHERE o_orderpriority = '1-URGENT'""",
+        FROM {{orders}}""",
     "mitigants": f"""SELECT p_partkey AS mitigant_id, 'Y' AS valid_flag, {RUN_MONTH} AS year_month_rk, {RUN_DAY} AS day_rk,
         CASE WHEN p_size % 3 = 0 THEN 'OTH' ELSE 'RMP' END AS sys_code, 'A' AS adjust_flag,
         CASE WHEN p_size % 4 = 0 THEN 'XX' ELSE 'EP' END AS sys_protection_type, p_type AS basel_security_sub_type FROM {{part}}""",

@@ -74,7 +74,9 @@ joined AS (SELECT r.* EXCLUDE (year_month_rk, aclm_product_type, b2_std_ccf, b2_
   dac.reg_exposure_sub_type AS b2_irb_asset_class_reg_exposure_sub_type, dac.basel_exposure_type AS b2_irb_asset_class_basel_exposure_type, dac.basel_exposure_sub_type AS b2_irb_asset_class_basel_exposure_sub_type,
   dac5.basel_exposure_type AS b2_std_asset_class_basel_exposure_type, dac5.basel_exposure_type AS memo_b2_std_basel_exposure_type, dac5.basel_exposure_type AS b2_std_basel_exposure_type,
   dac5.basel_exposure_sub_type AS memo_b2_std_basel_exposure_sub_type, dac5.type AS memo_b2_std_type, dac5.reg_exposure_type AS memo_b2_std_reg_exposure_type,
-  dac4.basel_exposure_type AS b2_std_pre_dflt_asset_class_basel_exposure_type, div.sub2 AS division_sub2, div.division, m1.model_code AS pd_model_code, m2.model_code AS ead_model_code,
+  dac5.basel_exposure_sub_type AS b2_std_asset_class_basel_exposure_sub_type, dac4.basel_exposure_type AS b2_std_pre_dflt_asset_class_basel_exposure_type,
+  dac4.basel_exposure_sub_type AS b2_std_pre_dflt_asset_class_basel_exposure_sub_type, dac4.reg_exposure_type AS b2_std_pre_dflt_asset_class_reg_exposure_type, dac4.type AS b2_std_pre_dflt_asset_class_type,
+  rec.b2_std_ccf_less_than_year, rec.b2_std_ccf_more_than_year, incorp.p3_country_desc AS incorp_country_desc, op.p3_country_desc AS op_country_desc, u2.ll_rru_desc AS risk_on_ll_rru_desc, div.sub2 AS division_sub2, div.division, m1.model_code AS pd_model_code, m2.model_code AS ead_model_code,
   dprod.aiml_product_type, dprod.regulatory_product_type, u2.ll_rru AS risk_on_ll_rru, incorp.p3_country_desc AS incorp_p3_country_desc, op.p3_country_desc AS op_p3_country_desc,
   coalesce(incorp.p3_country_desc, 'Unknown Geographic Area') AS corep_incorp_p3_country_desc, coalesce(incorp.country_desc, 'Unknown Geographic Area') AS corep_incorp_country_desc,
   gl.bspl_900_gl_code, gl.bspl_60_gl_code, glm.ias39_class, ind.sector_type, ind.sector_cluster, ind.sub_sector, dind.sector_type AS industry_sector_type,
@@ -390,7 +392,7 @@ _PD = f"""pd AS (SELECT pb.*, t.* EXCLUDE (year_month, reporting_regulator_code,
   FROM pb LEFT JOIN totals t ON pb.year_month = t.year_month AND pb.reporting_regulator_code = t.reporting_regulator_code AND substring(pb.deal_id, length(coalesce(pb.deal_id_prefix, '')) + 1) = t.deal_id)"""
 
 _PE = f"""pe AS (SELECT s.deal_id AS sub_deal, d.deal_id, s.year_month, s.reporting_regulator_code, s.mitigant_id, s.mitigant_type, s.corep_crm_category, s.type, s.sys_code, s.corep_std_asset_class_rk, 'INFLOW' AS flow_type, s.sys_protection_type, s.basel_security_sub_type,
-  s.b2_std_eff_gtee_amt + s.b2_std_eff_cds_amt AS own, s.b2_std_gtee_cds_rwa, s.b2_std_gtor_rw_ratio, s.b2_irb_crm_cod_amt, s.b2_irb_crm_lip_amt, s.b2_std_coll_volatility_amt, s.b2_std_coll_mty_mismatch_amt,
+  s.b2_std_eff_gtee_amt + s.b2_std_eff_cds_amt AS own, s.b2_std_gtee_cds_rwa, s.b2_std_gtor_rw_ratio, s.b2_irb_crm_cod_amt, s.b2_irb_crm_lip_amt, s.double_default_flag,
   coalesce(d.b2_std_eff_gtee_amt_agg, 0) + coalesce(d.b2_std_eff_cds_amt_agg, 0) AS protection, d.ead_post_crm_amt AS ead, d.outflow, d.corep_product_category, d.b2_std_ccf_input AS factor, d.rwa_approach_code,
   d.rwa_post_crm_amount AS deal_rwa, d.b2_std_gtee_cds_rwa_agg AS rwa_agg, d.b2_std_rwa_amt_expone AS expone, d.crr2_501a_discount_flag, d.b3_sme_discount_flag, d.sme_discount_factor, d.v_infra_discount_factor,
   d.std_risk_weight_ratio, d.b3_sme_rp_flag, d.retail_pool_sme_flag, d.external_counterparty_id, d.regulatory_product_type, d.industry_sector_type, d.sector_type, d.corep_exposure_category, d.b2_app_adjusted_pd_ratio, d.corep_irb_asset_class_rk, d.b2_irb_ccf,
@@ -418,6 +420,7 @@ _INTERNAL = (
 )
 
 _MART = f"""flows AS (SELECT pd.* REPLACE ({', '.join(f"CASE WHEN rwa_approach_code IS DISTINCT FROM 'STD' THEN coalesce({c}, 0) ELSE 0 END AS {c}" for c in _INTERNAL)}),
+    b2_std_coll_volatility_amt_agg AS b2_std_coll_volatility_amt, b2_std_coll_mty_mismatch_amt_agg AS b2_std_coll_mty_mismatch_amt, b2_std_coll_fx_haircut_amt_agg AS b2_std_coll_fx_haircut_amt,
     CAST(0 AS DOUBLE) AS b2_irb_crm_cod_amt, CAST(0 AS DOUBLE) AS b2_irb_crm_lip_amt, CAST(NULL AS DOUBLE) AS b2_std_crm_tot_inflow FROM pd
   UNION ALL BY NAME SELECT pe.*, 'A' AS adjust_flag, CAST(0 AS DOUBLE) AS b2_irb_provisions_amt, CAST(0 AS DOUBLE) AS b2_std_provisions_amt_onbal, factor AS b2_std_ccf, factor AS b2_std_ccf_input, 'N' AS crd4_rep_std_flag, 'Y' AS crd4_rep_stdflow_flag FROM pe),
 mart AS (SELECT flows.* REPLACE ({_irb_on('b2_irb_drawn_rwa', 'b2_app_rwa_post_crm_amt')} AS b2_irb_rwa_amt_onbal),

@@ -7,6 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.catalog import job_lists as lists
 from tallyloom.catalog.inputs import RUN_DATE, RUN_MONTH, JobInputs
 from tallyloom.catalog.job_sql import TOTAL_NAMES, chain
 from tallyloom.catalog.registry import query
@@ -108,6 +109,10 @@ STAGED = (
 )
 
 
+def quoted(text: str) -> str:
+    return text.replace("'", "''")
+
+
 def _names(columns) -> str:
     return ", ".join(dict.fromkeys(columns))
 
@@ -143,11 +148,10 @@ def rules_ccf_bucket(spark, folder):
 _MITIGANT_ROW = ("year_month", "reporting_regulator_code", "deal_id", "mitigant_id", "mitigant_type", "corep_crm_category", *MITIGANT_COLUMNS)
 
 
-@query("rules_mitigant", f"{chain('pc')} SELECT {_names(_MITIGANT_ROW)} FROM pc WHERE reporting_regulator_code IN ('UK-FSA', 'DE-BBK')")
+@query("rules_mitigant", f"{chain('pc')} SELECT {_names(_MITIGANT_ROW)} FROM pc")
 def rules_mitigant(spark, folder):
-    """Pack C on sub-exposures of the reporting regulator and of one copy."""
-    rows = job_of(spark, folder).mitigants().where(F.col("reporting_regulator_code").isin(K.UK, K.GERMANY))
-    return rows.select(*_MITIGANT_ROW)
+    """Pack C on sub-exposures of all regulators."""
+    return job_of(spark, folder).mitigants().select(*_MITIGANT_ROW)
 
 
 _CAPS = (
@@ -177,12 +181,11 @@ def rules_support_factor(spark, folder):
 
 @query(
     "rules_risk_weight",
-    f"{chain('mart')} SELECT {_names((*DEAL, 'std_act_risk_weight', *FINAL_COLUMNS))} FROM mart WHERE flow_type = 'EXPOSURE'",
+    f"{chain('mart')} SELECT {_names((*DEAL, 'std_act_risk_weight', *FINAL_COLUMNS))} FROM mart",
 )
 def rules_risk_weight(spark, folder):
-    """Risk weights and the final rules of pack F on exposures."""
-    rows = job_of(spark, folder).mart().where(F.col("flow_type") == K.EXPOSURE)
-    return rows.select(*DEAL, "std_act_risk_weight", *FINAL_COLUMNS)
+    """Risk weights and the final rules of pack F on both flows."""
+    return job_of(spark, folder).mart().select(*DEAL, "std_act_risk_weight", *FINAL_COLUMNS)
 
 
 _INFLOW_ROW = (*DEAL, "mitigant_id", "mitigant_type", "risk_taker_rru", "risk_on_gs_code", "ig_exclusion_flag", "division", *INFLOW_COLUMNS)
@@ -210,29 +213,26 @@ def job_mart(spark, folder):
     return job_of(spark, folder).mart_plan().select(*_MART_ROW)
 
 
-# Keys of the two levels that the derived mart has.
-_ABSENT = (
-    "b2_std_asset_class_basel_exposure_sub_type", "irb_sme_discount_app_flag", "sts_securitisation", "sts_sec_qual_cap_trtmnt", "sts_sec_approach_code",
-    "ifrs9_final_stage", "ifrs9_stage_3_type", "ifrs9_ecl_currency_code", "ile_counterparty_ciscode", "ile_risk_class", "unsettled_factor_code",
-    "b3_cva_cc_adv_flag", "crd4_sov_substitution_flag", "unlikely_pay_flag", "std_exposure_default_flag", "crd4_std_rp_sme_flag", "crd4_irb_rp_sme_flag",
-    "corep_crm_reporting_flag", "new_in_default_flag", "cs_proxy_used_flag", "market_risk_sub_type", "b2_std_pre_dflt_asset_class_basel_exposure_sub_type",
-    "b2_std_pre_dflt_asset_class_reg_exposure_type", "b2_std_pre_dflt_asset_class_type", "b2_std_ccf_less_than_year", "b2_std_ccf_more_than_year",
-    "incorp_country_desc", "op_country_desc", "risk_on_ll_rru_desc", "double_default_flag",
-)
-LEVEL_ONE = tuple(k for k in agg.LEVEL_ONE_KEYS if k not in _ABSENT)
-FINER = tuple(k for k in agg.FINER_KEYS if k not in _ABSENT)
-_TWO_LEVELS = f"""l0 AS (SELECT {_names((*LEVEL_ONE, *FINER))}, {', '.join(f'sum({m}) AS {m}' for m in K.AGGREGATE_MEASURES)} FROM mart WHERE adjust_flag = 'A' GROUP BY {_names((*LEVEL_ONE, *FINER))}),
-l1 AS (SELECT {_names(LEVEL_ONE)}, {', '.join(f'sum(coalesce({m}, 0)) AS {m}' for m in K.AGGREGATE_MEASURES)} FROM l0 GROUP BY {_names(LEVEL_ONE)})"""
-_ROUNDED = ", ".join(f"{rounded_sql(m)} AS {m}" for m in K.AGGREGATE_MEASURES)
+_SUMMED = ", ".join(f"sum({m}) AS {m}" for m in lists.AGGREGATE_MEASURES)
+_TWO_LEVELS = f"""l0 AS (SELECT {_names((*lists.LEVEL_ONE, *lists.FINER))}, {_SUMMED} FROM mart WHERE adjust_flag = 'A' GROUP BY {_names((*lists.LEVEL_ONE, *lists.FINER))}),
+l1 AS (SELECT {_names(lists.LEVEL_ONE)}, {', '.join(f'sum(coalesce({m}, 0)) AS {m}' for m in lists.AGGREGATE_MEASURES)} FROM l0 GROUP BY {_names(lists.LEVEL_ONE)})"""
+_ROUNDED = ", ".join(f"{rounded_sql(m)} AS {m}" for m in lists.AGGREGATE_MEASURES)
 
 
-@query("job_agg_mart", f"{chain('mart')}, {_TWO_LEVELS} SELECT {_names(LEVEL_ONE)}, {_ROUNDED} FROM l1")
+@query("job_agg_mart", f"{chain('mart')}, {_TWO_LEVELS} SELECT {_names(lists.LEVEL_ONE)}, {_ROUNDED} FROM l1")
 def job_agg_mart(spark, folder):
     """Aggregate mart and its coarser level, from the mart of the run."""
-    rows = job_of(spark, folder).mart().where(equals("adjust_flag", "A"))
-    fine = agg.aggregate_mart(rows, (*LEVEL_ONE, *FINER))
-    coarse = agg.aggregate_level_one(fine, LEVEL_ONE)
-    return rounded(coarse, K.AGGREGATE_MEASURES)
+    return rounded(agg.aggregate_level_one(fine_level(spark, folder)), K.AGGREGATE_MEASURES)
+
+
+def fine_level(spark, folder):
+    return agg.aggregate_mart(job_of(spark, folder).mart().where(equals("adjust_flag", "A")))
+
+
+@query("job_agg_mart_fine", f"{chain('mart')}, {_TWO_LEVELS} SELECT {_names((*lists.LEVEL_ONE, *lists.FINER))}, {_ROUNDED} FROM l0")
+def job_agg_mart_fine(spark, folder):
+    """Aggregate mart at its full grain of 119 keys."""
+    return rounded(fine_level(spark, folder), K.AGGREGATE_MEASURES)
 
 
 _NEW_DEFAULT = """nd AS (SELECT *, CASE WHEN rwa_approach_code = 'STD' AND b2_std_obsrvd_new_default_flag = 'Y' THEN coalesce(b2_std_exposure_value, 0) + coalesce(b2_std_fully_adj_exp_ccf_50, 0) * 0.5
@@ -351,16 +351,16 @@ _ATTR = (
     "retail_pool_sme_flag", "transitional_portfolio_flag", "corep_product_category", "qccp_flag", "b3_sme_discount_flag", "crr2_501a_discount_flag",
     "reporting_type_code", "memo_class", "std_act_risk_weight", "b2_std_basel_exposure_type", "basel_exposure_type", "reg_exposure_type",
 )
-_CASE_SHEET = "CASE {c} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in K.SHEET_OF_CLASS.items()) + " END"
+_CASE_SHEET = "CASE {c} " + " ".join(f"WHEN '{quoted(k)}' THEN '{v}'" for k, v in lists.SHEETS) + " END"
 _BAL = "c0010 c0030 c0040 c0050 c0060 c0080 c0090 c0100 c0110 c0130 c0140 c0150".split()
 _CONV = "c0160 c0170 c0180 c0190".split()
 _TAIL = "c0215 c0216 c0217 c0220".split()
 _L22 = _BAL + _CONV + ["c0200", "c0210"] + _TAIL
 _L24 = _L22 + ["c0230", "c0240"]
 _L15 = ["c0010", "c0030", "c0040", "c0150"] + _CONV + ["c0200", "c0210", "c0211"] + _TAIL
-_SIX = "('" + "', '".join(cells_plan.MEMO_CLASSES) + "')"
+_SIX = "('" + "', '".join(lists.MEMO_CLASSES) + "')"
 _W = "round(std_act_risk_weight, 3)"
-_ROW_CASE = "CASE " + " ".join(f"WHEN {_W} = {w} THEN '{r}'" for w, r in K.ROW_OF_RISK_WEIGHT.items()) + " ELSE 'R0280' END"
+_ROW_CASE = "CASE " + " ".join(f"WHEN {_W} = {w} THEN '{r}'" for w, r in lists.WEIGHT_ROWS) + " ELSE 'R0280' END"
 _SFT = "corep_product_category = 'SECURITIES FINANCING' AND coalesce(reporting_type_code, 'X') <> 'LS'"
 _DRV = "(corep_product_category = 'DERIVATIVES' OR reporting_type_code = 'LS')"
 _RES = "reg_exposure_type = 'Secured by mortgages on residential property'"
@@ -393,7 +393,7 @@ _LONG = " UNION ALL ".join(
     for m in names
 )
 _RETURN_SQL = f"""{chain('mart', ('dpm_parameter', 'group_map', 'template_cells', 'members', 'sheets', 'domains', 'returns', 'templates'))},
-input_rows AS (SELECT m.* EXCLUDE (crd4_memo_basel_exposure_type), a.basel_exposure_type, a.reg_exposure_type, m.crd4_memo_items_asset_class_basel_exposure_type AS memo_class, CAST(NULL AS DOUBLE) AS b2_std_coll_fx_haircut_amt
+input_rows AS (SELECT m.* EXCLUDE (crd4_memo_basel_exposure_type), a.basel_exposure_type, a.reg_exposure_type, m.crd4_memo_items_asset_class_basel_exposure_type AS memo_class
   FROM mart m JOIN asset_class a ON a.asset_class_rk = m.corep_std_asset_class_rk WHERE year_month = 200108 AND reporting_regulator_code IN ('UK-FSA', 'CBI') AND rwa_approach_code = 'STD' AND adjust_flag = 'A'
   AND coalesce(reporting_type_code, 'X') NOT IN ('OR', 'MR', 'SR') AND (crd4_rep_std_flag = 'Y' OR crd4_rep_stdflow_flag = 'Y' OR (aclm_product_type = 'BASEL-OTC' AND basel_data_flag = 'N')) AND default_fund_contrib_indicator = 'N'
   AND division IN (SELECT parameter1_value FROM dpm_parameter WHERE param_code = 'DIVISION' AND parameter2_value = 'Y')),
@@ -418,8 +418,7 @@ SELECT 70 AS return_rk, row_id, column_id, reporting_regulator_code, risk_taker_
 def job_return(spark, folder):
     """Return cells of both categories with totals and skeleton."""
     job = job_of(spark, folder)
-    mart = job.mart().withColumn("b2_std_coll_fx_haircut_amt", F.lit(None).cast("double"))
-    rows = cells_plan.select_input(mart, job["asset_class"], job["dpm_parameter"], RUN_MONTH, RUN_DATE)
+    rows = cells_plan.select_input(job.mart(), job["asset_class"], job["dpm_parameter"], RUN_MONTH, RUN_DATE)
     cells = cells_plan.report_cells(cells_plan.measures_by_attributes(rows))
     entities = rounded(cells_plan.entity_cells(cells, job["group_map"]), ["value"])
     skeleton = cells_plan.cell_skeleton(

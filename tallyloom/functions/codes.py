@@ -59,8 +59,8 @@ SHEET_OF_CLASS = {
     IN_DEFAULT: "STD0011",
     HIGH_RISK: "STD0012",
     "Exposures in the form of covered bonds": "STD0013",
-    "Exposures to institutions and corporates with a short-term credit assessment": "STD0014",
-    "Exposures in the form of units or shares in collective investment undertakings": "STD0015",
+    "Exposures to institutions and corporates with a  short-term credit assessment": "STD0014",
+    "Exposures in the form of units or shares in collective investment undertakings ('CIUs')": "STD0015",
     EQUITY: "STD0016",
     OTHER_ITEMS: "STD0017",
 }

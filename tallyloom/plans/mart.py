@@ -83,10 +83,20 @@ INTERNAL_TOTALS = (
 )
 
 
+# Totals that an exposure row shows under the name the return reads.
+REDUCTION_TOTALS = {
+    "b2_std_coll_volatility_amt_agg": "b2_std_coll_volatility_amt",
+    "b2_std_coll_mty_mismatch_amt_agg": "b2_std_coll_mty_mismatch_amt",
+    "b2_std_coll_fx_haircut_amt_agg": "b2_std_coll_fx_haircut_amt",
+}
+
+
 def filled(df: DataFrame, defaults: dict) -> DataFrame:
-    """Null defaults of a layer, for the columns it has."""
-    have = set(df.columns)
-    return df.fillna({c: v for c, v in defaults.items() if c in have})
+    """Null defaults of a layer, which must have all these columns."""
+    missing = sorted(set(defaults) - set(df.columns))
+    if missing:
+        raise ValueError(f"no column for the defaults {missing}")
+    return df.fillna(defaults)
 
 
 def with_prior_quarter(exposures: DataFrame, history: DataFrame, previous_quarter: Column) -> DataFrame:
@@ -155,7 +165,7 @@ def inflow_rows(deals: DataFrame, sub_exposures: DataFrame) -> DataFrame:
         F.col("reporting_regulator_code").alias("_r"),
         F.col("_plain_deal").alias("_d"),
         F.col("deal_id").alias("_deal_id"),
-        *dict.fromkeys([c for c in (*DEAL_COLUMNS_FOR_INFLOW, *DEAL_COLUMNS_ON_INFLOW) if c in deals.columns]),
+        *dict.fromkeys((*DEAL_COLUMNS_FOR_INFLOW, *DEAL_COLUMNS_ON_INFLOW)),
     )
     joined = left.join(
         right,
@@ -177,6 +187,8 @@ def inflow_rows(deals: DataFrame, sub_exposures: DataFrame) -> DataFrame:
         "b2_std_eff_gtee_amt",
         "b2_std_eff_cds_amt",
         "b2_std_eff_fin_coll_amt",
+        "b2_std_coll_volatility_amt",
+        "b2_std_coll_mty_mismatch_amt",
     ).withColumns(
         {
             "adjust_flag": F.lit("A"),
@@ -194,7 +206,10 @@ def unite_flows(deals: DataFrame, mitigants: DataFrame) -> DataFrame:
     """Deals and their inflow rows as one layer, with pack F."""
     inflow = inflow_rows(deals, mitigants)
     internal = ~equals("rwa_approach_code", K.STD)
-    shown = deals.withColumns({c: F.when(internal, z(c)).otherwise(F.lit(0.0)) for c in INTERNAL_TOTALS})
+    shown = deals.withColumns(
+        {c: F.when(internal, z(c)).otherwise(F.lit(0.0)) for c in INTERNAL_TOTALS}
+        | {plain: F.col(total) for total, plain in REDUCTION_TOTALS.items()}
+    )
     return add_final_columns(align_union(shown.drop("_plain_deal"), inflow, ZERO_ON_EXPOSURES))
 
 

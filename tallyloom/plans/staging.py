@@ -655,8 +655,10 @@ def stage_exposures(
         {
             "memo_b2_std_basel_exposure_type": F.col("b2_std_asset_class_basel_exposure_type"),
             "b2_std_basel_exposure_type": F.col("b2_std_asset_class_basel_exposure_type"),
+            "b2_std_asset_class_basel_exposure_sub_type": F.col("memo_b2_std_basel_exposure_sub_type"),
             "incorp_p3_country_desc": F.col("incorp_p3_country_desc"),
             "op_country_desc": F.col("op_p3_country_desc"),
+            "incorp_country_desc": F.col("incorp_p3_country_desc"),
             "risk_taker_rru": F.col("rru_rk"),
             "risk_on_rru": F.col("risk_on_rru_rk"),
         }
