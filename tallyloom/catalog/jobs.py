@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.catalog import job_lists as lists
-from tallyloom.catalog.inputs import RUN_DATE, RUN_MONTH, JobInputs
+from tallyloom.catalog.inputs import BASE_TABLES, RUN_DATE, RUN_MONTH, JobInputs
 from tallyloom.catalog.job_sql import TOTAL_NAMES, chain
 from tallyloom.catalog.registry import query
 from tallyloom.functions import codes as K
@@ -24,10 +22,10 @@ from tallyloom.plans.exposures import EXPOSURE_VALUE_COLUMNS
 from tallyloom.plans.final import FINAL_COLUMNS
 from tallyloom.plans.flags import FLAG_COLUMNS
 from tallyloom.plans.inflow import INFLOW_COLUMNS
-from tallyloom.plans.mitigants import MITIGANT_COLUMNS, add_mitigant_amounts, mitigant_totals
-from tallyloom.plans.staging import stage_exposures, stage_sub_exposures
-from tallyloom.session import checkpoint_folder
-from tallyloom.sources.sinks import write_layer
+from tallyloom.plans.mitigants import MITIGANT_COLUMNS, add_mitigant_amounts, totals_for_all
+from tallyloom.plans.staging import for_all_regulators, stage_exposures, stage_sub_exposures, sub_exposure_rows
+from tallyloom.session import scratch_path
+from tallyloom.sources.sinks import load_return, write_layer
 
 DEAL = ("year_month", "reporting_regulator_code", "deal_id")
 # Sums of doubles differ in their last digits with the order of rows. Both
@@ -47,14 +45,14 @@ def rounded_sql(expression: str, scale: int = 2) -> str:
 class Job(JobInputs):
     """The layers of one run, each built from the one before it.
 
-    A layer is written once per session and folder, under the shared
-    checkpoint folder, and later layers read it back, as the jobs of a
-    month-end run do.
+    A layer is written once per session and state of the input files, under
+    the shared checkpoint folder, and later layers read it back, as the jobs of
+    a month-end run do: a query on a layer writes those before it. The folders
+    go when the session ends.
     """
 
     def written(self, name: str, df: DataFrame) -> DataFrame:
-        path = f"{checkpoint_folder(self.spark).rstrip('/')}/{name}-{uuid4().hex}"
-        return write_layer(df, path, ["reporting_regulator_code"])
+        return write_layer(df, scratch_path(self.spark, name), ["year_month", "reporting_regulator_code"])
 
     def staging_plan(self):
         return stage_exposures(self, RUN_DATE, facts=self["facts"])
@@ -63,10 +61,15 @@ class Job(JobInputs):
         return self.layer("_staged", lambda: self.written("staged", self.staging_plan()))
 
     def subs(self):
-        return self.layer("_subs", lambda: self.written("sub_exposures", stage_sub_exposures(self, RUN_DATE)))
+        """Sub-exposures of their own regulator with pack C, not yet copied."""
+
+        def plan():
+            return add_mitigant_amounts(mart_plan.filled(sub_exposure_rows(self, RUN_DATE), K.SUB_EXPOSURE_DEFAULTS))
+
+        return self.layer("_subs", lambda: self.written("sub_exposures", plan()))
 
     def mitigants(self):
-        return add_mitigant_amounts(mart_plan.filled(self.subs(), K.SUB_EXPOSURE_DEFAULTS))
+        return for_all_regulators(self.subs())
 
     def enriched(self):
         previous = previous_quarter_key(F.to_date(F.lit(RUN_DATE)))
@@ -74,7 +77,7 @@ class Job(JobInputs):
         return self.layer("_enriched", lambda: mart_plan.enrich_exposures(exposures))
 
     def deals_plan(self):
-        return mart_plan.enrich_deals(self.enriched(), mitigant_totals(self.mitigants()))
+        return mart_plan.enrich_deals(self.enriched(), totals_for_all(self.subs()))
 
     def deals(self):
         return self.layer("_deals", lambda: self.written("deals", self.deals_plan()))
@@ -86,15 +89,30 @@ class Job(JobInputs):
         return self.layer("_mart", lambda: self.written("mart", self.mart_plan()))
 
 
-_JOBS: dict[tuple[str, str], Job] = {}
+_JOBS: dict[tuple, tuple[tuple, Job]] = {}
+
+
+def input_state(spark, folder: str) -> tuple:
+    """Path, size and time of every file the inputs come from."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for name in BASE_TABLES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+        files = system.listFiles(path, True) if system.exists(path) else None
+        while files is not None and files.hasNext():
+            entry = files.next()
+            found.append((entry.getPath().toString(), entry.getLen(), entry.getModificationTime()))
+    return tuple(sorted(found))
 
 
 def job_of(spark, folder: str) -> Job:
-    """The job of a session and folder."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _JOBS:
-        _JOBS[key] = Job(spark, folder)
-    return _JOBS[key]
+    """The job of a session, a folder and the files it holds now."""
+    key = (spark.sparkContext.applicationId, str(spark._jsparkSession.sessionUUID()), folder)
+    state = input_state(spark, folder)
+    if key not in _JOBS or _JOBS[key][0] != state:
+        _JOBS[key] = (state, Job(spark, folder))
+    return _JOBS[key][1]
 
 
 STAGED = (
@@ -120,7 +138,7 @@ def _names(columns) -> str:
 @query("job_staging", f"{chain('staged')} SELECT {_names(STAGED)} FROM staged")
 def job_staging(spark, folder):
     """Exposure staging: four branches, all dimension roles, bands and overrides."""
-    return job_of(spark, folder).staging_plan().select(*STAGED)
+    return job_of(spark, folder).staged().select(*STAGED)
 
 
 @query("rules_flags", f"{chain('pa')} SELECT {_names((*DEAL, *FLAG_COLUMNS))} FROM pa")
@@ -210,7 +228,7 @@ _MART_ROW = (
 @query("job_mart", f"{chain('mart')} SELECT {_names(_MART_ROW)} FROM mart")
 def job_mart(spark, folder):
     """The mart: exposures and inflow with all packs."""
-    return job_of(spark, folder).mart_plan().select(*_MART_ROW)
+    return job_of(spark, folder).mart().select(*_MART_ROW)
 
 
 _SUMMED = ", ".join(f"sum({m}) AS {m}" for m in lists.AGGREGATE_MEASURES)
@@ -426,3 +444,30 @@ def job_return(spark, folder):
         70, "C 07.00", RUN_MONTH, RUN_DATE,
     )
     return cells_plan.full_return(entities, skeleton, run_rk=1, return_rk=70, return_code="C 07.00")
+
+
+SUB_ROW = (
+    *DEAL, "mitigant_id", "provider_counterparty_rk", "mitigant_type_rk", "collateral_type_rk", "corep_crm_category", "type", "double_default_flag",
+    "b2_std_eff_gtee_amt", "b2_std_eff_cds_amt", "b2_std_gtee_cds_rwa", "b2_irb_gtee_amt", "b2_irb_coll_amt", "sec_discntd_b2_irb_garntee_amt",
+    "sec_discntd_b2_irb_colltrl_amt", "b2_std_eff_coll_amt_post_hcut", "b2_std_elig_coll_amt", "b2_std_fx_haircut", "b2_std_coll_volatility_amt",
+    "b2_std_coll_mty_mismatch_amt", "b2_std_gtor_rw_ratio", "sys_code", "adjust_flag", "sys_protection_type", "basel_security_sub_type", "mitigant_type",
+    "collateral_type_code", "corep_std_asset_class_rk", "flow_type",
+)
+
+
+@query("job_sub_staging", f"{chain('subs')} SELECT {_names(SUB_ROW)} FROM subs")
+def job_sub_staging(spark, folder):
+    """Sub-exposure staging: two sources, with the copies for other regulators."""
+    return stage_sub_exposures(job_of(spark, folder), RUN_DATE).select(*SUB_ROW)
+
+
+@query(
+    "sink_load_return",
+    f"SELECT r.*, f.flag AS adjust_flag FROM ({_RETURN_SQL}) AS r JOIN (VALUES ('A'), ('U')) AS f(flag) ON r.for_adjust_flag IS NULL OR r.for_adjust_flag = f.flag",
+)
+def sink_load_return(spark, folder):
+    """The return's cells loaded once per dataset flag, read back."""
+    path = scratch_path(spark, "return")
+    cells = job_return(spark, folder)
+    load_return(cells, path)
+    return spark.read.parquet(path).select(*cells.columns, "adjust_flag")

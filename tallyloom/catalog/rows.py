@@ -20,10 +20,12 @@ from tallyloom.functions.columns import (
     pick,
     z,
 )
-from tallyloom.operators.filters import RegimeColumns, is_valid_on, latest_snapshot, regime_value
+from tallyloom.operators.filters import RegimeColumns, is_valid_on, latest_day, regime_value
 from tallyloom.operators.joins import lookup
 from tallyloom.operators.setops import align_union
 from tallyloom.plans.staging import DUTCH_RULES, IRISH_RULES, OTHER_RULES, UK_RULES, basel_rules
+from tallyloom.session import scratch_path
+from tallyloom.sources.sinks import write_layer
 from tallyloom.sources.tables import literal_rows, parameter_month, parameter_value, scan, table
 
 # Three versions per customer, with a one-day gap and an open end.
@@ -49,8 +51,10 @@ def plain(text_: str) -> str:
     f"SELECT o_orderkey, o_totalprice, year_month, adjust_flag FROM ({plain(MONTHLY_ORDERS)}) WHERE year_month = 199805 AND adjust_flag = 'A' AND valid_flag = 'Y'",
 )
 def scan_partition_filter(spark, folder):
-    rows = scan(derive(spark, folder, MONTHLY_ORDERS), 199805, "A")
-    return rows.select("o_orderkey", "o_totalprice", "year_month", "adjust_flag")
+    """One month and dataset of a layer that is partitioned by both: other folders are not read."""
+    path = scratch_path(spark, "monthly_orders")
+    layer = write_layer(derive(spark, folder, MONTHLY_ORDERS), path, ["year_month", "adjust_flag"])
+    return scan(layer, 199805, "A").select("o_orderkey", "o_totalprice", "year_month", "adjust_flag")
 
 
 @query(
@@ -58,8 +62,8 @@ def scan_partition_filter(spark, folder):
     "SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS snap_dt FROM events WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)",
 )
 def latest_snapshot_query(spark, folder):
-    events = table(spark, folder, "events").withColumn("snap_dt", F.to_date("ts"))
-    return latest_snapshot(events, "snap_dt").select("event_id", "user_id", "event_type", "snap_dt")
+    events = latest_day(table(spark, folder, "events"), "ts").withColumn("snap_dt", F.to_date("ts"))
+    return events.select("event_id", "user_id", "event_type", "snap_dt")
 
 
 @query(

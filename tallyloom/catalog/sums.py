@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from tallyloom.catalog.inputs import derive
@@ -27,7 +29,8 @@ from tallyloom.operators.reshape import (
     unpivot_rows,
 )
 from tallyloom.operators.setops import union_branches
-from tallyloom.sources.sinks import write_partitioned
+from tallyloom.session import scratch_path
+from tallyloom.sources.sinks import insert_overwrite, save_table, write_partitioned
 from tallyloom.sources.tables import table
 
 _WIDE = """SELECT CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INT) AS year_month, l_returnflag, l_linestatus, l_linenumber, l_discount, l_tax,
@@ -349,7 +352,7 @@ def cells_full_return(spark, folder):
 )
 def sink_partitioned(spark, folder):
     """Write by month and dataset, then read the layer back."""
-    path = _scratch(spark, "sink_partitioned")
+    path = scratch_path(spark, "sink_partitioned")
     write_partitioned(derive(spark, folder, MONTHLY_ORDERS), path, ["year_month", "adjust_flag"])
     return (
         spark.read.parquet(path)
@@ -365,7 +368,7 @@ def sink_partitioned(spark, folder):
 )
 def sink_roundtrip_dynamic(spark, folder):
     """Overwrite some months of a layer; the other months stay."""
-    path = _scratch(spark, "sink_roundtrip")
+    path = scratch_path(spark, "sink_roundtrip")
     rows = derive(spark, folder, MONTHLY_ORDERS)
     write_partitioned(rows, path, ["year_month"])
     changed = rows.where(F.col("year_month") >= 200101).withColumn("o_totalprice", F.col("o_totalprice") * 2)
@@ -377,10 +380,20 @@ def sink_roundtrip_dynamic(spark, folder):
     )
 
 
-def _scratch(spark, name: str) -> str:
-    """A new folder under the shared checkpoint folder, or a local one in tests."""
-    from uuid import uuid4
+_MONTH_TOTALS = "SELECT year_month, adjust_flag, count(*) AS n_rows, sum(floor(o_totalprice)) AS total FROM ({rows}) GROUP BY ALL"
+
 
-    from tallyloom.session import checkpoint_folder
+def _month_totals(spark, path):
+    rows = spark.read.parquet(path).groupBy("year_month", "adjust_flag")
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.floor("o_totalprice").cast("double")).alias("total"))
 
-    return f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid4().hex}"
+
+@query("sink_insert_overwrite", _MONTH_TOTALS.format(rows=plain(MONTHLY_ORDERS)).replace("floor(o_totalprice)", "CAST(floor(o_totalprice) AS DOUBLE)"))
+def sink_insert_overwrite(spark, folder):
+    """Months of a table replaced by name: all months first with other amounts, then all again."""
+    path, name = scratch_path(spark, "insert_overwrite"), f"months_{uuid4().hex}"
+    rows = derive(spark, folder, MONTHLY_ORDERS)
+    save_table(rows.withColumn("o_totalprice", F.lit(0.0)), name, ["year_month", "adjust_flag"], path)
+    insert_overwrite(rows.select(*reversed(rows.columns)), name)
+    spark.sql(f"DROP TABLE {name}")
+    return _month_totals(spark, path)

@@ -32,6 +32,16 @@ def latest_snapshot(df: DataFrame, snapshot: str, date=None, **validity: str) ->
     return rows if date is None else valid_on(rows, date, **validity)
 
 
+def latest_day(df: DataFrame, timestamp: str) -> DataFrame:
+    """Rows of the newest day of a timestamp.
+
+    The stored column itself is compared with the begin of that day, so files
+    and row groups that end before it are skipped.
+    """
+    newest = df.select(F.date_trunc("day", F.max(timestamp)).cast(df.schema[timestamp].dataType)).scalar()
+    return df.where(F.col(timestamp) >= newest)
+
+
 @dataclass(frozen=True)
 class RegimeRule:
     """One rule of an ordered list; every condition that is set must hold.

@@ -44,16 +44,43 @@ def lookup(
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 
+def spread_key(key: Column, by: Sequence[Column], sentinels: Sequence[int] = ()) -> Column:
+    """A whole-number key whose null and sentinel values never match, and spread out.
+
+    Such rows would all meet in one partition of a shuffled join. They get a
+    large negative key from a hash of other columns instead: the same one in
+    every attempt of a task.
+    """
+    none = key.isNull() if not sentinels else key.isNull() | key.isin(*sentinels)
+    return F.when(none, -(F.lit(1 << 40) + F.pmod(F.xxhash64(*by), F.lit(1 << 40)))).otherwise(key.cast("long"))
+
+
 def packed_lookup(
-    facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, name: str, keep: Sequence[str], limit: int | None = None
+    facts: DataFrame,
+    dim: DataFrame,
+    fact_key: str,
+    dim_key: str,
+    name: str,
+    keep: Sequence[str],
+    limit: int | None = None,
+    spread_by: Sequence[str] = (),
+    sentinels: Sequence[int] = (),
 ) -> DataFrame:
     """Left join that brings a dimension's columns as one struct column.
 
     In a long chain of lookups every join copies one field per role, not one
-    per attribute; the attributes are unpacked once, at the end.
+    per attribute; the attributes are unpacked once, at the end. Where the
+    dimension outgrows a broadcast and ``spread_by`` names columns of the
+    facts, null keys and ``sentinels``, which the dimension must not hold, are
+    spread over all partitions.
     """
-    right = broadcast_if_small(dim.select(F.col(dim_key).alias("_pk"), F.struct(*keep).alias(name)), limit)
-    return facts.join(right, facts[fact_key] == right["_pk"], "left").drop("_pk")
+    right = dim.select(F.col(dim_key).alias("_pk"), F.struct(*keep).alias(name))
+    if not spread_by or fits_broadcast(right, limit):
+        right = broadcast_if_small(right, limit)
+        return facts.join(right, facts[fact_key] == right["_pk"], "left").drop("_pk")
+    left = facts.withColumn("_fk", spread_key(F.col(fact_key), [F.col(c) for c in spread_by], sentinels))
+    right = right.withColumn("_pk", F.col("_pk").cast("long"))
+    return left.join(right, left["_fk"] == right["_pk"], "left").drop("_pk", "_fk")
 
 
 def effective_dated_join(
@@ -270,13 +297,15 @@ def prior_period_join(
     previous_period: Column,
     values: Mapping[str, str],
 ) -> DataFrame:
-    """Left join to the same key one period earlier; ``values`` renames what is taken."""
+    """Left join to the same key one period earlier; ``values`` renames what is taken.
+
+    History is brought to one row per key first, each value the smallest, so
+    a repeated row never multiplies the current ones.
+    """
     left = current.withColumn("_pp", previous_period)
-    right = history.select(
-        *[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)],
-        F.col(period).alias("_hp"),
-        *[F.col(c).alias(v) for c, v in values.items()],
-    )
+    right = history.groupBy(
+        *[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)], F.col(period).alias("_hp")
+    ).agg(*[F.min(c).alias(v) for c, v in values.items()])
     condition = left["_pp"] == right["_hp"]
     for i, k in enumerate(keys):
         condition = condition & (left[k] == right[f"_h{i}"])

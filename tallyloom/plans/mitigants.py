@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.functions import codes as K
 from tallyloom.functions.columns import amount_if, capped_by, equals, is_blank, one_of, z
 from tallyloom.operators.aggregates import group_sum
+from tallyloom.plans.staging import for_all_regulators
 
 # --- fixed values: mitigant categories and codes ----------------------------
 GUARANTEES = "GUARANTEES"
@@ -154,6 +156,19 @@ def mitigant_totals(sub_exposures: DataFrame, keys=DEAL_KEYS) -> DataFrame:
     return group_sum(filled, keys, MITIGANT_TOTALS)
 
 
+def totals_for_all(own: DataFrame, keys=DEAL_KEYS) -> DataFrame:
+    """Totals of sub-exposures before they are copied: summed once, then copied.
+
+    Only a regulator with sub-exposures of its own needs a second sum, of
+    what was summed already.
+    """
+    totals = mitigant_totals(own, keys)
+    regulator = F.col("reporting_regulator_code")
+    copied = for_all_regulators(totals)
+    alone = copied.where(~regulator.isin(K.GERMANY))
+    return alone.unionByName(group_sum(copied.where(regulator == K.GERMANY), keys, list(MITIGANT_TOTALS.values())))
+
+
 def add_deal_caps(deals: DataFrame) -> DataFrame:
     """Cap the totals by the deal's own amounts; a deal without mitigants gets zeros."""
     return deals.withColumns(

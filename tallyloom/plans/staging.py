@@ -297,7 +297,7 @@ def attach_dimensions(
     )
     rec = is_in_run(tables["exposures_rec"], month, day)
     rows = packed_lookup(rows, rec, "_deal", "deal_id", "rec", REC_COLUMNS)
-    rows = packed_lookup(rows, party_profile(tables, date, month, day), "counterparty_rk", "party_rk", "party", PARTY_COLUMNS)
+    rows = packed_lookup(rows, party_profile(tables, date, month, day), "counterparty_rk", "party_rk", "party", PARTY_COLUMNS, spread_by=("_deal",), sentinels=(-1,))
     for name, table, dim_key, fact_key, keep in DIMENSION_ROLES:
         rows = packed_lookup(rows, valid_on(tables[table], date), fact_key, dim_key, name, keep)
     legal = latest_snapshot(tables["counterparty"], "snap_dt", date).select(
@@ -668,6 +668,19 @@ def stage_exposures(
 
 def stage_sub_exposures(tables: Mapping[str, DataFrame], date: str) -> DataFrame:
     """Sub-exposure staging: two sources, then copies for the other regulators."""
+    return for_all_regulators(sub_exposure_rows(tables, date))
+
+
+def for_all_regulators(rows: DataFrame, codes: Sequence[str] = (K.UK, *K.FAN_OUT_REGULATORS)) -> DataFrame:
+    """Rows of the first regulator for each of the codes; other rows as they are."""
+    copies = F.when(F.col("reporting_regulator_code") == K.UK, F.array(*map(F.lit, codes))).otherwise(
+        F.array(F.col("reporting_regulator_code"))
+    )
+    return rows.withColumn("reporting_regulator_code", F.explode(copies))
+
+
+def sub_exposure_rows(tables: Mapping[str, DataFrame], date: str) -> DataFrame:
+    """Sub-exposures of their own regulator, before they are copied for the others."""
     month, day = run_keys(date)
     uk = is_in_run(tables["sub_exposures"], month, day).withColumn("reporting_regulator_code", F.lit(K.UK))
     german = is_in_run(tables["sub_exposures_oth"], month, day).where(
@@ -688,7 +701,7 @@ def stage_sub_exposures(tables: Mapping[str, DataFrame], date: str) -> DataFrame
         F.col("counterparty_rk").alias("_p"), F.col("b2_std_asset_class_rk").alias("provider_b2_std_asset_class")
     )
     rows = lookup(rows, providers, {"provider_counterparty_rk": "_p"})
-    rows = rows.withColumns(
+    return rows.withColumns(
         {
             "b2_std_eff_gtee_amt": z("b2_std_eff_gtee_amt"),
             "b2_std_eff_cds_amt": z("b2_std_eff_cds_amt"),
@@ -696,7 +709,3 @@ def stage_sub_exposures(tables: Mapping[str, DataFrame], date: str) -> DataFrame
             "flow_type": F.lit(K.INFLOW),
         }
     ).withColumnRenamed("year_month_rk", "year_month")
-    is_uk = F.col("reporting_regulator_code") == K.UK
-    all_codes = F.array(F.lit(K.UK), *[F.lit(c) for c in K.FAN_OUT_REGULATORS])
-    copies = F.when(is_uk, all_codes).otherwise(F.array(F.col("reporting_regulator_code")))
-    return rows.withColumn("reporting_regulator_code", F.explode(copies))

@@ -47,9 +47,10 @@ def insert_overwrite(df: DataFrame, table: str) -> None:
     )
 
 
-def save_table(df: DataFrame, table: str, by: Sequence[str]) -> None:
-    """Create or replace a partitioned table."""
-    df.write.format("parquet").mode("overwrite").partitionBy(*by).saveAsTable(table)
+def save_table(df: DataFrame, table: str, by: Sequence[str], path: str | None = None) -> None:
+    """Create or replace a partitioned table, in the warehouse or at a path of its own."""
+    writer = df.write.format("parquet").mode("overwrite").partitionBy(*by)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def load_return(cells: DataFrame, path: str, flags: Iterable[str] = ("A", "U")) -> None:
