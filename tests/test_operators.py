@@ -1,5 +1,6 @@
 """Invariants and differential checks of the operators."""
 
+import os
 from uuid import uuid4
 
 import pytest
@@ -8,12 +9,17 @@ from pyspark.sql import functions as F
 from tallyloom.operators import joins
 from tallyloom.operators.aggregates import group_sum, grouping_sets_total
 from tallyloom.operators.audit import duplicate_keys, observed
+from tallyloom.operators.filters import latest_day
 from tallyloom.operators.reshape import CellRow, unpivot_rows
 from tallyloom.operators.setops import merge_upsert
 from tallyloom.operators.sizing import fits_broadcast
+from tallyloom.plans.aggregate_mart import aggregate_mart
+from tallyloom.plans.mitigants import MITIGANT_TOTALS, mitigant_totals, totals_for_all
 from tallyloom.plans.return_cells import measure_table, report_rows
+from tallyloom.plans.staging import for_all_regulators
 from tallyloom.sources.layouts import conform
 from tallyloom.sources.sinks import insert_overwrite, load_return, save_table, write_layer
+from tallyloom.sources.tables import scan
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -135,7 +141,86 @@ def test_sinks(spark, tmp_path):
             insert_overwrite(df.drop("id"), name)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-    assert callable(save_table)
+    saved = f"t_{uuid4().hex}"
+    try:
+        for factor in (1, 2):
+            save_table(df.withColumn("id", F.col("id") * factor), saved, ["year_month"], str(tmp_path / saved))
+        assert spark.table(saved).agg(F.sum("id")).first()[0] == 2 * sum(range(100))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {saved}")
+
+
+def test_overwriting_one_month_keeps_the_others(spark, tmp_path):
+    df = spark.range(100).select("id", (F.col("id") % 4 + 200101).cast("int").alias("year_month"), F.lit("UK-FSA").alias("reporting_regulator_code"))
+    by = ["year_month", "reporting_regulator_code"]
+    write_layer(df, str(tmp_path / "layer"), by)
+    layer = write_layer(df.where("year_month = 200102").withColumn("id", F.col("id") + 1000), str(tmp_path / "layer"), by)
+    assert layer.count() == 100 and layer.where("id >= 1000").count() == 25
+
+
+def test_scans_are_pruned(spark, tmp_path):
+    df = spark.range(100).select("id", (F.col("id") % 4 + 200101).cast("int").alias("year_month"), F.lit("A").alias("adjust_flag"), F.lit("Y").alias("valid_flag"))
+    layer = write_layer(df, str(tmp_path / "months"), ["year_month", "adjust_flag"])
+    plan = scan(layer, 200102, "A")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year_month" in plan and scan(layer, 200102, "A").count() == 25
+    events = spark.range(300).select("id", F.timestamp_seconds(F.col("id") * 3600).alias("ts"))
+    newest = latest_day(events, "ts")
+    assert sorted(r.id for r in newest.collect()) == list(range(288, 300))
+
+
+def test_spread_keys_change_no_row(spark):
+    facts = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, F.lit(-1)).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 50).cast("int").alias("k"))
+    dim = spark.range(40).select(F.col("id").cast("int").alias("dk"), (F.col("id") * 2).alias("v"))
+    small = joins.packed_lookup(facts, dim, "k", "dk", "d", ["v"])
+    spread = joins.packed_lookup(facts, dim, "k", "dk", "d", ["v"], limit=0, spread_by=("id",), sentinels=(-1,))
+    assert as_set(small) == as_set(spread)
+    keys = facts.where("k = -1 OR k IS NULL").select(joins.spread_key(F.col("k"), [F.col("id")], (-1,)).alias("s"))
+    assert keys.distinct().count() == keys.count() and keys.agg(F.max("s")).first()[0] < -1
+
+
+def test_prior_period_takes_one_row_per_key(spark):
+    now = spark.createDataFrame([(1, 200108)], "deal int, month int")
+    before = spark.createDataFrame([(1, 200106, "b"), (1, 200106, "a")], "deal int, month int, flag string")
+    got = joins.prior_period_join(now, before, ["deal"], "month", F.lit(200106), {"flag": "flag_before"})
+    assert [r.flag_before for r in got.collect()] == ["a"]
+
+
+def test_totals_before_copies_equal_totals_after(spark):
+    rows = [("UK-FSA", 1, 2.0), ("UK-FSA", 1, 3.0), ("UK-FSA", 2, None), ("DE-BBK", 1, 7.0)]
+    df = spark.createDataFrame([(200108, *r) for r in rows], "year_month int, reporting_regulator_code string, deal_id int, amount double")
+    df = df.select("year_month", "reporting_regulator_code", "deal_id", *[F.col("amount").alias(c) for c in MITIGANT_TOTALS])
+    assert as_set(totals_for_all(df)) == as_set(mitigant_totals(for_all_regulators(df)))
+
+
+def test_missing_group_key_is_an_error(spark):
+    with pytest.raises(ValueError):
+        aggregate_mart(spark.range(1), ["id", "no_such_key"], ["id"])
+
+
+def test_changed_inputs_give_new_layers(spark, tmp_path):
+    from tallyloom.catalog.jobs import input_state, job_of
+
+    spark.range(5).write.parquet(str(tmp_path / "orders.parquet"))
+    first = job_of(spark, str(tmp_path))
+    assert job_of(spark, str(tmp_path)) is first
+    spark.range(6).write.mode("append").parquet(str(tmp_path / "orders.parquet"))
+    assert job_of(spark, str(tmp_path)) is not first and len(input_state(spark, str(tmp_path))) > 0
+
+
+def test_scratch_tables_are_removed(spark, tmp_path):
+    from tallyloom import session
+
+    kept = dict(session._SCRATCH)
+    session._SCRATCH.clear()
+    try:
+        made = session.scratch_table(spark.range(3), "t")
+        path = made.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+        path = "/" + path.lstrip("/")
+        assert os.path.isdir(path)
+        session.drop_scratch(spark)
+        assert not os.path.exists(path)
+    finally:
+        session._SCRATCH.update(kept)
 
 
 def test_load_return_per_flag(spark, tmp_path):
