@@ -223,6 +223,10 @@ def _always(select: str) -> str:
     return f"SELECT s.*, {FIRST_DAY} AS valid_from_date, {LAST_DAY} AS valid_to_date FROM ({select}) AS s"
 
 
+_CLASS_ROWS = values(
+    [(k, t, "Y", r, rs, b, s) for k, t, r, rs, b, s in _ASSET_CLASSES],
+    "asset_class_rk, type, valid_flag, reg_exposure_type, reg_exposure_sub_type, basel_exposure_type, basel_exposure_sub_type",
+)
 _BOOK_JOIN = "{orders} LEFT JOIN {customer} ON o_custkey = c_custkey LEFT JOIN {nation} ON c_nationkey = n_nationkey"
 _SEGMENT_KEY = FACT_COLUMNS["industry_rk"]
 _CIS = "CASE WHEN c_custkey % 37 = 0 THEN 'Z6VROIT' WHEN c_custkey % 41 = 0 THEN 'Z6VR0IT' WHEN c_custkey % 31 = 0 THEN 'UnKnown' WHEN c_custkey % 23 = 0 THEN NULL ELSE 'CIS' || CAST(c_custkey AS STRING) END"
@@ -263,12 +267,7 @@ INPUTS: dict[str, str] = {
         """SELECT n_nationkey AS country_rk, CASE WHEN n_nationkey % 6 = 0 THEN NULL ELSE 'P3 ' || n_name END AS p3_country_desc,
         CASE WHEN n_nationkey % 7 = 0 THEN NULL ELSE n_name END AS country_desc FROM {nation}"""
     ),
-    "asset_class": _always(
-        values(
-            [(k, t, "Y", r, rs, b, s) for k, t, r, rs, b, s in _ASSET_CLASSES],
-            "asset_class_rk, type, valid_flag, reg_exposure_type, reg_exposure_sub_type, basel_exposure_type, basel_exposure_sub_type",
-        )
-    ),
+    "asset_class": _always(_CLASS_ROWS),
     "model": _always(values([(1, "LC"), (2, "SG"), (3, "SRW"), (4, "PM"), (5, "PM5"), (6, "PM6")], "model_rk, model_code")),
     "product": _always(
         values(
@@ -434,6 +433,21 @@ INPUTS: dict[str, str] = {
     "unit_versions": """SELECT n_nationkey AS unit_rk, CASE WHEN n_nationkey % 9 = 8 THEN NULL ELSE n_name END AS unit_name, n_regionkey AS unit_region,
         DATE '1990-01-01' AS valid_from_date, DATE '2001-08-01' AS valid_to_date FROM {nation}
         UNION ALL SELECT n_nationkey + 1000, CASE WHEN n_nationkey % 9 = 8 THEN NULL ELSE n_name END, n_regionkey, DATE '2001-08-01', DATE '9999-12-31' FROM {nation} WHERE n_nationkey <> 12""",
+    # Versions of the dimensions: every key ends on the first of August and has a successor, with gaps.
+    "unit_codes": """SELECT CASE n_nationkey WHEN 3 THEN 'NWBDEUAI' WHEN 8 THEN 'NWMDEUAI' WHEN 5 THEN 'ULSTERAI' ELSE 'UNIT' || CAST(n_nationkey AS STRING) END AS code,
+        CASE WHEN n_nationkey % 9 = 8 THEN NULL ELSE n_name END AS unit_name, DATE '1990-01-01' AS valid_from_date, DATE '2001-08-01' AS valid_to_date FROM {nation}
+        UNION ALL SELECT 'NEW' || CAST(n_nationkey AS STRING), CASE WHEN n_nationkey % 9 = 8 THEN NULL ELSE n_name END, DATE '2001-08-01', DATE '9999-12-31' FROM {nation} WHERE n_nationkey <> 12""",
+    "country_versions": """SELECT n_nationkey AS country_rk, CASE WHEN n_nationkey % 9 = 7 THEN NULL ELSE n_name END AS country_name,
+        DATE '1990-01-01' AS valid_from_date, DATE '2001-08-01' AS valid_to_date FROM {nation}
+        UNION ALL SELECT n_nationkey + 1000, CASE WHEN n_nationkey % 9 = 7 THEN NULL ELSE n_name END, DATE '2001-08-01', DATE '9999-12-31' FROM {nation} WHERE n_nationkey <> 14""",
+    "division_versions": """SELECT n_nationkey AS division_rk, n_name AS division_name, n_regionkey AS division_region, DATE '1990-01-01' AS valid_from_date, DATE '2001-08-01' AS valid_to_date FROM {nation}
+        UNION ALL SELECT n_nationkey + 1000, n_name, n_regionkey, DATE '2001-08-01', DATE '9999-12-31' FROM {nation} WHERE n_regionkey <> 2""",
+    "class_versions": f"""SELECT asset_class_rk, type AS class_type, basel_exposure_type AS class_name, basel_exposure_sub_type AS class_sub_name,
+        DATE '1990-01-01' AS valid_from_date, DATE '2001-08-01' AS valid_to_date FROM ({_CLASS_ROWS}) AS a
+        UNION ALL SELECT asset_class_rk + 1000, type, basel_exposure_type, basel_exposure_sub_type, DATE '2001-08-01', DATE '9999-12-31' FROM ({_CLASS_ROWS}) AS b WHERE asset_class_rk <> 208""",
+    "band_versions": """SELECT band_code, mgs, band_type, valid_from_date, valid_to_date FROM (VALUES ('A', 1, 'MGS', DATE '1990-01-01', DATE '2001-08-01'), ('A2', 1, 'MGS', DATE '2001-08-01', DATE '9999-12-31'),
+        ('B', 2, 'MGS', DATE '1990-01-01', DATE '2001-08-01'), ('C', 3, 'MGS', DATE '1990-01-01', DATE '2001-08-01'), ('C2', 3, 'MGS', DATE '2001-08-01', DATE '9999-12-31'),
+        ('D', 27, 'MGS', DATE '1990-01-01', DATE '9999-12-31')) AS t(band_code, mgs, band_type, valid_from_date, valid_to_date)""",
     "calendar": """SELECT year_month_rk, year, year_quarter_number, month_end_date FROM (VALUES (200106, 2001, 2, DATE '2001-06-30'), (200107, 2001, 3, DATE '2001-07-31'),
         (200108, 2001, 3, DATE '2001-08-31'), (200109, 2001, 3, DATE '2001-09-30')) AS t(year_month_rk, year, year_quarter_number, month_end_date)""",
     "group_map": f"""SELECT a.n_nationkey AS risk_taker_rru_rk, b.n_nationkey AS risk_on_rru_rk, {RUN_MONTH} AS year_month_rk,

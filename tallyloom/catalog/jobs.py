@@ -12,7 +12,7 @@ from tallyloom.catalog.registry import query
 from tallyloom.functions import codes as K
 from tallyloom.functions.columns import equals
 from tallyloom.functions.periods import previous_quarter_key
-from tallyloom.operators.joins import fan_out
+from tallyloom.operators.setops import union_branches
 from tallyloom.plans import aggregate_mart as agg
 from tallyloom.plans import mart as mart_plan
 from tallyloom.plans import quarter as quarter_plan
@@ -273,43 +273,74 @@ def quarter_default_amounts(spark, folder):
     return rounded(sums, quarter_plan.NEW_DEFAULT_AMOUNTS)
 
 
-QUARTER_KEYS = ("year_month", "reporting_regulator_code", "risk_taker_rru", "risk_on_rru", "corep_std_asset_class_rk", "rwa_approach_code", "basel_data_flag", "sme_flag", "division")
-_QK = ", ".join(QUARTER_KEYS)
-_PLAIN_KEYS = ", ".join(k for k in QUARTER_KEYS if k not in ("year_month", "risk_taker_rru", "risk_on_rru"))
+_QK = ", ".join(lists.QUARTER_KEYS)
+# SQL expression of the keys the mart has under another name.
+_QUARTER_NAMES = """division_rk AS sub5, b2_std_pre_dflt_asset_class_rk AS corep_prdef_std_asset_class_nk, incorp_country_rk AS incorp_iso_code, op_country_rk AS op_iso_code,
+    incorp_country_rk AS corep_incorp_country_nk, cost_centre_rk AS walker_cost_centre_nk, b2_std_asset_class_rk AS crd4_memo_items_asset_class_rk,
+    basel_security_sub_type AS security_nk_1_2, sys_protection_type AS security_nk_2_2, 'MGS' AS mgs_pd_band_type"""
+
+
+def _successors(name: str, table: str, key: str, natural: tuple[str, ...]) -> str:
+    same = " AND ".join(f"o.{c} IS NOT DISTINCT FROM n.{c}" for c in natural)
+    return f"""{name} AS (SELECT o.{key} AS old_key, min(n.{key}) AS new_key FROM {table} o LEFT JOIN {table} n ON {same}
+      AND n.valid_from_date <= DATE '2001-08-31' AND n.valid_to_date > DATE '2001-08-31' GROUP BY 1)"""
+
+
+# dimension: (input, key, natural attributes, roles, value of a key without successor)
+_DIMENSIONS = (
+    ("u", "unit_codes", "code", ("unit_name",), ("risk_taker_ll_rru", "risk_on_ll_rru"), "'-1'"),
+    ("d", "division_versions", "division_rk", ("division_name", "division_region"), ("sub5",), "-1"),
+    ("c", "class_versions", "asset_class_rk", ("class_type", "class_name", "class_sub_name"),
+     ("corep_irb_asset_class_rk", "corep_std_asset_class_rk", "corep_prdef_std_asset_class_nk", "crd4_memo_items_asset_class_rk"), "-1"),
+    ("y", "country_versions", "country_rk", ("country_name",), ("incorp_iso_code", "op_iso_code", "corep_incorp_country_nk"), "-1"),
+    ("b", "band_versions", "band_code", ("mgs", "band_type"), ("dim_pd_band_code",), "'-1'"),
+)
+_ROLE_SQL = {role: f"coalesce({d[0]}{n}.new_key, {d[5]})" for d in _DIMENSIONS for n, role in enumerate(d[4])}
+_ROLE_JOINS = " ".join(f"LEFT JOIN {d[0]}m AS {d[0]}{n} ON sums.{role} = {d[0]}{n}.old_key" for d in _DIMENSIONS for n, role in enumerate(d[4]))
+_REKEYED = ", ".join("200108" if k == "year_month" else _ROLE_SQL.get(k, f"sums.{k}") for k in lists.QUARTER_KEYS)
+
+
+def months_of_quarter(mart: DataFrame) -> DataFrame:
+    """The run's month, a smaller and different July, and a June that is no month of the quarter."""
+    july = mart.where(equals("trading_book_flag", "N")).withColumns(
+        {"year_month": F.lit(200107), "b2_std_exposure_value": F.col("b2_std_exposure_value") * 2, "imp_write_off_amt": F.col("imp_write_off_amt") * 3}
+    )
+    return union_branches([mart, july, mart.withColumn("year_month", F.lit(200106))])
 
 
 @query(
     "job_quarter",
-    f"""{chain('mart', ('unit_versions',))}, {_NEW_DEFAULT},
-    months AS (SELECT nd.* REPLACE (m.k AS year_month) FROM nd CROSS JOIN (VALUES (200106), (200107), (200108)) AS m(k) WHERE m.k IN (200107, 200108)),
-    sums AS (SELECT {_QK}, sum(exp_amt) AS e, sum(adj_amt) AS a FROM months GROUP BY {_QK}),
-    um AS (SELECT o.unit_rk AS old_key, min(n.unit_rk) AS new_key FROM unit_versions o LEFT JOIN unit_versions n ON o.unit_name IS NOT DISTINCT FROM n.unit_name AND o.unit_region IS NOT DISTINCT FROM n.unit_region
-      AND n.valid_from_date <= DATE '2001-08-31' AND n.valid_to_date > DATE '2001-08-31' GROUP BY 1),
-    both_parts AS (SELECT {_QK}, e, a FROM sums WHERE year_month = 200108 UNION ALL
-      SELECT 200108, reporting_regulator_code, coalesce(t.new_key, -1), coalesce(w.new_key, -1), corep_std_asset_class_rk, rwa_approach_code, basel_data_flag, sme_flag, division, e, a
-      FROM sums LEFT JOIN um t ON risk_taker_rru = t.old_key LEFT JOIN um w ON risk_on_rru = w.old_key WHERE year_month <> 200108),
+    f"""{chain('mart', tuple(d[1] for d in _DIMENSIONS))},
+    named AS (SELECT *, {_QUARTER_NAMES} FROM mart),
+    quarter_rows AS (SELECT * FROM named UNION ALL
+      SELECT * REPLACE (200107 AS year_month, b2_std_exposure_value * 2 AS b2_std_exposure_value, imp_write_off_amt * 3 AS imp_write_off_amt) FROM named WHERE trading_book_flag = 'N'),
+    {_NEW_DEFAULT.replace('FROM mart', 'FROM quarter_rows')},
+    sums AS (SELECT {_QK}, sum(exp_amt) AS e, sum(adj_amt) AS a FROM nd GROUP BY {_QK}),
+    {', '.join(_successors(d[0] + 'm', d[1], d[2], d[3]) for d in _DIMENSIONS)},
+    both_parts AS (SELECT {_QK}, e, a FROM sums WHERE year_month = 200108 UNION ALL SELECT {_REKEYED}, e, a FROM sums {_ROLE_JOINS} WHERE year_month <> 200108),
     src AS (SELECT {_QK}, sum(e) AS e, sum(a) AS a FROM both_parts GROUP BY {_QK}),
-    tgt AS (SELECT DISTINCT {_QK} FROM mart)
-    SELECT {', '.join(f'CASE WHEN t.is_target THEN t.{k} ELSE s.{k} END AS {k}' for k in QUARTER_KEYS)}, {rounded_sql('s.e')} AS obsrvd_new_default_exp_amt, {rounded_sql('s.a')} AS obsrvd_new_default_cr_adj
-    FROM (SELECT *, true AS is_target FROM tgt) t FULL JOIN src s ON {' AND '.join(f't.{k} IS NOT DISTINCT FROM s.{k}' for k in QUARTER_KEYS)}""",
+    tgt AS (SELECT DISTINCT {_QK} FROM named)
+    SELECT {', '.join(f'CASE WHEN t.is_target THEN t.{k} ELSE s.{k} END AS {k}' for k in lists.QUARTER_KEYS)}, {rounded_sql('s.e')} AS obsrvd_new_default_exp_amt, {rounded_sql('s.a')} AS obsrvd_new_default_cr_adj
+    FROM (SELECT *, true AS is_target FROM tgt) t FULL JOIN src s ON {' AND '.join(f't.{k} IS NOT DISTINCT FROM s.{k}' for k in lists.QUARTER_KEYS)}""",
 )
 def job_quarter(spark, folder):
-    """Quarter aggregate: two months of the quarter, re-keyed units, merged into the target."""
+    """Quarter aggregate at its 53 keys: two months, eleven re-keyed roles, merged into the target."""
     job = job_of(spark, folder)
-    mart = job.mart()
-    rows = fan_out(mart, "year_month", (200106, 200107, 200108))
-    roles = {"risk_taker_rru": "risk_taker_rru", "risk_on_rru": "risk_on_rru"}
+    rows = quarter_plan.quarter_input(job.mart())
+    versions = {
+        "unit": (job["unit_codes"], "code", ["unit_name"]),
+        "division": (job["division_versions"], "division_rk", ["division_name", "division_region"]),
+        "asset_class": (job["class_versions"], "asset_class_rk", ["class_type", "class_name", "class_sub_name"]),
+        "country": (job["country_versions"], "country_rk", ["country_name"]),
+        "pd_band": (job["band_versions"], "band_code", ["mgs", "band_type"]),
+    }
+    dimensions = {name: (*versions[name], {role: role for role in roles}) for name, roles in quarter_plan.REKEYED_ROLES.items()}
     quarter = quarter_plan.quarter_aggregate(
-        rows,
-        job["calendar"],
-        RUN_MONTH,
-        QUARTER_KEYS,
-        {"unit": (job["unit_versions"], "unit_rk", ["unit_name", "unit_region"], roles)},
-        RUN_DATE,
+        months_of_quarter(rows), job["calendar"], RUN_MONTH, quarter_plan.QUARTER_KEYS, dimensions, RUN_DATE
     )
     empty = {c: F.lit(None).cast("double") for c in quarter_plan.NEW_DEFAULT_AMOUNTS}
-    target = mart.select(*QUARTER_KEYS).distinct().withColumns(empty)
-    merged = quarter_plan.merge_quarter(target, quarter, QUARTER_KEYS)
+    target = rows.select(*quarter_plan.QUARTER_KEYS).distinct().withColumns(empty)
+    merged = quarter_plan.merge_quarter(target, quarter, quarter_plan.QUARTER_KEYS)
     return rounded(merged, quarter_plan.NEW_DEFAULT_AMOUNTS)
 
 

@@ -14,9 +14,99 @@ from tallyloom.operators.aggregates import group_sum
 from tallyloom.operators.joins import rekey, successor_map
 from tallyloom.operators.setops import merge_upsert, union_branches
 
+# --- fixed values: keys of the quarter aggregate ----------------------------------
+QUARTER_KEYS = (
+    "year_month",
+    "reporting_regulator_code",
+    "risk_taker_ll_rru",
+    "sub5",
+    "risk_on_ll_rru",
+    "corep_irb_asset_class_rk",
+    "corep_std_asset_class_rk",
+    "corep_prdef_std_asset_class_nk",
+    "unsettled_period_code",
+    "incorp_iso_code",
+    "op_iso_code",
+    "dim_mgs",
+    "dim_pd_band_code",
+    "mgs_pd_band_type",
+    "adjust_flag",
+    "basel_data_flag",
+    "rwa_approach_code",
+    "aclm_product_type",
+    "default_fund_contrib_indicator",
+    "sme_flag",
+    "internal_transaction_flag",
+    "rwa_calc_method",
+    "trading_book_flag",
+    "reporting_type_code",
+    "crd4_rep_irb_flag",
+    "crd4_rep_irbeq_flag",
+    "crd4_rep_std_flag",
+    "crd4_rep_stdflow_flag",
+    "crd4_rep_settl_flag",
+    "pers_acc_flag",
+    "b3_sme_rp_flag",
+    "b3_sme_discount_flag",
+    "corep_incorp_country_nk",
+    "walker_cost_centre_nk",
+    "crd4_memo_items_asset_class_rk",
+    "ig_exclusion_flag",
+    "retail_pool_sme_flag",
+    "sys_code",
+    "deal_type",
+    "sts_securitisation",
+    "sts_sec_qual_cap_trtmnt",
+    "sts_sec_approach_code",
+    "ifrs9_final_stage",
+    "ifrs9_stage_3_type",
+    "ifrs9_ecl_currency_code",
+    "c33_exposure_sector",
+    "finrep_counterparty_sector",
+    "ias39_class",
+    "rep_provision_type",
+    "crr2_501a_discount_flag",
+    "mortgages_flag",
+    "security_nk_1_2",
+    "security_nk_2_2",
+)
+# Keys the mart holds under another name. The described input layer lacks them
+# and the amounts the rules read, so the job starts from rows of the mart.
+NAMES_IN_MART = {
+    "sub5": "division_rk",
+    "corep_prdef_std_asset_class_nk": "b2_std_pre_dflt_asset_class_rk",
+    "incorp_iso_code": "incorp_country_rk",
+    "op_iso_code": "op_country_rk",
+    "corep_incorp_country_nk": "incorp_country_rk",
+    "walker_cost_centre_nk": "cost_centre_rk",
+    "crd4_memo_items_asset_class_rk": "b2_std_asset_class_rk",
+    "security_nk_1_2": "basel_security_sub_type",
+    "security_nk_2_2": "sys_protection_type",
+}
+PD_BAND_TYPE = "MGS"
+# The eleven roles that earlier months are re-keyed in, by dimension.
+REKEYED_ROLES = {
+    "unit": ("risk_taker_ll_rru", "risk_on_ll_rru"),
+    "division": ("sub5",),
+    "asset_class": (
+        "corep_irb_asset_class_rk",
+        "corep_std_asset_class_rk",
+        "corep_prdef_std_asset_class_nk",
+        "crd4_memo_items_asset_class_rk",
+    ),
+    "country": ("incorp_iso_code", "op_iso_code", "corep_incorp_country_nk"),
+    "pd_band": ("dim_pd_band_code",),
+}
+
 NEW_DEFAULT_AMOUNTS = ("obsrvd_new_default_exp_amt", "obsrvd_new_default_cr_adj")
 
 
+def quarter_input(mart: DataFrame) -> DataFrame:
+    """Rows of the mart with every key of the quarter under its name."""
+    named = {key: F.col(name) for key, name in NAMES_IN_MART.items()}
+    return mart.withColumns(named | {"mgs_pd_band_type": F.lit(PD_BAND_TYPE)})
+
+
 def new_default_exposure() -> Column:
     """Exposure of a new default: before mitigation and provisions, or the original one."""
     standard = (
