@@ -33,13 +33,21 @@ class SampleBound:
     bytes: int = 262144
 
 
-def bounded_sample(rows: DataFrame, label: str, order: Column, bound: SampleBound) -> DataFrame:
-    """At most ``bound.rows`` rows of each label, the first by a hash of the id.
+# Rows of a label that pass the first, hashed cut of a sample, for each that is kept.
+THINNED = 4
 
-    Every task keeps no more than that many before the shuffle.
+
+def bounded_sample(rows: DataFrame, label: str, order: Column, bound: SampleBound, counts: DataFrame) -> DataFrame:
+    """At most ``bound.rows`` rows of each label, the first by ``order``, a hash of the id.
+
+    ``counts`` (label, count) has a row per label. A label with more rows is
+    first thinned by the hash to about ``THINNED`` times the bound in all tasks
+    together, so what meets for the final cut does not grow with the table.
     """
+    share = F.lit(float(THINNED * bound.rows)) / F.col("count")
+    thinned = rows.join(F.broadcast(counts), label).where(F.pmod(F.xxhash64(order), F.lit(1 << 30)) < share * (1 << 30))
     place = F.row_number().over(Window.partitionBy(label).orderBy(order))
-    return rows.withColumn("place", place).where(F.col("place") <= bound.rows)
+    return thinned.withColumn("place", place).where(F.col("place") <= bound.rows).drop("count")
 
 
 def sampled_labels(labels: DataFrame, label: str, rows: int) -> DataFrame:
@@ -49,7 +57,8 @@ def sampled_labels(labels: DataFrame, label: str, rows: int) -> DataFrame:
     are moved.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", label)
-    return bounded_sample(known, label, F.struct(F.xxhash64("doc_id"), "doc_id"), SampleBound(rows=rows)).drop("place")
+    counts = known.groupBy(label).count()
+    return bounded_sample(known, label, F.xxhash64("doc_id"), SampleBound(rows=rows), counts).drop("place")
 
 
 def with_texts(documents: DataFrame, sample: DataFrame) -> DataFrame:

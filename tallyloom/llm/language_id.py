@@ -46,9 +46,10 @@ def learn(rows: DataFrame, bound: SampleBound = BOUND) -> dict[str, bytes]:
         "lang", F.substring("text", 1, bound.characters).alias("text"), F.xxhash64("doc_id").alias("order")
     )
     sample: dict[str, list] = {}
-    for row in bounded_sample(labelled, "lang", F.struct("order", "text"), bound).select("lang", "place", "text").collect():
-        sample.setdefault(row.lang, []).append((row.place, row.text))
     often = {row.lang: row["count"] for row in labelled.groupBy("lang").count().collect()}
+    counts = rows.sparkSession.createDataFrame(sorted(often.items()), "lang string, count long")
+    for row in bounded_sample(labelled, "lang", F.col("order"), bound, counts).select("lang", "place", "text").collect():
+        sample.setdefault(row.lang, []).append((row.place, row.text))
     order = sorted(sample, key=lambda lang: (-often[lang], lang))
     return {lang: dictionary_bytes([letters(t) for _, t in sorted(sample[lang])], bound) for lang in order}
 

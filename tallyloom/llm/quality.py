@@ -70,7 +70,7 @@ def learn(rows: DataFrame, label: str = "quality", bound: SampleBound = DICTIONA
         F.xxhash64("doc_id").alias("order"),
     )
     wanted = SampleBound(rows=sample_rows(bound))
-    sample = bounded_sample(labelled, "label", F.struct("order", "text"), wanted)
+    sample = bounded_sample(labelled, "label", F.col("order"), wanted, labelled.groupBy("label").count())
     # The dictionary takes every second row until it is full.
     found = sorted(tuple(r) for r in sample.select("label", "place", "text").collect())
     if not found:

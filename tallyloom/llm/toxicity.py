@@ -279,7 +279,7 @@ def learn(rows: DataFrame, label: str = "toxic", bound: SampleBound = LABELLED)
         F.substring("text", 1, bound.characters).alias("text"),
         F.xxhash64("doc_id").alias("order"),
     )
-    sample = bounded_sample(labelled, "label", F.struct("order", "text"), bound).persist()
+    sample = bounded_sample(labelled, "label", F.col("order"), bound, labelled.groupBy("label").count()).persist()
     part = {y: sample.where((F.col("label") == y) & (F.col("place") % 3 > 0)) for y in (0, 1)}
     toxic_rows, clean_rows = part[1].count(), part[0].count()
     often = _count(part[1], None).where(F.col("rows") >= MIN_ROWS).orderBy(F.desc("rows"), "unit").limit(50 * LEXICON_SIZE)
