@@ -55,8 +55,10 @@ SEGMENTS_PER_SHINGLE = 0.5
 COSTED_BANDS = 14
 MEETING_COST = 8.0
 SPARE = 1.04
-LONG_RUN = 48
-HOT_IN_BATCH = 16
+LONG_RUN = 16
+HOT_IN_BATCH = 8
+# Rounds of links to drawn centres before all pairs of what is still apart.
+CENTRE_ROUNDS = 2
 SIGNATURES_PER_BUCKET = 1 << 20
 
 
@@ -453,26 +455,51 @@ def verify(pairs: DataFrame, about: DataFrame, documents: DataFrame) -> DataFram
     return scratch_table(joined.select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long").distinct(), "links")
 
 
-def _rare(documents: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Candidate pairs among sets the signatures do not suffice for.
+def _held(documents: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(doc_id, n, shingle) of the sets the signatures do not suffice for."""
+    chosen = documents.join(broadcast_if_small(nodes), "doc_id", "left_semi")
+    return scratch_table(chosen.select("doc_id", "text").mapInArrow(_explode, "doc_id long, n long, shingle long"), "held")
+
+
+def _prefix(held: DataFrame, labels: DataFrame) -> DataFrame:
+    """The first shingles of each set that other components hold too, with their places.
 
     Shingles are ordered by the number of components that hold them; linked
     sets share one of their first n - ceil(3 n / 4) + 1 shingles.
     """
-    chosen = documents.join(broadcast_if_small(nodes), "doc_id", "left_semi")
-    packed = chosen.select("doc_id", "text").mapInArrow(_explode, "doc_id long, n long, shingle long")
-    named = packed.join(broadcast_if_small(labels.withColumnRenamed("node", "doc_id")), "doc_id", "left")
-    held = scratch_table(named.withColumn("component", F.coalesce("component", "doc_id")), "held")
-    spread = held.groupBy("shingle", "component").agg(F.lit(1).alias("one")).groupBy("shingle").agg(F.count("one").alias("components"))
+    named = held.join(broadcast_if_small(labels.withColumnRenamed("node", "doc_id")), "doc_id", "left")
+    named = named.withColumn("component", F.coalesce("component", "doc_id"))
+    spread = named.groupBy("shingle", "component").agg(F.lit(1).alias("one")).groupBy("shingle").agg(F.count("one").alias("components"))
     place = F.row_number().over(Window.partitionBy("doc_id", "n").orderBy("components", "shingle"))
     reach = F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + 1
-    prefix = scratch_table(
-        held.join(spread, "shingle").withColumn("place", place).where((F.col("place") <= reach) & (F.col("components") > 1)).select("doc_id", "n", "component", "shingle"),
-        "prefix",
-    )
+    placed = named.join(spread, "shingle").withColumn("place", place)
+    return scratch_table(placed.where((F.col("place") <= reach) & (F.col("components") > 1)), "prefix")
+
+
+def _centres(prefix: DataFrame, turn: int) -> DataFrame:
+    """Pairs of every set with one set, drawn by a hash, of each of its prefix shingles."""
+    drawn = prefix.groupBy("shingle").agg(F.min_by(F.struct("doc_id", "component", "n"), F.xxhash64("doc_id", F.lit(turn))).alias("c"))
+    paired = prefix.join(drawn, "shingle").where(F.col("component") != F.col("c.component"))
+    fits = F.least("n", "c.n") * DENOMINATOR >= F.greatest("n", "c.n") * NUMERATOR
+    return paired.where(fits).select(F.greatest("doc_id", "c.doc_id").alias("a"), F.least("doc_id", "c.doc_id").alias("b")).distinct()
+
+
+def _rare(prefix: DataFrame) -> DataFrame:
+    """All candidate pairs that share a prefix shingle and are in different components.
+
+    At the first shingle two sets share, no more can be in common than what
+    either has from there on, which rules out sets whose own shingles stand in
+    front. Shingles with the same sets, as those of one passage have, give the
+    same pairs: the first of them stands for all. Sets are told by sums of hashes.
+    """
+    sums = [F.sum(F.pmod(F.xxhash64("doc_id", F.lit(k)), F.lit(1 << 31))).alias(f"s{k}") for k in range(4)]
+    holders = prefix.groupBy("components", "shingle").agg(F.count(F.lit(1)).alias("sets"), *sums)
+    first = holders.groupBy("sets", "s0", "s1", "s2", "s3").agg(F.min(F.struct("components", "shingle")).alias("first")).where("sets > 1")
+    prefix = scratch_table(prefix.join(first.select("first.shingle"), "shingle", "left_semi").drop("components"), "prefix")
     other = prefix.select(*(F.col(c).alias(f"{c}_b") for c in prefix.columns))
     met = prefix.join(other, (F.col("shingle") == F.col("shingle_b")) & (F.col("component") < F.col("component_b")))
-    fits = F.least("n", "n_b") * DENOMINATOR >= F.greatest("n", "n_b") * NUMERATOR
+    left = F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b")) + 1
+    fits = left * (NUMERATOR + DENOMINATOR) >= (F.col("n") + F.col("n_b")) * NUMERATOR
     return met.where(fits).select(F.col("doc_id").alias("a"), F.col("doc_id_b").alias("b")).distinct()
 
 
@@ -512,14 +539,27 @@ def links(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     )
     found = verify(first, about, documents)
     labels = components(found)
+    # Sets that fall short are linked to drawn centres of their rarest shingles
+    # first, so that few of them are still apart when all pairs are formed.
+    held, tried = _held(documents, short), first.select("a", "b")
+    for turn in range(CENTRE_ROUNDS):
+        pairs = scratch_table(_centres(_prefix(held, labels), turn).join(tried, ["a", "b"], "left_anti"), "centres")
+        more = verify(pairs, about, documents)
+        tried = tried.unionByName(pairs)
+        if more.isEmpty():
+            break
+        found = scratch_table(found.unionByName(more), "links")
+        labels = components(found)
     # Second round: what is still apart after the first.
     listed = lists.withColumn("id", F.xxhash64("list")).select("id", F.explode("list").alias("doc_id"))
-    named = listed.join(broadcast_if_small(labels.withColumnRenamed("node", "doc_id")), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    apart = named.groupBy("id").agg(F.collect_set(F.struct("component", "doc_id")).alias("members"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    known_sizes = labels.withColumnRenamed("node", "doc_id").join(about.select("doc_id", "n"), "doc_id", "right")
+    named = listed.join(broadcast_if_small(scratch_table(known_sizes, "named")), "doc_id").withColumn("component", F.coalesce("component", "doc_id"))
+    apart = named.groupBy("id").agg(F.collect_set(F.struct("component", "doc_id", "n")).alias("members"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     one = apart.select(F.explode("members").alias("m"), "members").select("m", F.explode("members").alias("o"))
-    crossing = one.where("m.component < o.component").select(F.col("m.doc_id").alias("a"), F.col("o.doc_id").alias("b"))
-    again = crossing.unionByName(_rare(documents, labels, short)).distinct()
-    known = first.select("a", "b").unionByName(first.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = F.least("m.n", "o.n") * DENOMINATOR >= F.greatest("m.n", "o.n") * NUMERATOR
+    crossing = one.where("m.component < o.component").where(near).select(F.col("m.doc_id").alias("a"), F.col("o.doc_id").alias("b"))
+    again = crossing.unionByName(_rare(_prefix(held, labels))).distinct()
+    known = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
     second = verify(scratch_table(again.join(known, ["a", "b"], "left_anti"), "second"), about, documents)
     every = found.unionByName(second)
     sizes = about.groupBy("doc_id").agg(F.max("n").alias("n_shingles"))
