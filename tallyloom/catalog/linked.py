@@ -90,16 +90,23 @@ _BANDS = """SELECT CAST(lo AS DOUBLE) AS lower_value, CAST(hi AS DOUBLE) AS uppe
 _VALUES = "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CASE WHEN l_linestatus = 'O' AND l_tax = 0 THEN NULL ELSE l_discount END AS rate FROM {lineitem}"
 
 
-@query(
-    "join_band_inclusive",
-    f"""WITH b AS ({_BANDS}), v AS ({plain(_VALUES)}) SELECT v.*, b.code FROM v LEFT JOIN b
+_BAND_SQL = f"""WITH b AS ({_BANDS}), v AS ({plain(_VALUES)}) SELECT v.*, b.code FROM v LEFT JOIN b
     ON (coalesce(rate, 0.02501) > lower_value AND coalesce(rate, 0.02501) < upper_value) OR (coalesce(rate, 0.02501) = lower_value AND lower_val_inclusive = 'Y')
-    OR (coalesce(rate, 0.02501) = upper_value AND upper_val_inclusive = 'Y')""",
-)
+    OR (coalesce(rate, 0.02501) = upper_value AND upper_val_inclusive = 'Y')"""
+
+
+@query("join_band_inclusive", _BAND_SQL)
 def join_band_inclusive(spark, folder):
+    """A value to the band that holds it: a band list of checked size is broadcast."""
     return joins.band_join(derive(spark, folder, _VALUES), spark.sql(_BANDS), "rate", ["code"], default=0.02501)
 
 
+@query("join_band_segments", _BAND_SQL)
+def join_band_segments(spark, folder):
+    """The same join as it runs for a band list that is too large to broadcast."""
+    return joins.band_join(derive(spark, folder, _VALUES), spark.sql(_BANDS), "rate", ["code"], default=0.02501, limit=0)
+
+
 @query(
     "join_expr_key",
     """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, k.category FROM lineitem LEFT JOIN

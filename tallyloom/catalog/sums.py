@@ -29,6 +29,7 @@ from tallyloom.operators.reshape import (
     unpivot_rows,
 )
 from tallyloom.operators.setops import union_branches
+from tallyloom.operators.sizing import broadcast_if_small
 from tallyloom.session import scratch_path
 from tallyloom.sources.sinks import insert_overwrite, save_table, write_partitioned
 from tallyloom.sources.tables import table
@@ -300,7 +301,7 @@ _ENTITY_SQL = f"""{_CELL_SQL}, j AS (SELECT u.*, entity, reporting_desc FROM u J
 
 def _entity(spark, folder):
     cells = group_sum(_cells(spark, folder), [*_COND_KEYS, "sheet_id", "row_id", "column_id"], ["value"])
-    units = F.broadcast(spark.sql(_UNIT_MAP))
+    units = broadcast_if_small(spark.sql(_UNIT_MAP))
     joined = cells.join(
         units, (F.col("l_returnflag") == F.col("flag")) & (F.col("l_linestatus") == F.col("status")), "inner"
     )
