@@ -1,6 +1,14 @@
 """Substring duplicates: sentences and lines by their digests.
 
-A text is cut into units at line ends and sentence ends. Units are normalised
+A text is cut into sentences at line ends and sentence ends, and a sentence of
+``2 * min_words`` words or more also where its own words say so: before a word
+whose pair with the word before it has the least hash of all places up to
+``min_words - 1`` words away. Such a place depends on the words around it only,
+so a passage that begins or ends inside longer sentences is cut alike wherever
+it stands, but for its first and last pieces. No piece has less than
+``min_words`` words; where four times as many words have no such place (words
+that repeat in short turns), the sentence is cut every ``2 * min_words`` words.
+Units are normalised
 (lower case, runs of white space as one space) and hashed to 128 bits; a unit
 of less than ``min_words`` words is hashed together with the words before it, up
 to that many, so a short phrase alone is no duplicate. Digests are grouped globally, the
@@ -21,8 +29,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
+from itertools import chain, pairwise
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,19 +46,62 @@ UNIT = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|$)")
 WORD = re.compile(r"\S+")
 
 
+def places(sentences: list[list[str]], min_words: int = MIN_WORDS) -> list[list[int]]:
+    """Numbers of the words before which each sentence is cut."""
+    long = [k for k, words in enumerate(sentences) if len(words) >= 2 * min_words]
+    cuts: list[list[int]] = [[] for _ in sentences]
+    if not long:
+        return cuts
+    lengths = np.array([len(sentences[k]) for k in long])
+    words = " ".join(chain.from_iterable(sentences[k] for k in long)).encode("utf-8", "surrogatepass").split(b" ")
+    hashes = np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
+    value = hashes.copy()
+    value[1:] += hashes[:-1] * np.uint64(0x9E3779B97F4A7C15)
+    value = (value ^ (value >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    value ^= value >> np.uint64(32)
+    begin = np.cumsum(lengths) - lengths
+    at = np.arange(len(words)) - np.repeat(begin, lengths)
+    left = np.repeat(lengths, lengths) - at
+    # The pair of a first word reaches into another sentence.
+    value[begin] = np.iinfo(np.uint64).max
+    least = (at >= min_words) & (left >= min_words)
+    for step in range(1, min_words):
+        # A place has min_words words of its sentence on both sides, so no other sentence is read.
+        least[step:] &= value[step:] < value[:-step]
+        least[:-step] &= value[:-step] <= value[step:]
+    found = np.flatnonzero(least)
+    owner = np.searchsorted(begin, found, "right") - 1
+    for k, place in zip(owner.tolist(), (found - begin[owner]).tolist()):
+        cuts[long[k]].append(place)
+    for k in long:
+        gaps = pairwise([0, *cuts[k], len(sentences[k])])
+        more = [c for a, b in gaps if b - a > 4 * min_words > 0 for c in range(a + 2 * min_words, b - min_words + 1, 2 * min_words)]
+        if more:
+            cuts[k] = sorted(cuts[k] + more)
+    return cuts
+
+
 def units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[bytes, int, int, int]]:
     """(digest, start, end, words) of every unit with a word; offsets in code points."""
-    tail: list[str] = []
+    matches, sentences = [], []
     for match in UNIT.finditer(text):
         words = match[0].lower().split()
-        if not words:
-            continue
+        if words:
+            matches.append(match)
+            sentences.append(words)
+    tail: list[str] = []
+    for match, sentence, cuts in zip(matches, sentences, places(sentences, min_words)):
         start = match.start() + len(match[0]) - len(match[0].lstrip())
         end = match.end() - (len(match[0]) - len(match[0].rstrip()))
-        tail = (tail + words)[-max(min_words, len(words)) :]
-        key = " ".join(tail) if len(words) >= min_words else f"{len(words)}\n{' '.join(tail)}"
-        tail = tail[-min_words:]
-        yield hashlib.blake2b(key.encode("utf-8", "surrogatepass"), digest_size=16).digest(), start, end, len(words)
+        pieces = [(sentence, start, end)]
+        if cuts:
+            spans = [(match.start() + m.start(), match.start() + m.end()) for m in WORD.finditer(match[0])]
+            pieces = [(sentence[a:b], spans[a][0], spans[b - 1][1]) for a, b in pairwise([0, *cuts, len(sentence)])]
+        for words, start, end in pieces:
+            tail = (tail + words)[-max(min_words, len(words)) :]
+            key = " ".join(tail) if len(words) >= min_words else f"{len(words)}\n{' '.join(tail)}"
+            tail = tail[-min_words:]
+            yield hashlib.blake2b(key.encode("utf-8", "surrogatepass"), digest_size=16).digest(), start, end, len(words)
 
 
 SCHEMA = "digest binary, doc_id long, start int, end int, words int, again boolean"
