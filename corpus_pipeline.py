@@ -23,8 +23,18 @@ from tallyloom.session import scratch_table
 from tallyloom.sources.tables import table
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    return docs.join(broadcast_if_small(scratch_table(dropped.select("doc_id").distinct(), "dropped")), "doc_id", "left_anti").select(*docs.columns)
+def _without(docs: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataFrame:
+    return docs.join(broadcast_if_small(scratch_table(dropped.select(key).distinct(), "dropped")), key, "left_anti")
+
+
+def _ids_tell(docs: DataFrame) -> bool:
+    """Whether every row has an id and no other row has the same."""
+    return not docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").head(1)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Rows with a key of id and text, for tables whose ids do not tell rows apart."""
+    return docs.withColumn("_key", F.xxhash64("doc_id", "text"))
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,11 +51,24 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, ngram_join.near_duplicates(docs).where("component_id <> doc_id"))
+    if _ids_tell(docs):
+        return _without(docs, ngram_join.near_duplicates(docs).where("component_id <> doc_id")).select(*docs.columns)
+    keyed = _keyed(docs)
+    found = ngram_join.near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"))
+    members = found.select(F.col("doc_id").alias("_key"), "component_id").distinct().join(keyed.select("_key", "doc_id").distinct(), "_key")
+    members = scratch_table(members, "members")
+    # Rows without an id give way to those with one.
+    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_key"))["_key"].alias("first"))
+    return _without(keyed, members.join(first, "component_id").where("_key <> first"), "_key").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, decontamination.leaks(docs, table(spark, sf_dir, "benchmark")))
+    benchmark = table(spark, sf_dir, "benchmark")
+    if _ids_tell(docs):
+        return _without(docs, decontamination.leaks(docs, benchmark)).select(*docs.columns)
+    keyed = _keyed(docs)
+    found = decontamination.leaks(keyed.select(F.col("_key").alias("doc_id"), "text"), benchmark)
+    return _without(keyed, found.select(F.col("doc_id").alias("_key")), "_key").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

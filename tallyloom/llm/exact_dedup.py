@@ -8,8 +8,8 @@ digests and compared byte by byte. What no filter knows never meets the
 snapshot.
 
 Defined results: a null text counts as empty; empty texts are equal to each
-other; of rows with equal length and equal id any one stays, and which of such
-repeated rows it is cannot be told, so all of them say that they stay; a row
+other; of rows with equal text and equal id the longest stays, but all of them
+say that they stay, since an id does not tell them apart; a row
 without an id stays only where no row of its group has one; an empty table
 gives no rows; other columns of the input are ignored.
 """
@@ -48,6 +48,11 @@ def digests(documents: DataFrame, id_column: str = "doc_id", text_column: str =
     )
 
 
+def _rank() -> Column:
+    """Greatest for the row that stays: one with an id, the longest, the smallest id."""
+    return F.struct(F.col("doc_id").isNotNull().alias("named"), "n_points", (-F.col("doc_id")).alias("order"), "doc_id")
+
+
 def groups(rows: DataFrame) -> DataFrame:
     """One row per digest: which document stays, how many there are.
 
@@ -58,7 +63,7 @@ def groups(rows: DataFrame) -> DataFrame:
         F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("rows")
     )
     return by_length.groupBy("digest").agg(
-        F.max(F.struct("n_points", (-F.col("doc_id")).alias("order"), "doc_id")).alias("best"),
+        F.max(_rank()).alias("best"),
         F.sum("rows").alias("rows"),
     ).select("digest", F.col("best.doc_id").alias("doc_id"), F.col("best.n_points").alias("n_points"), "rows")
 
@@ -211,16 +216,23 @@ def screen(found: DataFrame, snapshot: Snapshot) -> DataFrame:
 
 
 def same_bytes(pairs: DataFrame, documents: DataFrame, stored: DataFrame) -> DataFrame:
-    """Pairs (digest, doc_id, stored_id) whose normalised texts are the same bytes."""
-    fresh = documents.select(F.col("doc_id"), normalised(F.col("text")).alias("text"))
-    kept = stored.select(F.col("doc_id").alias("stored_id"), normalised(F.col("text")).alias("stored_text"))
-    return (
-        fresh.join(broadcast_if_small(pairs), "doc_id")
-        .join(kept.join(broadcast_if_small(pairs.select("stored_id")), "stored_id", "left_semi"), "stored_id")
-        .where(F.col("text") == F.col("stored_text"))
-        .select("digest")
-        .distinct()
-    )
+    """Digests of the pairs (digest, doc_id, stored_id) whose normalised texts are the same bytes.
+
+    A row is found by its digest and its id, null or not; one text of equal
+    digest and id stands for all of them.
+    """
+
+    def texts(rows: DataFrame, id_column: str, name: str) -> DataFrame:
+        about = rows.select(F.col("doc_id").alias("own_id"), normalised(F.col("text")).alias(name))
+        about = about.withColumn("own_digest", F.sha2(F.col(name).cast("binary"), 256))
+        wanted = pairs.select("digest", F.col(id_column).alias("wanted_id"))
+        found = about.join(
+            broadcast_if_small(wanted), (F.col("own_digest") == F.col("digest")) & F.col("own_id").eqNullSafe(F.col("wanted_id"))
+        )
+        return found.groupBy("digest").agg(F.first(name).alias(name))
+
+    both = texts(documents, "doc_id", "text").join(texts(stored, "stored_id", "stored_text"), "digest")
+    return both.where(F.col("text") == F.col("stored_text")).select("digest")
 
 
 def exact_dedup(batch: DataFrame, stored: DataFrame) -> DataFrame:
@@ -228,7 +240,8 @@ def exact_dedup(batch: DataFrame, stored: DataFrame) -> DataFrame:
 
     Both need doc_id and text. Returns one row per document of either:
     doc_id, keep_id, group_size, kept, text_sha256, and in_snapshot. Of equal
-    texts the one with the most code points stays, then the smallest id.
+    texts one with an id stays, then the one with the most code points, then the
+    smallest id.
     """
     stored, batch = stored.select("doc_id", "text"), batch.select("doc_id", "text")
     rows = scratch_table(
@@ -259,7 +272,7 @@ def exact_dedup(batch: DataFrame, stored: DataFrame) -> DataFrame:
     merged = (
         both.groupBy("digest", "side")
         .agg(
-            F.max(F.struct("n_points", (-F.col("doc_id")).alias("order"), "doc_id")).alias("best"),
+            F.max(_rank()).alias("best"),
             F.sum("rows").alias("group_size"),
         )
         .where("group_size > 1")
@@ -291,11 +304,21 @@ def in_two_batches(documents: DataFrame) -> DataFrame:
 
 
 def kept_documents(documents: DataFrame) -> DataFrame:
-    """The rows, whole, that stay; of rows with equal id and text, one."""
-    found = scratch_table(in_two_batches(documents).where("group_size > 1").select("doc_id", "kept"), "decided")
-    dropped = found.where("NOT kept").select("doc_id")
-    repeated = found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    rest = documents.join(broadcast_if_small(dropped), "doc_id", "left_anti")
-    repeated = broadcast_if_small(scratch_table(repeated, "repeated"))
-    once = rest.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return rest.join(repeated, "doc_id", "left_anti").unionByName(once)
+    """The rows, whole, that stay; of rows with equal id and equal text, the longest, once.
+
+    A row is decided by its id, null or not, and the digest of its text.
+    """
+    found = in_two_batches(documents).where("group_size > 1").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "kept")
+    found = scratch_table(found, "decided")
+    dropped = found.where("NOT kept").select("_id", "_sha").distinct()
+    repeated = found.where("kept").groupBy("_id", "_sha").count().where("count > 1").select("_id", "_sha")
+    repeated = scratch_table(repeated, "repeated")
+    keyed = documents.withColumn("_digest", F.sha2(normalised(F.col("text")).cast("binary"), 256))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_sha"))
+    rest = keyed.join(broadcast_if_small(dropped), same, "left_anti")
+    length = F.coalesce(F.length("text"), F.lit(0))
+    again = rest.join(broadcast_if_small(repeated), same)
+    longest = again.groupBy("_id", "_sha").agg(F.max(length).alias("_longest"))
+    once = rest.join(longest, same).where(length == F.col("_longest")).dropDuplicates(["doc_id", "_digest"])
+    whole = rest.join(broadcast_if_small(repeated), same, "left_anti")
+    return whole.select(*documents.columns).unionByName(once.select(*documents.columns))
