@@ -122,7 +122,7 @@ def frequencies(rows: DataFrame, size: int) -> tuple[np.ndarray, int]:
 
 
 def _windows(codes: np.ndarray, length: int) -> list[np.ndarray]:
-    return [codes[k : k + length] for k in range(0, max(1, len(codes) - length // 2), length)]
+    return [codes[k : k + length] for k in range(0, max(1, len(codes)), length)]
 
 
 def _gram_times(windows: list[np.ndarray], weights: np.ndarray, omega: np.ndarray) -> np.ndarray:
