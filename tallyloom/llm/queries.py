@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontamination, exact_dedup, language_id, line_dedup, mixing, ngram_join, pii, quality, secrets, toxicity
+from tallyloom.llm import (
+    decontamination, exact_dedup, importance, language_id, line_dedup, merkle, mixing, ngram_join, packing, pii, quality, secrets, toxicity,
+)
 from tallyloom.llm.compression import sampled_labels, with_texts
 from tallyloom.llm.language_id import held_out
 from tallyloom.sources.tables import table
@@ -199,3 +201,100 @@ def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_decontamination")
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op11_best_fit_packing")
+def op11_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(packing.token_pieces(table(spark, folder, "documents")))
+
+
+def _crc(x: str) -> str:
+    """SQL for the unsigned CRC of a text, with the lookups of ``crc_table``."""
+    pairs = f"hex(encode({x}))"
+    state = f"""list_reduce(list_prepend(4294967295, list_transform(range(len({pairs}) // 2),
+        lambda i: CAST('0x' || substr({pairs}, 2 * i + 1, 2) AS BIGINT))), lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1]))"""
+    return f"xor(CAST({state} AS BIGINT), 4294967295)"
+
+
+_CRC_ROWS = """
+RECURSIVE crc_steps(b, c, k) AS (SELECT range, CAST(range AS BIGINT), 0 FROM range(256)
+    UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crc_steps WHERE k < 8),
+crc_lookup AS (SELECT list(c ORDER BY b) AS crc_table FROM crc_steps WHERE k = 8)"""
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP12_SQL = f"""
+WITH {_CRC_ROWS},
+docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+texts AS (SELECT doc_id, w, list_concat(w, list_transform(range(greatest(len(w) - 1, 0)), lambda i: w[i + 1] || ' ' || w[i + 2])) AS f FROM docs),
+goal AS (SELECT list_concat(w, list_transform(range(greatest(len(w) - 1, 0)), lambda i: w[i + 1] || ' ' || w[i + 2])) AS f FROM (SELECT {_WORDS} AS w FROM benchmark)),
+spread AS MATERIALIZED (SELECT doc_id, unnest(f) AS x FROM texts),
+aimed AS MATERIALIZED (SELECT unnest(f) AS x FROM goal),
+coded AS MATERIALIZED (SELECT x, {_crc("x")} % 10000 AS bucket FROM (SELECT x FROM spread UNION SELECT x FROM aimed), crc_lookup),
+s AS (SELECT bucket, count(*) AS s FROM spread JOIN coded USING (x) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM aimed JOIN coded USING (x) GROUP BY bucket),
+gain AS (SELECT b.range AS bucket, CAST(floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * (coalesce((SELECT sum(s) FROM s), 0) + 10000)::DOUBLE)
+        / ((coalesce(s, 0) + 1)::DOUBLE * (coalesce((SELECT sum(t) FROM t), 0) + 10000)::DOUBLE))) AS BIGINT) AS g
+    FROM range(10000) b LEFT JOIN s ON s.bucket = b.range LEFT JOIN t ON t.bucket = b.range),
+means AS (SELECT doc_id, CAST(floor(sum(g)::DOUBLE / count(*)) AS BIGINT) AS m FROM spread JOIN coded USING (x) JOIN gain USING (bucket) GROUP BY doc_id),
+scored AS (SELECT doc_id, len(w) AS n_words, CAST(len(f) AS BIGINT) AS n_features, coalesce(m, 0) AS weight,
+    coalesce(m, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+    FROM texts LEFT JOIN means USING (doc_id)),
+ranks AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 25 * n // 100 THEN r END AS rank FROM scored LEFT JOIN ranks USING (doc_id)
+"""
+
+
+@query("op12_importance_resampling", OP12_SQL)
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def _enc(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen(CAST({x} AS VARCHAR)) || ':' || {x} END"
+
+
+def _tree(name: str, nodes: str) -> str:
+    """SQL of all levels of the trees over nodes (g, idx, h, n), and the left and right siblings of each node."""
+    return f"""
+{name}(lvl, g, idx, h, n) AS (SELECT 0, g, idx, h, n FROM {nodes}
+    UNION ALL SELECT lvl + 1, g, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), (n + 7) // 8 FROM {name} WHERE n > 1 GROUP BY lvl, g, idx // 8, n),
+{name}_sides AS (SELECT a.lvl, a.g, a.idx, coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS l,
+    coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS r
+    FROM {name} a JOIN {name} b ON a.lvl = b.lvl AND a.g = b.g AND a.idx // 8 = b.idx // 8 WHERE a.n > 1 GROUP BY a.lvl, a.g, a.idx)"""
+
+
+_LOWERED = "CASE WHEN crc % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END"
+_FIELDS = ("doc_id", "source", "lang", "n_chars")
+
+
+OP13_SQL = f"""
+WITH {_CRC_ROWS},
+docs AS (SELECT *, {_crc("CAST(doc_id AS VARCHAR)")} AS crc FROM documents, crc_lookup),
+leaves AS (SELECT doc_id, coalesce('=' || lang, '') AS g,
+    sha256({" || ".join(_enc(x) for x in (*_FIELDS, "text"))}) AS h,
+    sha256({" || ".join(_enc(x) for x in _FIELDS)} || {_enc("(" + _LOWERED + ")")}) AS shown FROM docs),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS idx, count(*) OVER (PARTITION BY g) AS n FROM leaves),
+{_tree("low", "placed")},
+subroots AS (SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS idx, h, count(*) OVER () AS n, g AS branch FROM low WHERE n = 1),
+{_tree("high", "subroots")},
+steps AS (SELECT p.g, p.idx, x.lvl, x.l, x.r FROM placed p JOIN low_sides x ON x.g = p.g AND x.idx = p.idx // CAST(8 ** x.lvl AS BIGINT)
+    UNION ALL SELECT p.g, p.idx, 100 + x.lvl, x.l, x.r FROM placed p JOIN subroots s ON s.branch = p.g JOIN high_sides x ON x.idx = s.idx // CAST(8 ** x.lvl AS BIGINT)),
+paths AS (SELECT g, idx, list({{'l': l, 'r': r}} ORDER BY lvl) AS path, string_agg(l || r, '' ORDER BY lvl) AS proof FROM steps GROUP BY g, idx),
+folds(g, idx, k, node) AS (SELECT g, idx, 0, shown FROM placed
+    UNION ALL SELECT f.g, f.idx, k + 1, sha256(path[k + 1].l || node || path[k + 1].r) FROM folds f JOIN paths p ON p.g = f.g AND p.idx = f.idx WHERE k < len(path)),
+ends AS (SELECT g, idx, arg_max(node, k) AS folded_root FROM folds GROUP BY g, idx)
+SELECT doc_id, placed.h AS leaf, s.h AS subroot, top.h AS root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = top.h AS verified
+FROM placed JOIN ends e ON e.g = placed.g AND e.idx = placed.idx LEFT JOIN paths ON paths.g = placed.g AND paths.idx = placed.idx
+    JOIN subroots s ON s.branch = placed.g CROSS JOIN (SELECT h FROM high WHERE n = 1) top
+"""
+
+
+@query("op13_merkle_manifest", OP13_SQL)
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    checks = merkle.manifest(merkle.leaves(documents, merkle.tampered(documents))).checks()
+    return checks.select(
+        F.col("id").cast("long").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", F.col("folded").alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
