@@ -72,10 +72,10 @@ def digest(nodes: Sequence[str]) -> str:
     return hashlib.sha256("".join(nodes).encode()).hexdigest()
 
 
-def block_levels(digests: list[str], alone: bool) -> list[list[str]]:
-    """Nodes of every level: up to one node where the block is alone in its branch, else exactly ``BLOCK_LEVELS`` above the leaves."""
+def block_levels(digests: list[str], alone: bool, height: int = BLOCK_LEVELS) -> list[list[str]]:
+    """Nodes of every level: up to one node where the block is alone in its branch, else exactly ``height`` above the leaves."""
     out = [digests]
-    while len(out[-1]) > 1 or (not alone and len(out) <= BLOCK_LEVELS):
+    while len(out[-1]) > 1 or (not alone and len(out) <= height):
         below = out[-1]
         out.append([digest(below[k : k + FANOUT]) for k in range(0, len(below), FANOUT)])
     return out
@@ -84,29 +84,32 @@ def block_levels(digests: list[str], alone: bool) -> list[list[str]]:
 BLOCK = "branch string, block long, blocks long, root string, ids array<string>, leaves array<string>, claimed array<string>"
 
 
-def _pack(table: pa.Table) -> pa.Table:
-    """One row of a block's leaves in order, with its subtree root."""
-    table = table.sort_by("rank")
-    blocks = -(-table["total"][0].as_py() // FANOUT**BLOCK_LEVELS)
-    digests = table["leaf"].to_pylist()
-    row = {
-        "branch": table["branch"][0].as_py(), "block": table["block"][0].as_py(), "blocks": blocks,
-        "root": block_levels(digests, blocks == 1)[-1][0],
-        "ids": table["id"].to_pylist(), "leaves": digests, "claimed": table["claimed"].to_pylist(),
-    }
-    text = pa.list_(pa.string())
-    schema = pa.schema([("branch", pa.string()), ("block", pa.int64()), ("blocks", pa.int64()), ("root", pa.string()), ("ids", text), ("leaves", text), ("claimed", text)])
-    return pa.Table.from_pylist([row], schema)
+def _pack(height: int):
+    def run(table: pa.Table) -> pa.Table:
+        """One row of a block's leaves in order, with its subtree root."""
+        table = table.sort_by("rank")
+        blocks = -(-table["total"][0].as_py() // FANOUT**height)
+        digests = table["leaf"].to_pylist()
+        row = {
+            "branch": table["branch"][0].as_py(), "block": table["block"][0].as_py(), "blocks": blocks,
+            "root": block_levels(digests, blocks == 1, height)[-1][0],
+            "ids": table["id"].to_pylist(), "leaves": digests, "claimed": table["claimed"].to_pylist(),
+        }
+        text = pa.list_(pa.string())
+        schema = pa.schema([("branch", pa.string()), ("block", pa.int64()), ("blocks", pa.int64()), ("root", pa.string()), ("ids", text), ("leaves", text), ("claimed", text)])
+        return pa.Table.from_pylist([row], schema)
+
+    return run
 
 
-def packed(leaves: DataFrame, label: str) -> DataFrame:
-    """Aligned blocks of the leaves of every branch."""
+def packed(leaves: DataFrame, label: str, height: int = BLOCK_LEVELS) -> DataFrame:
+    """Aligned blocks of ``FANOUT ** height`` leaves of every branch."""
     rows = numbered(leaves, f"{label}-leaves")
     ordered = range_sorted(rows, [F.col(c).asc_nulls_first() for c in ("branch", "id", "leaf", "row")], f"{label}-sorted")
     placed = ranked(ordered, ["branch"]).select(
-        "branch", F.floor(F.col("rank") / FANOUT**BLOCK_LEVELS).alias("block"), "rank", "total", F.col("id").cast("string").alias("id"), "leaf", "claimed"
+        "branch", F.floor(F.col("rank") / FANOUT**height).alias("block"), "rank", "total", F.col("id").cast("string").alias("id"), "leaf", "claimed"
     )
-    return scratch_table(placed.groupBy("branch", "block").applyInArrow(_pack, BLOCK), f"{label}-blocks")
+    return scratch_table(placed.groupBy("branch", "block").applyInArrow(_pack(height), BLOCK), f"{label}-blocks")
 
 
 # --- butterfly --------------------------------------------------------------------
@@ -171,13 +174,13 @@ PROOF = "id string, leaf string, subroot string, root string, proof array<struct
 CHECK = "id string, leaf string, subroot string, root string, proof_sha256 string, folded string"
 
 
-def _proofs(whole: bool):
+def _proofs(whole: bool, height: int):
     """Per leaf its proof (or the proof's digest) and the root that the claimed leaf folds to."""
 
     def run(batches):
         for batch in batches:
             for block in batch.to_pylist():
-                depths = block_levels(block["leaves"], block["blocks"] == 1)
+                depths = block_levels(block["leaves"], block["blocks"] == 1, height)
                 upper = [(s["left"], s["right"]) for s in block["path"]]
                 tail = "".join(left + right for left, right in upper)
                 out = []
@@ -204,6 +207,7 @@ class Manifest:
 
     blocks: DataFrame
     upper: DataFrame
+    height: int
 
     def roots(self) -> DataFrame:
         """(branch, subroot, root)."""
@@ -214,25 +218,25 @@ class Manifest:
 
     def proofs(self) -> DataFrame:
         """Per leaf its siblings of every level, and ``folded``, what the claimed leaf leads to by them."""
-        return self._joined().mapInArrow(_proofs(True), PROOF)
+        return self._joined().mapInArrow(_proofs(True, self.height), PROOF)
 
     def checks(self) -> DataFrame:
         """As ``proofs``, with the digest of the siblings in place of them."""
-        return self._joined().mapInArrow(_proofs(False), CHECK)
+        return self._joined().mapInArrow(_proofs(False, self.height), CHECK)
 
 
-def manifest(leaves: DataFrame) -> Manifest:
-    """The trees over ``leaves`` and the upper siblings of every block."""
-    blocks = packed(leaves, "branch")
+def manifest(leaves: DataFrame, height: int = BLOCK_LEVELS) -> Manifest:
+    """The trees over ``leaves`` and the upper siblings of every block of ``FANOUT ** height`` leaves."""
+    blocks = packed(leaves, "branch", height)
     state = butterfly(blocks)
     # The top tree goes the same way, with the roots of the branches as leaves.
     firsts = state.where("block = 0").select(F.lit("").alias("branch"), F.col("branch").alias("id"), F.col("root").alias("leaf"), F.lit(None).cast("string").alias("claimed"))
-    top = packed(firsts, "top")
-    tops = Manifest(top, butterfly(top).select("branch", "block", F.lit("").alias("subroot"), F.col("root").alias("top"), "path"))
+    top = packed(firsts, "top", height)
+    tops = Manifest(top, butterfly(top).select("branch", "block", F.lit("").alias("subroot"), F.col("root").alias("top"), "path"), height)
     above = tops.proofs().select(F.col("id").alias("branch"), F.col("leaf").alias("subroot"), F.col("root").alias("top"), F.col("proof").alias("above"))
     above = scratch_table(above, "above")
     upper = state.select("branch", "block", "path").join(broadcast_if_small(above), "branch")
-    return Manifest(blocks, scratch_table(upper.select("branch", "block", "subroot", "top", F.concat("path", "above").alias("path")), "upper"))
+    return Manifest(blocks, scratch_table(upper.select("branch", "block", "subroot", "top", F.concat("path", "above").alias("path")), "upper"), height)
 
 
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

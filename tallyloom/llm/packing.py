@@ -144,7 +144,7 @@ def token_pieces(documents: DataFrame, vocabulary: str = VOCABULARY, capacity: i
 BANDS = (2, 4, 8, 32, 128)
 # A round that places less than this share of its pieces, or the last of so
 # many, is followed by new sequences.
-WORTH, ROUNDS = 0.2, 3
+WORTH, ROUNDS = 0.2, 4
 
 
 def _running(batches):
@@ -213,7 +213,7 @@ def place(pieces: DataFrame, capacity: int = CAPACITY, bands: Sequence[int] = BA
     fresh = (pieces.agg(F.max("row")).first()[0] or 0) + 1
     for longest, shortest in zip(edges, edges[1:]):
         waiting = pieces.where((F.col("length") <= longest) & (F.col("length") > shortest)).select("row", "length")
-        size, words = waiting.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+        size, longest = waiting.agg(F.count(F.lit(1)), F.max("length")).first()
         rounds = 0
         while size:
             found, placed, words = _swept(waiting, gaps, longest, shortest)
