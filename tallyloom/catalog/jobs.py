@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyloom.catalog import job_lists as lists
 from tallyloom.catalog.inputs import BASE_TABLES, RUN_DATE, RUN_MONTH, JobInputs
 from tallyloom.catalog.job_sql import TOTAL_NAMES, chain
-from tallyloom.catalog.registry import query
+from tallyloom.catalog.registry import sums_query as query
 from tallyloom.functions import codes as K
 from tallyloom.functions.columns import equals
 from tallyloom.functions.periods import previous_quarter_key
@@ -28,18 +28,6 @@ from tallyloom.session import scratch_path
 from tallyloom.sources.sinks import load_return, write_layer
 
 DEAL = ("year_month", "reporting_regulator_code", "deal_id")
-# Sums of doubles differ in their last digits with the order of rows. Both
-# sides round after the same small shift, so that an exact half in the last
-# kept digit cannot fall either way.
-NUDGE = 0.000001
-
-
-def rounded(df: DataFrame, names, scale: int = 2) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c) + F.lit(NUDGE), scale) for c in names})
-
-
-def rounded_sql(expression: str, scale: int = 2) -> str:
-    return f"round({expression} + CAST({NUDGE:.6f} AS DOUBLE), {scale})"
 
 
 class Job(JobInputs):
@@ -234,23 +222,23 @@ def job_mart(spark, folder):
 _SUMMED = ", ".join(f"sum({m}) AS {m}" for m in lists.AGGREGATE_MEASURES)
 _TWO_LEVELS = f"""l0 AS (SELECT {_names((*lists.LEVEL_ONE, *lists.FINER))}, {_SUMMED} FROM mart WHERE adjust_flag = 'A' GROUP BY {_names((*lists.LEVEL_ONE, *lists.FINER))}),
 l1 AS (SELECT {_names(lists.LEVEL_ONE)}, {', '.join(f'sum(coalesce({m}, 0)) AS {m}' for m in lists.AGGREGATE_MEASURES)} FROM l0 GROUP BY {_names(lists.LEVEL_ONE)})"""
-_ROUNDED = ", ".join(f"{rounded_sql(m)} AS {m}" for m in lists.AGGREGATE_MEASURES)
+_AMOUNTS = _names(lists.AGGREGATE_MEASURES)
 
 
-@query("job_agg_mart", f"{chain('mart')}, {_TWO_LEVELS} SELECT {_names(lists.LEVEL_ONE)}, {_ROUNDED} FROM l1")
+@query("job_agg_mart", f"{chain('mart')}, {_TWO_LEVELS} SELECT {_names(lists.LEVEL_ONE)}, {_AMOUNTS} FROM l1")
 def job_agg_mart(spark, folder):
     """Aggregate mart and its coarser level, from the mart of the run."""
-    return rounded(agg.aggregate_level_one(fine_level(spark, folder)), K.AGGREGATE_MEASURES)
+    return agg.aggregate_level_one(fine_level(spark, folder))
 
 
 def fine_level(spark, folder):
     return agg.aggregate_mart(job_of(spark, folder).mart().where(equals("adjust_flag", "A")))
 
 
-@query("job_agg_mart_fine", f"{chain('mart')}, {_TWO_LEVELS} SELECT {_names((*lists.LEVEL_ONE, *lists.FINER))}, {_ROUNDED} FROM l0")
+@query("job_agg_mart_fine", f"{chain('mart')}, {_TWO_LEVELS} SELECT {_names((*lists.LEVEL_ONE, *lists.FINER))}, {_AMOUNTS} FROM l0")
 def job_agg_mart_fine(spark, folder):
     """Aggregate mart at its full grain of 119 keys."""
-    return rounded(fine_level(spark, folder), K.AGGREGATE_MEASURES)
+    return fine_level(spark, folder)
 
 
 _NEW_DEFAULT = """nd AS (SELECT *, CASE WHEN rwa_approach_code = 'STD' AND b2_std_obsrvd_new_default_flag = 'Y' THEN coalesce(b2_std_exposure_value, 0) + coalesce(b2_std_fully_adj_exp_ccf_50, 0) * 0.5
@@ -264,13 +252,12 @@ _NEW_DEFAULT = """nd AS (SELECT *, CASE WHEN rwa_approach_code = 'STD' AND b2_st
 @query(
     "quarter_default_amounts",
     f"""{chain('mart')}, {_NEW_DEFAULT} SELECT reporting_regulator_code, rwa_approach_code, b2_irb_asset_class_reg_exposure_type,
-    {rounded_sql('sum(exp_amt)')} AS obsrvd_new_default_exp_amt, {rounded_sql('sum(adj_amt)')} AS obsrvd_new_default_cr_adj FROM nd GROUP BY ALL""",
+    sum(exp_amt) AS obsrvd_new_default_exp_amt, sum(adj_amt) AS obsrvd_new_default_cr_adj FROM nd GROUP BY ALL""",
 )
 def quarter_default_amounts(spark, folder):
     """Amounts of new defaults per regulator, approach and class."""
     keys = ["reporting_regulator_code", "rwa_approach_code", "b2_irb_asset_class_reg_exposure_type"]
-    sums = quarter_plan.quarter_sums(job_of(spark, folder).mart(), keys)
-    return rounded(sums, quarter_plan.NEW_DEFAULT_AMOUNTS)
+    return quarter_plan.quarter_sums(job_of(spark, folder).mart(), keys)
 
 
 _QK = ", ".join(lists.QUARTER_KEYS)
@@ -320,7 +307,7 @@ def months_of_quarter(mart: DataFrame) -> DataFrame:
     both_parts AS (SELECT {_QK}, e, a FROM sums WHERE year_month = 200108 UNION ALL SELECT {_REKEYED}, e, a FROM sums {_ROLE_JOINS} WHERE year_month <> 200108),
     src AS (SELECT {_QK}, sum(e) AS e, sum(a) AS a FROM both_parts GROUP BY {_QK}),
     tgt AS (SELECT DISTINCT {_QK} FROM named)
-    SELECT {', '.join(f'CASE WHEN t.is_target THEN t.{k} ELSE s.{k} END AS {k}' for k in lists.QUARTER_KEYS)}, {rounded_sql('s.e')} AS obsrvd_new_default_exp_amt, {rounded_sql('s.a')} AS obsrvd_new_default_cr_adj
+    SELECT {', '.join(f'CASE WHEN t.is_target THEN t.{k} ELSE s.{k} END AS {k}' for k in lists.QUARTER_KEYS)}, s.e AS obsrvd_new_default_exp_amt, s.a AS obsrvd_new_default_cr_adj
     FROM (SELECT *, true AS is_target FROM tgt) t FULL JOIN src s ON {' AND '.join(f't.{k} IS NOT DISTINCT FROM s.{k}' for k in lists.QUARTER_KEYS)}""",
 )
 def job_quarter(spark, folder):
@@ -340,8 +327,7 @@ def job_quarter(spark, folder):
     )
     empty = {c: F.lit(None).cast("double") for c in quarter_plan.NEW_DEFAULT_AMOUNTS}
     target = rows.select(*quarter_plan.QUARTER_KEYS).distinct().withColumns(empty)
-    merged = quarter_plan.merge_quarter(target, quarter, quarter_plan.QUARTER_KEYS)
-    return rounded(merged, quarter_plan.NEW_DEFAULT_AMOUNTS)
+    return quarter_plan.merge_quarter(target, quarter, quarter_plan.QUARTER_KEYS)
 
 
 def _z(c: str) -> str:
@@ -452,8 +438,8 @@ mapped AS (SELECT c.*, g.risk_taker_group, g.reporting_desc FROM long_cells c JO
   WHERE g.risk_taker_ll_rru NOT LIKE '%DECON%' AND g.risk_taker_group IS NOT NULL),
 chosen AS (SELECT 'INTRA' AS reportable_category, * FROM mapped WHERE reporting_desc = 'Inter Group' AND coalesce(ig_exclusion_flag, 'N') <> 'Y' AND reporting_regulator_code IN ('UK-FSA', 'CBI', 'NL-DNB')
   UNION ALL SELECT 'ALL', * FROM mapped WHERE reporting_desc = 'External' OR (reporting_desc = 'Inter Group' AND coalesce(ig_exclusion_flag, 'N') <> 'Y' AND reporting_regulator_code IN ('UK-FSA', 'CBI', 'NL-DNB'))),
-cells AS (SELECT year_month, reporting_regulator_code, risk_taker_group, reportable_category, row_id, column_id, sheet_id, {rounded_sql('sum(value)')} AS value, CAST(NULL AS VARCHAR) AS for_adjust_flag FROM chosen GROUP BY ALL
-  UNION ALL SELECT year_month, reporting_regulator_code, risk_taker_group, reportable_category, row_id, column_id, 'STD0001', {rounded_sql('sum(value)')}, NULL FROM chosen GROUP BY ALL
+cells AS (SELECT year_month, reporting_regulator_code, risk_taker_group, reportable_category, row_id, column_id, sheet_id, sum(value) AS value, CAST(NULL AS VARCHAR) AS for_adjust_flag FROM chosen GROUP BY ALL
+  UNION ALL SELECT year_month, reporting_regulator_code, risk_taker_group, reportable_category, row_id, column_id, 'STD0001', sum(value), NULL FROM chosen GROUP BY ALL
   UNION ALL SELECT 200108, t.reporting_regulator_code, e.member_code, k.category, t.row_id, t.column_id, s.member_code, CASE WHEN t.appl_data_point_flag = 'Y' THEN 0.0 END, 'A'
   FROM template_cells t, members r, members e, sheets s, returns x, templates tm, dpm_parameter p, (VALUES ('INTRA'), ('ALL')) AS k(category)
   WHERE x.return_rk = 70 AND x.template_rk = tm.template_rk AND tm.template_rk = t.template_rk AND x.return_code = 'C 07.00' AND t.reporting_regulator_code = 'UK-FSA' AND t.reporting_regulator_code = r.member_code AND t.year_month_rk = 200108
@@ -469,7 +455,7 @@ def job_return(spark, folder):
     job = job_of(spark, folder)
     rows = cells_plan.select_input(job.mart(), job["asset_class"], job["dpm_parameter"], RUN_MONTH, RUN_DATE)
     cells = cells_plan.report_cells(cells_plan.measures_by_attributes(rows))
-    entities = rounded(cells_plan.entity_cells(cells, job["group_map"]), ["value"])
+    entities = cells_plan.entity_cells(cells, job["group_map"])
     skeleton = cells_plan.cell_skeleton(
         job["template_cells"], job["members"], job["sheets"], job["domains"], job["dpm_parameter"], job["returns"], job["templates"],
         70, "C 07.00", RUN_MONTH, RUN_DATE,

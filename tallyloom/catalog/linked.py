@@ -62,6 +62,30 @@ def join_effective_dated(spark, folder):
     return run.drop("d", "o_custkey")
 
 
+# Rates of two lists, one priority each: thousands of versions of a key, with
+# gaps after every seventh version and, for one key, versions that overlap.
+_RATES = """SELECT side, CAST(o_orderkey AS INT) AS version, o_totalprice AS rate, date_add(DATE '1900-01-01', CAST(o_orderkey AS INT)) AS valid_from_date,
+    date_add(DATE '1900-01-01', CAST(CASE WHEN o_orderkey % 7 = 0 THEN o_orderkey + 1 WHEN side = 2 THEN o_orderkey + 40 ELSE next END AS INT)) AS valid_to_date
+    FROM (SELECT o_orderkey, o_totalprice, CAST(o_orderkey % 3 AS INT) AS side, coalesce(lead(o_orderkey) OVER (PARTITION BY o_orderkey % 3 ORDER BY o_orderkey), o_orderkey + 30) AS next FROM {orders})"""
+_ASKED = """SELECT l_orderkey, l_linenumber, l_partkey, CAST(CASE WHEN l_suppkey % 2 = 0 THEN 0 WHEN l_quantity = 1 THEN NULL ELSE l_partkey % 4 END AS INT) AS side,
+    CASE WHEN l_linenumber < 7 THEN date_add(DATE '1900-01-01', CAST((l_orderkey * 7 + l_partkey) % 60000 AS INT)) END AS asked FROM {lineitem}"""
+
+
+def _as_of_sql() -> str:
+    def oracle(text):
+        return plain(text).replace("date_add(DATE '1900-01-01', ", "(DATE '1900-01-01' + ")
+
+    return f"""WITH r AS ({oracle(_RATES)}), a AS ({oracle(_ASKED)}) SELECT l_orderkey, l_linenumber, l_partkey, a.side, version, rate FROM a
+    LEFT JOIN r ON a.side = r.side AND valid_from_date <= asked AND valid_to_date > asked"""
+
+
+@query("join_as_of", _as_of_sql())
+def join_as_of(spark, folder):
+    """The version on each row's own day, of keys with thousands of versions; a third of all rows ask for one key."""
+    rows = joins.effective_dated_join(derive(spark, folder, _ASKED), derive(spark, folder, _RATES), {"side": "side"}, F.col("asked"), ("version", "rate"))
+    return rows.drop("asked")
+
+
 @query(
     "join_role_playing",
     """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, cn.n_name AS cust_n_name, cn.n_regionkey AS cust_n_regionkey, sn.n_name AS supp_n_name,

@@ -7,7 +7,7 @@ from uuid import uuid4
 from pyspark.sql import functions as F
 
 from tallyloom.catalog.inputs import derive
-from tallyloom.catalog.registry import query
+from tallyloom.catalog.registry import query, sums_query
 from tallyloom.catalog.rows import MONTHLY_ORDERS, plain
 from tallyloom.functions.columns import equals
 from tallyloom.operators.aggregates import (
@@ -41,39 +41,35 @@ _WIDE_KEYS = ["year_month", "l_returnflag", "l_linestatus", "l_linenumber", "l_d
 _MEASURES = ["quantity", "price", "net"]
 
 
-def _rounded(df, names=_MEASURES, scale=2):
-    return df.withColumns({m: F.round(m, scale) for m in names})
+_SUMS = "sum(quantity) AS quantity, sum(price) AS price, sum(net) AS net"
 
 
-_SUMS = "round(sum(quantity), 2) AS quantity, round(sum(price), 2) AS price, round(sum(net), 2) AS net"
-
-
-@query("agg_sum_wide", f"WITH w AS ({plain(_WIDE)}) SELECT {', '.join(_WIDE_KEYS)}, {_SUMS} FROM w GROUP BY ALL")
+@sums_query("agg_sum_wide", f"WITH w AS ({plain(_WIDE)}) SELECT {', '.join(_WIDE_KEYS)}, {_SUMS} FROM w GROUP BY ALL")
 def agg_sum_wide(spark, folder):
-    return _rounded(group_sum(derive(spark, folder, _WIDE), _WIDE_KEYS, _MEASURES))
+    return group_sum(derive(spark, folder, _WIDE), _WIDE_KEYS, _MEASURES)
 
 
-@query(
+@sums_query(
     "agg_reaggregate",
     f"WITH w AS ({plain(_WIDE)}) SELECT {', '.join(k for k in _WIDE_KEYS if k != 'adjust_flag')}, {_SUMS} FROM w GROUP BY ALL",
 )
 def agg_reaggregate(spark, folder):
     """Partial sums summed again without the dataset flag."""
     first = group_sum(derive(spark, folder, _WIDE), _WIDE_KEYS, _MEASURES)
-    return _rounded(group_sum(first, [k for k in _WIDE_KEYS if k != "adjust_flag"], _MEASURES))
+    return group_sum(first, [k for k in _WIDE_KEYS if k != "adjust_flag"], _MEASURES)
 
 
-@query(
+@sums_query(
     "agg_rollup_two_levels",
-    f"""WITH w AS ({plain(_WIDE)}) SELECT year_month, l_returnflag, large_flag, round(sum(quantity), 2) AS quantity, round(sum(price), 2) AS price,
-    round(coalesce(sum(net), 0), 2) AS net FROM w GROUP BY ALL""",
+    f"""WITH w AS ({plain(_WIDE)}) SELECT year_month, l_returnflag, large_flag, sum(quantity) AS quantity, sum(price) AS price,
+    coalesce(sum(net), 0) AS net FROM w GROUP BY ALL""",
 )
 def agg_rollup_two_levels(spark, folder):
     fine = group_sum(derive(spark, folder, _WIDE), _WIDE_KEYS, _MEASURES)
-    return _rounded(rollup_to(fine, ["year_month", "l_returnflag", "large_flag"], _MEASURES))
+    return rollup_to(fine, ["year_month", "l_returnflag", "large_flag"], _MEASURES)
 
 
-@query(
+@sums_query(
     "agg_max",
     "SELECT o_custkey, max(o_orderkey) AS o_orderkey, max(CAST(o_orderdate AS DATE)) AS last_date FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1",
 )
@@ -88,11 +84,11 @@ _BASES = ("l_quantity", "l_extendedprice", "l_linenumber", "l_suppkey")
 _MANY = {f"{b}_{f}_{s}".lower(): (b, f, s) for b in _BASES for f in _FLAGS for s in _STATES}
 
 
-@query(
+@sums_query(
     "agg_many_measures",
     "SELECT l_orderkey, "
     + ", ".join(
-        f"round(sum(CASE WHEN l_returnflag = '{f}' AND l_linestatus = '{s}' THEN {b} ELSE 0 END), 2)::DOUBLE AS {n}"
+        f"sum(CASE WHEN l_returnflag = '{f}' AND l_linestatus = '{s}' THEN {b} ELSE 0 END)::DOUBLE AS {n}"
         for n, (b, f, s) in _MANY.items()
     )
     + " FROM lineitem GROUP BY 1",
@@ -102,26 +98,23 @@ def agg_many_measures(spark, folder):
     measures = {
         n: (F.col(b), (F.col("l_returnflag") == f) & (F.col("l_linestatus") == s)) for n, (b, f, s) in _MANY.items()
     }
-    return _rounded(conditional_sums(table(spark, folder, "lineitem"), ["l_orderkey"], measures), list(_MANY))
+    return conditional_sums(table(spark, folder, "lineitem"), ["l_orderkey"], measures)
 
 
-@query(
+@sums_query(
     "agg_attr_in_key",
-    """SELECT o_orderkey, o_orderstatus, o_orderpriority, o_totalprice, round(sum(l_extendedprice), 2) AS l_extendedprice
+    """SELECT o_orderkey, o_orderstatus, o_orderpriority, o_totalprice, sum(l_extendedprice) AS l_extendedprice
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL""",
 )
 def agg_attr_in_key(spark, folder):
     """Attributes the key determines are carried, not grouped by."""
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_extendedprice")
-    per_order = lines.groupBy("l_orderkey").agg(F.sum("l_extendedprice").alias("l_extendedprice"))
+    per_order = group_sum(lines, ["l_orderkey"], ["l_extendedprice"])
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
     joined = per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
-    return _rounded(
-        group_attributes(
+    return group_attributes(
             joined, ["o_orderkey"], ["o_orderstatus", "o_orderpriority", "o_totalprice"], ["l_extendedprice"]
-        ),
-        ["l_extendedprice"],
-    )
+        )
 
 
 _COND_KEYS = ["l_returnflag", "l_linestatus", "year_month"]
@@ -145,34 +138,34 @@ def _conditional(spark, folder):
     return conditional_sums(derive(spark, folder, _WIDE), _COND_KEYS, measures)
 
 
-@query(
+@sums_query(
     "agg_conditional_measures",
-    f"SELECT l_returnflag, l_linestatus, year_month, {', '.join(f'round({n}, 2) AS {n}' for n in _COND_NAMES)} FROM ({_COND_SQL})",
+    f"SELECT l_returnflag, l_linestatus, year_month, {', '.join(_COND_NAMES)} FROM ({_COND_SQL})",
 )
 def agg_conditional_measures(spark, folder):
-    return _rounded(_conditional(spark, folder), _COND_NAMES)
+    return _conditional(spark, folder)
 
 
-@query(
+@sums_query(
     "agg_grouping_sets_total",
     f"""WITH w AS ({plain(_WIDE)}), k AS (SELECT *, CASE l_linenumber WHEN 7 THEN NULL ELSE 'L' || l_linenumber END AS sheet_id FROM w)
-    SELECT year_month, l_returnflag, sheet_id, round(sum(price), 2) AS price FROM k GROUP BY ALL
-    UNION ALL SELECT year_month, l_returnflag, 'TOTAL', round(sum(price), 2) FROM k GROUP BY ALL""",
+    SELECT year_month, l_returnflag, sheet_id, sum(price) AS price FROM k GROUP BY ALL
+    UNION ALL SELECT year_month, l_returnflag, 'TOTAL', sum(price) FROM k GROUP BY ALL""",
 )
 def agg_grouping_sets_total(spark, folder):
     """Detail and total rows as two grouping sets; a null detail stays its own row."""
     rows = derive(spark, folder, _WIDE).withColumn(
         "sheet_id", F.when(F.col("l_linenumber") != 7, F.concat(F.lit("L"), F.col("l_linenumber")))
     )
-    return _rounded(grouping_sets_total(rows, ["year_month", "l_returnflag"], "sheet_id", "price", "TOTAL"), ["price"])
+    return grouping_sets_total(rows, ["year_month", "l_returnflag"], "sheet_id", "price", "TOTAL")
 
 
-@query("distinct_rows", "SELECT DISTINCT l_returnflag, l_linestatus, l_suppkey FROM lineitem")
+@sums_query("distinct_rows", "SELECT DISTINCT l_returnflag, l_linestatus, l_suppkey FROM lineitem")
 def distinct_rows(spark, folder):
     return table(spark, folder, "lineitem").select("l_returnflag", "l_linestatus", "l_suppkey").distinct()
 
 
-@query(
+@sums_query(
     "layer_row_counts",
     """SELECT 'orders' AS layer, count(*) AS n_rows FROM orders UNION ALL SELECT 'lines', count(*) FROM lineitem
     UNION ALL SELECT 'open', count(*) FROM orders WHERE o_orderstatus = 'O'""",
@@ -190,34 +183,34 @@ def _unpivot_sql(names, where="TRUE", row="NULL"):
     )
 
 
-@query(
+@sums_query(
     "unpivot_measures",
     f"""WITH c AS ({_COND_SQL}), u AS ({_unpivot_sql(_COND_NAMES)})
-    SELECT l_returnflag, l_linestatus, year_month, measure AS column_id, round(value, 2) AS value FROM u""",
+    SELECT l_returnflag, l_linestatus, year_month, measure AS column_id, value FROM u""",
 )
 def unpivot_measures_query(spark, folder):
-    return _rounded(unpivot_measures(_conditional(spark, folder), _COND_KEYS, _COND_NAMES), ["value"])
+    return unpivot_measures(_conditional(spark, folder), _COND_KEYS, _COND_NAMES)
 
 
-@query(
+@sums_query(
     "unpivot_strip_suffix",
     f"""WITH c AS ({_COND_SQL}), u AS ({_unpivot_sql(['c0010_onbal', 'c0010_ofbal', 'c0030'])})
-    SELECT l_returnflag, year_month, split_part(measure, '_', 1) AS column_id, round(sum(value), 2) AS value FROM u GROUP BY ALL""",
+    SELECT l_returnflag, year_month, split_part(measure, '_', 1) AS column_id, sum(value) AS value FROM u GROUP BY ALL""",
 )
 def unpivot_strip_suffix(spark, folder):
     cells = unpivot_measures(_conditional(spark, folder), _COND_KEYS, ["c0010_onbal", "c0010_ofbal", "c0030"])
     stripped = cells.withColumn("column_id", strip_suffix(F.col("column_id")))
-    return _rounded(group_sum(stripped, ["l_returnflag", "year_month", "column_id"], ["value"]), ["value"])
+    return group_sum(stripped, ["l_returnflag", "year_month", "column_id"], ["value"])
 
 
 _ROUTES = {0.0: "R0140", 0.02: "R0150", 0.04: "R0160", 0.1: "R0170"}
 _ROUTE_SQL = "CASE round(l_discount, 3) WHEN 0.0 THEN 'R0140' WHEN 0.02 THEN 'R0150' WHEN 0.04 THEN 'R0160' WHEN 0.1 THEN 'R0170' ELSE 'R0280' END"
 
 
-@query(
+@sums_query(
     "route_by_value",
-    f"""SELECT {_ROUTE_SQL} AS row_id, l_returnflag, round(sum(l_extendedprice), 2) AS price,
-    round(sum(CASE WHEN round(l_discount, 3) = 0.02 THEN NULL ELSE l_quantity END), 2) AS quantity FROM lineitem GROUP BY ALL""",
+    f"""SELECT {_ROUTE_SQL} AS row_id, l_returnflag, sum(l_extendedprice) AS price,
+    sum(CASE WHEN round(l_discount, 3) = 0.02 THEN NULL ELSE l_quantity END) AS quantity FROM lineitem GROUP BY ALL""",
 )
 def route_by_value_query(spark, folder):
     """Rows routed by a rounded rate; one measure is left out at one rate."""
@@ -228,13 +221,13 @@ def route_by_value_query(spark, folder):
         F.col("l_extendedprice").alias("price"),
         F.when(F.round(rate, 3) != 0.02, F.col("l_quantity")).alias("quantity"),
     )
-    return _rounded(group_sum(rows, ["row_id", "l_returnflag"], ["price", "quantity"]), ["price", "quantity"])
+    return group_sum(rows, ["row_id", "l_returnflag"], ["price", "quantity"])
 
 
-@query(
+@sums_query(
     "route_by_class",
     """SELECT CASE WHEN l_returnflag = 'R' THEN 'R0310' ELSE 'R0290' END AS row_id, CASE WHEN l_linestatus = 'O' THEN 'MEMO' || l_linenumber ELSE 'SHEET' END AS sheet_id,
-    round(sum(l_extendedprice), 2) AS value FROM lineitem WHERE l_quantity BETWEEN 10 AND 40 GROUP BY ALL""",
+    sum(l_extendedprice) AS value FROM lineitem WHERE l_quantity BETWEEN 10 AND 40 GROUP BY ALL""",
 )
 def route_by_class(spark, folder):
     rows = (
@@ -248,17 +241,17 @@ def route_by_class(spark, folder):
             F.col("l_extendedprice").alias("value"),
         )
     )
-    return _rounded(group_sum(rows, ["row_id", "sheet_id"], ["value"]), ["value"])
+    return group_sum(rows, ["row_id", "sheet_id"], ["value"])
 
 
-@query(
+@sums_query(
     "mask_value_sum",
-    "SELECT l_linenumber, l_linestatus, round(sum(CASE WHEN l_linestatus = 'F' AND l_linenumber <= 3 THEN NULL ELSE l_extendedprice END), 2) AS value FROM lineitem GROUP BY ALL",
+    "SELECT l_linenumber, l_linestatus, sum(CASE WHEN l_linestatus = 'F' AND l_linenumber <= 3 THEN NULL ELSE l_extendedprice END) AS value FROM lineitem GROUP BY ALL",
 )
 def mask_value_sum(spark, folder):
     rows = table(spark, folder, "lineitem").select("l_linenumber", "l_linestatus", F.col("l_extendedprice").alias("value"))
     masked = mask_value(rows, (F.col("l_linestatus") == "F") & (F.col("l_linenumber") <= 3))
-    return _rounded(group_sum(masked, ["l_linenumber", "l_linestatus"], ["value"]), ["value"])
+    return group_sum(masked, ["l_linenumber", "l_linestatus"], ["value"])
 
 
 _CELL_SQL = f"""WITH c AS ({_COND_SQL}), u AS (
@@ -283,14 +276,14 @@ def _cells(spark, folder):
     return unpivot_rows(measures, _COND_KEYS, rows)
 
 
-@query(
+@sums_query(
     "cells_sum",
-    f"{_CELL_SQL} SELECT year_month, 'S' || l_returnflag AS sheet_id, row_id, split_part(measure, '_', 1) AS column_id, round(sum(value), 2) AS value FROM u GROUP BY ALL",
+    f"{_CELL_SQL} SELECT year_month, 'S' || l_returnflag AS sheet_id, row_id, split_part(measure, '_', 1) AS column_id, sum(value) AS value FROM u GROUP BY ALL",
 )
 def cells_sum(spark, folder):
     """Several report rows from one pass over the measures."""
     keys = ["year_month", "sheet_id", "row_id", "column_id"]
-    return _rounded(group_sum(_cells(spark, folder), keys, ["value"]), ["value"])
+    return group_sum(_cells(spark, folder), keys, ["value"])
 
 
 _UNIT_MAP = """SELECT * FROM (VALUES ('A', 'O', 'G1', 'External'), ('A', 'F', 'G1', 'Inter Group'), ('R', 'O', 'G2', 'Inter Group'), ('R', 'F', 'G2', 'External'), ('N', 'O', 'G1', 'Inter Group'))
@@ -310,20 +303,20 @@ def _entity(spark, folder):
     return grouping_sets_total(tagged, ["category", "entity", "row_id", "column_id"], "sheet_id", "value", "STD0001")
 
 
-_ENTITY_CELLS = f"""{_ENTITY_SQL} SELECT category, entity, row_id, split_part(measure, '_', 1) AS column_id, 'S' || l_returnflag AS sheet_id, round(sum(value), 2) AS value FROM k GROUP BY ALL
-    UNION ALL SELECT category, entity, row_id, split_part(measure, '_', 1), 'STD0001', round(sum(value), 2) FROM k GROUP BY ALL"""
+_ENTITY_CELLS = f"""{_ENTITY_SQL} SELECT category, entity, row_id, split_part(measure, '_', 1) AS column_id, 'S' || l_returnflag AS sheet_id, sum(value) AS value FROM k GROUP BY ALL
+    UNION ALL SELECT category, entity, row_id, split_part(measure, '_', 1), 'STD0001', sum(value) FROM k GROUP BY ALL"""
 
 
-@query("cells_entity_sum", _ENTITY_CELLS)
+@sums_query("cells_entity_sum", _ENTITY_CELLS)
 def cells_entity_sum(spark, folder):
-    return _rounded(_entity(spark, folder), ["value"])
+    return _entity(spark, folder)
 
 
 _SKELETON = """SELECT n_name AS entity, r.row_id, c.column_id, s.sheet_id, CASE WHEN r.row_id = 'R0040' AND c.column_id = 'C0030' THEN 'N' ELSE 'Y' END AS applicable
     FROM {nation} CROSS JOIN (VALUES ('R0010'), ('R0040')) AS r(row_id) CROSS JOIN (VALUES ('C0010'), ('C0030')) AS c(column_id) CROSS JOIN (VALUES ('STD0001'), ('STD0002')) AS s(sheet_id)"""
 
 
-@query(
+@sums_query(
     "cell_skeleton",
     f"SELECT entity, row_id, column_id, sheet_id, CASE WHEN applicable = 'Y' THEN CAST(0 AS DOUBLE) END AS value FROM ({plain(_SKELETON)})",
 )
@@ -331,14 +324,14 @@ def cell_skeleton_query(spark, folder):
     return skeleton_values(derive(spark, folder, _SKELETON), "applicable").drop("applicable")
 
 
-@query(
+@sums_query(
     "cells_full_return",
     f"""WITH full_cells AS ({_ENTITY_CELLS}) SELECT category, entity, row_id, upper(column_id) AS column_id, sheet_id, value, CAST(NULL AS VARCHAR) AS for_adjust_flag FROM full_cells
     UNION ALL SELECT 'ALL', entity, row_id, column_id, sheet_id, CASE WHEN applicable = 'Y' THEN CAST(0 AS DOUBLE) END, 'A' FROM ({plain(_SKELETON)})""",
 )
 def cells_full_return(spark, folder):
     """Cells and totals with the skeleton of every cell the template names."""
-    cells = _rounded(_entity(spark, folder), ["value"]).withColumns(
+    cells = _entity(spark, folder).withColumns(
         {"column_id": F.upper("column_id"), "for_adjust_flag": F.lit(None).cast("string")}
     )
     skeleton = skeleton_values(derive(spark, folder, _SKELETON), "applicable").select(

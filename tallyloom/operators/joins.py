@@ -12,7 +12,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.operators.asof import versions_on
 from tallyloom.operators.filters import valid_on
+from tallyloom.operators.intervals import band_join, in_band  # noqa: F401  joins like the others
 from tallyloom.operators.sizing import broadcast_if_small, fits_broadcast
 
 
@@ -99,7 +101,7 @@ def effective_dated_join(
 
     ``date`` is a run date (text) or a fact column. With a run date the
     dimension is cut to its current versions first, so the join itself is a
-    plain equality. With a column the interval is part of the condition.
+    plain equality. With a column see ``versions_on``.
     """
     ((fact_key, dim_key),) = key.items()
     source = dim if where is None else dim.where(where)
@@ -108,15 +110,7 @@ def effective_dated_join(
         right = current.select(F.col(dim_key).alias("_dk"), *[F.col(c).alias(prefix + c) for c in keep])
         right = broadcast_if_small(right, limit)
         return facts.join(right, facts[fact_key] == right["_dk"], "left").drop("_dk")
-    right = source.select(
-        F.col(dim_key).alias("_dk"),
-        F.col(valid_from).alias("_from"),
-        F.col(valid_to).alias("_to"),
-        *[F.col(c).alias(prefix + c) for c in keep],
-    )
-    right = broadcast_if_small(right, limit)
-    on = (facts[fact_key] == right["_dk"]) & (right["_from"] <= date) & (right["_to"] > date)
-    return facts.join(right, on, "left").drop("_dk", "_from", "_to")
+    return versions_on(facts, source, fact_key, dim_key, date, keep, prefix, valid_from, valid_to)
 
 
 def role_join(
@@ -139,64 +133,6 @@ def role_join(
     return result
 
 
-def in_band(value: Column, lower: Column, upper: Column, lower_inclusive: Column, upper_inclusive: Column) -> Column:
-    """Strictly inside the bounds, or on a bound flagged inclusive."""
-    return (
-        ((value > lower) & (value < upper))
-        | ((value == lower) & (lower_inclusive == "Y"))
-        | ((value == upper) & (upper_inclusive == "Y"))
-    )
-
-
-def band_join(
-    facts: DataFrame,
-    bands: DataFrame,
-    value: str,
-    keep: Sequence[str],
-    default: float | None = None,
-    lower: str = "lower_value",
-    upper: str = "upper_value",
-    lower_inclusive: str = "lower_val_inclusive",
-    upper_inclusive: str = "upper_val_inclusive",
-    limit: int | None = None,
-    segments: int = 64,
-) -> DataFrame:
-    """Left join of a value to the band that holds it.
-
-    A band list of checked size is broadcast. A larger one is cut at
-    ``segments`` quantiles of its own lower bounds: each value falls into one
-    segment, each band is repeated for the segments it spans, and the join
-    becomes an equality on the segment, which adaptive execution can split.
-    Both ways give the same rows.
-    """
-    v = F.col(value).cast("double")
-    v = v if default is None else F.coalesce(v, F.lit(float(default)))
-    left = facts.withColumn("_v", v)
-    right = bands.select(
-        F.col(lower).cast("double").alias("_lo"),
-        F.col(upper).cast("double").alias("_hi"),
-        F.col(lower_inclusive).alias("_li"),
-        F.col(upper_inclusive).alias("_ui"),
-        *keep,
-    )
-    if fits_broadcast(right, limit):
-        right = F.broadcast(right)
-        condition = in_band(left["_v"], right["_lo"], right["_hi"], right["_li"], right["_ui"])
-        return left.join(right, condition, "left").drop("_v", "_lo", "_hi", "_li", "_ui")
-    cuts = sorted(set(right.approxQuantile("_lo", [i / segments for i in range(1, segments)], 0.001)))
-    cut_array = F.array(*[F.lit(c) for c in cuts])
-
-    def segment_of(c: Column) -> Column:
-        return F.size(F.filter(cut_array, lambda x: x <= c))
-
-    left = left.withColumn("_seg", F.when(F.col("_v").isNotNull(), segment_of(F.col("_v"))))
-    right = right.withColumn("_bseg", F.explode(F.sequence(segment_of(F.col("_lo")), segment_of(F.col("_hi")))))
-    condition = (left["_seg"] == right["_bseg"]) & in_band(
-        left["_v"], right["_lo"], right["_hi"], right["_li"], right["_ui"]
-    )
-    return left.join(right, condition, "left").drop("_v", "_seg", "_lo", "_hi", "_li", "_ui", "_bseg")
-
-
 def join_on_expression(
     facts: DataFrame, key: Column, dim: DataFrame, dim_key: str, keep: Sequence[str], how: str = "left"
 ) -> DataFrame:

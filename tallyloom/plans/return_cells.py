@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import codes as K
 from tallyloom.functions.columns import code_lookup, equals, one_of, z
-from tallyloom.operators.aggregates import conditional_sums, grouping_sets_total
+from tallyloom.operators.aggregates import conditional_sums, exact_sum, grouping_sets_total
 from tallyloom.operators.filters import valid_on
 from tallyloom.operators.reshape import CellRow, route_by_value, unpivot_rows
 from tallyloom.operators.setops import union_branches
@@ -227,7 +227,7 @@ def report_cells(measures: DataFrame, ids: Sequence[str] = CELL_KEYS, rows: Sequ
     """Cell values per unit pair: one pass over the measures, then one sum per cell."""
     cells = unpivot_rows(measures, ids, report_rows() if rows is None else rows)
     return cells.groupBy(*ids, "sheet_id", "row_id", F.upper("column_id").alias("column_id")).agg(
-        F.sum("value").alias("value")
+        exact_sum(F.col("value")).alias("value")
     )
 
 

@@ -1,12 +1,15 @@
 """Invariants and differential checks of the operators."""
 
 import os
+import random
+from datetime import date
 from uuid import uuid4
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators import joins
+from tallyloom.operators.asof import versions_on
 from tallyloom.operators.aggregates import group_sum, grouping_sets_total
 from tallyloom.operators.audit import duplicate_keys, observed
 from tallyloom.operators.filters import latest_day
@@ -28,17 +31,60 @@ def as_set(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-def test_band_join_both_ways_agree(spark):
-    bands = spark.createDataFrame(
-        [(float(i), float(i + 1), "Y", "N", f"B{i}") for i in range(40)] + [(40.0, 1e12, "Y", "Y", "REST")],
-        "lower_value double, upper_value double, lower_val_inclusive string, upper_val_inclusive string, code string",
-    )
-    facts = spark.range(400).select("id", F.when(F.col("id") % 17 != 0, F.col("id") / 7.0).alias("v"))
-    small = joins.band_join(facts, bands, "v", ["code"])
-    large = joins.band_join(facts, bands, "v", ["code"], limit=0, segments=8)
-    assert not fits_broadcast(bands, 0)
-    assert as_set(small) == as_set(large)
-    assert small.count() == 400
+BANDS = [(float(i), float(i + 1), "Y", "N", f"B{i}") for i in range(40)] + [
+    (40.0, 1e12, "Y", "Y", "REST"), (5.0, 5.0, "Y", "N", "POINT"), (6.0, 6.0, "N", "N", "NOTHING"), (None, 7.0, "N", "Y", "UPPER"), (2.0, None, "Y", "Y", "LOWER"),
+    (9.0, 8.0, "Y", "Y", "TURNED"), (3.0, 30.0, "N", "Y", "WIDE"), (3.0, 30.0, None, None, "WIDE2"), (-1.0, 0.0, "N", "Y", "NEG"),
+]
+BAND_COLUMNS = "lower_value double, upper_value double, lower_val_inclusive string, upper_val_inclusive string, code string"
+
+
+def _plain_bands(rows, bands, default=None):
+    def holds(v, lo, hi, li, ui):
+        inside = lo is not None and hi is not None and lo < v < hi
+        return inside or (v == lo and li == "Y") or (v == hi and ui == "Y")
+
+    for i, v in rows:
+        value = default if v is None else v
+        yield from [(i, v, b[4]) for b in bands if value is not None and holds(value, *b[:4])] or [(i, v, None)]
+
+
+@pytest.mark.parametrize("default", [None, 2.5, 40.0])
+def test_band_join_agrees_with_plain_code(spark, default):
+    """The index, and segments of given and of measured number, with overlaps, points and missing bounds."""
+    bands = spark.createDataFrame(BANDS, BAND_COLUMNS)
+    rows = [(i, None if i % 17 == 0 else i / 8.0 - 1) for i in range(400)] + [(7, 5.0), (7, 5.0), (900, float("inf")), (901, float("-inf")), (902, -0.0)]
+    facts = spark.createDataFrame(rows, "id long, v double")
+    want = sorted(_plain_bands(rows, BANDS, default), key=repr)
+    for options in ({}, {"limit": 0, "segments": 8}, {"limit": 0}, {"limit": 0, "segments": 1}):
+        got = joins.band_join(facts, bands, "v", ["code"], default=default, **options)
+        assert as_set(got) == want, options
+    none = bands.limit(0)
+    assert as_set(joins.band_join(facts, none, "v", ["code"])) == as_set(joins.band_join(facts, none, "v", ["code"], limit=0)) == sorted([(*r, None) for r in rows], key=repr)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_band_join_plans_and_balance(spark):
+    """No nested loop, and no task above twice the median where every value is missing."""
+    bands = spark.createDataFrame([(i / 1000, (i + 1) / 1000, "Y", "N", str(i)) for i in range(1000)], BAND_COLUMNS)
+    facts = spark.range(200000).select("id", F.lit(None).cast("double").alias("v"))
+    for limit in (None, 0):
+        joined = joins.band_join(facts, bands, "v", ["code"], default=0.02501, limit=limit)
+        assert "NestedLoop" not in _plan(joined) and "Cartesian" not in _plan(joined)
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = joins.band_join(facts, bands, "v", ["code"], default=0.02501, limit=0)
+        tasks = sorted(r.n for r in joined.groupBy(F.spark_partition_id().alias("p"), "code").agg(F.count("*").alias("n")).collect())
+        assert joined.where("code = '25'").count() == 200000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(tasks) == 8 and tasks[-1] <= 2 * tasks[4]
 
 
 def test_hot_key_keeps_every_row(spark):
@@ -66,6 +112,47 @@ def test_effective_dated_join_never_multiplies(spark):
     assert {r.attr for r in on_date.where("k = 1").collect()} == {"b"}
 
 
+def _random_versions(rng, keys, overlap):
+    out = []
+    for key in range(keys):
+        day = rng.randrange(20)
+        for _ in range(rng.randrange(12)):
+            length = rng.randrange(0, 9)
+            out.append((key if rng.random() < 0.95 else None, f"v{len(out)}", date.fromordinal(730000 + day), date.fromordinal(730000 + day + length)))
+            day += length + rng.randrange(0, 5) - (rng.randrange(0, 6) if overlap and key % 2 else 0)
+    return out + [(0, "no start", None, date.fromordinal(800000)), (0, "no end", date.fromordinal(1), None)]
+
+
+@pytest.mark.parametrize("overlap", [False, True])
+def test_as_of_agrees_with_every_pair_compared(spark, overlap):
+    """Gaps, empty versions, days on both ends, null keys and dates; overlaps give each version, or the latest."""
+    rng = random.Random(11)
+    versions = _random_versions(rng, 12, overlap)
+    facts = [(i, rng.choice([None, *range(14)]), None if i % 40 == 0 else date.fromordinal(730000 + rng.randrange(90))) for i in range(600)]
+    facts += facts[:5]
+    dim = spark.createDataFrame(versions, "key int, attr string, valid_from_date date, valid_to_date date")
+    left = spark.createDataFrame(facts, "i int, k int, d date")
+    want, latest = [], []
+    for i, k, d in facts:
+        held = sorted((f, t, a) for key, a, f, t in versions if None not in (key, f, t, k, d) and key == k and f <= d < t)
+        want += [(i, k, d, a) for _, _, a in held] or [(i, k, d, None)]
+        latest.append((i, k, d, held[-1][2] if held else None))
+    got = joins.effective_dated_join(left, dim, {"k": "key"}, F.col("d"), ["attr"])
+    assert as_set(got) == sorted(want, key=repr)
+    one = versions_on(left, dim, "k", "key", F.col("d"), ["attr"], prefix="own_", latest=True)
+    assert one.columns == ["i", "k", "d", "own_attr"] and as_set(one) == sorted(latest, key=repr)
+    assert as_set(joins.effective_dated_join(left, dim.limit(0), {"k": "key"}, F.col("d"), ["attr"])) == sorted([(*r, None) for r in facts], key=repr)
+
+
+def test_as_of_plan_has_no_range_condition_on_facts(spark):
+    """Facts meet answers by equality; a key with 10,000 versions and a third of all facts costs its days."""
+    dim = spark.range(10000).select(F.expr("CAST(id DIV 100000 AS INT) + 1").alias("key"), "id", *[F.expr(f"date_add(DATE '1950-01-01', CAST(id + {k} AS INT))").alias(n) for k, n in ((0, "valid_from_date"), (1, "valid_to_date"))])
+    facts = spark.range(30000).select("id", (F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(1)).cast("int").alias("k"), F.expr("date_add(DATE '1950-01-01', CAST(id % 12000 AS INT))").alias("d"))
+    joined = joins.effective_dated_join(facts.withColumnRenamed("id", "i"), dim, {"k": "key"}, F.col("d"), ["id"])
+    assert joined.count() == 30000 and joined.where("id IS NOT NULL").count() == facts.where("k = 1 AND id % 12000 < 10000").count()
+    assert "NestedLoop" not in _plan(joined)
+
+
 def test_successors_and_default(spark):
     dim = spark.createDataFrame(
         [(1, "x", None, "2000-01-01", "2001-01-01"), (11, "x", None, "2001-01-01", "9999-12-31"), (2, "gone", "r", "2000-01-01", "2001-01-01")],
