@@ -387,12 +387,6 @@ _ATTR = (
     "reporting_type_code", "memo_class", "std_act_risk_weight", "b2_std_basel_exposure_type", "basel_exposure_type", "reg_exposure_type",
 )
 _CASE_SHEET = "CASE {c} " + " ".join(f"WHEN '{quoted(k)}' THEN '{v}'" for k, v in lists.SHEETS) + " END"
-_BAL = "c0010 c0030 c0040 c0050 c0060 c0080 c0090 c0100 c0110 c0130 c0140 c0150".split()
-_CONV = "c0160 c0170 c0180 c0190".split()
-_TAIL = "c0215 c0216 c0217 c0220".split()
-_L22 = _BAL + _CONV + ["c0200", "c0210"] + _TAIL
-_L24 = _L22 + ["c0230", "c0240"]
-_L15 = ["c0010", "c0030", "c0040", "c0150"] + _CONV + ["c0200", "c0210", "c0211"] + _TAIL
 _SIX = "('" + "', '".join(lists.MEMO_CLASSES) + "')"
 _W = "round(std_act_risk_weight, 3)"
 _ROW_CASE = "CASE " + " ".join(f"WHEN {_W} = {w} THEN '{r}'" for w, r in lists.WEIGHT_ROWS) + " ELSE 'R0280' END"
@@ -402,24 +396,24 @@ _RES = "reg_exposure_type = 'Secured by mortgages on residential property'"
 _DE = "CASE WHEN reporting_regulator_code = 'DE-BBK' THEN NULL ELSE {m} END"
 _VARIANTS = [
     # row id, sheet, measures, filter, value
-    ("'R0010'", "sheet", _L24, "true", "{m}"),
-    ("'R0015'", "memo_sheet", _L22, "basel_exposure_type = 'Exposures in default' AND memo_class IN ('Exposures associated with particularly high risk', 'Equity Claims')", "{m}"),
-    ("'R0020'", "sheet", _L22, "b3_sme_rp_flag = 'Y' OR retail_pool_sme_flag = 'Y'", "{m}"),
-    ("'R0030'", "sheet", _L22, "b3_sme_discount_flag = 'Y'", "{m}"),
-    ("'R0035'", "sheet", _L22, "crr2_501a_discount_flag = 'Y'", "{m}"),
-    ("'R0040'", "sheet", _L22, _RES, "{m}"),
-    ("'R0050'", "sheet", _L22, "coalesce(transitional_portfolio_flag, 'X') <> 'Y' AND coalesce(division, 'X') <> 'CITIZENS'", _DE),
-    ("'R0060'", "sheet", _L22, "transitional_portfolio_flag = 'Y' OR division = 'CITIZENS'", _DE),
-    ("'R0070'", "sheet", [m + "_onbal" for m in _BAL + ["c0200"] + _TAIL], "true", "{m}"),
-    ("'R0080'", "sheet", [m + "_ofbal" for m in _BAL] + _CONV + [m + "_ofbal" for m in ["c0200"] + _TAIL], "true", "{m}"),
-    ("'R0090'", "sheet", ["c0200", "c0210", "c0211"] + _TAIL, _SFT, "{m}"),
-    ("'R0100'", "sheet", ["c0200", "c0210"] + _TAIL, _SFT + " AND qccp_flag = 'Y'", "{m}"),
-    ("'R0110'", "sheet", ["c0200", "c0210", "c0211"] + _TAIL, _DRV, "{m}"),
-    ("'R0120'", "sheet", ["c0200", "c0210"] + _TAIL, _DRV + " AND qccp_flag = 'Y'", "{m}"),
-    (_ROW_CASE, "sheet", _L15 + ["c0230", "c0240"], "true", "CASE WHEN " + _W + " = 0.70 AND '{m}' IN ('c0010', 'c0030', 'c0040') THEN NULL ELSE {m} END"),
-    ("'R0283'", "sheet", _L24, "reg_exposure_type = 'Collective Investment Undertakings'", "{m}"),
-    ("CASE WHEN " + _RES + " THEN 'R0310' ELSE 'R0290' END", "memo_sheet", ["c0010_mrtg", "c0030", "c0040_mrtg", "c0150"] + _CONV + ["c0200", "c0210"] + _TAIL, f"memo_class IN {_SIX} AND b2_std_basel_exposure_type = 'Exposures Secured by Immovable Property'", "{m}"),
-    ("CASE WHEN " + _W + " = 1 THEN 'R0300' ELSE 'R0320' END", "memo_sheet", _L15, f"basel_exposure_type = 'Exposures in default' AND memo_class IN {_SIX} AND {_W} IN (1.0, 1.5)", "{m}"),
+    ("'R0010'", "sheet", lists.FULL_CELLS, "true", "{m}"),
+    ("'R0015'", "memo_sheet", lists.SHORT_CELLS, "basel_exposure_type = 'Exposures in default' AND memo_class IN ('Exposures associated with particularly high risk', 'Equity Claims')", "{m}"),
+    ("'R0020'", "sheet", lists.SHORT_CELLS, "b3_sme_rp_flag = 'Y' OR retail_pool_sme_flag = 'Y'", "{m}"),
+    ("'R0030'", "sheet", lists.SHORT_CELLS, "b3_sme_discount_flag = 'Y'", "{m}"),
+    ("'R0035'", "sheet", lists.SHORT_CELLS, "crr2_501a_discount_flag = 'Y'", "{m}"),
+    ("'R0040'", "sheet", lists.SHORT_CELLS, _RES, "{m}"),
+    ("'R0050'", "sheet", lists.SHORT_CELLS, "coalesce(transitional_portfolio_flag, 'X') <> 'Y' AND coalesce(division, 'X') <> 'CITIZENS'", _DE),
+    ("'R0060'", "sheet", lists.SHORT_CELLS, "transitional_portfolio_flag = 'Y' OR division = 'CITIZENS'", _DE),
+    ("'R0070'", "sheet", lists.ON_CELLS, "true", "{m}"),
+    ("'R0080'", "sheet", lists.OFF_CELLS, "true", "{m}"),
+    ("'R0090'", "sheet", lists.COUNTERPARTY_CELLS, _SFT, "{m}"),
+    ("'R0100'", "sheet", lists.QUALIFYING_CELLS, _SFT + " AND qccp_flag = 'Y'", "{m}"),
+    ("'R0110'", "sheet", lists.COUNTERPARTY_CELLS, _DRV, "{m}"),
+    ("'R0120'", "sheet", lists.QUALIFYING_CELLS, _DRV + " AND qccp_flag = 'Y'", "{m}"),
+    (_ROW_CASE, "sheet", lists.WEIGHT_ROW_CELLS, "true", "CASE WHEN " + _W + " = 0.70 AND '{m}' IN ('c0010', 'c0030', 'c0040') THEN NULL ELSE {m} END"),
+    ("'R0283'", "sheet", lists.FULL_CELLS, "reg_exposure_type = 'Collective Investment Undertakings'", "{m}"),
+    ("CASE WHEN " + _RES + " THEN 'R0310' ELSE 'R0290' END", "memo_sheet", lists.MORTGAGE_CELLS, f"memo_class IN {_SIX} AND b2_std_basel_exposure_type = 'Exposures Secured by Immovable Property'", "{m}"),
+    ("CASE WHEN " + _W + " = 1 THEN 'R0300' ELSE 'R0320' END", "memo_sheet", lists.WEIGHT_CELLS, f"basel_exposure_type = 'Exposures in default' AND memo_class IN {_SIX} AND {_W} IN (1.0, 1.5)", "{m}"),
 ]
 _IDS = "year_month, reporting_regulator_code, risk_taker_rru, risk_on_rru, internal_transaction_flag, ig_exclusion_flag"
 _LONG = " UNION ALL ".join(
@@ -454,8 +448,7 @@ def job_return(spark, folder):
     """Return cells of both categories with totals and skeleton."""
     job = job_of(spark, folder)
     rows = cells_plan.select_input(job.mart(), job["asset_class"], job["dpm_parameter"], RUN_MONTH, RUN_DATE)
-    cells = cells_plan.report_cells(cells_plan.measures_by_attributes(rows))
-    entities = cells_plan.entity_cells(cells, job["group_map"])
+    entities = cells_plan.entity_cells(cells_plan.measures_by_attributes(rows), job["group_map"])
     skeleton = cells_plan.cell_skeleton(
         job["template_cells"], job["members"], job["sheets"], job["domains"], job["dpm_parameter"], job["returns"], job["templates"],
         70, "C 07.00", RUN_MONTH, RUN_DATE,

@@ -73,6 +73,49 @@ def unpivot_rows(df: DataFrame, ids: Sequence[str], rows: Sequence[CellRow]) ->
     )
 
 
+def route_rows(df: DataFrame, keep: Sequence[str], rows: Sequence[CellRow]) -> DataFrame:
+    """One wide row for each report row that an input row feeds, its measures untouched.
+
+    ``_row`` is the place of the report row in the list, ``_blank`` whether its
+    blank measures are left out; ``row_id`` and ``sheet_id`` are resolved. Sums
+    by these columns can then be taken before any cell exists.
+    """
+    routes = []
+    for n, row in enumerate(rows):
+        route = F.struct(
+            F.lit(n).alias("_row"),
+            (F.lit(row.row_id) if isinstance(row.row_id, str) else row.row_id).alias("row_id"),
+            F.col(row.sheet).alias("sheet_id"),
+            (F.lit(False) if row.blank is None else F.coalesce(row.blank[1], F.lit(False))).alias("_blank"),
+        )
+        routes.append(route if row.where is None else F.when(F.coalesce(row.where, F.lit(False)), route))
+    routed = df.select(*keep, F.explode(F.array_compact(F.array(*routes))).alias("_route"))
+    return routed.select(*keep, "_route.*")
+
+
+def measures_of(rows: Sequence[CellRow]) -> list[str]:
+    """All measures that some report row shows."""
+    return list(dict.fromkeys(m for row in rows for m in row.measures))
+
+
+def spread_cells(wide: DataFrame, ids: Sequence[str], rows: Sequence[CellRow]) -> DataFrame:
+    """Wide rows of ``route_rows`` to cells (row, sheet, column, value): each shows the measures of its report row."""
+    shown = None
+    for n, row in enumerate(rows):
+        hidden = set(row.blank[0]) if row.blank is not None else set()
+        cells = F.array(
+            *[
+                F.struct(
+                    strip_suffix(F.lit(m)).alias("column_id"),
+                    (F.when(~F.col("_blank"), F.col(m)) if m in hidden else F.col(m)).cast("double").alias("value"),
+                )
+                for m in row.measures
+            ]
+        )
+        shown = F.when(F.col("_row") == n, cells) if shown is None else shown.when(F.col("_row") == n, cells)
+    return wide.select(*ids, "row_id", "sheet_id", F.explode(shown).alias("_cell")).select(*ids, "row_id", "sheet_id", "_cell.*")
+
+
 def unpivot_measures(
     df: DataFrame, ids: Sequence[str], measures: Sequence[str], name: str = "column_id", value: str = "value"
 ) -> DataFrame:

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import codes as K
 from tallyloom.functions.columns import code_lookup, equals, one_of, z
-from tallyloom.operators.aggregates import conditional_sums, exact_sum, grouping_sets_total
+from tallyloom.operators.aggregates import conditional_sums, exact_sum, group_sum
 from tallyloom.operators.filters import valid_on
-from tallyloom.operators.reshape import CellRow, route_by_value, unpivot_rows
+from tallyloom.operators.reshape import CellRow, measures_of, route_by_value, route_rows, spread_cells
 from tallyloom.operators.setops import union_branches
 
 # --- fixed values: input selection ------------------------------------------------
@@ -56,14 +56,6 @@ MEASURE_KEYS = (
     "basel_exposure_type",
     "reg_exposure_type",
 )
-CELL_KEYS = (
-    "year_month",
-    "reporting_regulator_code",
-    "risk_taker_rru",
-    "risk_on_rru",
-    "internal_transaction_flag",
-    "ig_exclusion_flag",
-)
 
 
 def select_input(
@@ -158,15 +150,45 @@ def measures_by_attributes(rows: DataFrame, keys: Sequence[str] = MEASURE_KEYS)
     )
 
 
-def _columns(*numbers: int, suffix: str = "") -> tuple[str, ...]:
-    return tuple(f"c{n:04d}{suffix}" for n in numbers)
-
-
-_BALANCE = (10, 30, 40, 50, 60, 80, 90, 100, 110, 130, 140, 150)
-_STEPS = (160, 170, 180, 190)
-_WEIGHTED = (215, 216, 217, 220)
-SHORT_LIST = _columns(*_BALANCE, *_STEPS, 200, 210, *_WEIGHTED)
-FULL_LIST = SHORT_LIST + _columns(230, 240)
+# --- fixed values: cells of each report row ----------------------------------------
+# fmt: off
+SHORT_LIST = (
+    "c0010", "c0030", "c0040", "c0050", "c0060", "c0080", "c0090", "c0100", "c0110", "c0130", "c0140", "c0150", "c0160", "c0170",
+    "c0180", "c0190", "c0200", "c0210", "c0215", "c0216", "c0217", "c0220",
+)
+FULL_LIST = (
+    "c0010", "c0030", "c0040", "c0050", "c0060", "c0080", "c0090", "c0100", "c0110", "c0130", "c0140", "c0150", "c0160", "c0170",
+    "c0180", "c0190", "c0200", "c0210", "c0215", "c0216", "c0217", "c0220", "c0230", "c0240",
+)
+COUNTERPARTY_LIST = (
+    "c0200", "c0210", "c0211", "c0215", "c0216", "c0217", "c0220",
+)
+QUALIFYING_LIST = (
+    "c0200", "c0210", "c0215", "c0216", "c0217", "c0220",
+)
+ON_LIST = (
+    "c0010_onbal", "c0030_onbal", "c0040_onbal", "c0050_onbal", "c0060_onbal", "c0080_onbal", "c0090_onbal", "c0100_onbal",
+    "c0110_onbal", "c0130_onbal", "c0140_onbal", "c0150_onbal", "c0200_onbal", "c0215_onbal", "c0216_onbal", "c0217_onbal",
+    "c0220_onbal",
+)
+OFF_LIST = (
+    "c0010_ofbal", "c0030_ofbal", "c0040_ofbal", "c0050_ofbal", "c0060_ofbal", "c0080_ofbal", "c0090_ofbal", "c0100_ofbal",
+    "c0110_ofbal", "c0130_ofbal", "c0140_ofbal", "c0150_ofbal", "c0160", "c0170", "c0180", "c0190", "c0200_ofbal", "c0215_ofbal",
+    "c0216_ofbal", "c0217_ofbal", "c0220_ofbal",
+)
+WEIGHT_LIST = (
+    "c0010", "c0030", "c0040", "c0150", "c0160", "c0170", "c0180", "c0190", "c0200", "c0210", "c0211", "c0215", "c0216", "c0217",
+    "c0220",
+)
+MORTGAGE_LIST = (
+    "c0010_mrtg", "c0030", "c0040_mrtg", "c0150", "c0160", "c0170", "c0180", "c0190", "c0200", "c0210", "c0215", "c0216",
+    "c0217", "c0220",
+)
+WEIGHT_ROW_LIST = (
+    "c0010", "c0030", "c0040", "c0150", "c0160", "c0170", "c0180", "c0190", "c0200", "c0210", "c0211", "c0215", "c0216", "c0217",
+    "c0220", "c0230", "c0240",
+)
+# fmt: on
 
 
 def report_rows() -> list[CellRow]:
@@ -182,11 +204,6 @@ def report_rows() -> list[CellRow]:
     residential = equals("reg_exposure_type", K.RESIDENTIAL_MORTGAGE)
     weight = F.round(F.col("std_act_risk_weight"), 3)
     germany = equals("reporting_regulator_code", K.GERMANY)
-    counterparty_list = _columns(200, 210, 211, *_WEIGHTED)
-    qualifying_list = _columns(200, 210, *_WEIGHTED)
-    on_list = _columns(*_BALANCE, 200, *_WEIGHTED, suffix="_onbal")
-    off_list = _columns(*_BALANCE, suffix="_ofbal") + _columns(*_STEPS) + _columns(200, *_WEIGHTED, suffix="_ofbal")
-    weight_list = _columns(10, 30, 40, 150, *_STEPS, 200, 210, 211, *_WEIGHTED)
     return [
         CellRow("R0010", FULL_LIST),
         CellRow("R0015", SHORT_LIST, in_default & one_of(memo, (K.HIGH_RISK, K.EQUITY)), "memo_sheet_id"),
@@ -196,43 +213,35 @@ def report_rows() -> list[CellRow]:
         CellRow("R0040", SHORT_LIST, residential),
         CellRow("R0050", SHORT_LIST, ~transitional, blank=(SHORT_LIST, germany)),
         CellRow("R0060", SHORT_LIST, transitional, blank=(SHORT_LIST, germany)),
-        CellRow("R0070", on_list),
-        CellRow("R0080", off_list),
-        CellRow("R0090", counterparty_list, financing),
-        CellRow("R0100", qualifying_list, financing & qualifying),
-        CellRow("R0110", counterparty_list, derivatives),
-        CellRow("R0120", qualifying_list, derivatives & qualifying),
+        CellRow("R0070", ON_LIST),
+        CellRow("R0080", OFF_LIST),
+        CellRow("R0090", COUNTERPARTY_LIST, financing),
+        CellRow("R0100", QUALIFYING_LIST, financing & qualifying),
+        CellRow("R0110", COUNTERPARTY_LIST, derivatives),
+        CellRow("R0120", QUALIFYING_LIST, derivatives & qualifying),
         CellRow(
             route_by_value(F.col("std_act_risk_weight"), K.ROW_OF_RISK_WEIGHT, K.ROW_OF_OTHER_RISK_WEIGHT),
-            weight_list + _columns(230, 240),
-            blank=(_columns(10, 30, 40), weight == 0.70),
+            WEIGHT_ROW_LIST,
+            blank=(("c0010", "c0030", "c0040"), weight == 0.70),
         ),
         CellRow("R0283", FULL_LIST, equals("reg_exposure_type", K.COLLECTIVE_INVESTMENT)),
         CellRow(
             F.when(residential, F.lit("R0310")).otherwise(F.lit("R0290")),
-            ("c0010_mrtg", "c0030", "c0040_mrtg") + _columns(150, *_STEPS, 200, 210, *_WEIGHTED),
+            MORTGAGE_LIST,
             one_of(memo, MEMO_CLASSES) & equals("b2_std_basel_exposure_type", K.SECURED),
             "memo_sheet_id",
         ),
         CellRow(
             F.when(weight == 1.00, F.lit("R0300")).otherwise(F.lit("R0320")),
-            weight_list,
+            WEIGHT_LIST,
             in_default & one_of(memo, MEMO_CLASSES) & weight.isin(1.00, 1.50),
             "memo_sheet_id",
         ),
     ]
 
 
-def report_cells(measures: DataFrame, ids: Sequence[str] = CELL_KEYS, rows: Sequence[CellRow] | None = None) -> DataFrame:
-    """Cell values per unit pair: one pass over the measures, then one sum per cell."""
-    cells = unpivot_rows(measures, ids, report_rows() if rows is None else rows)
-    return cells.groupBy(*ids, "sheet_id", "row_id", F.upper("column_id").alias("column_id")).agg(
-        exact_sum(F.col("value")).alias("value")
-    )
-
-
-def entity_cells(cells: DataFrame, group_map: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:
-    """Cell sums per reporting entity and category, with the total sheet.
+def by_entity(rows: DataFrame, group_map: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:
+    """Rows of unit pairs with the reporting entity and category they count for.
 
     ``ALL`` adds external business to the group's; the group part leaves out
     excluded rows. Both categories come from one join: a row is copied only
@@ -250,12 +259,12 @@ def entity_cells(cells: DataFrame, group_map: DataFrame, categories: Sequence[st
         "risk_taker_group",
         "reporting_desc",
     )
-    joined = cells.join(
+    joined = rows.join(
         mapping,
-        (cells["risk_taker_rru"] == mapping["_t"])
-        & (cells["risk_on_rru"] == mapping["_o"])
-        & (cells["year_month"] == mapping["_m"])
-        & (cells["internal_transaction_flag"] == mapping["_f"]),
+        (rows["risk_taker_rru"] == mapping["_t"])
+        & (rows["risk_on_rru"] == mapping["_o"])
+        & (rows["year_month"] == mapping["_m"])
+        & (rows["internal_transaction_flag"] == mapping["_f"]),
         "inner",
     )
     in_group = (
@@ -265,9 +274,36 @@ def entity_cells(cells: DataFrame, group_map: DataFrame, categories: Sequence[st
     )
     external = equals("reporting_desc", "External")
     member = [F.when(in_group | external if c == "ALL" else in_group, F.lit(c)) for c in categories]
-    per_category = joined.withColumn("reportable_category", F.explode(F.array_compact(F.array(*member))))
-    keys = ["year_month", "reporting_regulator_code", "risk_taker_group", "reportable_category", "row_id", "column_id"]
-    return grouping_sets_total(per_category, keys, "sheet_id", "value", K.TOTAL_SHEET)
+    return joined.withColumn("reportable_category", F.explode(F.array_compact(F.array(*member)))).drop("_t", "_o", "_m", "_f")
+
+
+ENTITY_KEYS = ("year_month", "reporting_regulator_code", "risk_taker_group", "reportable_category")
+
+
+def entity_sums(measures: DataFrame, group_map: DataFrame, rows: Sequence[CellRow], categories: Sequence[str] = CATEGORIES) -> DataFrame:
+    """Wide sums per entity, category, report row and sheet, with the total sheet.
+
+    A measure row is routed as it is, with all its measures; nothing is spread
+    to cells before it is summed.
+    """
+    names = measures_of(rows)
+    routed = route_rows(by_entity(measures, group_map, categories), [*ENTITY_KEYS, *names], rows)
+    keys = [*ENTITY_KEYS, "_row", "row_id", "_blank"]
+    sheets = group_sum(routed, [*keys, "sheet_id"], names)
+    total = group_sum(sheets, keys, names).withColumn("sheet_id", F.lit(K.TOTAL_SHEET))
+    return sheets.unionByName(total)
+
+
+def entity_cells(measures: DataFrame, group_map: DataFrame, rows: Sequence[CellRow] | None = None, categories: Sequence[str] = CATEGORIES) -> DataFrame:
+    """Cell sums per reporting entity and category, with the total sheet.
+
+    Only sums of entities are spread to cells. Report rows that share an id,
+    and parts whose blank cells differ, meet in one last sum.
+    """
+    rows = report_rows() if rows is None else rows
+    cells = spread_cells(entity_sums(measures, group_map, rows, categories), ENTITY_KEYS, rows)
+    keys = [*ENTITY_KEYS, "row_id", F.upper("column_id").alias("column_id"), "sheet_id"]
+    return cells.groupBy(*keys).agg(exact_sum(F.col("value")).alias("value"))
 
 
 def cell_skeleton(

@@ -6,7 +6,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tallyloom.functions import codes as K
 from tallyloom.operators.aggregates import conditional_sums, exact_sum, group_sum, grouping_sets_total, rollup_to
+from tallyloom.operators.reshape import measures_of, unpivot_rows
+from tallyloom.plans import return_cells as R
 
 
 def _amounts(rng, n):
@@ -50,3 +53,41 @@ def test_sums_of_nothing_and_out_of_range(spark):
     for wrong in (float("nan"), float("inf"), 1e19):
         with pytest.raises(Exception, match="amount out of range"):
             spark.range(1).select(F.lit(wrong).alias("v")).agg(exact_sum(F.col("v"))).collect()
+
+
+def _measures(spark, n):
+    """Measure rows with every attribute the report rows look at, some of them null."""
+    rng = random.Random(4)
+    pick = lambda *values: F.element_at(F.array(*[F.lit(v) for v in values]), (F.pmod(F.xxhash64("id", F.lit(rng.random())), F.lit(len(values))) + 1).cast("int"))
+    attributes = {
+        "year_month": F.lit(200108), "reporting_regulator_code": pick(K.UK, K.GERMANY, K.IRELAND), "risk_taker_rru": pick(1, 2, 3), "risk_on_rru": pick(1, 2, None),
+        "internal_transaction_flag": pick("Y", "N"), "ig_exclusion_flag": pick("Y", "N", None), "division": pick("A", K.OVERRIDE_DIVISION, None), "b3_sme_rp_flag": pick("Y", "N"),
+        "retail_pool_sme_flag": pick("Y", None), "transitional_portfolio_flag": pick("Y", "N", None), "corep_product_category": pick(R.SECURITIES_FINANCING, R.DERIVATIVES, K.ON, K.OFF),
+        "qccp_flag": pick("Y", "N"), "b3_sme_discount_flag": pick("Y", "N"), "crr2_501a_discount_flag": pick("Y", None), "reporting_type_code": pick("LS", None),
+        "crd4_memo_basel_exposure_type": pick(*R.MEMO_CLASSES, K.HIGH_RISK, None), "std_act_risk_weight": pick(0.0, 0.35, 0.7, 1.0, 1.5, 3.3), "b2_std_basel_exposure_type": pick(K.SECURED, None),
+        "basel_exposure_type": pick(K.IN_DEFAULT, K.RETAIL), "reg_exposure_type": pick(K.RESIDENTIAL_MORTGAGE, K.COLLECTIVE_INVESTMENT, None), "sheet_id": pick("S1", "S2", None), "memo_sheet_id": pick("M1", "S1"),
+    }
+    amounts = {m: (F.pmod(F.xxhash64("id", F.lit(m)), F.lit(10**9)) / 100) for m in R.measure_table()}
+    # Written rows: the draws above are made once.
+    return spark.createDataFrame(spark.range(n).select(*[c.alias(k) for k, c in (attributes | amounts).items()]).collect())
+
+
+def _group_map(spark):
+    rows = [(t, o, 200108, f, d, g, k) for t in (1, 2, 3) for o in (1, 2) for f, g, k in (("Y", f"G{t % 2}", "Inter Group"), ("N", f"G{o}", "External")) for d in ("LL", "LL2")]
+    rows += [(1, 1, 200108, "Y", "DECON 1", "G9", "External"), (2, 2, 200108, "N", None, "G9", "External")]
+    return spark.createDataFrame(rows, "risk_taker_rru_rk int, risk_on_rru_rk int, year_month_rk int, internal_transaction_flag string, risk_taker_ll_rru string, risk_taker_group string, reporting_desc string")
+
+
+def test_sums_before_cells_agree_with_cells_before_sums(spark):
+    measures, groups, rows = _measures(spark, 1500), _group_map(spark), R.report_rows()
+    got = R.entity_cells(measures, groups)
+    spread = unpivot_rows(R.by_entity(measures, groups), R.ENTITY_KEYS, rows).withColumn("column_id", F.upper("column_id"))
+    keys = [*R.ENTITY_KEYS, "row_id", "column_id"]
+    plain = group_sum(spread, [*keys, "sheet_id"], ["value"]).unionByName(group_sum(spread, keys, ["value"]).withColumn("sheet_id", F.lit(K.TOTAL_SHEET)))
+    columns = [*keys, "sheet_id", "value"]
+    assert sorted(map(tuple, got.select(columns).collect()), key=repr) == sorted(map(tuple, plain.select(columns).collect()), key=repr)
+    # What is spread to cells is one row for each entity group, not for each measure row.
+    wide = R.entity_sums(measures, groups, rows)
+    assert wide.count() == wide.select(*R.ENTITY_KEYS, "_row", "row_id", "_blank", "sheet_id").distinct().count() < spread.count() / 100
+    assert set(measures_of(rows)) <= set(wide.columns)
+    assert R.entity_cells(measures.limit(0), groups).count() == 0
