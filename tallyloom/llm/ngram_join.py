@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.components import components
-from tallyloom.llm.shingles import mix64, pieces, shingle_sets
+from tallyloom.llm.shingles import mix64, pieces, shingle_sets, small_batches
 from tallyloom.operators.sizing import broadcast_if_small
 from tallyloom.session import scratch_table
 
@@ -60,6 +60,8 @@ HOT_IN_BATCH = 8
 # Rounds of links to drawn centres before all pairs of what is still apart.
 CENTRE_ROUNDS = 2
 SIGNATURES_PER_BUCKET = 1 << 20
+# Characters whose signatures, or packed sets, are built together.
+SIGNED_CHARACTERS, PACKED_CHARACTERS = 1_000_000, 500_000
 
 
 def allowed(a: int, b: int) -> int:
@@ -142,26 +144,37 @@ def subsets(shingles: np.ndarray, sizes: np.ndarray, members: np.ndarray, bands:
 WHOLE = -1
 
 
+def _measured(piece):
+    """(key of scheme and segment, signature, size) of all subsets of a piece, and the number of shingles; built in parts."""
+    found, total = {0: [], 1: []}, 0
+    for part in pieces(piece, limit=SIGNED_CHARACTERS):
+        shingles, sizes = shingle_sets(part["text"])
+        total += len(shingles)
+        for turn, (members, bands, _) in enumerate(roles(sizes)):
+            keep = bands < COSTED_BANDS
+            _, band, segment, signature, count, _, _ = subsets(shingles, sizes, members[keep], bands[keep])
+            found[turn].append((band * (1 << 32) + segment, signature, count))
+    return [[np.concatenate(column) for column in zip(*rows)] for rows in found.values()], total
+
+
 def _measure(batches):
     """Per scheme and segment: subsets seen, how many met another in their piece, shingles."""
     sums: dict[tuple[int, int], np.ndarray] = {}
     for batch in batches:
         for piece in pieces(batch):
-            shingles, sizes = shingle_sets(piece["text"])
-            sums.setdefault((WHOLE, WHOLE), np.zeros(3))[0] += len(shingles)
-            for members, bands, _ in roles(sizes):
-                keep = bands < COSTED_BANDS
-                which, band, segment, signature, count, _, _ = subsets(shingles, sizes, members[keep], bands[keep])
-                if not len(which):
+            subsets_of, shingles = _measured(piece)
+            sums.setdefault((WHOLE, WHOLE), np.zeros(3))[0] += shingles
+            for key, signature, count in subsets_of:
+                if not len(key):
                     continue
                 _, back, often = np.unique(signature, return_inverse=True, return_counts=True)
-                key = band * (1 << 32) + segment
                 keys, inverse = np.unique(key, return_inverse=True)
                 met = np.bincount(inverse, weights=(often[back] - 1).astype(float) / often[back])
                 seen, held = np.bincount(inverse), np.bincount(inverse, weights=count)
                 for k, s, m, h in zip(keys.tolist(), seen, met, held):
                     at = sums.setdefault((k >> 32, k & 0xFFFFFFFF), np.zeros(3))
                     at += (s, m, h)
+            pa.default_memory_pool().release_unused()
     rows = [(b, g, *v) for (b, g), v in sums.items()]
     columns = list(zip(*rows)) if rows else [()] * 5
     yield pa.RecordBatch.from_arrays(
@@ -235,8 +248,9 @@ def _signatures(values: dict[int, np.ndarray], buckets: int):
 
     def run(batches):
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, limit=SIGNED_CHARACTERS):
                 yield from _emit(piece)
+                pa.default_memory_pool().release_unused()
 
     def _emit(piece):
         ids = piece["doc_id"].to_numpy(zero_copy_only=False).astype(np.int64)
@@ -416,7 +430,7 @@ def _may_link(batches):
 def _pack_sets(batches):
     """(doc_id, n, shingles) with sorted shingles as packed bytes."""
     for batch in batches:
-        for piece in pieces(batch):
+        for piece in pieces(batch, limit=PACKED_CHARACTERS):
             shingles, sizes = shingle_sets(piece["text"])
             ends = np.cumsum(sizes)
             packed = [shingles[e - s : e].tobytes() for s, e in zip(sizes, ends)]
@@ -505,7 +519,7 @@ def _rare(prefix: DataFrame) -> DataFrame:
 
 def _explode(batches):
     for batch in batches:
-        for piece in pieces(batch, limit=500_000):
+        for piece in pieces(batch, limit=PACKED_CHARACTERS):
             shingles, sizes = shingle_sets(piece["text"])
             ids = piece["doc_id"].to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
@@ -519,6 +533,7 @@ def links(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     ``links`` are verified pairs (a, b) that join all components, ``components``
     is (node, component), ``sizes`` (doc_id, n_shingles) of sets with shingles.
     """
+    small_batches(documents.sparkSession)
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     values, total = allocation(documents)
     # About two signatures to three shingles.

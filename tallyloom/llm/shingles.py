@@ -8,9 +8,19 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.sql import SparkSession
 
 # Characters of text that are shingled together; a longer text is taken alone.
 PIECE_CHARACTERS = 3_000_000
+# Rows with a text, or a packed set, that travel to a task's Python together.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Lower the session's bound on rows of an Arrow batch, which by default holds 10,000 texts at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
