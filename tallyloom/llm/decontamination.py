@@ -25,10 +25,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.shingles import pieces, word_hashes
+from tallyloom.llm.shingles import pieces, small_batches, word_hashes
 from tallyloom.session import scratch_table
 
 RANK, EXTRA = 64, 16
@@ -39,19 +40,27 @@ LEAK, LEAK_WITH_ANSWER = 0.7, 0.5
 ANSWER_WORDS, ANSWER_SHARE = 5, 0.8
 # Words in more than this share of all documents are no content words.
 COMMON = 0.2
-# Words of the benchmark that are held against all documents at a time.
+# Words of the benchmark that are searched for at a time.
 BLOCK_WORDS = 2_000_000
+# Characters that are coded together, and sums of tasks that are added before the rest.
+CODED_CHARACTERS, LANES = 500_000, 64
 
 
 @dataclass(frozen=True)
 class Items:
-    """A block of the benchmark, coded by its own vocabulary (sorted word hashes)."""
+    """The benchmark, or a block of it, coded by the vocabulary of all of it (sorted word hashes)."""
 
     ids: list
     vocabulary: np.ndarray
     codes: list
     answers: list
 
+    def blocks(self, words: int) -> list["Items"]:
+        """The items in blocks of about so many words each, in their order."""
+        sizes = np.cumsum([len(c) for c in self.codes])
+        cut = [*np.unique((sizes - 1) // words, return_index=True)[1], len(self.ids)]
+        return [Items(self.ids[a:b], self.vocabulary, self.codes[a:b], self.answers[a:b]) for a, b in zip(cut, cut[1:])]
+
 
 def items_of(benchmark: DataFrame) -> Items:
     columns = ["item_id", "text", *(["answer"] if "answer" in benchmark.columns else [])]
@@ -86,7 +95,7 @@ def coded(documents: DataFrame, vocabulary: np.ndarray) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, limit=CODED_CHARACTERS):
                 hashes, owner = word_hashes(piece["text"])
                 codes = code(shared.value, hashes).astype(kind)
                 ends = np.cumsum(np.bincount(owner, minlength=piece.num_rows))
@@ -173,18 +182,24 @@ def singular_vectors(rows: DataFrame, items: Items, weights: np.ndarray, rank: i
                     held, words = [], 0
             if held:
                 total += _gram_times(held, weights, omega)
-        # The sum of a task travels in slices of rows, which are added apart.
+        # The sum of a task travels in slices of rows, which are added apart: in
+        # lanes of some tasks first, so that no group holds a row of every task.
+        lane = TaskContext.get().partitionId() % LANES
         for start in range(0, size, 256):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([start]), pa.array([total[start : start + 256].ravel()], pa.list_(pa.float64()))], names=["start", "values"]
+                [pa.array([start]), pa.array([lane]), pa.array([total[start : start + 256].ravel()], pa.list_(pa.float64()))], names=["start", "lane", "values"]
             )
 
     def add(table):
-        return pa.table({"start": table["start"][:1], "values": pa.array([np.sum([x.as_py() for x in table["values"]], axis=0)], pa.list_(pa.float64()))})
+        values = table["values"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
+        return pa.table({"start": table["start"][:1], "lane": table["lane"][:1], "values": pa.array([values.sum(axis=0)], pa.list_(pa.float64()))})
 
-    sums = rows.mapInArrow(run, "start long, values array<double>").groupBy("start").applyInArrow(add, "start long, values array<double>")
+    slices = "start long, lane long, values array<double>"
+    sums = rows.mapInArrow(run, slices).groupBy("start", "lane").applyInArrow(add, slices).groupBy("start").applyInArrow(add, slices)
     image = _gram_times([w for c in items.codes for w in _windows(c, 32)], weights, omega).astype(np.float64)
-    for row in sums.collect():
+    added = sums.collect()
+    shared.destroy()
+    for row in added:
         block = np.array(row["values"]).reshape(-1, narrow)
         image[row.start : row.start + len(block)] += block
     # Nystroem: image (omega' image)^-1 image' stands for the whole product.
@@ -323,31 +338,35 @@ class Searcher:
 RESULT = "doc_id long, item_id long, start_word long, end_word long, common long, ratio double, has_answer boolean, similarity double"
 
 
-def leaks(documents: DataFrame, benchmark: DataFrame, candidate: float = CANDIDATE) -> DataFrame:
-    """(doc_id, item_id, start_word, end_word, common, ratio, has_answer, similarity) of every leak."""
-    words = benchmark.select(F.sum(F.length("text")).alias("n")).first().n or 0
-    blocks = max(1, -(-words // (6 * BLOCK_WORDS)))
-    block = F.pmod(F.xxhash64("item_id"), F.lit(blocks))
-    found = [_block_leaks(documents, benchmark.where(block == n) if blocks > 1 else benchmark, candidate) for n in range(blocks)]
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
-
+def leaks(documents: DataFrame, benchmark: DataFrame, candidate: float = CANDIDATE, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(doc_id, item_id, start_word, end_word, common, ratio, has_answer, similarity) of every leak.
 
-def _block_leaks(documents: DataFrame, benchmark: DataFrame, candidate: float) -> DataFrame:
+    Vocabulary, weights and basis are those of the whole benchmark; only the
+    search takes its items in blocks, so candidates do not depend on the blocks.
+    """
     spark, items = documents.sparkSession, items_of(benchmark)
     size = len(items.vocabulary)
     if not size:
         return spark.createDataFrame([], RESULT)
+    small_batches(spark)
     rows = scratch_table(coded(documents, items.vocabulary), "coded")
     seen, total = frequencies(rows, size)
     inverse = np.log((total + 1) / (seen + 1)) + 1e-3
     weights = np.append(inverse, np.median(inverse))
     basis = singular_vectors(rows, items, weights)
     content = np.append(seen <= COMMON * total, False)
-    shared = spark.sparkContext.broadcast(Searcher(items, basis, weights.astype(np.float32), content, candidate))
+    found = []
+    for block in items.blocks(block_words):
+        shared = spark.sparkContext.broadcast(Searcher(block, basis, weights.astype(np.float32), content, candidate))
+        found.append(scratch_table(rows.mapInArrow(_searched(shared, size), RESULT), "leaks"))
+        shared.destroy()
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
 
+def _searched(shared, size: int):
     def run(batches):
         searcher = shared.value
         prepared = searcher.prepared()
@@ -362,7 +381,7 @@ def _block_leaks(documents: DataFrame, benchmark: DataFrame, candidate: float) -
                     yield _table([(ids[kept[d]], searcher.items.ids[i], *rest) for d, i, *rest in found])
                     start, words = k + 1, 0
 
-    return rows.mapInArrow(run, RESULT)
+    return run
 
 
 def _table(rows) -> pa.RecordBatch:

@@ -94,3 +94,26 @@ def test_gram_product_matches_dense():
         dense[k] /= np.sqrt((weights[w] ** 2).sum())
     want = dense[:, :30].T @ (dense[:, :30] @ omega)
     assert np.allclose(D._gram_times(windows, weights, omega), want, atol=1e-4)
+
+
+def _planted(rng, changed):
+    items = [_words(rng, rng.randrange(15, 60)) for _ in range(40)]
+    rows = []
+    for i in range(300):
+        text = _words(rng, rng.randrange(40, 300))
+        if i % 3 == 0:
+            at = rng.randrange(len(text))
+            text[at:at] = [w if rng.random() > changed else f"x{rng.randrange(9999)}" for w in items[i % 40]]
+        rows.append((i, " ".join(text)))
+    return rows, [(k, " ".join(t)) for k, t in enumerate(items)]
+
+
+def test_blocks_and_recall_against_all_windows(spark):
+    """Blocks change nothing, and the cosine cut loses little of what all windows would give."""
+    for changed in (0.1, 0.25):
+        rows, items = _planted(random.Random(5), changed)
+        docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+        one, three = (sorted(map(tuple, D.leaks(docs, bench, block_words=n).collect())) for n in (D.BLOCK_WORDS, 600))
+        assert [r[:7] for r in one] == [r[:7] for r in three] and np.allclose([r[7] for r in one], [r[7] for r in three], atol=1e-4)
+        every = {r[:2] for r in map(tuple, D.leaks(docs, bench, candidate=-2.0).collect())}
+        assert every and len({r[:2] for r in one} & every) >= 0.9 * len(every)
