@@ -81,21 +81,21 @@ def spans_of(text: Column, threshold: float = THRESHOLD) -> Column:
     """All spans of a text that is not null, by kind as listed, then by start."""
 
     def score(kind):
-        return lambda s: F.lit(CHECKED[kind]) + F.when(around(text, s, WIDTH).rlike(CONTEXT[kind]), F.lit(NEAR)).otherwise(F.lit(0.0))
+        return lambda s: F.lit(CHECKED[kind]) + F.when(around(s).rlike(CONTEXT[kind]), F.lit(NEAR)).otherwise(F.lit(0.0))
 
     digit_pair = text.rlike(r"[0-9][\x20-]?[0-9][\x20-]?[0-9][\x20-]?[0-9]")
     base = [
-        scored("email", matches(text, EMAIL, F.contains(text, F.lit("@"))), lambda s: F.lit(True), score("email")),
-        scored("ip", matches(text, IP, text.rlike(r"[0-9]\.[0-9]")), lambda s: _is_ip(s["match"]), score("ip")),
-        scored("card", matches(text, CARD, digit_pair), lambda s: _is_card(s["match"]), score("card")),
+        scored("email", matches(text, EMAIL, F.contains(text, F.lit("@")), WIDTH), lambda s: F.lit(True), score("email")),
+        scored("ip", matches(text, IP, text.rlike(r"[0-9]\.[0-9]"), WIDTH), lambda s: _is_ip(s["match"]), score("ip")),
+        scored("card", matches(text, CARD, digit_pair, WIDTH), lambda s: _is_card(s["match"]), score("card")),
         scored(
-            "phone", matches(text, PHONE, F.contains(text, F.lit("+"))),
+            "phone", matches(text, PHONE, F.contains(text, F.lit("+")), WIDTH),
             lambda s: F.length(_digits(s["match"])).between(9, 15), score("phone"),
         ),
     ]
     added = [
-        scored("iban", matches(text, IBAN, text.rlike("[A-Z]{2}[0-9]{2}[A-Z0-9]{11}")), lambda s: mod97(s["match"]) == 1, score("iban")),
-        scored("ssn", matches(text, SSN, text.rlike("[0-9]{3}-[0-9]{2}-[0-9]{4}")), lambda s: _is_ssn(s["match"]), score("ssn")),
+        scored("iban", matches(text, IBAN, text.rlike("[A-Z]{2}[0-9]{2}[A-Z0-9]{11}"), WIDTH), lambda s: mod97(s["match"]) == 1, score("iban")),
+        scored("ssn", matches(text, SSN, text.rlike("[0-9]{3}-[0-9]{2}-[0-9]{4}"), WIDTH), lambda s: _is_ssn(s["match"]), score("ssn")),
     ]
     return F.concat(*base, *(F.filter(x, lambda s: s["score"] >= threshold) for x in added))
 
