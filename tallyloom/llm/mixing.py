@@ -30,6 +30,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.llm.ordering import numbered, range_sorted, ranked
 from tallyloom.operators.sizing import broadcast_if_small
 from tallyloom.session import scratch_table
 
@@ -152,3 +153,17 @@ def training_order(mixed: DataFrame) -> DataFrame:
     """One row per draw, range-sorted by training position."""
     drawn = mixed.select("doc_id", "source", "size", F.explode("draws").alias("d"))
     return drawn.select("doc_id", "source", "size", "d.*").orderBy("position", "source", "doc_id", "reading")
+
+
+def ranked_documents(mixed: DataFrame) -> DataFrame:
+    """``mix`` with the position of each document's first reading and its rank (from 1) among all readings.
+
+    Readings are range-sorted by position; only one row per sorted part says
+    where its ranks begin. Both are null for a document that is not taken.
+    """
+    rows = numbered(mixed, "mixed")
+    drawn = rows.select("row", "doc_id", "source", F.explode("draws").alias("d")).select("row", "doc_id", "source", "d.reading", "d.position")
+    order = [F.col(c).asc_nulls_first() for c in ("position", "source", "doc_id", "reading", "row")]
+    ranks = ranked(range_sorted(drawn, order, "readings"))
+    first = ranks.groupBy("row").agg(F.min(F.struct((F.col("rank") + 1).alias("rank"), "position")).alias("first"))
+    return rows.join(first, "row", "left").select(*mixed.columns, F.col("first.position").alias("first_position"), F.col("first.rank").alias("training_rank"))

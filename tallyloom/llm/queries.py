@@ -146,8 +146,23 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return predicted.withColumn("held_out", held_out(predicted))
 
 
-OP3_SQL = r"""
-WITH s AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+def _position(used: str, knots) -> str:
+    """SQL of the time at which a weight schedule has used up a share of its integral."""
+    areas = [(t1 - t0) * (w0 + w1) / 2 for (t0, w0), (t1, w1) in zip(knots, knots[1:])]
+    spent, before, branches = f"({used} * {float(sum(areas))!r}e0)", 0.0, []
+    for ((t0, w0), (t1, w1)), area in zip(zip(knots, knots[1:]), areas):
+        rest, slope = f"greatest({spent} - {before!r}e0, 0e0)", (w1 - w0) / (t1 - t0)
+        root = f"sqrt(greatest({w0 * w0!r}e0 + {2 * slope!r}e0 * {rest}, 0e0))"
+        branches.append(f"WHEN {spent} < {before + area!r}e0 THEN {t0!r}e0 + 2e0 * {rest} / ({w0!r}e0 + {root})")
+        before += area
+    return f"CASE {' '.join(branches)} ELSE {float(knots[-1][0])!r}e0 END"
+
+
+_SCHEDULES = {5: ((0.0, 1.5), (0.5, 1.0), (1.0, 0.5)), 2: ((0.0, 1.0), (1.0, 1.0)), 1: ((0.0, 0.5), (0.5, 1.0), (1.0, 1.5))}
+_TIME = "CASE w " + " ".join(f"WHEN {w} THEN {_position('(start / target)', knots)}" for w, knots in _SCHEDULES.items()) + " END"
+
+OP3_SQL = rf"""
+WITH s AS (SELECT row_number() OVER () AS id, doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
 src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
     CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w FROM s GROUP BY source),
 room AS (SELECT *, CAST(sum(source_size) OVER () AS DOUBLE) * 1.5 AS pool,
@@ -155,19 +170,25 @@ room AS (SELECT *, CAST(sum(source_size) OVER () AS DOUBLE) * 1.5 AS pool,
     sum(w) OVER (ORDER BY CAST(source_size AS DOUBLE) / w, coalesce('=' || source, '') ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS sharing
     FROM src WINDOW before AS (ORDER BY CAST(source_size AS DOUBLE) / w, coalesce('=' || source, '') ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 filled AS (SELECT *, w * rest > 2 * source_size * sharing AS is_full FROM room),
-aims AS (SELECT source, source_size, CASE WHEN is_full THEN CAST(2 * source_size AS DOUBLE)
+aims AS (SELECT source, source_size, w, CASE WHEN is_full THEN CAST(2 * source_size AS DOUBLE)
     ELSE (pool - coalesce(sum(2 * source_size) FILTER (is_full) OVER (), 0)) * w / sum(w) FILTER (NOT is_full) OVER () END AS target FROM filled),
-placed AS (SELECT s.doc_id, s.size, a.source_size, a.target, CAST(floor(a.target + 0.5) AS BIGINT) AS goal,
+placed AS (SELECT s.id, s.doc_id, s.source, s.size, a.source_size, a.w, a.target, CAST(floor(a.target + 0.5) AS BIGINT) AS goal,
     CAST(sum(s.size) OVER (PARTITION BY s.source ORDER BY md5(CAST(s.doc_id AS VARCHAR)), s.doc_id, s.size ROWS UNBOUNDED PRECEDING) AS BIGINT) - s.size AS first
-    FROM s JOIN aims a ON s.source IS NOT DISTINCT FROM a.source)
-SELECT doc_id, size, source_size, target, CAST(greatest(least(goal - first, size), 0) + greatest(least(goal - first - source_size, size), 0) AS BIGINT) AS taken
-FROM placed
+    FROM s JOIN aims a ON s.source IS NOT DISTINCT FROM a.source),
+readings AS (SELECT *, CAST(first + reading * source_size AS DOUBLE) AS start, greatest(least(goal - first - reading * source_size, size), 0) AS take
+    FROM placed, (VALUES (0), (1)) AS r(reading)),
+timed AS (SELECT *, {_TIME} AS position FROM readings WHERE take > 0),
+ordered AS (SELECT *, row_number() OVER (ORDER BY position, source NULLS FIRST, doc_id NULLS FIRST, reading) AS rank FROM timed),
+begun AS (SELECT id, min(rank) AS training_rank, arg_min(position, rank) AS first_position FROM ordered GROUP BY id)
+SELECT doc_id, size, source_size, target, CAST(greatest(least(goal - first, size), 0) + greatest(least(goal - first - source_size, size), 0) AS BIGINT) AS taken,
+    first_position, training_rank FROM placed LEFT JOIN begun USING (id)
 """
 
 
 @query("op3_mixing", OP3_SQL)
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    mixed = mixing.ranked_documents(mixing.mix(table(spark, folder, "documents")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "first_position", "training_rank")
 
 
 @query("op5_quality")
