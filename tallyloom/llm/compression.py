@@ -24,13 +24,13 @@ LEVEL = 3
 class SampleBound:
     """The bounded sample that dictionaries are made of.
 
-    Of each label at most ``rows`` rows, of each of these at most
-    ``characters`` characters, together at most ``bytes`` bytes.
+    Of each label at most ``rows`` rows, each of them whole; only texts of at
+    most ``characters`` characters are taken into a dictionary, so that one
+    text cannot fill it.
     """
 
-    rows: int = 600
-    characters: int = 800
-    bytes: int = 262144
+    rows: int
+    characters: int = 4000
 
 
 # Rows of a label that pass the first, hashed cut of a sample, for each that is kept.
@@ -66,10 +66,9 @@ def with_texts(documents: DataFrame, sample: DataFrame) -> DataFrame:
     return documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
 
 
-def dictionary_bytes(texts: Sequence[str], bound: SampleBound) -> bytes:
-    """Raw content of one dictionary; what comes last is found cheapest."""
-    raw = "\n".join(t[: bound.characters] for t in texts).encode("utf-8", "surrogatepass")
-    return raw[: bound.bytes]
+def dictionary_bytes(texts: Sequence[str]) -> bytes:
+    """Raw content of one dictionary, of whole texts; what comes last is found cheapest."""
+    return "\n".join(texts).encode("utf-8", "surrogatepass")
 
 
 class Sizer:

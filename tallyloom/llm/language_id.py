@@ -1,7 +1,7 @@
 """Language of a text by compression: the dictionary that fits best wins.
 
 Each language has a dictionary of raw text from a bounded sample of labelled
-rows (``SampleBound``). A text is compressed under each; the smallest total
+rows (``BOUND``: whole texts of at most 4,000 characters). A text is compressed under each; the smallest total
 names the language. Texts and dictionaries are reduced to lower-case letters
 with single spaces first, so that capitals, digits and punctuation do not hide
 the words. The margin to the second smallest total gives the score, and a
@@ -11,7 +11,7 @@ Defined results: a text that is null or has no letter is ``und`` with score 0;
 ties (very short texts) go to the language with more labelled rows, then to the
 one that sorts first; with one language learned every text with a letter has
 it; with none every text is ``und``; repeated rows are answered each; an empty
-table gives no rows.
+table gives no rows. A row without an id is answered like any other.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm.compression import SampleBound, Sizer, bounded_sample, dictionary_bytes, texts_of
 
 UNKNOWN = "und"
-BOUND = SampleBound(rows=300, characters=800, bytes=65536)
+BOUND = SampleBound(rows=60)
 LEVEL = 6
 NO_LETTER = re.compile(r"[\W\d_]+")
 # Share of the best size by which the second must be larger.
@@ -42,16 +42,21 @@ def learn(rows: DataFrame, bound: SampleBound = BOUND) -> dict[str, bytes]:
 
     What comes to the driver is bounded by the number of languages.
     """
-    labelled = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
-        "lang", F.substring("text", 1, bound.characters).alias("text"), F.xxhash64("doc_id").alias("order")
-    )
+    usable = F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
+    labelled = rows.where(usable).select("lang", "text", F.xxhash64("doc_id").alias("order"))
+    # A language that has only longer texts is learned from those.
+    short = F.length("text") <= bound.characters
+    lengths = labelled.groupBy("lang").agg(F.count(F.when(short, 1)).alias("short"), F.count(F.lit(1)).alias("count"))
     sample: dict[str, list] = {}
-    often = {row.lang: row["count"] for row in labelled.groupBy("lang").count().collect()}
-    counts = rows.sparkSession.createDataFrame(sorted(often.items()), "lang string, count long")
+    counted = {row.lang: (row["count"], row.short) for row in lengths.collect()}
+    often = {lang: n for lang, (n, _) in counted.items()}
+    counts = rows.sparkSession.createDataFrame(sorted((lang, few or n) for lang, (n, few) in counted.items()), "lang string, count long")
+    only_long = [lang for lang, (_, few) in counted.items() if not few]
+    labelled = labelled.where(short | F.col("lang").isin(only_long))
     for row in bounded_sample(labelled, "lang", F.col("order"), bound, counts).select("lang", "place", "text").collect():
         sample.setdefault(row.lang, []).append((row.place, row.text))
     order = sorted(sample, key=lambda lang: (-often[lang], lang))
-    return {lang: dictionary_bytes([letters(t) for _, t in sorted(sample[lang])], bound) for lang in order}
+    return {lang: dictionary_bytes([letters(t) for _, t in sorted(sample[lang])]) for lang in order}
 
 
 def predict(documents: DataFrame, model: dict[str, bytes], min_margin: float = MIN_MARGIN) -> DataFrame:
@@ -82,5 +87,5 @@ def predict(documents: DataFrame, model: dict[str, bytes], min_margin: float = M
 
 
 def held_out(documents: DataFrame, share: int = 5, rest: int = 0):
-    """True where the checksum of the id, as text, leaves ``rest``."""
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(share)) == rest
+    """True where the checksum of the id, as text, leaves ``rest``; a row without an id is not held out."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(share)) == rest, F.lit(False))

@@ -3,8 +3,9 @@
 Two dictionaries are made of a bounded sample of labelled rows. The difference
 of the compressed sizes, divided by the size without a dictionary, is the main
 feature; how far a text compresses at all (repeats) and its length go with it.
-A logistic model, fitted on other rows of the bounded sample, turns them into a
-calibrated score.
+A logistic model, fitted on the other rows of the bounded sample, turns them into
+a calibrated score. Every sampled row is in a dictionary or in the calibration,
+whole; only the features of the latter come to the driver.
 
 Defined results: a null text counts as empty; empty texts get the score of
 zero features, which is the share of good rows in the sample; without labelled
@@ -30,11 +31,11 @@ from tallyloom.llm.compression import (
     logistic,
     texts_of,
 )
+from tallyloom.session import scratch_table
 
-DICTIONARY = SampleBound(rows=600, characters=800, bytes=262144)
+DICTIONARY = SampleBound(rows=160)
 # Rows of each label that calibrate the score; none of them is in a dictionary.
 CALIBRATION_ROWS = 1500
-CALIBRATION_CHARACTERS = 8000
 
 
 @dataclass(frozen=True)
@@ -65,25 +66,20 @@ def learn(rows: DataFrame, label: str = "quality", bound: SampleBound = DICTIONA
     were sampled by label already.
     """
     labelled = rows.where(F.col(label).isin(0, 1) & (F.length("text") > 0)).select(
-        F.col(label).cast("int").alias("label"),
-        F.substring("text", 1, CALIBRATION_CHARACTERS).alias("text"),
-        F.xxhash64("doc_id").alias("order"),
+        F.col(label).cast("int").alias("label"), "text", F.xxhash64("doc_id").alias("order")
     )
     wanted = SampleBound(rows=sample_rows(bound))
-    sample = bounded_sample(labelled, "label", F.col("order"), wanted, labelled.groupBy("label").count())
-    # The dictionary takes every second row until it is full.
-    found = sorted(tuple(r) for r in sample.select("label", "place", "text").collect())
-    if not found:
+    sample = scratch_table(bounded_sample(labelled, "label", F.col("order"), wanted, labelled.groupBy("label").count()), "sample")
+    # The dictionary takes every second row until it is full, but for very long ones.
+    in_dictionary = (F.col("place") % 2 == 0) & (F.col("place") <= 2 * bound.rows) & (F.length("text") <= bound.characters)
+    held = sorted(tuple(r) for r in sample.where(in_dictionary).select("label", "place", "text").collect())
+    if sample.isEmpty():
         return Model(b"", b"", None, 0.5)
-    in_dictionary = lambda place: place % 2 == 0 and place <= 2 * bound.rows
-    parts = [dictionary_bytes([t for y, p, t in found if y == label_ and in_dictionary(p)], bound) for label_ in (1, 0)]
-    sizer = Sizer([*parts, None])
-    rest = [(y, t) for y, p, t in found if not in_dictionary(p)]
+    parts = [dictionary_bytes([t for y, _, t in held if y == label_]) for label_ in (1, 0)]
     # The sample is bounded for each label, so the share of labels comes from all rows.
     if share is None:
         share = labelled.agg(F.avg("label")).first()[0]
-    x = np.array([features(sizer, t) for _, t in rest])
-    y = np.array([y for y, _ in rest])
+    x, y = calibration(sample.where(~in_dictionary), parts)
     if len(set(y)) < 2:
         return Model(*parts, None, share)
     means, scales, weights = fit_logistic(x, y)
@@ -93,6 +89,22 @@ def learn(rows: DataFrame, label: str = "quality", bound: SampleBound = DICTIONA
     return Model(*parts, (means, scales, weights), share)
 
 
+def calibration(rows: DataFrame, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(features, labels) of rows (label, text) under the dictionaries, in a fixed order."""
+
+    def run(batches):
+        sizer = Sizer([*parts, None])
+        for batch in batches:
+            found = [features(sizer, text) for text in texts_of(batch["text"])]
+            yield pa.RecordBatch.from_arrays(
+                [batch["label"], batch["place"], pa.array(found, pa.list_(pa.float64()))], names=["label", "place", "x"]
+            )
+
+    found = rows.select("label", "place", "text").mapInArrow(run, "label int, place int, x array<double>").collect()
+    found = sorted((r.label, r.place, r.x) for r in found)
+    return np.array([x for _, _, x in found]), np.array([y for y, _, _ in found])
+
+
 class Scorer:
     """Scores of the texts of an Arrow column."""
 

@@ -60,9 +60,8 @@ REACH = 3
 BEYOND = 6
 
 STEMS = range(5, 9)
-LABELLED = SampleBound(rows=4000, characters=20000)
+LABELLED = SampleBound(rows=4000)
 MIN_ROWS = 5
-LEXICON_SIZE = 4000
 
 
 @dataclass(frozen=True)
@@ -276,20 +275,19 @@ def learn(rows: DataFrame, label: str = "toxic", bound: SampleBound = LABELLED)
     """Fit on rows (doc_id, text, label): two thirds give words, the rest the curve."""
     labelled = rows.where(F.col(label).isin(0, 1) & F.col("text").isNotNull()).select(
         F.col(label).cast("int").alias("label"),
-        F.substring("text", 1, bound.characters).alias("text"),
+        "text",
         F.xxhash64("doc_id").alias("order"),
     )
     sample = bounded_sample(labelled, "label", F.col("order"), bound, labelled.groupBy("label").count()).persist()
     part = {y: sample.where((F.col("label") == y) & (F.col("place") % 3 > 0)) for y in (0, 1)}
     toxic_rows, clean_rows = part[1].count(), part[0].count()
-    often = _count(part[1], None).where(F.col("rows") >= MIN_ROWS).orderBy(F.desc("rows"), "unit").limit(50 * LEXICON_SIZE)
+    # Each of these units is in MIN_ROWS of the sampled rows at least, which bounds their number.
+    often = _count(part[1], None).where(F.col("rows") >= MIN_ROWS)
     toxic = {r.unit: r["rows"] for r in often.collect()}
     clean = {r.unit: r["rows"] for r in _count(part[0], frozenset(toxic)).collect()}
     taken = suspects(toxic, clean, toxic_rows, clean_rows)
     varied = {r.unit: r.contexts for r in _contexts(part[1], frozenset(taken)).collect()}
     words, stems = lexicon({unit: weight for unit, weight in taken.items() if varied.get(unit, 0) >= MIN_ROWS})
-    words = dict(sorted(words.items(), key=lambda x: (-x[1], x[0]))[:LEXICON_SIZE])
-    stems = dict(sorted(stems.items(), key=lambda x: (-x[1], x[0]))[:LEXICON_SIZE])
     bare = Model(words, stems, None)
     pairs = weigh(sample.where(F.col("place") % 3 == 0).select("text", F.col("label").cast("long").alias("doc_id")), bare).collect()
     sample.unpersist()
