@@ -16,6 +16,8 @@ gives no rows; other columns of the input are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,6 +32,17 @@ IGNORED = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 KEYS_PER_BUCKET = 1 << 14
 
 
+def apart(columns: Sequence[str], *names: str) -> list[str]:
+    """The names, lengthened until none is among the columns."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def normalised(text: Column) -> Column:
     """The text without the ignored characters; null gives an empty text."""
     out = F.coalesce(text, F.lit(""))
@@ -50,7 +63,7 @@ def digests(documents: DataFrame, id_column: str = "doc_id", text_column: str =
 
 def _rank() -> Column:
     """Greatest for the row that stays: one with an id, the longest, the smallest id."""
-    return F.struct(F.col("doc_id").isNotNull().alias("named"), "n_points", (-F.col("doc_id")).alias("order"), "doc_id")
+    return F.struct(F.col("doc_id").isNotNull().alias("named"), "n_points", F.bitwise_not(F.col("doc_id").cast("long")).alias("order"), "doc_id")
 
 
 def groups(rows: DataFrame) -> DataFrame:
@@ -308,17 +321,18 @@ def kept_documents(documents: DataFrame) -> DataFrame:
 
     A row is decided by its id, null or not, and the digest of its text.
     """
-    found = in_two_batches(documents).where("group_size > 1").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "kept")
+    row_id, sha, digest, longest_ = apart(documents.columns, "_id", "_sha", "_digest", "_longest")
+    found = in_two_batches(documents).where("group_size > 1").select(F.col("doc_id").alias(row_id), F.col("text_sha256").alias(sha), "kept")
     found = scratch_table(found, "decided")
-    dropped = found.where("NOT kept").select("_id", "_sha").distinct()
-    repeated = found.where("kept").groupBy("_id", "_sha").count().where("count > 1").select("_id", "_sha")
+    dropped = found.where("NOT kept").select(row_id, sha).distinct()
+    repeated = found.where("kept").groupBy(row_id, sha).count().where("count > 1").select(row_id, sha)
     repeated = scratch_table(repeated, "repeated")
-    keyed = documents.withColumn("_digest", F.sha2(normalised(F.col("text")).cast("binary"), 256))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_sha"))
+    keyed = documents.withColumn(digest, F.sha2(normalised(F.col("text")).cast("binary"), 256))
+    same = F.col("doc_id").eqNullSafe(F.col(row_id)) & (F.col(digest) == F.col(sha))
     rest = keyed.join(broadcast_if_small(dropped), same, "left_anti")
     length = F.coalesce(F.length("text"), F.lit(0))
     again = rest.join(broadcast_if_small(repeated), same)
-    longest = again.groupBy("_id", "_sha").agg(F.max(length).alias("_longest"))
-    once = rest.join(longest, same).where(length == F.col("_longest")).dropDuplicates(["doc_id", "_digest"])
+    longest = again.groupBy(row_id, sha).agg(F.max(length).alias(longest_))
+    once = rest.join(longest, same).where(length == F.col(longest_)).dropDuplicates(["doc_id", digest])
     whole = rest.join(broadcast_if_small(repeated), same, "left_anti")
     return whole.select(*documents.columns).unionByName(once.select(*documents.columns))
