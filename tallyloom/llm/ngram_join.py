@@ -29,9 +29,10 @@ with frequencies counted over components. So no link between different
 components is lost, and copies are never expanded into all pairs.
 
 Defined results: null and empty texts have no shingles and are linked with
-nothing; a row without an id is reported with no shingles and a null component;
-rows that share an id are one node with the links of all of them and the size
-of the largest; an empty table gives no rows; other columns are ignored.
+nothing; a row without an id is linked with nothing and reported with a null
+component; rows that share an id are one node with the links of all of them,
+each reported with the size of its own set; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -581,11 +582,26 @@ def links(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return every, components(every), sizes
 
 
+def _own_sizes(batches):
+    for batch in batches:
+        for piece in pieces(batch, limit=PACKED_CHARACTERS):
+            _, sizes = shingle_sets(piece["text"])
+            yield pa.RecordBatch.from_arrays([piece["doc_id"], pa.array(sizes, pa.int64())], names=["doc_id", "n_shingles"])
+
+
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     _, labels, sizes = links(documents.where(F.col("doc_id").isNotNull()))
     about = scratch_table(sizes.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left"), "about")
-    return documents.select("doc_id").join(broadcast_if_small(about), "doc_id", "left").select(
+    found = documents.select("doc_id").join(broadcast_if_small(about), "doc_id", "left").select(
         "doc_id", F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
+    # Where an id does not tell a row, the size of its own set is counted anew.
+    unclear = scratch_table(documents.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("id")), "unclear")
+    if unclear.isEmpty():
+        return found
+    same = F.col("doc_id").eqNullSafe(F.col("id"))
+    own = documents.join(broadcast_if_small(unclear), same, "left_semi").mapInArrow(_own_sizes, "doc_id long, n_shingles long")
+    own = own.join(broadcast_if_small(about.select("doc_id", "component")), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    return found.join(broadcast_if_small(unclear), same, "left_anti").unionByName(own)

@@ -68,7 +68,7 @@ def shingle_sets(texts: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndarra
     for j in range(width):
         # Words beyond the end count as 0, which only short texts keep.
         shifted = np.zeros(len(hashes), dtype=np.uint64)
-        shifted[: len(hashes) - j] = hashes[j:] if j else hashes
+        shifted[: max(0, len(hashes) - j)] = hashes[j:]
         rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + np.where(left > j, mix64(shifted + np.uint64(j + 1)), np.uint64(0))
     keep = (left >= width) | ((place == 0) & (counts[owner] < width))
     rolled, owner = mix64(rolled[keep]), owner[keep]

@@ -1,7 +1,7 @@
 """Null ids and ids with several texts in exact duplicates and the pipeline."""
 
 import corpus_pipeline
-from tallyloom.llm import exact_dedup
+from tallyloom.llm import exact_dedup, ngram_join
 
 FOLDER = "/root/testdata/sf0.001"
 PROSE = " ".join(f"word{k}" for k in range(60))
@@ -40,3 +40,21 @@ def test_stages_drop_rows_by_id_and_text(spark):
     assert near == {(1, PROSE), (2, OTHER), (3, SHORT), (3, leak)}
     clean = {tuple(r) for r in corpus_pipeline.decontaminate(spark, df, FOLDER).collect()}
     assert {tuple(r) for r in df.collect()} - clean == {(3, leak)}
+
+
+def test_smallest_id_and_clashing_columns(spark):
+    low = -(2**63)
+    df = spark.createDataFrame([(low, "a b", 1, 2, 3, 4), (5, "ab", 1, 2, 3, 4), (5, "ab", 1, 2, 3, 4), (6, "c", 1, 2, 3, 4)], "doc_id long, text string, _id int, _sha int, _key int, _DIGEST int")
+    got = {(r.doc_id, r.keep_id, r.kept) for r in exact_dedup.in_two_batches(df).collect()}
+    assert got == {(low, low, True), (5, low, False), (6, 6, True)}
+    kept = exact_dedup.kept_documents(df)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [low, 6]
+    rows = spark.createDataFrame([(1, PROSE, 7), (1, f"{PROSE} more", 7), (2, OTHER, 7)], "doc_id long, text string, _key int")
+    near = corpus_pipeline.near_duplicates(spark, rows, FOLDER)
+    assert near.columns == rows.columns and {tuple(r) for r in near.collect()} == {(2, OTHER, 7), (1, PROSE, 7)} or {tuple(r) for r in near.collect()} == {(2, OTHER, 7), (1, f"{PROSE} more", 7)}
+
+
+def test_sets_of_rows_that_share_an_id(spark):
+    df = _table(spark, [(1, PROSE), (1, SHORT), (None, OTHER), (None, None), (2, f"{PROSE} more"), (3, "one two")])
+    got = sorted((tuple(r) for r in ngram_join.near_duplicates(df).collect()), key=str)
+    assert got == sorted([(1, 56, 1), (1, 16, 1), (None, 16, None), (None, 0, None), (2, 57, 1), (3, 1, 3)], key=str)
