@@ -25,6 +25,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,8 +44,8 @@ ANSWER_WORDS, ANSWER_SHARE = 5, 0.8
 COMMON = 0.2
 # Words of the benchmark that are searched for at a time.
 BLOCK_WORDS = 2_000_000
-# Characters that are coded together, and sums of tasks that are added before the rest.
-CODED_CHARACTERS, LANES = 500_000, 64
+# Sums of so many lanes of tasks are added apart before the rest.
+LANES = 64
 
 
 @dataclass(frozen=True)
@@ -54,6 +56,7 @@ class Items:
     vocabulary: np.ndarray
     codes: list
     answers: list
+    words: pa.Array | None = None
 
     def blocks(self, words: int) -> list["Items"]:
         """The items in blocks of about so many words each, in their order."""
@@ -73,7 +76,7 @@ def items_of(benchmark: DataFrame) -> Items:
     for row, own in zip(rows, split):
         given = getattr(row, "answer", None)
         answers.append(own[-ANSWER_WORDS:] if not given else code(vocabulary, word_hashes(pa.array([given]))[0]))
-    return Items([r.item_id for r in rows], vocabulary, split, answers)
+    return Items([r.item_id for r in rows], vocabulary, split, answers, words_of([r.text for r in rows], vocabulary))
 
 
 def code(vocabulary: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -88,18 +91,36 @@ def width(words: int) -> int:
     return int(np.clip(2 ** round(np.log2(max(words, 1))), SMALLEST, LARGEST))
 
 
-def coded(documents: DataFrame, vocabulary: np.ndarray) -> DataFrame:
+def words_of(benchmark: list[str], vocabulary: np.ndarray) -> pa.Array:
+    """The words behind the hashes of a vocabulary, in its order."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(benchmark, pa.string()))).flatten().unique().to_pylist()
+    named = {xxhash.xxh3_64_intdigest(w): w for w in split if w}
+    return pa.array([named[h] for h in vocabulary.tolist()], pa.string())
+
+
+def word_codes(texts: pa.Array, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(place of every word among ``words``, their number for others; text each word is of)."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    owner = pc.list_parent_indices(split).to_numpy(zero_copy_only=False)
+    found = split.flatten().dictionary_encode()
+    place = pc.fill_null(pc.index_in(found.dictionary, value_set=words), len(words)).to_numpy(zero_copy_only=False)
+    blank = pc.equal(found.dictionary, "").to_numpy(zero_copy_only=False)
+    indices = found.indices.to_numpy(zero_copy_only=False)
+    keep = ~blank[indices] if len(blank) else np.zeros(0, dtype=bool)
+    return place[indices[keep]] if len(blank) else np.zeros(0, np.int64), owner[keep].astype(np.int64)
+
+
+def coded(documents: DataFrame, words: pa.Array) -> DataFrame:
     """(doc_id, codes) of every document that has a word, codes packed."""
-    kind = np.uint16 if len(vocabulary) < 65535 else np.uint32
-    shared = documents.sparkSession.sparkContext.broadcast(vocabulary)
+    kind = np.uint16 if len(words) < 65535 else np.uint32
+    shared = documents.sparkSession.sparkContext.broadcast(words)
 
     def run(batches):
         for batch in batches:
-            for piece in pieces(batch, limit=CODED_CHARACTERS):
-                hashes, owner = word_hashes(piece["text"])
-                codes = code(shared.value, hashes).astype(kind)
+            for piece in pieces(batch):
+                codes, owner = word_codes(piece["text"], shared.value)
                 ends = np.cumsum(np.bincount(owner, minlength=piece.num_rows))
-                packed = [c.tobytes() for c in np.split(codes, ends[:-1])] if piece.num_rows else []
+                packed = [c.tobytes() for c in np.split(codes.astype(kind), ends[:-1])] if piece.num_rows else []
                 yield pa.RecordBatch.from_arrays([piece["doc_id"], pa.array(packed, pa.binary())], names=["doc_id", "codes"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -349,7 +370,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, candidate: float = CANDIDA
     if not size:
         return spark.createDataFrame([], RESULT)
     small_batches(spark)
-    rows = scratch_table(coded(documents, items.vocabulary), "coded")
+    rows = scratch_table(coded(documents, items.words), "coded")
     seen, total = frequencies(rows, size)
     inverse = np.log((total + 1) / (seen + 1)) + 1e-3
     weights = np.append(inverse, np.median(inverse))
