@@ -29,8 +29,10 @@ empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -50,32 +52,66 @@ CAPACITY = 2048
 END = 0
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 # Characters coded together, and words kept from batch to batch.
-CODED, CACHED_WORDS = 500_000, 200_000
+CODED, CACHED_WORDS = 1_500_000, 200_000
 LONGEST_CACHED = 64
+# New words are coded in groups, between marks that no word holds.
+GROUPED, MARK = 512, "\x01"
+CLOSING = ".,;:!?"
 
 
 # --- tokens ---------------------------------------------------------------------
 
 
+def parted(word: str) -> tuple[str, str]:
+    """A word without white space as two parts that are coded apart, the second one often empty.
+
+    Letters and punctuation never share a token and case does not matter, so
+    words that differ in capitals or in a closing mark are coded once. Only
+    plain ASCII is treated so.
+    """
+    if not word.isascii() or "<|" in word or MARK in word:
+        return word, ""
+    word = word.lower()
+    stem = word.rstrip(CLOSING)
+    return (stem, word[len(stem) :]) if stem and stem[-1].isalpha() else (word, "")
+
+
 @dataclass
 class Coder:
-    """Token ids of many texts; words between white space are coded once."""
+    """Token ids of many texts, packed; words between white space are coded once."""
 
     tokenizer: Tokenizer
-    known: dict[str, np.ndarray]
-
-    @staticmethod
-    def load(vocabulary: str) -> "Coder":
-        return Coder(Tokenizer.from_str(vocabulary), {})
-
-    def _ids(self, words: list[str]) -> list[np.ndarray]:
-        fresh = [w for w in words if w not in self.known]
-        coded = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        new = {w: np.array(e.ids, dtype=np.uint32) for w, e in zip(fresh, coded)}
-        out = [self.known[w] if w in self.known else new[w] for w in words]
-        if len(self.known) + len(new) > CACHED_WORDS:
+    known: dict[str, bytes]
+
+    def _encoded(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of new words: in groups between marks, which white space parts from them."""
+        [mark] = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        out: dict[str, bytes] = {}
+        odd = [w for w in words if MARK in w or "<|" in w]
+        plain = [w for w in words if not (MARK in w or "<|" in w)]
+        for start in range(0, len(plain), GROUPED):
+            group = plain[start : start + GROUPED]
+            ids = np.array(self.tokenizer.encode(f" {MARK} ".join(group), add_special_tokens=False).ids, dtype="<u4")
+            at = np.flatnonzero(ids == mark).tolist()
+            if len(at) != len(group) - 1:
+                odd += group
+                continue
+            raw = ids.tobytes()
+            out.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(group, [0, *(k + 1 for k in at)], [*at, len(ids)]))
+        for w in odd:
+            out[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return out
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        parts = [parted(w) for w in words]
+        fresh = self._encoded(list({w for both in parts for w in both if w not in self.known}))
+        self.known.update(fresh)
+        out = [self.known[a] + self.known[b] for a, b in parts]
+        if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        self.known.update((w, ids) for w, ids in new.items() if len(w) <= LONGEST_CACHED)
+        elif any(len(w) > LONGEST_CACHED for w in fresh):
+            for w in [w for w in fresh if len(w) > LONGEST_CACHED]:
+                del self.known[w]
         return out
 
     def code(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -85,16 +121,22 @@ class Coder:
         coded = split.flatten().dictionary_encode()
         ids = self._ids(coded.dictionary.to_pylist())
         # One more word per text, after its own: the end mark.
-        ids.append(np.array([END], dtype=np.uint32))
+        ids.append(np.array([END], dtype="<u4").tobytes())
         codes = np.concatenate([coded.indices.to_numpy(zero_copy_only=False), np.full(len(texts), len(ids) - 1, dtype=np.int32)])
         owner = np.concatenate([owner, np.arange(len(texts))])
         order = np.argsort(owner, kind="stable")
         codes, owner = codes[order], owner[order]
-        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
         begins = np.cumsum(lengths) - lengths
         taken = lengths[codes]
         at = np.repeat(begins[codes] - (np.cumsum(taken) - taken), taken) + np.arange(taken.sum())
-        return np.concatenate(ids)[at], np.bincount(owner, weights=taken, minlength=len(texts)).astype(np.int64)
+        return np.frombuffer(b"".join(ids), dtype="<u4")[at], np.bincount(owner, weights=taken, minlength=len(texts)).astype(np.int64)
+
+
+@lru_cache(maxsize=1)
+def coder_of(vocabulary: str) -> Coder:
+    """The coder of a worker, kept from task to task."""
+    return Coder(Tokenizer.from_str(vocabulary), {})
 
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -102,18 +144,19 @@ PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 def _cut(vocabulary, capacity: int, with_ids: bool):
     def run(batches) -> Iterator[pa.RecordBatch]:
-        coder = Coder.load(vocabulary.value)
+        # Tasks run beside each other already.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        coder = coder_of(vocabulary.value)
         for batch in batches:
             for part in slices(batch, limit=CODED):
                 ids, sizes = coder.code(part["text"])
-                raw = ids.astype("<u4")
                 count = -(-sizes // capacity)
                 row = np.repeat(np.arange(len(sizes)), count)
                 piece = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
                 start = piece * capacity
                 length = np.minimum(sizes[row] - start, capacity)
                 first = (np.cumsum(sizes) - sizes)[row] + start
-                held = [raw[a : a + n] for a, n in zip(first.tolist(), length.tolist())]
+                held = [ids[a : a + n] for a, n in zip(first.tolist(), length.tolist())]
                 columns = [
                     part["doc_id"].take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length),
                     pa.array([crc32(h.tobytes()) for h in held], pa.int64()),
