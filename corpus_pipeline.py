@@ -32,9 +32,10 @@ def _ids_tell(docs: DataFrame) -> bool:
     return not docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").head(1)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """Rows with a key of id and text, for tables whose ids do not tell rows apart."""
-    return docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """Rows with a key of id and text, for tables whose ids do not tell rows apart, and the key's name."""
+    [key] = exact_dedup.apart(docs.columns, "_key")
+    return docs.withColumn(key, F.xxhash64("doc_id", "text")), key
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,22 +54,22 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if _ids_tell(docs):
         return _without(docs, ngram_join.near_duplicates(docs).where("component_id <> doc_id")).select(*docs.columns)
-    keyed = _keyed(docs)
-    found = ngram_join.near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"))
-    members = found.select(F.col("doc_id").alias("_key"), "component_id").distinct().join(keyed.select("_key", "doc_id").distinct(), "_key")
+    keyed, key = _keyed(docs)
+    found = ngram_join.near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"))
+    members = found.select(F.col("doc_id").alias(key), "component_id").distinct().join(keyed.select(key, "doc_id").distinct(), key)
     members = scratch_table(members, "members")
     # Rows without an id give way to those with one.
-    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_key"))["_key"].alias("first"))
-    return _without(keyed, members.join(first, "component_id").where("_key <> first"), "_key").select(*docs.columns)
+    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", key))[key].alias("first"))
+    return _without(keyed, members.join(first, "component_id").where(F.col(key) != F.col("first")), key).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     benchmark = table(spark, sf_dir, "benchmark")
     if _ids_tell(docs):
         return _without(docs, decontamination.leaks(docs, benchmark)).select(*docs.columns)
-    keyed = _keyed(docs)
-    found = decontamination.leaks(keyed.select(F.col("_key").alias("doc_id"), "text"), benchmark)
-    return _without(keyed, found.select(F.col("doc_id").alias("_key")), "_key").select(*docs.columns)
+    keyed, key = _keyed(docs)
+    found = decontamination.leaks(keyed.select(F.col(key).alias("doc_id"), "text"), benchmark)
+    return _without(keyed, found.select(F.col("doc_id").alias(key)), key).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
