@@ -26,12 +26,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.shingles import pieces, small_batches, word_hashes
+from tallyloom.llm.shingles import hashes_of, pieces, small_batches, word_hashes
 from tallyloom.session import scratch_table
 
 RANK, EXTRA = 64, 16
@@ -93,8 +92,8 @@ def width(words: int) -> int:
 
 def words_of(benchmark: list[str], vocabulary: np.ndarray) -> pa.Array:
     """The words behind the hashes of a vocabulary, in its order."""
-    split = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(benchmark, pa.string()))).flatten().unique().to_pylist()
-    named = {xxhash.xxh3_64_intdigest(w): w for w in split if w}
+    words = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(benchmark, pa.string()))).flatten().unique()
+    named = dict(zip(hashes_of(words).tolist(), words.to_pylist()))
     return pa.array([named[h] for h in vocabulary.tolist()], pa.string())
 
 

@@ -3,11 +3,13 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from tallyloom.llm import ngram_join
 from tallyloom.llm.components import components
 from tallyloom.llm.queries import QUERIES
+from tallyloom.llm.shingles import hashes_of
 
 FOLDER = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -144,3 +146,15 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert {got[i] for i in range(101)} == {0} and {got[i] for i in range(500, 700)} == {500} and got[902] == got[900] == 900
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_word_hashes_tell_words_apart():
+    """Words of every length, also sliced arrays and ones that differ in one byte or in length only."""
+    rng = random.Random(8)
+    words = {"".join(rng.choices("abcé日", k=n)) for n in list(range(1, 40)) * 20} | {"x" * n for n in range(400)} | {"\0", "\0\0", "a\0", "é" * 200, "ab" * 300}
+    listed = sorted(words)
+    for kind in (pa.string(), pa.large_string()):
+        got = hashes_of(pa.array(listed, kind))
+        assert len(set(got.tolist())) == len(listed)
+        assert (hashes_of(pa.array(listed, kind).slice(7, 50)) == got[7:57]).all()
+    assert len(hashes_of(pa.array([], pa.string()))) == 0
