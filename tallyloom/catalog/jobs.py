@@ -25,7 +25,8 @@ from tallyloom.plans.inflow import INFLOW_COLUMNS
 from tallyloom.plans.mitigants import MITIGANT_COLUMNS, add_mitigant_amounts, totals_for_all
 from tallyloom.plans.staging import for_all_regulators, stage_exposures, stage_sub_exposures, sub_exposure_rows
 from tallyloom.session import scratch_path
-from tallyloom.sources.sinks import load_return, write_layer
+from tallyloom.plans.contracts import CONTRACTS
+from tallyloom.sources.sinks import AuditLog, merge_layer, publish_return, published_return, write_layer, write_partitioned
 
 DEAL = ("year_month", "reporting_regulator_code", "deal_id")
 
@@ -39,8 +40,13 @@ class Job(JobInputs):
     go when the session ends.
     """
 
+    def audit(self) -> AuditLog:
+        return self.layer("_audit", lambda: AuditLog(self.spark, scratch_path(self.spark, "audit"), str(RUN_MONTH)))
+
     def written(self, name: str, df: DataFrame) -> DataFrame:
-        return write_layer(df, scratch_path(self.spark, name), ["year_month", "reporting_regulator_code"])
+        """A layer that keeps its contract, with its row count in the audit log."""
+        path = scratch_path(self.spark, name)
+        return write_layer(df, path, ["year_month", "reporting_regulator_code"], CONTRACTS[name], self.audit(), name)
 
     def staging_plan(self):
         return stage_exposures(self, RUN_DATE, facts=self["facts"])
@@ -103,16 +109,27 @@ def job_of(spark, folder: str) -> Job:
     return _JOBS[key][1]
 
 
-STAGED = (
-    *DEAL, "flow_type", "sys_code", "basel_data_flag", "citizens_override_flag", "ead_post_crm_amt", "b2_app_rwa_post_crm_amt",
-    "b2_std_netted_coll_gbp", "b2_std_ccf_input", "corep_std_basel_exposure_type", "corep_std_asset_class_rk", "corep_product_category",
-    "corep_exposure_category", "corep_irb_exposure_sub_type", "aclm_product_type", "rwa_calc_method", "imp_write_off_amt", "crd4_rep_cva_flag",
-    "crd4_rep_settl_flag", "rep_provision_type", "deal_type", "std_sme_discount_app_flag", "ec92_code", "ler_child_counterparty", "obligor_type",
-    "corep_incorp_p3_country_desc", "corep_incorp_country_desc", "incorp_p3_country_desc", "op_p3_country_desc", "risk_taker_ll_rru", "risk_on_ll_rru",
-    "division_sub2", "pd_model_code", "ead_model_code", "maturity_band_desc", "dim_mgs", "dim_pd_band_code", "branch_ciscode", "le", "cost_centre",
-    "ias39_class", "rule_desc", "bsd_marker", "external_counterparty_id_temp", "external_counterparty_qccp_flag", "dim_ctrpty_risk_entity_class",
-    "override_value", "corep_irb_asset_class_rk", "crd4_rep_irbeq_reg_exposure_type", "v_icb_eff_from_year_month_rk", "v_infra_discount_factor",
+# Columns of the layers that the oracle does not rebuild: attributes of a
+# dimension that are carried along, and mitigant amounts that only the mart
+# keeps; ``rules_mitigant``, ``rules_inflow`` and ``job_sub_staging`` compare most of these.
+CARRIED = (
+    "branch_risk_class", "div_sub1", "div_sub3", "div_sub4", "div_sub5", "external_counterparty_risk_class", "high_prod", "op_country_name",
+    "product_family_code", "sector",
+)
+MITIGANT_ONLY = (
+    "b2_app_adjusted_pd_ratio_qtr", "b2_irb_coll_amt", "b2_irb_colltrl_amt_ttc", "b2_irb_crm_fcp_oth_funded_amt_indv", "b2_irb_crm_fcp_oth_phy_col_amt_indv",
+    "b2_irb_crm_fcp_receivables_amt_indv", "b2_irb_crm_ufcp_cred_deriv_amt_indv", "b2_irb_crm_ufcp_guar_amt_indv", "b2_irb_garntee_amt_ttc", "b2_irb_gtee_amt",
+    "b2_std_coll_fx_haircut_amt_indv", "b2_std_crm_tot_outflow_exp", "b2_std_crm_tot_outflow_indv", "b2_std_crm_tot_outflow_rwa_indv",
+    "b2_std_eff_coll_amt_post_hcut", "b2_std_elig_coll_amt", "b2_std_fx_haircut", "b2_std_gtee_cds_rwa_indv", "b2_std_oth_fun_cred_prot_amt_indv",
+    "blank_crm_amt_irb_indv", "blank_crm_amt_std_indv", "collateral_type_code", "collateral_type_rk", "crm_fcp_elig_fin_coll_amt_indv",
+    "crm_fcp_real_estate_amt_indv", "crm_ufcp_cred_deriv_amt_indv", "crm_ufcp_guar_amt_indv", "memo_b2_std_basel_exposure_type_qtr", "mitigant_type_rk",
+    "on_balance_ledger_exposure", "provider_b2_std_asset_class", "provider_counterparty_rk", "rwa_approach_code_qtr", "sec_discnt_b2_irb_coll_amt_ttc",
+    "sec_discnt_b2_irb_gtee_amt_ttc", "sec_discntd_b2_irb_colltrl_amt", "sec_discntd_b2_irb_garntee_amt",
+    # The oracle leaves these two empty on inflow rows.
+    "day_rk", "valid_flag",
 )
+_HELPERS = """_source, ccf_part, ccf_usage, deal_rwa, derived_class, ead, expone, fact_deal, factor, outflow, own, plain_deal, protection, q_approach, q_class, q_pd, rwa_agg,
+    sub_deal, temp_flag, whole_part"""
 
 
 def quoted(text: str) -> str:
@@ -123,10 +140,10 @@ def _names(columns) -> str:
     return ", ".join(dict.fromkeys(columns))
 
 
-@query("job_staging", f"{chain('staged')} SELECT {_names(STAGED)} FROM staged")
+@query("job_staging", f"{chain('staged')} SELECT * EXCLUDE (_source, fact_deal) FROM staged")
 def job_staging(spark, folder):
     """Exposure staging: four branches, all dimension roles, bands and overrides."""
-    return job_of(spark, folder).staged().select(*STAGED)
+    return job_of(spark, folder).staged().drop(*CARRIED)
 
 
 @query("rules_flags", f"{chain('pa')} SELECT {_names((*DEAL, *FLAG_COLUMNS))} FROM pa")
@@ -204,19 +221,10 @@ def rules_inflow(spark, folder):
     return mart_plan.inflow_rows(job.deals(), job.mitigants()).select(*_INFLOW_ROW)
 
 
-_MART_ROW = (
-    *DEAL, "flow_type", "adjust_flag", "mitigant_id", "rwa_approach_code", "corep_product_category", "aclm_product_type", "crd4_rep_std_flag",
-    "crd4_rep_stdflow_flag", "risk_taker_rru", "risk_on_rru", "division", "ead_post_crm_amt", "rwa_post_crm_amount", "b2_std_ccf", "b2_std_exposure_value",
-    "b2_std_exposure_value_onbal", "b2_std_exposure_value_ofbal", "b2_std_crm_tot_inflow", "b2_std_crm_tot_outflow", "b2_std_rwa_amt", "b2_std_rwa_amt_onbal",
-    "b2_std_rwa_pre_sprt_amt", "std_act_risk_weight", "b2_irb_crm_cod_amt", "b2_irb_crm_lip_amt", "b2_irb_crm_ufcp_guar_amt", "b2_irb_crm_fcp_real_estate_amt",
-    "b2_irb_provisions_amt", "external_counterparty_id", "corep_irb_asset_class_rk", *FINAL_COLUMNS,
-)
-
-
-@query("job_mart", f"{chain('mart')} SELECT {_names(_MART_ROW)} FROM mart")
+@query("job_mart", f"{chain('mart')} SELECT * EXCLUDE ({_HELPERS}, day_rk, valid_flag) FROM mart")
 def job_mart(spark, folder):
     """The mart: exposures and inflow with all packs."""
-    return job_of(spark, folder).mart().select(*_MART_ROW)
+    return job_of(spark, folder).mart().drop(*CARRIED, *MITIGANT_ONLY)
 
 
 _SUMMED = ", ".join(f"sum({m}) AS {m}" for m in lists.AGGREGATE_MEASURES)
@@ -231,6 +239,17 @@ def job_agg_mart(spark, folder):
     return agg.aggregate_level_one(fine_level(spark, folder))
 
 
+_LAYERS = (("staged", "staged"), ("sub_exposures", "t2"), ("deals", "pd"), ("mart", "mart"))
+
+
+@query("job_audit", f"{chain('mart')} " + " UNION ALL ".join(f"SELECT '{RUN_MONTH}' AS run, '{stage}' AS stage, count(*) AS n_rows FROM {rows}" for stage, rows in _LAYERS))
+def job_audit(spark, folder):
+    """Row counts of every layer of the run, gathered while the layers were written."""
+    job = job_of(spark, folder)
+    job.mart()
+    return job.audit().table()
+
+
 def fine_level(spark, folder):
     return agg.aggregate_mart(job_of(spark, folder).mart().where(equals("adjust_flag", "A")))
 
@@ -327,7 +346,9 @@ def job_quarter(spark, folder):
     )
     empty = {c: F.lit(None).cast("double") for c in quarter_plan.NEW_DEFAULT_AMOUNTS}
     target = rows.select(*quarter_plan.QUARTER_KEYS).distinct().withColumns(empty)
-    return quarter_plan.merge_quarter(target, quarter, quarter_plan.QUARTER_KEYS)
+    path, parts = scratch_path(spark, "quarter"), ["year_month", "reporting_regulator_code"]
+    write_partitioned(target, path, parts)
+    return merge_layer(quarter, path, quarter_plan.QUARTER_KEYS, quarter_plan.NEW_DEFAULT_AMOUNTS, parts)
 
 
 def _z(c: str) -> str:
@@ -476,8 +497,9 @@ def job_sub_staging(spark, folder):
     f"SELECT r.*, f.flag AS adjust_flag FROM ({_RETURN_SQL}) AS r JOIN (VALUES ('A'), ('U')) AS f(flag) ON r.for_adjust_flag IS NULL OR r.for_adjust_flag = f.flag",
 )
 def sink_load_return(spark, folder):
-    """The return's cells loaded once per dataset flag, read back."""
+    """The return's cells loaded once per dataset flag by two runs, the later one read back."""
     path = scratch_path(spark, "return")
     cells = job_return(spark, folder)
-    load_return(cells, path)
-    return spark.read.parquet(path).select(*cells.columns, "adjust_flag")
+    publish_return(cells.withColumn("value", F.lit(0.0)).where("row_id = 'R0010'"), path, 0)
+    publish_return(cells, path, 1)
+    return published_return(spark, path).select(*cells.columns, "adjust_flag")

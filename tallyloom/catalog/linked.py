@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from tallyloom.catalog.inputs import derive
 from tallyloom.catalog.registry import query
-from tallyloom.catalog.rows import VERSIONS, plain
+from tallyloom.catalog.rows import MONTHLY_ORDERS, VERSIONS, plain
 from tallyloom.functions import periods
 from tallyloom.functions.columns import equals, without_prefix
 from tallyloom.operators import joins
 from tallyloom.operators.setops import merge_upsert, union_branches
+from tallyloom.session import scratch_path
+from tallyloom.sources.sinks import merge_layer, write_partitioned
 from tallyloom.sources.tables import table
 
 _LINE = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
@@ -384,3 +386,21 @@ def merge_upsert_query(spark, folder):
     return merge_upsert(
         derive(spark, folder, _TARGET), derive(spark, folder, _SOURCE), ["party", "segment"], ["amount"], {"name": "new"}
     )
+
+
+_CORRECTED = f"""SELECT order_date, year_month, adjust_flag, valid_flag, o_custkey, CASE WHEN o_orderkey % 5 = 0 THEN -o_orderkey ELSE o_orderkey END AS o_orderkey, o_totalprice * 2 AS o_totalprice,
+    o_orderstatus, o_orderpriority FROM ({MONTHLY_ORDERS}) AS m WHERE year_month = 199508 AND o_orderkey % 3 > 0"""
+
+
+@query(
+    "merge_touched_months",
+    f"""WITH t AS ({plain(MONTHLY_ORDERS)}), s AS ({plain(_CORRECTED)}) SELECT coalesce(t.year_month, s.year_month) AS year_month, coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey,
+    coalesce(t.o_custkey, s.o_custkey) AS o_custkey, CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_totalprice ELSE t.o_totalprice END AS o_totalprice
+    FROM t FULL JOIN s ON t.o_orderkey = s.o_orderkey AND t.year_month = s.year_month""",
+)
+def merge_touched_months(spark, folder):
+    """A month's corrections merged into a layer of all months: only that month is read and replaced."""
+    path = scratch_path(spark, "merge_months")
+    write_partitioned(derive(spark, folder, MONTHLY_ORDERS), path, ["year_month"])
+    merged = merge_layer(derive(spark, folder, _CORRECTED), path, ["year_month", "o_orderkey"], ["o_totalprice"], ["year_month"])
+    return merged.select("year_month", "o_orderkey", "o_custkey", "o_totalprice")
