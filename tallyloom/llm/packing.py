@@ -52,7 +52,7 @@ CAPACITY = 2048
 END = 0
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 # Characters coded together, and words kept from batch to batch.
-CODED, CACHED_WORDS = 1_500_000, 200_000
+CODED, CACHED_WORDS = 6_000_000, 500_000
 LONGEST_CACHED = 64
 # New words are coded in groups, between marks that no word holds.
 GROUPED, MARK = 512, "\x01"
@@ -62,18 +62,20 @@ CLOSING = ".,;:!?"
 # --- tokens ---------------------------------------------------------------------
 
 
-def parted(word: str) -> tuple[str, str]:
-    """A word without white space as two parts that are coded apart, the second one often empty.
+def parted(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Words without white space as (stem, closing marks), which are coded apart.
 
     Letters and punctuation never share a token and case does not matter, so
-    words that differ in capitals or in a closing mark are coded once. Only
-    plain ASCII is treated so.
+    words that differ in capitals or in closing marks have one stem. Words with
+    combining marks, which a capital may join otherwise, and those that could
+    hold a special token stay as they are.
     """
-    if not word.isascii() or "<|" in word or MARK in word:
-        return word, ""
-    word = word.lower()
-    stem = word.rstrip(CLOSING)
-    return (stem, word[len(stem) :]) if stem and stem[-1].isalpha() else (word, "")
+    lowered = pc.ascii_lower(words)
+    plain = pc.invert(pc.match_substring_regex(words, rf"\pM|<\||{MARK}"))
+    stem = pc.utf8_rtrim(lowered, characters=CLOSING)
+    split = pc.and_(plain, pc.match_substring_regex(stem, "[a-z]$"))
+    closing = pc.struct_field(pc.extract_regex(lowered, rf"(?P<closing>[{CLOSING}]*)$"), "closing")
+    return pc.if_else(split, stem, pc.if_else(plain, lowered, words)), pc.if_else(split, closing, "")
 
 
 @dataclass
@@ -103,15 +105,13 @@ class Coder:
         return out
 
     def _ids(self, words: list[str]) -> list[bytes]:
-        parts = [parted(w) for w in words]
-        fresh = self._encoded(list({w for both in parts for w in both if w not in self.known}))
-        self.known.update(fresh)
-        out = [self.known[a] + self.known[b] for a, b in parts]
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        elif any(len(w) > LONGEST_CACHED for w in fresh):
-            for w in [w for w in fresh if len(w) > LONGEST_CACHED]:
-                del self.known[w]
+        """Ids of distinct words, packed; the ones that are new are coded together."""
+        known = self.known
+        fresh = self._encoded([w for w in words if w not in known])
+        out = [known[w] if w in known else fresh[w] for w in words]
+        if len(known) + len(fresh) > CACHED_WORDS:
+            known.clear()
+        known.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST_CACHED)
         return out
 
     def code(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -119,18 +119,26 @@ class Coder:
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         owner = pc.list_parent_indices(split).to_numpy(zero_copy_only=False)
         coded = split.flatten().dictionary_encode()
-        ids = self._ids(coded.dictionary.to_pylist())
-        # One more word per text, after its own: the end mark.
+        stems, closings = (part.dictionary_encode() for part in parted(coded.dictionary))
+        ids = self._ids(stems.dictionary.to_pylist()) + self._ids(closings.dictionary.to_pylist())
         ids.append(np.array([END], dtype="<u4").tobytes())
-        codes = np.concatenate([coded.indices.to_numpy(zero_copy_only=False), np.full(len(texts), len(ids) - 1, dtype=np.int32)])
-        owner = np.concatenate([owner, np.arange(len(texts))])
-        order = np.argsort(owner, kind="stable")
-        codes, owner = codes[order], owner[order]
+        # A word is its stem and its closing marks; behind the words of a text comes the end mark.
+        places = coded.indices.to_numpy(zero_copy_only=False)
+        stem, closing = (part.indices.to_numpy(zero_copy_only=False) for part in (stems, closings))
+        counts = np.bincount(owner, minlength=len(texts))
+        ends = np.cumsum(2 * counts + 1) - 1
+        codes = np.empty(2 * len(places) + len(texts), dtype=np.int32)
+        inside = np.ones(len(codes), dtype=bool)
+        inside[ends] = False
+        codes[ends] = len(ids) - 1
+        codes[inside] = np.column_stack([stem[places], closing[places] + len(stems.dictionary)]).ravel() if len(places) else np.zeros(0, np.int32)
         lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
         begins = np.cumsum(lengths) - lengths
         taken = lengths[codes]
-        at = np.repeat(begins[codes] - (np.cumsum(taken) - taken), taken) + np.arange(taken.sum())
-        return np.frombuffer(b"".join(ids), dtype="<u4")[at], np.bincount(owner, weights=taken, minlength=len(texts)).astype(np.int64)
+        upto = np.cumsum(taken)
+        at = np.repeat(begins[codes] - (upto - taken), taken) + np.arange(upto[-1] if len(upto) else 0)
+        sizes = np.diff(upto[ends], prepend=0) if len(texts) else np.zeros(0, dtype=np.int64)
+        return np.frombuffer(b"".join(ids), dtype="<u4")[at], sizes.astype(np.int64)
 
 
 @lru_cache(maxsize=1)
