@@ -22,6 +22,7 @@ from tallyloom.functions.columns import (
 )
 from tallyloom.operators.filters import RegimeColumns, is_valid_on, latest_day, regime_value
 from tallyloom.operators.joins import lookup
+from tallyloom.operators.rules import RULE_TABLE, compiled, rule_rows
 from tallyloom.operators.setops import align_union
 from tallyloom.plans.staging import DUTCH_RULES, IRISH_RULES, OTHER_RULES, UK_RULES, basel_rules
 from tallyloom.session import scratch_path
@@ -298,9 +299,7 @@ def _since(systems: str, jurisdiction: str) -> str:
     WHEN year_month_rk >= 200001 AND NOT {_OTC} THEN 'TRUE'"""
 
 
-@query(
-    "regime_filter",
-    f"""WITH r AS ({plain(_REGIME_ROWS)}), t AS (SELECT *,
+_REGIME_SQL = f"""WITH r AS ({plain(_REGIME_ROWS)}), t AS (SELECT *,
     coalesce(CASE {_since("('SABFUKOR', 'MUREUKOR', 'MTH_OTH', 'DAY_OTH')", 'UK')}
       WHEN year_month_rk >= 199801 AND year_month_rk < 200001 AND coalesce(crr2_flag, 'N') <> 'Y' AND {_BLANK_CUT} THEN 'TRUE'
       WHEN year_month_rk < 199801 THEN 'TRUE' END = 'TRUE', false) AS uk,
@@ -313,8 +312,10 @@ def _since(systems: str, jurisdiction: str) -> str:
     CASE WHEN year_month_rk >= 200001 AND {_OTC} THEN CASE WHEN sys_code IN {_EU} AND jurisdiction_flag = 'EU' AND capital_cuts = '4' THEN 'Y' ELSE basel_data_flag END
       WHEN year_month_rk < 200001 AND year_month_rk >= 199801 THEN CASE WHEN sys_code IN ('SABFI2OR', 'MUREX2OR') AND crr2_flag = 'Y' AND capital_cuts = '4' THEN 'Y' ELSE basel_data_flag END
       ELSE basel_data_flag END AS basel FROM r)
-    SELECT o_orderkey, uk, dutch, other, irish, basel FROM t WHERE uk OR dutch OR other OR irish""",
-)
+    SELECT o_orderkey, uk, dutch, other, irish, basel FROM t WHERE uk OR dutch OR other OR irish"""
+
+
+@query("regime_filter", _REGIME_SQL)
 def regime_filter_query(spark, folder):
     """Four ordered rule lists and the basel flag override, as data."""
     months = {"divergence": 200001, "dual": 199801}
@@ -331,6 +332,21 @@ def regime_filter_query(spark, folder):
     return tested.where(F.col("uk") | F.col("dutch") | F.col("other") | F.col("irish"))
 
 
+@query("regime_rule_table", _REGIME_SQL)
+def regime_rule_table(spark, folder):
+    """The same lists as rows of a written rule table, proved and compiled."""
+    lists = {"uk": UK_RULES, "dutch": DUTCH_RULES, "other": OTHER_RULES, "irish": IRISH_RULES}
+    path = scratch_path(spark, "rules")
+    literal_rows(spark, [row for name, rules in lists.items() for row in rule_rows(name, rules)], RULE_TABLE).write.parquet(path)
+    table_, months, given = spark.read.parquet(path), {"dual": 199801, "divergence": 200001}, F.col("basel_data_flag")
+    tested = derive(spark, folder, _REGIME_ROWS).select(
+        "o_orderkey",
+        *[compiled(table_, name, months, tuple(months)).alias(name) for name in lists],
+        regime_value(basel_rules(given), months, given).alias("basel"),
+    )
+    return tested.where(F.col("uk") | F.col("dutch") | F.col("other") | F.col("irish"))
+
+
 _LINE_CODES = """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_returnflag, l_linestatus,
     CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_returnflag END AS reporting_type,
     CASE l_linenumber WHEN 1 THEN 'n/a' WHEN 2 THEN 'retail' WHEN 3 THEN 'Nca_SI' WHEN 4 THEN 'nca_DTA' ELSE NULL END AS product FROM {lineitem}"""
