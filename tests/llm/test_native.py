@@ -137,3 +137,42 @@ def test_filter_has_no_false_negative():
         made = exact_dedup.build_filter(np.concatenate([keys, keys[:1]]))
         assert exact_dedup.may_contain(keys, *made).all()
         assert exact_dedup.may_contain(rng.integers(0, 2**63, 20000).astype(np.uint64), *made).mean() < 0.01
+
+
+def test_many_matches_of_one_text(spark):
+    """A text of 2 MB with 100,000 matches, against plain Python."""
+    import re
+    import time
+
+    rng = __import__("random").Random(2)
+    parts = []
+    for k in range(50000):
+        parts.append(rng.choice(["é ", "text ", "", ", "]) + f"u{k}@host{k % 7}.example " + "x" * rng.randrange(3) + f" {rng.randrange(256)}.{k % 256}.0.{k % 200} ")
+    text = "".join(parts)
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.time()
+    row = pii.report(pii.find_pii(df)).first()
+    assert time.time() - began < 60
+    want = [f"email:{m.start()}:{m.end()}" for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    want += [f"ip:{m.start()}:{m.end()}" for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)]
+    assert row.n_email == 50000 and row.n_ip == 50000
+    assert row.spans.split(",")[:100000] == want
+    lines = "".join(rng.choice(["é ", "password = ", "token:"]) + f"abcdefgh{k} AKIA{'B' * 12}{k % 10} " for k in range(50000))
+    found = secrets.report(secrets.Ledger(spark).scan(spark.createDataFrame([(1, lines)], "doc_id long, text string"))).first()
+    assert found.n_access == 50000 and found.n_assign == len(re.findall(r"(?:password|token)\s?[:=]\s?[a-z0-9]{8,}", lines))
+
+
+def test_running_sums_in_blocks(spark):
+    from tallyloom.llm import spans
+
+    rows = [[], [5], list(range(512)), list(range(513)), [1] * 3000]
+    df = spark.createDataFrame([(r,) for r in rows], "n array<int>")
+    for r in df.select("n", spans.running(F.col("n")).alias("sums")).collect():
+        assert r.sums == [sum(r.n[:k]) for k in range(len(r.n))]
+
+
+def test_context_reaches_over_other_matches(spark):
+    """Words near a span count though matches of the same kind lie between."""
+    near = "ssn 123-45-6789 234-56-7891 " + "word " * 20 + "345-67-8912"
+    df = spark.createDataFrame([(1, near)], "doc_id long, text string")
+    assert pii.report(pii.find_pii(df)).first().spans == "ssn:4:15,ssn:16:27"
