@@ -25,11 +25,16 @@ def numbered(df: DataFrame, label: str, name: str = "row") -> DataFrame:
     return scratch_table(df.withColumn(name, F.monotonically_increasing_id()), label)
 
 
-def range_sorted(df: DataFrame, by: Sequence[Column], label: str) -> DataFrame:
-    """The rows, written in order, with ``part`` and ``place`` (index within it)."""
+def range_marked(df: DataFrame, by: Sequence[Column]) -> DataFrame:
+    """The rows in order, with ``part`` and ``place`` (index within it); they hold for one reading only."""
     ordered = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("mark", F.monotonically_increasing_id())
     marked = ordered.select("*", F.shiftright("mark", _INDEX_BITS).alias("part"), F.col("mark").bitwiseAND((1 << _INDEX_BITS) - 1).alias("place"))
-    return scratch_table(marked.drop("mark"), label)
+    return marked.drop("mark")
+
+
+def range_sorted(df: DataFrame, by: Sequence[Column], label: str) -> DataFrame:
+    """The rows of ``range_marked``, written."""
+    return scratch_table(range_marked(df, by), label)
 
 
 def ranked(placed: DataFrame, within: Sequence[str] = ()) -> DataFrame:

@@ -14,7 +14,9 @@ pieces are placed in bands of length, long ones first. In a round
    the others go on to the next free one,
 3. the gaps shrink by what they took, and the round is repeated.
 
-When a round places few of them, sequences for the rest of the band are opened.
+When a round places few of them, sequences for the rest of the band are opened:
+as many as its words fill, or, for the last few pieces, as many as hold a slot
+for each.
 Each round reads and writes tables, so a lost executor costs a reread.
 
 Memory: a batch of texts, and as many distinct words as ``CACHED_WORDS``. Words
@@ -43,7 +45,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallyloom.llm.ordering import numbered, range_sorted
+from tallyloom.llm.ordering import numbered, range_marked
 from tallyloom.llm.shingles import pieces as slices
 from tallyloom.operators.sizing import broadcast_if_small
 from tallyloom.session import scratch_table
@@ -196,6 +198,8 @@ BANDS = (2, 4, 8, 32, 128)
 # A round that places less than this share of its pieces, or the last of so
 # many, is followed by new sequences.
 WORTH, ROUNDS = 0.2, 4
+# Share of the pieces of a band that counts as few.
+FEW = 0.03
 
 
 def _running(batches):
@@ -228,7 +232,7 @@ def _swept(pieces: DataFrame, gaps: DataFrame, longest: int, shortest: int) -> t
     takers = pieces.select(F.col("length").alias("size"), F.lit(True).alias("taker"), F.col("row").alias("key"), F.lit(0).cast("long").alias("slot"))
     # At one size slots come first: a piece may fill a gap exactly.
     by = [F.col("size").desc(), F.col("taker").asc(), F.col("key").asc(), F.col("slot").asc()]
-    ordered = range_sorted(slots.unionByName(takers), by, "ordered")
+    ordered = range_marked(slots.unionByName(takers), by)
     summed = ordered.mapInArrow(_running, "size long, taker boolean, key long, slot long, part long, place long, sum long, low long")
     summed = scratch_table(summed, "summed")
     step = F.when(F.col("taker"), -1).otherwise(1)
@@ -265,7 +269,7 @@ def place(pieces: DataFrame, capacity: int = CAPACITY, bands: Sequence[int] = BA
     for longest, shortest in zip(edges, edges[1:]):
         waiting = pieces.where((F.col("length") <= longest) & (F.col("length") > shortest)).select("row", "length")
         size, longest = waiting.agg(F.count(F.lit(1)), F.max("length")).first()
-        rounds = 0
+        rounds, band = 0, size
         while size:
             found, placed, words = _swept(waiting, gaps, longest, shortest)
             rounds += 1
@@ -275,7 +279,9 @@ def place(pieces: DataFrame, capacity: int = CAPACITY, bands: Sequence[int] = BA
             gaps = gaps.join(taken, "sequence", "left").select("sequence", (F.col("room") - F.coalesce("taken", F.lit(0))).alias("room")).where("room > 0")
             worth, size = placed > WORTH * size, size - placed
             if size and (not worth or rounds == ROUNDS):
-                opened = -(-words // capacity)
+                # As many as the words need; where few pieces of the band are left, a slot for each.
+                few = size <= FEW * band
+                opened = max(-(-words // capacity), -(-size // (capacity // longest)) if few else 0)
                 gaps = gaps.unionByName(spark.range(fresh, fresh + opened).select(F.col("id").alias("sequence"), F.lit(capacity).cast("long").alias("room")))
                 fresh, rounds = fresh + opened, 0
             gaps = scratch_table(gaps, "gaps")
