@@ -499,7 +499,20 @@ def _centres(prefix: DataFrame, turn: int) -> DataFrame:
     return paired.where(fits).select(F.greatest("doc_id", "c.doc_id").alias("a"), F.least("doc_id", "c.doc_id").alias("b")).distinct()
 
 
-def _rare(prefix: DataFrame) -> DataFrame:
+SLOTS = 256
+
+
+def _parities(held: DataFrame) -> DataFrame:
+    """(doc_id, n, p0..p3): parity of a set's shingles in each of ``SLOTS`` slots; none where an id has several sets."""
+    slot = F.pmod(F.xxhash64("shingle"), F.lit(SLOTS)).cast("int")
+    rows = held.select("doc_id", "n", slot.alias("slot"))
+    bit = F.expr("shiftleft(1L, slot % 64)")
+    parts = [F.bit_xor(F.when(F.floor(F.col("slot") / 64) == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"p{k}") for k in range(SLOTS // 64)]
+    sums = rows.groupBy("doc_id", "n").agg(F.count(F.lit(1)).alias("held"), *parts)
+    return sums.where("held = n").drop("held")
+
+
+def _rare(prefix: DataFrame, held: DataFrame) -> DataFrame:
     """All candidate pairs that share a prefix shingle and are in different components.
 
     At the first shingle two sets share, no more can be in common than what
@@ -510,11 +523,15 @@ def _rare(prefix: DataFrame) -> DataFrame:
     sums = [F.sum(F.pmod(F.xxhash64("doc_id", F.lit(k)), F.lit(1 << 31))).alias(f"s{k}") for k in range(4)]
     holders = prefix.groupBy("components", "shingle").agg(F.count(F.lit(1)).alias("sets"), *sums)
     first = holders.groupBy("sets", "s0", "s1", "s2", "s3").agg(F.min(F.struct("components", "shingle")).alias("first")).where("sets > 1")
-    prefix = scratch_table(prefix.join(first.select("first.shingle"), "shingle", "left_semi").drop("components"), "prefix")
+    prefix = prefix.join(first.select("first.shingle"), "shingle", "left_semi").drop("components")
+    prefix = scratch_table(prefix.join(_parities(held), ["doc_id", "n"], "left"), "prefix")
     other = prefix.select(*(F.col(c).alias(f"{c}_b") for c in prefix.columns))
     met = prefix.join(other, (F.col("shingle") == F.col("shingle_b")) & (F.col("component") < F.col("component_b")))
     left = F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b")) + 1
     fits = left * (NUMERATOR + DENOMINATOR) >= (F.col("n") + F.col("n_b")) * NUMERATOR
+    # Sets differ in no fewer shingles than slots in parity.
+    differ = sum((F.bit_count(F.col(f"p{k}").bitwiseXOR(F.col(f"p{k}_b"))) for k in range(SLOTS // 64)), F.lit(0))
+    fits = fits & F.coalesce(differ * (NUMERATOR + DENOMINATOR) <= (F.col("n") + F.col("n_b")) * (DENOMINATOR - NUMERATOR), F.lit(True))
     return met.where(fits).select(F.col("doc_id").alias("a"), F.col("doc_id_b").alias("b")).distinct()
 
 
@@ -574,7 +591,7 @@ def links(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     one = apart.select(F.explode("members").alias("m"), "members").select("m", F.explode("members").alias("o"))
     near = F.least("m.n", "o.n") * DENOMINATOR >= F.greatest("m.n", "o.n") * NUMERATOR
     crossing = one.where("m.component < o.component").where(near).select(F.col("m.doc_id").alias("a"), F.col("o.doc_id").alias("b"))
-    again = crossing.unionByName(_rare(_prefix(held, labels))).distinct()
+    again = crossing.unionByName(_rare(_prefix(held, labels), held)).distinct()
     known = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
     second = verify(scratch_table(again.join(known, ["a", "b"], "left_anti"), "second"), about, documents)
     every = found.unionByName(second)
