@@ -153,6 +153,18 @@ def test_as_of_plan_has_no_range_condition_on_facts(spark):
     assert "NestedLoop" not in _plan(joined)
 
 
+def test_overlapping_versions_meet_only_the_days_they_hold_on(spark):
+    """Days of a key with overlaps meet no version that does not hold: no condition is left behind the join."""
+    dim = spark.range(20000).select(F.lit(1).alias("key"), "id", *[F.expr(f"date_add(DATE '1950-01-01', CAST(id + {k} AS INT))").alias(n) for k, n in ((0, "valid_from_date"), (5, "valid_to_date"))])
+    dim = dim.unionByName(spark.sql("SELECT 1 AS key, -1L AS id, DATE '0001-01-01' AS valid_from_date, DATE '9999-12-31' AS valid_to_date"))
+    facts = spark.range(6000).select(F.col("id").alias("i"), F.lit(1).alias("k"), F.expr("date_add(DATE '1950-01-01', CAST(id AS INT))").alias("d"))
+    joined = joins.effective_dated_join(facts, dim, {"k": "key"}, F.col("d"), ["id"])
+    # Five versions hold on a day, fewer on the first four, and the one that always does.
+    assert joined.count() == 6000 * 5 - (4 + 3 + 2 + 1) + 6000
+    joins_on_days = [line for line in _plan(joined).splitlines() if "Join" in line and "Inner" in line]
+    assert joins_on_days and not any("_from" in line or "_to" in line for line in joins_on_days)
+
+
 def test_successors_and_default(spark):
     dim = spark.createDataFrame(
         [(1, "x", None, "2000-01-01", "2001-01-01"), (11, "x", None, "2001-01-01", "9999-12-31"), (2, "gone", "r", "2000-01-01", "2001-01-01")],
