@@ -5,9 +5,14 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tallyloom.catalog.inputs import RUN_DATE, JobInputs
+from tallyloom.catalog.jobs import job_of
+from tallyloom.plans.mart import inflow_rows
+from tallyloom.plans.staging import stage_exposures
 from tallyloom.sources.layouts import Contract, ContractViolation
 from tallyloom.sources.sinks import AuditLog, merge_layer, publish_return, published_return, write_layer, write_partitioned
 
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 CONTRACT = Contract(
     "deals", {"month": "int", "deal": "string"}, ((r"_flag$", "string"), (r"_amt(_|$)", "double"), (r"_rk$", "int")),
     ("month", "deal"), ("month", "deal"), {"wide_rk": "bigint"},
@@ -105,3 +110,34 @@ def test_run_that_dies_leaves_the_run_before(spark, tmp_path):
     assert read() == [(*k, 2.0) for k in want]
     publish_return(_cells(spark, 3.0), folder, 3, flags=("U",))
     assert read() == [("A", "R1", 2.0), ("A", "R2", 2.0), ("U", "R1", 3.0), ("U", "R3", 3.0)]
+
+
+def test_layers_are_written_where_their_rows_are(spark, tmp_path, monkeypatch):
+    """No row of a layer is moved or sorted for its write: each task writes its own rows."""
+    asked = []
+    df = spark.range(100).select(F.lit(200108).alias("year_month"), F.when(F.col("id") % 2 == 0, "UK-FSA").otherwise("CBI").alias("reporting_regulator_code"), F.col("id").cast("string").alias("deal_id"))
+    monkeypatch.setattr(type(df), "hint", lambda df, name, *columns: asked.append(name) or df)
+    written = write_layer(df, str(tmp_path / "layer"), ["year_month", "reporting_regulator_code"], Contract("deals", dict(df.dtypes), key=("deal_id",)))
+    assert asked == [] and written.count() == 100
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "16"
+
+
+def test_staging_shuffles_its_facts_once(spark, monkeypatch):
+    """Counterparties too large to broadcast meet the pairs of deal and counterparty; the staged rows are the same."""
+    inputs = JobInputs(spark, FOLDER)
+    small = stage_exposures(inputs, RUN_DATE, facts=inputs["facts"])
+    rows = sorted(map(repr, small.select("deal_id", "reporting_regulator_code", "mortgages_flag", "bsd_marker", "csys_id", "ler_child_counterparty").collect()))
+    monkeypatch.setattr("tallyloom.plans.staging.fits_broadcast", lambda df, limit=None: False)
+    monkeypatch.setattr("tallyloom.operators.joins.fits_broadcast", lambda df, limit=None: False)
+    inputs = JobInputs(spark, FOLDER)
+    large = stage_exposures(inputs, RUN_DATE, facts=inputs["facts"])
+    assert rows == sorted(map(repr, large.select("deal_id", "reporting_regulator_code", "mortgages_flag", "bsd_marker", "csys_id", "ler_child_counterparty").collect()))
+
+
+def test_copies_of_sub_exposures_are_not_needed_for_inflow(spark):
+    """Sub-exposures met by deal and then by regulator give the rows that their copies give."""
+    job = job_of(spark, FOLDER)
+    names = ("reporting_regulator_code", "deal_id", "mitigant_id", "b2_std_exposure_value", "std_act_risk_weight")
+    copies = inflow_rows(job.deals(), job.mitigants()).select(*names)
+    alone = inflow_rows(job.deals(), job.subs(), copied=False).select(*names)
+    assert copies.count() > 0 and sorted(map(repr, copies.collect())) == sorted(map(repr, alone.collect()))
