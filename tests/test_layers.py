@@ -141,3 +141,13 @@ def test_copies_of_sub_exposures_are_not_needed_for_inflow(spark):
     copies = inflow_rows(job.deals(), job.mitigants()).select(*names)
     alone = inflow_rows(job.deals(), job.subs(), copied=False).select(*names)
     assert copies.count() > 0 and sorted(map(repr, copies.collect())) == sorted(map(repr, alone.collect()))
+
+
+def test_whole_deals_need_no_shuffle_of_staged_rows(spark):
+    """Staged rows that hold their deal's side give the deals that a join of the wide rows gives."""
+    job = job_of(spark, FOLDER)
+    wide, narrow = job.wide_deals_plan(), job.deals_plan()
+    assert "Exchange" not in wide._jdf.queryExecution().executedPlan().toString()
+    assert set(job.staged().columns) == set(job.staging_plan().columns)
+    names = sorted(wide.columns)
+    assert sorted(map(repr, wide.select(names).collect())) == sorted(map(repr, narrow.select(names).collect()))

@@ -17,6 +17,7 @@ from tallyloom.operators.reshape import CellRow, unpivot_rows
 from tallyloom.operators.setops import merge_upsert
 from tallyloom.operators.sizing import fits_broadcast
 from tallyloom.plans.aggregate_mart import aggregate_mart
+from tallyloom.plans.mart import with_own_totals, with_shared_totals, with_totals
 from tallyloom.plans.mitigants import MITIGANT_TOTALS, mitigant_totals, totals_for_all
 from tallyloom.plans.return_cells import measure_table, report_rows
 from tallyloom.plans.staging import for_all_regulators
@@ -291,6 +292,19 @@ def test_totals_before_copies_equal_totals_after(spark):
     assert as_set(totals_for_all(df)) == as_set(mitigant_totals(for_all_regulators(df)))
 
 
+def test_totals_are_met_without_copies(spark):
+    """Deals meet uncopied totals and get what copies of them give, own and shared ones added; nothing is copied on the way."""
+    rows = [("UK-FSA", "1", 2.25), ("UK-FSA", "1", 3.0), ("UK-FSA", "2", None), ("DE-BBK", "1", 7.1), ("DE-BBK", "3", 0.7), ("UK-FSA", "4", 1e12)]
+    df = spark.createDataFrame([(200108, *r) for r in rows], "year_month int, reporting_regulator_code string, deal_id string, amount double")
+    df = df.select("year_month", "reporting_regulator_code", "deal_id", *[F.col("amount").alias(c) for c in MITIGANT_TOTALS])
+    deals = [(m, r, d) for m in (200107, 200108) for r in ("UK-FSA", "DE-BBK", "NL-DNB", "CBI", "OTHER", None) for d in ("1", "2", "3", "4", "5", None)]
+    keys = spark.createDataFrame(deals, "year_month int, reporting_regulator_code string, _plain_deal string")
+    totals = mitigant_totals(df)
+    met = with_shared_totals(with_own_totals(keys, totals), totals)
+    assert "Generate" not in met._jdf.queryExecution().optimizedPlan().toString()
+    assert met.count() == len(deals) and as_set(met) == as_set(with_totals(keys, totals_for_all(df)).select(met.columns))
+
+
 def test_missing_group_key_is_an_error(spark):
     with pytest.raises(ValueError):
         aggregate_mart(spark.range(1), ["id", "no_such_key"], ["id"])
