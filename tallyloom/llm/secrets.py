@@ -4,11 +4,15 @@ Every version of every path is addressed by the digest of its content. The
 ledger holds which blob was scanned under which rule version, and what was
 found; a scan reads only pairs of blob and rule version that the ledger does
 not hold, and findings are joined back to all paths that ever had the blob.
-All of it is native columns: no Python runs on the executors.
+Contents are scanned where they are read: only digests and findings are
+shuffled, which costs a second scan of a blob that several rows of one batch
+share, and no text is sorted or moved. All of it is native columns: no Python
+runs on the executors.
 
 Defined results: a null content is the empty blob; a blob that many paths
-share is scanned once; repeated rows are reported each; an empty table gives no
-rows; other columns of the input are ignored.
+share is listed once, and not scanned again by later batches; repeated rows are
+reported each; an empty table gives no rows; other columns of the input are
+ignored.
 """
 
 from __future__ import annotations
@@ -93,16 +97,15 @@ class Ledger:
         versions = versions.select(F.col(path).alias("path"), F.coalesce(F.col(content), F.lit("")).alias("content"))
         versions = versions.withColumn("blob", F.sha2(F.col("content").cast("binary"), 256))
         paths = scratch_table(versions.select("path", "blob"), "paths")
-        seen = self.pairs().where(F.col("rules") == rules).select("blob").distinct()
+        seen = self.pairs().where(F.col("rules") == rules).select("blob")
         unseen = versions.join(seen, "blob", "left_anti")
-        # One copy of a content stays before the shuffle of each task.
-        blobs = unseen.groupBy("blob").agg(F.first("content").alias("content"))
-        found = blobs.select("blob", F.lit(rules).alias("rules"), spans_of(F.col("content")).alias("spans"))
+        found = unseen.select("blob", F.lit(rules).alias("rules"), spans_of(F.col("content")).alias("spans"))
         # Findings first: a pair is listed as scanned only once its findings are kept.
         part = uuid4().hex
         fresh = scratch_table(found, "scanned")
-        fresh.where(F.size("spans") > 0).write.mode("overwrite").parquet(f"{self.folder}/findings/part={part}")
-        fresh.select("blob", "rules").write.mode("overwrite").parquet(f"{self.folder}/pairs/part={part}")
+        # Rows of one blob have the same spans; those without any are not shuffled.
+        fresh.where(F.size("spans") > 0).dropDuplicates(["blob"]).write.mode("overwrite").parquet(f"{self.folder}/findings/part={part}")
+        fresh.select("blob", "rules").distinct().write.mode("overwrite").parquet(f"{self.folder}/pairs/part={part}")
         results = self.findings().where(F.col("rules") == rules).select("blob", "spans").dropDuplicates(["blob"])
         none = F.array().cast(results.schema["spans"].dataType)
         return paths.join(results, "blob", "left").select("path", "blob", F.coalesce("spans", none).alias("spans"))

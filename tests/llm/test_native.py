@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import exact_dedup, pii, secrets
 from tallyloom.llm.queries import ORACLE_SQL, QUERIES
+from tallyloom.session import scratch_table
 from tests.oracle import connect, difference
 
 FOLDER = "/root/testdata/sf0.01"
@@ -102,6 +103,25 @@ def test_ledger_scans_only_unseen(spark, hard):
     assert ledger.pairs().count() == 2 * first.select("blob").distinct().count()
 
 
+def test_scan_moves_no_content(spark, hard, monkeypatch):
+    """Contents are scanned where they are read: what is written as scanned comes from no shuffle."""
+    plans = []
+
+    def kept(df, label):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return scratch_table(df, label)
+
+    monkeypatch.setattr(secrets, "scratch_table", kept)
+    ledger = secrets.Ledger(spark)
+    copies = hard.union(hard.withColumn("doc_id", F.col("doc_id") + 1000))
+    found = {r.path: r.spans for r in ledger.scan(copies).collect()}
+    [scanned] = [plan for label, plan in plans if label == "scanned"]
+    assert "hashpartitioning" not in scanned and "Aggregate" not in scanned
+    assert all(found[k] == found[k + 1000] for k in found if k < 1000)
+    assert ledger.findings().count() == ledger.findings().select("blob").distinct().count() > 0
+    assert ledger.pairs().count() == ledger.pairs().distinct().count()
+
+
 def test_native_operators_on_nothing(spark, hard):
     none = hard.limit(0)
     assert pii.report(pii.find_pii(none)).count() == 0
