@@ -154,6 +154,40 @@ def _windows(codes: np.ndarray, length: int) -> list[np.ndarray]:
     return [codes[k : k + length] for k in range(0, max(1, len(codes)), length)]
 
 
+# Rows of one sum that are added before their sums are.
+RUN = 32
+
+
+def segment_sums(table: np.ndarray, rows: np.ndarray, begin: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sum of ``table[rows[b : b + n]]`` for each segment (b, n), n at least 1.
+
+    The first rows of all segments are added at once, then the second ones, and
+    so on, with the segments in order of their length: whole rows at a time,
+    which ``add.reduceat`` does value by value.
+    """
+    if not len(counts):
+        return np.zeros((0, table.shape[1]), dtype=table.dtype)
+    if counts.max() > RUN:
+        parts = -(-counts // RUN)
+        first = np.cumsum(parts) - parts
+        place = np.arange(parts.sum()) - np.repeat(first, parts)
+        sums = segment_sums(table, rows, np.repeat(begin, parts) + place * RUN, np.minimum(np.repeat(counts, parts) - place * RUN, RUN))
+        return segment_sums(sums, np.arange(len(sums)), first, parts)
+    order = np.argsort((RUN - counts).astype(np.uint8), kind="stable")
+    longer = len(counts) - np.cumsum(np.bincount(counts, minlength=RUN + 1))
+    at, out = begin[order], np.empty((len(counts), table.shape[1]), dtype=table.dtype)
+    for a in range(0, len(order), 8192):
+        own = at[a : a + 8192]
+        total = table[rows[own]]
+        for k in range(1, RUN):
+            n = min(longer[k] - a, len(own))
+            if n <= 0:
+                break
+            total[:n] += table[rows[own[:n] + k]]
+        out[order[a : a + 8192]] = total
+    return out
+
+
 def _gram_times(windows: list[np.ndarray], weights: np.ndarray, omega: np.ndarray) -> np.ndarray:
     """Sum over windows of x (x' omega) for unit TF-IDF vectors x, without forming them.
 
@@ -171,14 +205,16 @@ def _gram_times(windows: list[np.ndarray], weights: np.ndarray, omega: np.ndarra
     flat, window = flat[known], window[known]
     if not len(flat):
         return out
-    value = (weights[flat] / np.maximum(norm[window], 1e-12)).astype(np.float32)
     new = np.append(True, window[1:] != window[:-1])
-    sums = np.add.reduceat(omega[flat] * value[:, None], np.flatnonzero(new), axis=0)
-    place = np.cumsum(new) - 1
+    begin = np.flatnonzero(new)
+    # A word weighs the same in every window; the length of the window divides both factors.
+    share = (1 / np.maximum(norm[window[begin]], 1e-12) ** 2).astype(np.float32)
+    words, own = np.unique(flat, return_inverse=True)
+    weight = weights[words].astype(np.float32)[:, None]
+    sums = segment_sums(omega[words] * weight, own, begin, np.diff(np.append(begin, len(flat)))) * share[:, None]
     order = np.argsort(flat.astype(np.uint16) if size < 65535 else flat, kind="stable")
-    flat, value, place = flat[order], value[order], place[order]
-    at = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
-    out[flat[at]] = np.add.reduceat(sums[place] * value[:, None], at, axis=0)
+    counts = np.bincount(own)
+    out[words] = segment_sums(sums, (np.cumsum(new) - 1)[order], np.cumsum(counts) - counts, counts) * weight
     return out
 
 
@@ -289,7 +325,7 @@ class Searcher:
             if len(inside):
                 row = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(part))))[inside]
                 new = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-                sums[a + row[new]] = np.add.reduceat(table[part[inside]], new, axis=0)
+                sums[a + row[new]] = segment_sums(table, part[inside], new, np.diff(np.append(new, len(inside))))
             mass[a:b, 0] = np.add.reduceat(known[part], at)
             mass[a:b, 1] = np.add.reduceat(square[part], at)
         for w in widths:
@@ -297,7 +333,11 @@ class Searcher:
                 # Two neighbouring blocks of a document make one of the next size.
                 even = step % 2 == 0
                 pairs = np.flatnonzero(even)
-                sums, mass = np.add.reduceat(sums, pairs, axis=0), np.add.reduceat(mass, pairs, axis=0)
+                after, to = np.flatnonzero(~even), (np.cumsum(even) - 1)[~even]
+                more, mass_more = sums[after], mass[after]
+                sums, mass = sums[pairs], mass[pairs]
+                sums[to] += more
+                mass[to] += mass_more
                 owner, step, base = owner[pairs], step[pairs] // 2, base * 2
             follows = np.append(owner[1:] == owner[:-1], False)
             first = step == 0
@@ -321,29 +361,50 @@ class Searcher:
             rows = max(1, 4_000_000 // len(ks))
             for a in range(0, len(joined), rows):
                 likeness = joined[a : a + rows] @ items
-                for r, c in zip(*np.nonzero(likeness >= self.candidate)):
-                    d, k = int(owner[a + r]), int(ks[c])
+                r, c = np.nonzero(likeness >= self.candidate)
+                for d, k, r, c in self.possible(documents, owner[a + r], ks[c], r, c, words, seen):
                     found = self.verified(documents[d], int(start[a + r]), w, k, words, seen)
                     if found and found[3] > best.get((d, k), (0, 0, 0, 0.0))[3]:
                         best[d, k] = (*found, float(likeness[r, c]))
         return [(d, k, *v) for (d, k), v in sorted(best.items())]
 
+    def compared(self, k: int, prepared_words: list) -> np.ndarray:
+        """Words of an item that are looked for: all of them where few are content words."""
+        return prepared_words[k] if len(prepared_words[k]) >= 4 else self.items.codes[k]
+
+    def possible(self, documents: list[np.ndarray], owner: np.ndarray, item: np.ndarray, r: np.ndarray, c: np.ndarray, words: list, seen: np.ndarray):
+        """Candidates (document, item, row, column) whose document, as a whole, holds enough words of the item.
+
+        Candidates come by document, many windows and items for each; its words
+        are marked once for all of them.
+        """
+        edges = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, dtype=np.int64)
+        for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(owner)]):
+            d = int(owner[a])
+            held = documents[d]
+            seen[held] = True
+            enough = {}
+            for k in set(item[a:b].tolist()):
+                wanted = self.compared(k, words)
+                enough[k] = np.count_nonzero(seen[wanted]) >= LEAK_WITH_ANSWER * len(wanted)
+            seen[held] = False
+            for k, row, column in zip(item[a:b].tolist(), r[a:b].tolist(), c[a:b].tolist()):
+                if enough[k]:
+                    yield d, k, row, column
+
     def verified(self, document: np.ndarray, start: int, w: int, k: int, prepared_words: list, seen: np.ndarray):
         item = self.items.codes[k]
         a, b = max(0, start - len(item)), min(len(document), start + w + len(item))
         region = document[a:b]
-        words, held = prepared_words[k], region
-        if len(words) >= 4:
-            held = region[self.content[region]]
-        else:
-            words = item
+        words = self.compared(k, prepared_words)
         # Words of the item that are there at all bound what can be in order.
         total = len(words)
-        seen[held] = True
+        seen[region] = True
         there = np.count_nonzero(seen[words])
-        seen[held] = False
+        seen[region] = False
         if there < LEAK_WITH_ANSWER * total:
             return None
+        held = region if words is item else region[self.content[region]]
         common = subsequence(words, held)
         ratio = common / total
         if ratio < LEAK_WITH_ANSWER:
