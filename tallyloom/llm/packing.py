@@ -32,6 +32,9 @@ empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
+import string
+from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -58,7 +61,11 @@ CODED, CACHED_WORDS = 6_000_000, 500_000
 LONGEST_CACHED = 64
 # New words are coded in groups, between marks that no word holds.
 GROUPED, MARK = 512, "\x01"
-CLOSING = ".,;:!?"
+CLOSING = string.punctuation
+# A word of these letters alone is one piece that the vocabulary's normaliser leaves
+# as it is; the model takes its bytes, each written as a printable character.
+LETTERS = re.compile("[a-zß-öø-ÿ]+")
+PRINTED = {b: 256 + n for n, b in enumerate([*range(33), *range(127, 161), 173])}
 
 
 # --- tokens ---------------------------------------------------------------------
@@ -68,15 +75,16 @@ def parted(words: pa.Array) -> tuple[pa.Array, pa.Array]:
     """Words without white space as (stem, closing marks), which are coded apart.
 
     Letters and punctuation never share a token and case does not matter, so
-    words that differ in capitals or in closing marks have one stem. Words with
+    words that differ in capitals or in closing marks have one stem. Its last
+    letter is one whose lower case is a letter, not one with a mark. Words with
     combining marks, which a capital may join otherwise, and those that could
     hold a special token stay as they are.
     """
     lowered = pc.ascii_lower(words)
     plain = pc.invert(pc.match_substring_regex(words, rf"\pM|<\||{MARK}"))
     stem = pc.utf8_rtrim(lowered, characters=CLOSING)
-    split = pc.and_(plain, pc.match_substring_regex(stem, "[a-z]$"))
-    closing = pc.struct_field(pc.extract_regex(lowered, rf"(?P<closing>[{CLOSING}]*)$"), "closing")
+    split = pc.and_(plain, pc.match_substring_regex(stem, "[a-zÀ-ÖØ-öø-ÿ]$"))
+    closing = pc.struct_field(pc.extract_regex(lowered, rf"(?P<closing>[{re.escape(CLOSING)}]*)$"), "closing")
     return pc.if_else(split, stem, pc.if_else(plain, lowered, words)), pc.if_else(split, closing, "")
 
 
@@ -88,11 +96,18 @@ class Coder:
     known: dict[str, bytes]
 
     def _encoded(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of new words: in groups between marks, which white space parts from them."""
+        """Ids of new words: one piece by the model alone, others in groups between marks, which white space parts from them."""
         [mark] = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         out: dict[str, bytes] = {}
-        odd = [w for w in words if MARK in w or "<|" in w]
-        plain = [w for w in words if not (MARK in w or "<|" in w)]
+        model, rest = self.tokenizer.model, []
+        for w in words:
+            if LETTERS.fullmatch(w):
+                printed = w if w.isascii() else w.encode().decode("latin-1").translate(PRINTED)
+                out[w] = array("I", [token.id for token in model.tokenize(printed)]).tobytes()
+            else:
+                rest.append(w)
+        odd = [w for w in rest if MARK in w or "<|" in w]
+        plain = [w for w in rest if not (MARK in w or "<|" in w)]
         for start in range(0, len(plain), GROUPED):
             group = plain[start : start + GROUPED]
             ids = np.array(self.tokenizer.encode(f" {MARK} ".join(group), add_special_tokens=False).ids, dtype="<u4")

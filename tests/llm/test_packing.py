@@ -134,6 +134,34 @@ def _plain_features(text):
     return words, words + [f"{a} {b}" for a, b in zip(words, words[1:])]
 
 
+def test_letter_words_go_to_the_model_alone(tokenizer):
+    """Words of letters and trailing punctuation give the ids the tokenizer gives, without its text steps."""
+    rng = random.Random(11)
+    kinds = ("abcdefghijklmnopqrstuvwxyz", "abcßàéêñöøüÿþæ", "ABCéÉÀÿŸİıſΣσςъЪ中한가ªº×÷µ", "abc'", "ab1²", "ae\u0301\u0308", "a\u200d\u00ad")
+    ends = ("", ".", ",###", "'", "''", "'s", "&&&", "[]^_`", "\\-/", "<", "|>", "...!?", "-x", "\u2019", "»")
+    words = ["".join(rng.choices(rng.choice(kinds), k=rng.randint(1, 9))) + rng.choice(ends) for _ in range(6000)]
+    words += [chr(c) for c in range(33, 0x250) if not chr(c).isspace()] + [f"a{chr(c)}b" for c in range(33, 0x250) if not chr(c).isspace()]
+    coder = packing.Coder(tokenizer, {})
+    ids, sizes = coder.code(pa.array(words, pa.string()))
+    cuts = np.cumsum(sizes)
+    got = [part.tolist() for part in np.split(ids, cuts[:-1])]
+    want = [[*tokenizer.encode(w, add_special_tokens=False).ids, packing.END] for w in words]
+    wrong = [(w, g, x) for w, g, x in zip(words, got, want) if g != x]
+    assert not wrong, wrong[:5]
+    texts = []
+
+    class Counted:
+        model = tokenizer.model
+
+        def encode(self, text, **rest):
+            texts.append(text)
+            return tokenizer.encode(text, **rest)
+
+    packing.Coder(Counted(), {}).code(pa.array(["straße señor", "wort### wort,"], pa.string()))
+    # The mark, and the closing marks.
+    assert all(t == packing.MARK or not any(c.isalpha() for c in t) for t in texts)
+
+
 def test_crc_from_prefixes():
     texts = ["One two, THREE", "", "É-日本 x" * 50, "a" * 70000 + " b", "same same same"]
     scanned = importance.scan([t.encode() for t in texts])
