@@ -1,13 +1,15 @@
 """Contracts, audit log, merge of touched partitions and idempotent return runs."""
 
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.catalog.inputs import RUN_DATE, JobInputs
-from tallyloom.catalog.jobs import job_of
-from tallyloom.plans.mart import inflow_rows
+from tallyloom.catalog.jobs import Job, job_of
+from tallyloom.plans.mart import inflow_rows, is_unfunded_outflow, unite_flows
+from tallyloom.plans.mitigants import mitigant_totals
 from tallyloom.plans.staging import stage_exposures
 from tallyloom.sources.layouts import Contract, ContractViolation
 from tallyloom.sources.sinks import AuditLog, merge_layer, publish_return, published_return, write_layer, write_partitioned
@@ -151,3 +153,50 @@ def test_whole_deals_need_no_shuffle_of_staged_rows(spark):
     assert set(job.staged().columns) == set(job.staging_plan().columns)
     names = sorted(wide.columns)
     assert sorted(map(repr, wide.select(names).collect())) == sorted(map(repr, narrow.select(names).collect()))
+
+
+def _shuffled(df):
+    """Names of the columns that each exchange of a plan moves, broadcasts aside."""
+    text = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    return [re.findall(r"(\w+)#", names) for names in re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", text)]
+
+
+def test_only_narrow_rows_are_shuffled_for_the_mart(spark, monkeypatch):
+    """Facts and sub-exposures are shuffled by deal before their hundreds of columns are derived, and stay there."""
+    job = Job(spark, FOLDER)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "10000", "spark.sql.debug.maxToStringFields": "1000"}
+    before = {name: spark.conf.get(name) for name in settings}
+    # Of the tables, only the fixed lists and the nations can be broadcast.
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    monkeypatch.setattr("tallyloom.operators.sizing.BROADCAST_LIMIT_BYTES", 10000)
+    try:
+        facts = _shuffled(job.staging_for_deals_plan())
+        totals = _shuffled(mitigant_totals(job.subs_by_deal()).where("reporting_regulator_code = 'UK-FSA'"))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    # The facts travel packed as ``fact``, the totals of the mitigants as ``side``.
+    assert len(facts) > 5 and max(map(len, facts)) <= 16 and not any({"fact", "side"} & set(names) for names in facts)
+    assert len(totals) == 1 and len(totals[0]) <= 12
+
+
+def test_deals_are_not_written_again_for_the_mart(spark):
+    """The mart's files hold inflow rows alone; with the layer of deals they are both flows, and the audit counts both."""
+    job = job_of(spark, FOLDER)
+    mart, whole = job.mart(), unite_flows(job.deals(), job.subs(), copied=False)
+    names = sorted(whole.columns)
+    assert sorted(mart.columns) == names
+    assert sorted(map(repr, mart.select(names).collect())) == sorted(map(repr, whole.select(names).collect()))
+    assert {r.flow_type for r in job.inflow().select("flow_type").distinct().collect()} == {"INFLOW"}
+    counts = {r.stage: r.n_rows for r in job.audit().table().collect()}
+    assert counts["mart"] == whole.count() > counts["deals"] == job.deals().count()
+
+
+def test_inputs_by_deal_hold_the_same_rows(spark):
+    job = job_of(spark, FOLDER)
+    for name in ("facts", "sub_exposures", "sub_exposures_oth"):
+        assert sorted(map(repr, job.by_deal()[name].collect())) == sorted(map(repr, job[name].collect()))
+    assert sorted(map(repr, job.subs_by_deal().where(is_unfunded_outflow()).select("deal_id", "mitigant_id", "b2_std_crm_tot_outflow_indv").collect())) == sorted(
+        map(repr, job.subs().where(is_unfunded_outflow()).select("deal_id", "mitigant_id", "b2_std_crm_tot_outflow_indv").collect())
+    )
