@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.catalog.inputs import RUN_DATE, JobInputs
-from tallyloom.catalog.jobs import Job, job_of
+from tallyloom.catalog.jobs import Job, fine_level, job_of
+from tallyloom.catalog.registry import QUERIES
+from tallyloom.plans.aggregate_mart import aggregate_level_one
 from tallyloom.plans.mart import inflow_rows, is_unfunded_outflow, unite_flows
 from tallyloom.plans.mitigants import mitigant_totals
 from tallyloom.plans.staging import stage_exposures
@@ -200,3 +202,12 @@ def test_inputs_by_deal_hold_the_same_rows(spark):
     assert sorted(map(repr, job.subs_by_deal().where(is_unfunded_outflow()).select("deal_id", "mitigant_id", "b2_std_crm_tot_outflow_indv").collect())) == sorted(
         map(repr, job.subs().where(is_unfunded_outflow()).select("deal_id", "mitigant_id", "b2_std_crm_tot_outflow_indv").collect())
     )
+
+
+def test_coarser_level_shuffles_the_mart_once(spark):
+    """Summed from rows of the mart, without the finer level in between, the coarser one is the same."""
+    direct = QUERIES["job_agg_mart"](spark, FOLDER)
+    names = sorted(direct.columns)
+    fine = aggregate_level_one(fine_level(spark, FOLDER))
+    assert len(_shuffled(direct)) == 1 < len(_shuffled(fine))
+    assert sorted(map(repr, direct.select(names).collect())) == sorted(map(repr, fine.select(names).collect()))
