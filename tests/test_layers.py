@@ -211,3 +211,12 @@ def test_coarser_level_shuffles_the_mart_once(spark):
     fine = aggregate_level_one(fine_level(spark, FOLDER))
     assert len(_shuffled(direct)) == 1 < len(_shuffled(fine))
     assert sorted(map(repr, direct.select(names).collect())) == sorted(map(repr, fine.select(names).collect()))
+
+
+def test_quarter_target_is_written_where_its_rows_are(spark, monkeypatch):
+    """The distinct keys of the mart are not moved once more for their write; only the merged rows are."""
+    frame = type(spark.range(1))
+    asked, plain = [], frame.hint
+    monkeypatch.setattr(frame, "hint", lambda df, name, *columns: asked.append(name) or plain(df, name, *columns))
+    assert QUERIES["job_quarter"](spark, FOLDER).count() > 0
+    assert asked.count("rebalance") == 1
