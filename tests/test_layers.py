@@ -10,7 +10,8 @@ from tallyloom.catalog.inputs import RUN_DATE, JobInputs
 from tallyloom.catalog.jobs import Job, fine_level, job_of
 from tallyloom.catalog.registry import QUERIES
 from tallyloom.plans.aggregate_mart import aggregate_level_one
-from tallyloom.plans.mart import inflow_rows, is_unfunded_outflow, unite_flows
+from tallyloom.plans.final import FINAL_COLUMNS
+from tallyloom.plans.mart import INTERNAL_TOTALS, REDUCTION_TOTALS, inflow_rows, is_unfunded_outflow, unite_flows
 from tallyloom.plans.mitigants import mitigant_totals
 from tallyloom.plans.staging import stage_exposures
 from tallyloom.sources.layouts import Contract, ContractViolation
@@ -220,3 +221,35 @@ def test_quarter_target_is_written_where_its_rows_are(spark, monkeypatch):
     monkeypatch.setattr(frame, "hint", lambda df, name, *columns: asked.append(name) or plain(df, name, *columns))
     assert QUERIES["job_quarter"](spark, FOLDER).count() > 0
     assert asked.count("rebalance") == 1
+
+
+@pytest.mark.parametrize(("name", "most"), [("quarter_default_amounts", 160)])
+def test_readers_of_few_columns_write_few(spark, monkeypatch, name, most):
+    """Without a mart to read, a query on few of its columns writes deals and inflow rows with these alone, and gives the same."""
+    job_of(spark, FOLDER).mart()
+    whole = _set(QUERIES[name](spark, FOLDER))
+    layers = []
+    monkeypatch.setattr("tallyloom.catalog.jobs._JOBS", {})
+    monkeypatch.setattr("tallyloom.catalog.jobs.write_layer", lambda df, *rest: layers.append((rest[4], len(df.columns))) or write_layer(df, *rest))
+    assert _set(QUERIES[name](spark, FOLDER)) == whole
+    assert [stage for stage, _ in layers] == ["deals", "mart"] and sum(n for _, n in layers) < most
+
+
+def test_narrow_mart_is_the_whole_one(spark):
+    """Columns of the mart derived for a reader of few of them, rules of the last pack among them, are those of the whole mart."""
+    wanted = (*FINAL_COLUMNS, *INTERNAL_TOTALS, *REDUCTION_TOTALS.values(), "basel_security_sub_type", "b2_irb_gtee_amt")
+    narrow, whole = Job(spark, FOLDER).narrow_mart("test", wanted), job_of(spark, FOLDER).mart()
+    assert set(wanted) < set(narrow.columns) < set(whole.columns)
+    assert _set(narrow) == _set(whole.select(narrow.columns))
+
+
+def test_contract_of_a_layer_that_is_not_written(spark):
+    rows = spark.createDataFrame([*ROWS, (1, None, "Y", 1.0, 5, 7), (2, "a", "Y", 1.0, 5, 7)], COLUMNS)
+    with pytest.raises(ContractViolation) as found:
+        CONTRACT.check(rows)
+    assert found.value.report == ["column deal is null in 1 rows", "key (month, deal) is not unique: 1 keys occur more than once"]
+    with pytest.raises(ContractViolation) as found:
+        CONTRACT.check(rows.drop("deal"))
+    assert found.value.report == ["column deal is missing"]
+    good = spark.createDataFrame(ROWS, COLUMNS)
+    assert CONTRACT.check(good) is good
