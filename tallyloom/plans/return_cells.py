@@ -56,6 +56,42 @@ MEASURE_KEYS = (
     "basel_exposure_type",
     "reg_exposure_type",
 )
+# Columns of the mart that the return reads, those with an on and an off balance part first.
+_IN_PARTS = (
+    "b2_std_exposure_value",
+    "b2_std_crm_tot_inflow",
+    "b2_std_crm_tot_outflow",
+    "b2_std_provisions_amt",
+    "b2_std_rwa_amt",
+    "b2_std_rwa_pre_sprt_amt",
+)
+RETURN_INPUTS = (
+    *(name + part for name in _IN_PARTS for part in ("", "_onbal", "_ofbal")),
+    # The classes come from the key of the asset class.
+    *(k for k in MEASURE_KEYS if k not in ("crd4_memo_basel_exposure_type", "basel_exposure_type", "reg_exposure_type")),
+    "crd4_memo_items_asset_class_basel_exposure_type",
+    "corep_std_asset_class_rk",
+    "rwa_approach_code",
+    "adjust_flag",
+    "crd4_rep_std_flag",
+    "crd4_rep_stdflow_flag",
+    "aclm_product_type",
+    "basel_data_flag",
+    "default_fund_contrib_indicator",
+    "b2_std_fully_adj_exp_ccf_0",
+    "b2_std_fully_adj_exp_ccf_20",
+    "b2_std_fully_adj_exp_ccf_50",
+    "b2_std_fully_adj_exp_ccf_100",
+    "b2_std_eff_fin_coll_amt",
+    "b2_std_netted_coll_gbp",
+    "b2_std_eff_gtee_amt",
+    "b2_std_eff_cds_amt",
+    "b2_std_oth_fun_cred_prot_amt",
+    "b2_std_coll_mty_mismatch_amt",
+    "b2_std_coll_volatility_amt",
+    "b2_std_coll_fx_haircut_amt",
+    "rule_desc",
+)
 
 
 def select_input(

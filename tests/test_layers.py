@@ -223,7 +223,7 @@ def test_quarter_target_is_written_where_its_rows_are(spark, monkeypatch):
     assert asked.count("rebalance") == 1
 
 
-@pytest.mark.parametrize(("name", "most"), [("quarter_default_amounts", 160)])
+@pytest.mark.parametrize(("name", "most"), [("quarter_default_amounts", 160), ("job_return", 220)])
 def test_readers_of_few_columns_write_few(spark, monkeypatch, name, most):
     """Without a mart to read, a query on few of its columns writes deals and inflow rows with these alone, and gives the same."""
     job_of(spark, FOLDER).mart()
