@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyloom.catalog.inputs import RUN_DATE, JobInputs
 from tallyloom.catalog.jobs import Job, fine_level, job_of
 from tallyloom.catalog.registry import QUERIES
-from tallyloom.plans.aggregate_mart import aggregate_level_one
+from tallyloom.plans.aggregate_mart import aggregate_level_one, aggregate_mart
 from tallyloom.plans.final import FINAL_COLUMNS
 from tallyloom.plans.mart import INTERNAL_TOTALS, REDUCTION_TOTALS, inflow_rows, is_unfunded_outflow, unite_flows
 from tallyloom.plans.mitigants import mitigant_totals
@@ -214,6 +214,16 @@ def test_coarser_level_shuffles_the_mart_once(spark):
     assert sorted(map(repr, direct.select(names).collect())) == sorted(map(repr, fine.select(names).collect()))
 
 
+def test_rows_that_are_groups_of_their_own_stay_where_they_are(spark):
+    """The full grain by digests is that of a plain sum; the exchange of all keys holds but the rows whose digest is shared."""
+    rows = job_of(spark, FOLDER).mart().where("adjust_flag = 'A'")
+    plain, fine = aggregate_mart(rows), fine_level(spark, FOLDER)
+    names = plain.columns
+    assert fine.dtypes == plain.dtypes
+    assert _set(fine.select(names)) == _set(plain)
+    assert min(map(len, _shuffled(plain))) > 100 and "LeftAnti" in fine._jdf.queryExecution().executedPlan().toString()
+
+
 def test_quarter_target_is_written_where_its_rows_are(spark, monkeypatch):
     """The distinct keys of the mart are not moved once more for their write; only the merged rows are."""
     frame = type(spark.range(1))
@@ -223,7 +233,7 @@ def test_quarter_target_is_written_where_its_rows_are(spark, monkeypatch):
     assert asked.count("rebalance") == 1
 
 
-@pytest.mark.parametrize(("name", "most"), [("quarter_default_amounts", 160), ("job_return", 220)])
+@pytest.mark.parametrize(("name", "most"), [("quarter_default_amounts", 160), ("job_return", 220), ("job_agg_mart_fine", 400), ("job_agg_mart", 310)])
 def test_readers_of_few_columns_write_few(spark, monkeypatch, name, most):
     """Without a mart to read, a query on few of its columns writes deals and inflow rows with these alone, and gives the same."""
     job_of(spark, FOLDER).mart()

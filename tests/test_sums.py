@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.functions import codes as K
-from tallyloom.operators.aggregates import conditional_sums, exact_sum, group_sum, grouping_sets_total, rollup_to
+from tallyloom.operators.aggregates import conditional_sums, exact_sum, group_sum, group_sum_of_few, grouping_sets_total, rollup_to
 from tallyloom.operators.reshape import measures_of, unpivot_rows
 from tallyloom.plans import return_cells as R
 
@@ -91,3 +91,15 @@ def test_sums_before_cells_agree_with_cells_before_sums(spark):
     assert wide.count() == wide.select(*R.ENTITY_KEYS, "_row", "row_id", "_blank", "sheet_id").distinct().count() < spread.count() / 100
     assert set(measures_of(rows)) <= set(wide.columns)
     assert R.entity_cells(measures.limit(0), groups).count() == 0
+
+
+@pytest.mark.parametrize("fits", [True, False])
+def test_few_groups_of_several_rows(spark, monkeypatch, fits):
+    """Nulls in either key, zeros of both signs, equal and lone keys give what a plain sum gives."""
+    keys = [("a", None, 0.0), (None, "a", 0.0), ("a", None, -0.0), ("b", "c", -0.0), ("d", "e", float("nan")), ("d", "e", float("nan")), (None, None, None)]
+    rows = [(*k, 0.1 * i if i % 3 else None, i) for i, k in enumerate(keys)] + [("k", str(i), float(i), 0.1000004, i) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, l string, x double, amount double, n int")
+    monkeypatch.setattr("tallyloom.operators.aggregates.fits_broadcast", lambda df, limit=None: fits)
+    plain, few = (f(df, ["k", "l", "x"], ["amount", "n"]) for f in (group_sum, group_sum_of_few))
+    assert few.dtypes == plain.dtypes and few.count() == 205
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, plain.collect()))
