@@ -263,3 +263,15 @@ def test_contract_of_a_layer_that_is_not_written(spark):
     assert found.value.report == ["column deal is missing"]
     good = spark.createDataFrame(ROWS, COLUMNS)
     assert CONTRACT.check(good) is good
+
+
+@pytest.mark.parametrize(("name", "stages", "most"), [("rules_risk_weight", ["deals", "mart"], 150)])
+def test_rules_on_few_columns_write_few(spark, monkeypatch, name, stages, most):
+    """Queries on a pack's columns write those alone, and give what they give on whole layers."""
+    job_of(spark, FOLDER).mart()
+    whole = _set(QUERIES[name](spark, FOLDER))
+    layers = []
+    monkeypatch.setattr("tallyloom.catalog.jobs._JOBS", {})
+    monkeypatch.setattr("tallyloom.catalog.jobs.write_layer", lambda df, *rest: layers.append((rest[4], len(df.columns))) or write_layer(df, *rest))
+    assert _set(QUERIES[name](spark, FOLDER)) == whole
+    assert [stage for stage, _ in layers] == stages and sum(n for _, n in layers) < most
