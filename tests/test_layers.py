@@ -13,7 +13,7 @@ from tallyloom.plans.aggregate_mart import aggregate_level_one, aggregate_mart
 from tallyloom.plans.final import FINAL_COLUMNS
 from tallyloom.plans.mart import INTERNAL_TOTALS, REDUCTION_TOTALS, inflow_rows, is_unfunded_outflow, unite_flows
 from tallyloom.plans.mitigants import mitigant_totals
-from tallyloom.plans.staging import stage_exposures
+from tallyloom.plans.staging import provider_classes, stage_exposures, sub_exposure_rows
 from tallyloom.sources.layouts import Contract, ContractViolation
 from tallyloom.sources.sinks import AuditLog, merge_layer, publish_return, published_return, write_layer, write_partitioned
 
@@ -275,3 +275,20 @@ def test_rules_on_few_columns_write_few(spark, monkeypatch, name, stages, most):
     monkeypatch.setattr("tallyloom.catalog.jobs.write_layer", lambda df, *rest: layers.append((rest[4], len(df.columns))) or write_layer(df, *rest))
     assert _set(QUERIES[name](spark, FOLDER)) == whole
     assert [stage for stage, _ in layers] == stages and sum(n for _, n in layers) < most
+
+
+def test_many_providers_do_not_pass_through_the_driver(spark, tmp_path, monkeypatch):
+    """Counterparties whose file is packed far below their size as rows are cut to those that provide protection, with the same result."""
+    tables = Job(spark, FOLDER)
+    rows = spark.range(1_500_000).selectExpr("IF(id < 1000, id, id * 2654435761 % 1099511627776) AS counterparty_rk", "CAST(200 + id % 16 AS INT) AS b2_std_asset_class_rk")
+    rows.unionByName(rows.where("counterparty_rk < 3")).write.parquet(str(tmp_path / "parties"))
+    parties = spark.read.parquet(str(tmp_path / "parties"))
+    tables["counterparties"] = parties.selectExpr("*", "200108 AS year_month_rk", "20010831 AS day_rk", "'Y' AS valid_flag")
+    named = tables["sub_exposures"].selectExpr("provider_counterparty_rk AS k").union(tables["sub_exposures_oth"].selectExpr("provider_counterparty_rk")).distinct()
+    cut = provider_classes(tables, RUN_DATE)
+    assert 0 < cut.count() <= named.count() + 3 < 1000
+    wanted = sub_exposure_rows(tables, RUN_DATE)
+    monkeypatch.setattr("tallyloom.operators.joins.fits_broadcast", lambda df, limit=None: True)
+    assert provider_classes(tables, RUN_DATE).count() == parties.count()
+    names = ["deal_id", "mitigant_id", "provider_counterparty_rk", "provider_b2_std_asset_class", "corep_std_asset_class_rk"]
+    assert _set(wanted.select(names)) == _set(sub_exposure_rows(tables, RUN_DATE).select(names))
