@@ -265,7 +265,7 @@ def test_contract_of_a_layer_that_is_not_written(spark):
     assert CONTRACT.check(good) is good
 
 
-@pytest.mark.parametrize(("name", "stages", "most"), [("rules_risk_weight", ["deals", "mart"], 150), ("job_quarter", ["deals", "mart"], 260), ("rules_inflow", ["deals"], 80)])
+@pytest.mark.parametrize(("name", "stages", "most"), [("rules_risk_weight", ["deals", "mart"], 150), ("job_quarter", ["deals", "mart"], 260), ("rules_inflow", ["deals"], 80), ("rules_cap_allocate", ["deals"], 120), ("rules_support_factor", ["deals"], 80)])
 def test_rules_on_few_columns_write_few(spark, monkeypatch, name, stages, most):
     """Queries on a pack's columns write those alone, and give what they give on whole layers."""
     job_of(spark, FOLDER).mart()
