@@ -292,3 +292,18 @@ def test_many_providers_do_not_pass_through_the_driver(spark, tmp_path, monkeypa
     assert provider_classes(tables, RUN_DATE).count() == parties.count()
     names = ["deal_id", "mitigant_id", "provider_counterparty_rk", "provider_b2_std_asset_class", "corep_std_asset_class_rk"]
     assert _set(wanted.select(names)) == _set(sub_exposure_rows(tables, RUN_DATE).select(names))
+
+
+def test_whole_mart_writes_no_layer_it_does_not_read(spark, monkeypatch):
+    """The mart alone is that of the layers; the audit of the same run then writes the layers that were left out and counts all."""
+    job = job_of(spark, FOLDER)
+    whole = _set(QUERIES["job_mart"](spark, FOLDER))
+    job.staged(), job.subs(), job.mart()
+    counts = _set(QUERIES["job_audit"](spark, FOLDER))
+    layers = []
+    monkeypatch.setattr("tallyloom.catalog.jobs._JOBS", {})
+    monkeypatch.setattr("tallyloom.catalog.jobs.write_layer", lambda df, *rest: layers.append(rest[4]) or write_layer(df, *rest))
+    assert _set(QUERIES["job_mart"](spark, FOLDER)) == whole
+    assert layers == ["deals", "mart"]
+    assert _set(QUERIES["job_audit"](spark, FOLDER)) == counts and len(counts) == 4
+    assert sorted(layers) == ["deals", "mart", "staged", "sub_exposures"]
